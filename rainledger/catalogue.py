@@ -136,7 +136,7 @@ def scd2_invariants(spark, sf):
 
 def fact_asof_daily(spark, sf):
     sold = asof.asof_scd2(
-        b.purchases(spark, sf), _category_history(spark, sf), "product_id", "bought_at", bucket="day"
+        b.purchases(spark, sf), _category_history(spark, sf), "product_id", "bought_at", bucket="hour"
     )
     return sold.groupBy(F.to_date("bought_at").alias("sold_on"), "category").agg(
         F.count(F.lit(1)).alias("purchases"),
@@ -146,7 +146,7 @@ def fact_asof_daily(spark, sf):
 
 def asof_unmatched(spark, sf):
     return asof.unmatched(
-        b.purchases(spark, sf), _category_history(spark, sf), "product_id", "bought_at", bucket="day"
+        b.purchases(spark, sf), _category_history(spark, sf), "product_id", "bought_at", bucket="hour"
     )
 
 

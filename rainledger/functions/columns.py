@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -69,7 +71,4 @@ def majority_value(value: Column) -> Column:
 
 def differs(pairs: list[tuple[Column, Column]]) -> Column:
     """True if any pair differs, with NULL equal to NULL only."""
-    result = F.lit(False)
-    for left, right in pairs:
-        result = result | ~left.eqNullSafe(right)
-    return result
+    return reduce(Column.__or__, [~left.eqNullSafe(right) for left, right in pairs])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rainledger.operators.keys import as_list
+from rainledger.operators.keys import all_present, as_list
 from rainledger.operators.scd2 import SCD2_COLS
 
 
@@ -61,18 +61,19 @@ def resolve_versions(left: DataFrame, dim: DataFrame, keys: list[str], at: str,
     payload = F.struct(F.col("valid_to").isNull().alias("open"), F.col("valid_to"), *[F.col(c) for c in attrs])
     # versions that start together: the one that lasts longest is the valid one
     starts = (
-        dim.dropna(subset=[*keys, "valid_from"])
+        dim.filter(all_present([*keys, "valid_from"]))
         .groupBy(*keys, F.col("valid_from").alias("__at"))
         .agg(F.max(payload).alias("__version"))
         .withColumn("__ask", F.lit(False))
     )
     asks = (
         left.select(*keys, F.col(at).cast("timestamp").alias("__at"))
-        .dropna()
+        .filter(all_present([*keys, "__at"]))
         .distinct()
         .withColumn("__ask", F.lit(True))
     )
     line = starts.unionByName(asks, allowMissingColumns=True).withColumn("__bucket", F.date_trunc(bucket, "__at"))
+    line = line.filter(all_present(["__bucket"]))
     slot = [*keys, "__bucket"]
     inside = Window.partitionBy(*slot).orderBy("__at", "__ask").rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -24,3 +24,9 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str =
     condition = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"__r_{c}")) for c in on])
     joined = left.join(renamed, condition, how)
     return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"__r_{c}" for c in on])
+
+
+def all_present(cols: list[str]) -> Column:
+    """No column is NULL. Written out, so that Spark sees the same filter on both sides of a
+    later join of the rows with their own summary and computes the shared part once."""
+    return reduce(Column.__and__, [F.col(c).isNotNull() for c in cols])

@@ -7,7 +7,9 @@ becomes a sort-merge join on the key. Both sides hold a key at most once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rainledger.operators.keys import as_list
@@ -72,9 +74,7 @@ def merge_into_catalog(
     Without ``when_newer`` this is the insert-only merge.
     """
     keys = as_list(key)
-    on = F.lit(True)
-    for c in keys:
-        on = on & (F.col(f"{table}.{c}") == F.col(f"s.{c}"))
+    on = reduce(Column.__and__, [F.col(f"{table}.{c}") == F.col(f"s.{c}") for c in keys])
     merge = source.alias("s").mergeInto(table, on)
     if when_newer:
         newer = F.col(f"s.{when_newer}") > F.col(f"{table}.{when_newer}")

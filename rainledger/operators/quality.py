@@ -36,7 +36,7 @@ def check_unique(df: DataFrame, grain: list[str]) -> DataFrame:
     )
 
 
-def check_scd2(dim: DataFrame, key: str | list[str], bucket: str = "day") -> DataFrame:
+def check_scd2(dim: DataFrame, key: str | list[str], bucket: str = "hour") -> DataFrame:
     """``(rule, violations)`` for the invariants of a versioned dimension.
 
     several_open / no_open: keys with more than one or without an open version.

@@ -5,11 +5,13 @@ Validity is half open, ``[valid_from, valid_to)``; ``valid_to IS NULL`` marks th
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rainledger.functions.columns import differs
-from rainledger.operators.keys import as_list
+from rainledger.operators.keys import all_present, as_list
 
 SCD2_COLS = ["valid_from", "valid_to", "is_current"]
 
@@ -55,9 +57,7 @@ def scd2_changes(
     pairs = [(n[c], o[c]) for c in tracked]
     if strict_ref:
         first = o[tracked[0]]
-        not_equal = F.lit(False)
-        for left, right in pairs:
-            not_equal = not_equal | (left != right)
+        not_equal = reduce(Column.__or__, [new != held for new, held in pairs])
         is_new = n.isNotNull() & first.isNull()
         is_changed = n.isNotNull() & first.isNotNull() & F.coalesce(not_equal, F.lit(False))
     else:
@@ -117,7 +117,7 @@ def scd2_history(
     tracked: list[str],
     ts_col: str = "source_timestamp",
     tie_cols: tuple[str, ...] = (),
-    bucket: str = "day",
+    bucket: str = "hour",
 ) -> DataFrame:
     """Every version of every key, from all events and whatever batches they came in.
 
@@ -129,12 +129,13 @@ def scd2_history(
     """
     keys = as_list(key)
     values = F.struct(*[F.col(c) for c in tracked])
-    rank = F.struct(*[F.col(c) for c in tie_cols], values) if tie_cols else values
+    newest = F.max_by(values, F.struct(*[F.col(c) for c in tie_cols], values)) if tie_cols else F.max(values)
     instants = (
-        events.dropna(subset=[*keys, ts_col])
+        events.filter(all_present([*keys, ts_col]))
         .groupBy(*keys, F.col(ts_col).cast("timestamp").alias("valid_from"))
-        .agg(F.max_by(values, rank).alias("__v"))
+        .agg(newest.alias("__v"))
         .withColumn("__bucket", F.date_trunc(bucket, "valid_from"))
+        .filter(all_present(["__bucket"]))
     )
     slot = [*keys, "__bucket"]
     inside = Window.partitionBy(*slot).orderBy("valid_from")

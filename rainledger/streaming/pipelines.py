@@ -37,10 +37,12 @@ def stream_orders(events: DataFrame, table: str, work: str, stats: str | None =
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        source = latest_changes(batch, "orders").drop("source_timestamp")
+        # read several times below: to find the months, to merge, to find the days
+        source = latest_changes(batch, "orders").drop("source_timestamp").persist()
         changed = merge_orders_table(table, source, f"{work}/staged/orders-{batch_id}")
         if stats:
             refresh_stats(changed, source, stats, f"{work}/staged/stats-{batch_id}")
+        source.unpersist()
 
     drain_batches(events, merge, f"{work}/checkpoint")
 
@@ -59,7 +61,9 @@ def stream_order_details(events: DataFrame, table: str, work: str) -> None:
     """Insert unseen order lines batch by batch."""
 
     def insert(batch: DataFrame, batch_id: int) -> None:
-        append_order_details(table, latest_changes(batch, "order_details").drop("source_timestamp"))
+        source = latest_changes(batch, "order_details").drop("source_timestamp").persist()
+        append_order_details(table, source)
+        source.unpersist()
 
     drain_batches(events, insert, f"{work}/checkpoint")
 

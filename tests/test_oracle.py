@@ -1,0 +1,28 @@
+"""Every registered query gives the same names, types and rows as its SQL on DuckDB."""
+
+import pytest
+
+import __spark_entry__ as entry
+from tests.compare import compare, connect
+
+SF_DIR = "/root/testdata/sf0.001"
+SQL = entry.oracle_sql()
+QUERIES = entry.queries()
+
+
+@pytest.fixture(scope="module")
+def con():
+    return connect(SF_DIR)
+
+
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(SQL)
+
+
+@pytest.mark.parametrize("name", list(QUERIES))
+def test_query(spark, con, name):
+    assert compare(spark, con, name, QUERIES[name], SQL[name], SF_DIR) == []
+
+
+def test_entry(spark):
+    assert entry.entry(spark).count() > 0
