@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rainledger import bindings as b
+from rainledger import jobs
 from rainledger.functions.columns import datetime_struct_to_ts, hour_of, ts_to_datetime_struct
 from rainledger.operators import asof, latest, majority, merge, quality, scd2
 from rainledger.plans import dashboard, gold, silver
@@ -33,20 +34,25 @@ DELAY = "2 hours"
 
 
 def rounded(df: DataFrame, *cols: str) -> DataFrame:
-    return df.withColumns({c: F.round(c, 6) for c in cols})
+    """Averages to nine digits, so that the order of summing does not show."""
+    return df.withColumns({c: F.round(c, 9) for c in cols})
 
 
 # --- Gold ---------------------------------------------------------------------------------
 
-CONSENSUS_AVERAGES = ["avg_temperature", "avg_humidity", "avg_pressure", "avg_wind_speed", "temperature_stddev"]
+CONSENSUS_AVERAGES = ["avg_temperature", "avg_humidity", "avg_pressure", "avg_wind_speed"]
+
+
+def rounded_consensus(df: DataFrame) -> DataFrame:
+    return rounded(df, *CONSENSUS_AVERAGES).withColumn("temperature_stddev", F.round("temperature_stddev", 6))
 
 
 def weather_consensus(spark, sf):
-    return rounded(gold.weather_consensus(b.weather(spark, sf)), *CONSENSUS_AVERAGES)
+    return rounded_consensus(gold.weather_consensus(b.weather(spark, sf)))
 
 
 def weather_consensus_one_vote(spark, sf):
-    return rounded(gold.weather_consensus(b.weather(spark, sf), one_vote_per_source=True), *CONSENSUS_AVERAGES)
+    return rounded_consensus(gold.weather_consensus(b.weather(spark, sf), one_vote_per_source=True))
 
 
 def condition_majority(spark, sf):
@@ -281,7 +287,7 @@ def published_consensus(spark, sf):
     rows = gold.weather_consensus(b.weather(spark, sf))
     tables.publish(rows.filter("city_id = 0"), "published_consensus", base)
     tables.publish(rows, "published_consensus", base)
-    return rounded(spark.table("published_consensus"), *CONSENSUS_AVERAGES)
+    return rounded_consensus(spark.table("published_consensus"))
 
 
 def preview_fact(spark, sf):
@@ -411,7 +417,7 @@ def stream_consensus(spark, sf):
         lambda weather, work: pipelines.stream_consensus(weather, f"{work}/consensus", work, DELAY),
     )
     schema = gold.weather_consensus(rows).schema
-    return rounded(pipelines.read_consensus(spark, f"{work}/consensus", schema), *CONSENSUS_AVERAGES)
+    return rounded_consensus(pipelines.read_consensus(spark, f"{work}/consensus", schema))
 
 
 def stream_enrich(spark, sf):
@@ -424,6 +430,44 @@ def stream_enrich(spark, sf):
     return spark.read.parquet(f"{work}/enriched")
 
 
+def stream_current_weather(spark, sf):
+    rows = b.weather(spark, sf)
+    work = _landed_in_two(
+        spark, "stream_current_weather", rows, "fetched_at", b.SPLIT, _parquet_stream(spark, rows.schema),
+        lambda weather, work: pipelines.stream_current_state(weather, f"{work}/state", work),
+    )
+    columns = ["condition", "temperature", "wind_speed", "humidity"]
+    schema = latest.latest_state(rows, "city_id", "fetched_at", columns).schema
+    return gold.current_weather(pipelines.read_current_state(spark, f"{work}/state", schema), b.cities(spark, sf))
+
+
+def _lakehouse(spark, sf) -> str:
+    """Land payloads and change events in two rounds, run the Silver jobs after each, build Gold."""
+    work = scratch(spark, "lakehouse")
+    bronze, lake = f"{work}/bronze", f"{work}/lake"
+    cdc = {
+        "orders": b.order_cdc(spark, sf), "order_details": b.order_detail_cdc(spark, sf),
+        "products": b.product_cdc(spark, sf), "stores": b.store_cdc(spark, sf),
+    }
+    payloads = b.bronze(spark, sf)
+    early = F.try_to_timestamp("fetched_at") <= F.lit(b.SPLIT).cast("timestamp")
+    for rows, bounds in ((payloads.filter(early), {"hi": b.SPLIT}), (payloads.filter(~early), {"lo": b.SPLIT})):
+        bronze_source.write_bronze_weather(rows, f"{bronze}/weather")
+        for name, events in cdc.items():
+            part = latest.incremental(events, "source_timestamp", **bounds)
+            part.write.mode("append").parquet(f"{bronze}/cdc/{name}")
+        jobs.silver_weather(spark, bronze, lake, RUN_TS)
+        jobs.silver_cdc(spark, bronze, lake, "parquet")
+    jobs.build_gold(spark, lake, "lakehouse_")
+    return lake
+
+
+def lakehouse_fact(spark, sf):
+    """The fact at the end of the whole way from raw files, through both Silver rounds."""
+    _lakehouse(spark, sf)
+    return rounded(spark.table("lakehouse_fact_sales_weather"), "temperature_c")
+
+
 QUERIES: dict[str, Query] = {
     "weather_consensus": weather_consensus,
     "weather_consensus_one_vote": weather_consensus_one_vote,
@@ -479,6 +523,8 @@ QUERIES: dict[str, Query] = {
     "stream_dedup": stream_dedup,
     "stream_consensus": stream_consensus,
     "stream_enrich": stream_enrich,
+    "stream_current_weather": stream_current_weather,
+    "lakehouse_fact": lakehouse_fact,
 }
 
 

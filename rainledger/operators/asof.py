@@ -13,6 +13,20 @@ def attributes(dim: DataFrame, key: str | list[str]) -> list[str]:
     return [c for c in dim.columns if c not in (*as_list(key), *SCD2_COLS)]
 
 
+# Beyond this many versions of one key, comparing each row with all of them is too much.
+MAX_VERSIONS_COMPARED = 256
+
+
+def bucket_if_deep(dim: DataFrame, key: str | list[str], bucket: str = "hour",
+                   limit: int = MAX_VERSIONS_COMPARED) -> str | None:
+    """``bucket`` if some key has more than ``limit`` versions, else None.
+
+    Counts the dimension only, in one small job.
+    """
+    deepest = dim.groupBy(*as_list(key)).count().agg(F.max("count")).first()[0]
+    return bucket if (deepest or 0) > limit else None
+
+
 def asof_scd2(
     left: DataFrame,
     dim: DataFrame,

@@ -52,9 +52,9 @@ def consensus(weather: str = "b_weather", name: str = "consensus") -> str:
 
 
 CONSENSUS_OUT = """
-SELECT city_id, date_hour, city_name, round(avg_temperature, 6) AS avg_temperature,
-       round(avg_humidity, 6) AS avg_humidity, round(avg_pressure, 6) AS avg_pressure,
-       round(avg_wind_speed, 6) AS avg_wind_speed, majority_condition, source_count,
+SELECT city_id, date_hour, city_name, round(avg_temperature, 9) AS avg_temperature,
+       round(avg_humidity, 9) AS avg_humidity, round(avg_pressure, 9) AS avg_pressure,
+       round(avg_wind_speed, 9) AS avg_wind_speed, majority_condition, source_count,
        round(temperature_stddev, 6) AS temperature_stddev
 FROM consensus"""
 
@@ -107,7 +107,7 @@ fact AS (
 
 
 FACT_OUT = """
-SELECT date_hour, order_date, city_id, store_id, weather_condition, round(temperature_c, 6) AS temperature_c,
+SELECT date_hour, order_date, city_id, store_id, weather_condition, round(temperature_c, 9) AS temperature_c,
        order_type, product_category, total_orders, total_items_sold, total_revenue
 FROM fact"""
 
@@ -139,26 +139,27 @@ history AS (
   FROM steps WHERE prev_category IS NULL OR prev_category <> category)"""
 
 
-def scd2_two_batches(key: str, columns: dict[str, str], source: str, changed: str) -> str:
+def scd2_two_batches(key: str, columns: dict[str, str], source: str, changed: str, prefix: str = "") -> str:
     """Latest row per key of each half, then the second half applied to the first."""
+    halves, old_rows, new_rows, versions = (f"{prefix}{n}" for n in ("halves", "old_rows", "new_rows", "versions"))
     attrs = ", ".join(f"{expr} AS {name}" for name, expr in columns.items())
     new = ", ".join(f"n.{name}" for name in columns)
     old = ", ".join(f"o.{name}" for name in columns)
     return f"""
-halves AS (
+{halves} AS (
   SELECT {attrs}, source_timestamp, source_timestamp > {SPLIT} AS second,
          row_number() OVER (PARTITION BY {columns[key]}, source_timestamp > {SPLIT}
                             ORDER BY source_timestamp DESC, uuid DESC) AS rn
   FROM {source} WHERE change_type <> 'DELETE'),
-old_rows AS (SELECT * FROM halves WHERE rn = 1 AND NOT second),
-new_rows AS (SELECT * FROM halves WHERE rn = 1 AND second),
-versions AS (
+{old_rows} AS (SELECT * FROM {halves} WHERE rn = 1 AND NOT second),
+{new_rows} AS (SELECT * FROM {halves} WHERE rn = 1 AND second),
+{versions} AS (
   SELECT {old}, o.source_timestamp AS valid_from,
          CASE WHEN {changed} THEN n.source_timestamp END AS valid_to
-  FROM old_rows o LEFT JOIN new_rows n ON o.{key} = n.{key}
+  FROM {old_rows} o LEFT JOIN {new_rows} n ON o.{key} = n.{key}
   UNION ALL
   SELECT {new}, n.source_timestamp, NULL
-  FROM new_rows n LEFT JOIN old_rows o ON o.{key} = n.{key}
+  FROM {new_rows} n LEFT JOIN {old_rows} o ON o.{key} = n.{key}
   WHERE o.{key} IS NULL OR ({changed}))"""
 
 
@@ -168,16 +169,14 @@ CATEGORY_BATCHES = scd2_two_batches(
 )
 PRODUCT_COLUMNS = {"product_id": "product_id", "category": "category",
                    "price": "CAST(CAST(price AS DECIMAL(10,2)) AS DOUBLE)", "is_active": "is_active"}
-PRODUCT_BATCHES = scd2_two_batches(
-    "product_id", PRODUCT_COLUMNS, "b_cdc",
-    "n.product_id IS NOT NULL AND (n.category <> o.category OR n.price <> o.price OR n.is_active <> o.is_active)",
+PRODUCT_CHANGED = (
+    "n.product_id IS NOT NULL AND (n.category <> o.category OR n.price <> o.price OR n.is_active <> o.is_active)"
 )
+PRODUCT_BATCHES = scd2_two_batches("product_id", PRODUCT_COLUMNS, "b_cdc", PRODUCT_CHANGED)
 STORE_COLUMNS = {"store_id": "CAST(product_id % 50 AS INTEGER)", "city_id": "CAST(uuid % 3 AS INTEGER)",
                  "is_active": "is_active"}
-STORE_BATCHES = scd2_two_batches(
-    "store_id", STORE_COLUMNS, "b_cdc",
-    "n.store_id IS NOT NULL AND (n.city_id <> o.city_id OR n.is_active <> o.is_active)",
-)
+STORE_CHANGED = "n.store_id IS NOT NULL AND (n.city_id <> o.city_id OR n.is_active <> o.is_active)"
+STORE_BATCHES = scd2_two_batches("store_id", STORE_COLUMNS, "b_cdc", STORE_CHANGED)
 
 SILVER_ORDERS = f"""
 {ORDERS},
@@ -187,8 +186,11 @@ final AS (
          created_at + INTERVAL 30 MINUTE AS updated_at
   FROM b_orders)"""
 
-SILVER_DETAILS = f"""
-WITH images AS (
+
+def silver_details(split: str) -> str:
+    """Lines as first seen: the newest image of the first batch that holds the line."""
+    return f"""
+images AS (
   SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS detail_id,
          CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_partkey AS INTEGER) AS product_id,
          CAST(l_quantity AS INTEGER) AS quantity, CAST(CAST(l_tax AS DECIMAL(10,2)) AS DOUBLE) AS unit_price,
@@ -197,12 +199,13 @@ WITH images AS (
          lpad(CAST(l_suppkey AS VARCHAR), 12, '0') || '-' || lpad(CAST(CAST(l_quantity AS BIGINT) AS VARCHAR), 12, '0')
            || '-' || CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS uuid
   FROM lineitem),
-ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY detail_id
-                               ORDER BY seen_at > {DETAILS_SPLIT}, seen_at DESC, uuid DESC, order_id DESC, product_id DESC,
-                                        quantity DESC, unit_price DESC, subtotal DESC) AS rn
-  FROM images)
-SELECT detail_id, order_id, product_id, quantity, unit_price, subtotal FROM ranked WHERE rn = 1"""
+details AS (
+  SELECT detail_id, order_id, product_id, quantity, unit_price, subtotal FROM (
+    SELECT *, row_number() OVER (PARTITION BY detail_id
+                                 ORDER BY seen_at > {split}, seen_at DESC, uuid DESC, order_id DESC, product_id DESC,
+                                          quantity DESC, unit_price DESC, subtotal DESC) AS rn
+    FROM images) WHERE rn = 1)"""
+
 
 WMO = """CASE WHEN code IN (0, 1) THEN 'Clear' WHEN code IN (2, 3) THEN 'Clouds' WHEN code IN (45, 48) THEN 'Fog'
               WHEN code IN (51, 53, 55) THEN 'Drizzle' WHEN code IN (61, 63, 65, 80, 81, 82) THEN 'Rain'
@@ -274,6 +277,7 @@ def oracle_sql() -> dict[str, str]:
     order_stats = f"WITH {STATS} SELECT * FROM stats"
     consensus_out = f"WITH {WEATHER},{consensus()} {CONSENSUS_OUT}"
     final_orders = f"WITH {SILVER_ORDERS} SELECT * FROM final"
+    details_out = f"WITH {silver_details(DETAILS_SPLIT)} SELECT * FROM details"
     products = f"WITH {CDC},{PRODUCT_BATCHES} {scd2_out}"
     stores = f"WITH {CDC},{STORE_BATCHES} {scd2_out}"
     sql = {
@@ -355,7 +359,7 @@ def oracle_sql() -> dict[str, str]:
             epoch_us(ts) - epoch_us(CAST(CAST(ts AS DATE) AS TIMESTAMP)) AS micros, ts FROM events""",
         "silver_orders": final_orders,
         "silver_orders_deletes": f"{final_orders} WHERE store_id >= 5",
-        "silver_order_details": SILVER_DETAILS,
+        "silver_order_details": details_out,
         "silver_products": products,
         "silver_products_deletes": f"""WITH {CDC},{PRODUCT_BATCHES},
             ranked AS (SELECT *, source_timestamp > {SPLIT} AS second,
@@ -429,12 +433,31 @@ def oracle_sql() -> dict[str, str]:
                    count(*) FILTER (n > 1) AS violations FROM groups""",
         "stream_merge": final_orders,
         "stream_order_stats": order_stats,
-        "stream_order_details": SILVER_DETAILS,
+        "stream_order_details": details_out,
         "stream_products": products,
         "stream_stores": stores,
         "stream_weather": weather_out,
         "stream_dedup": f"WITH {WEATHER} SELECT * FROM b_weather",
         "stream_consensus": consensus_out,
+        "lakehouse_fact": f"""WITH {SILVER_WEATHER},{consensus("silver_weather")},{SILVER_ORDERS},
+            {silver_details(SPLIT)},{CDC},
+            {scd2_two_batches("product_id", PRODUCT_COLUMNS, "b_cdc", PRODUCT_CHANGED, "p_")},
+            {scd2_two_batches("store_id", STORE_COLUMNS, "b_cdc", STORE_CHANGED, "s_")}
+            SELECT CAST(date_trunc('hour', o.created_at) AS TIMESTAMP) AS date_hour,
+                   CAST(o.created_at AS DATE) AS order_date, st.city_id, o.store_id,
+                   w.majority_condition AS weather_condition, round(w.avg_temperature, 9) AS temperature_c,
+                   o.order_type, p.category AS product_category, count(DISTINCT o.order_id) AS total_orders,
+                   CAST(sum(d.quantity) AS BIGINT) AS total_items_sold,
+                   CAST(sum(CAST(d.subtotal AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue
+            FROM final o
+            JOIN details d ON o.order_id = d.order_id
+            JOIN p_versions p ON d.product_id = p.product_id AND o.created_at >= p.valid_from
+                             AND (p.valid_to IS NULL OR o.created_at < p.valid_to)
+            JOIN s_versions st ON o.store_id = st.store_id AND o.created_at >= st.valid_from
+                              AND (st.valid_to IS NULL OR o.created_at < st.valid_to)
+            JOIN consensus w ON st.city_id = w.city_id AND date_trunc('hour', o.created_at) = w.date_hour
+            WHERE o.status <> 'Cancelled' AND w.majority_condition IS NOT NULL
+            GROUP BY ALL""",
         "stream_enrich": f"""WITH {WEATHER},{consensus()},{ORDERS},{VERSIONED_DIMS}
             SELECT o.*, st.city_id, CAST(date_trunc('hour', o.created_at) AS TIMESTAMP) AS date_hour,
                    w.majority_condition AS weather_condition
@@ -443,6 +466,7 @@ def oracle_sql() -> dict[str, str]:
                               AND (st.valid_to IS NULL OR o.created_at < st.valid_to)
             LEFT JOIN consensus w ON w.city_id = st.city_id AND w.date_hour = date_trunc('hour', o.created_at)""",
     }
+    sql["stream_current_weather"] = sql["current_weather"]
     for source in ("openweather", "openmeteo", "tomorrowio"):
         sql[f"normalize_{source}"] = f"{weather_out} WHERE source = '{source}'"
     return sql

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rainledger.functions.columns import hour_of, majority_value, money, money_sum
 from rainledger.functions.conditions import DEFAULT_CONDITION, DEFAULT_TEMPERATURE
-from rainledger.operators.asof import asof_scd2
+from rainledger.operators.asof import asof_scd2, bucket_if_deep
 from rainledger.operators.latest import keep_latest
 
 FACT_GRAIN = ["date_hour", "order_type", "product_category", "store_id", "city_id"]
@@ -41,6 +41,16 @@ def weather_consensus(weather: DataFrame, one_vote_per_source: bool = False, str
     return rows.groupBy("city_id", "date_hour").agg(F.max("city_name").alias("city_name"), *consensus_aggregates())
 
 
+def _chosen(bucket: str | None, dim: DataFrame, key: str) -> str | None:
+    return bucket_if_deep(dim, key) if bucket == "auto" else bucket
+
+
+def _placed(orders: DataFrame, stores: DataFrame, bucket: str | None) -> DataFrame:
+    """Orders with the city their store was in at the order time."""
+    versions = stores.select("store_id", "city_id", "valid_from", "valid_to")
+    return asof_scd2(orders, versions, "store_id", "created_at", bucket=_chosen(bucket, versions, "store_id"))
+
+
 def fact_sales_weather(
     orders: DataFrame,
     lines: DataFrame,
@@ -48,7 +58,7 @@ def fact_sales_weather(
     stores: DataFrame,
     consensus: DataFrame,
     keep_unmatched: bool = False,
-    bucket: str | None = None,
+    bucket: str | None = "auto",
 ) -> DataFrame:
     """Sales by hour, store, order type and product category, with the hour's weather.
 
@@ -60,13 +70,15 @@ def fact_sales_weather(
     hour, so it joins the finished sums instead of every line. Counting distinct orders
     becomes a count after a grouping by order and category, which reuses the
     partitioning of the join on the order when the products are broadcast.
+
+    ``bucket`` is that of the as-of joins; ``auto`` counts each dimension's versions to
+    choose between comparing a row with all versions of its key and merging in time.
     """
     kept = orders.filter(F.col("status") != "Cancelled").select("order_id", "store_id", "order_type", "created_at")
-    placed = asof_scd2(kept, stores.select("store_id", "city_id", "valid_from", "valid_to"),
-                       "store_id", "created_at", bucket=bucket)
+    placed = _placed(kept, stores, bucket)
     sold = placed.join(lines.select("order_id", "product_id", "quantity", "subtotal"), "order_id")
     versions = products.select("product_id", F.col("category").alias("product_category"), "valid_from", "valid_to")
-    priced = asof_scd2(sold, versions, "product_id", "created_at", bucket=bucket)
+    priced = asof_scd2(sold, versions, "product_id", "created_at", bucket=_chosen(bucket, versions, "product_id"))
 
     at = F.col("created_at").cast("timestamp")
     grain = ["date_hour", "order_date", "city_id", "store_id", "order_type", "product_category"]
@@ -92,11 +104,10 @@ def fact_sales_weather(
 
 
 def sales_without_weather(orders: DataFrame, stores: DataFrame, consensus: DataFrame,
-                          bucket: str | None = None) -> DataFrame:
+                          bucket: str | None = "auto") -> DataFrame:
     """Store hours with orders but no weather, and how many orders the fact loses there."""
     kept = orders.filter(F.col("status") != "Cancelled").select("order_id", "store_id", "created_at")
-    placed = asof_scd2(kept, stores.select("store_id", "city_id", "valid_from", "valid_to"),
-                       "store_id", "created_at", bucket=bucket)
+    placed = _placed(kept, stores, bucket)
     hours = placed.groupBy("city_id", "store_id", hour_of(F.col("created_at")).alias("date_hour")).agg(
         F.count(F.lit(1)).alias("lost_orders")
     )

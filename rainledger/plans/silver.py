@@ -126,18 +126,24 @@ def in_values(df: DataFrame, column: str, values: list) -> DataFrame:
     return df.filter(match | F.col(column).isNull() if None in values else match)
 
 
-def merge_orders_table(path: str, source: DataFrame, staging: str, schema=SILVER_ORDERS) -> DataFrame:
+def merge_orders_table(path: str, source: DataFrame, staging: str, schema=SILVER_ORDERS,
+                       creation_is_fixed: bool = False) -> DataFrame:
     """Upsert a batch (one row per key) into the orders table and return its changed months.
 
     An order keeps the month it was created in, so the months to rewrite are those of
     the matched targets, found by reading key and month only, and those of new rows.
+    Where the source system never changes an order's creation time,
+    ``creation_is_fixed`` spares that read: the batch's own months are then all.
     """
     spark = source.sparkSession
     month = partition_names(ORDERS_PARTITIONS)[0]
     target = read_orders(spark, path, schema)
     batch = with_partitions(source, ORDERS_PARTITIONS)
-    matched = target.select("order_id", month).join(batch.select("order_id"), "order_id", "left_semi")
-    touched = touched_values(matched.select(month).unionByName(batch.select(month)), month)
+    months = batch.select(month)
+    if not creation_is_fixed:
+        matched = target.select("order_id", month).join(batch.select("order_id"), "order_id", "left_semi")
+        months = months.unionByName(matched.select(month))
+    touched = touched_values(months, month)
     merged = merge_upsert(in_values(target, month, touched), batch, "order_id", "updated_at", ORDER_UPDATES)
     replace_partitions(merged, path, [month], staging)
     return in_values(read_orders(spark, path, schema), month, touched)
@@ -182,8 +188,10 @@ def append_weather(path: str, rows: DataFrame) -> None:
     names = partition_names(WEATHER_PARTITIONS)
     key = ["source", "city_id", "fetched_at"]
     schema = with_partitions(spark.createDataFrame([], SILVER_WEATHER), WEATHER_PARTITIONS).schema
-    batch = with_partitions(keep_latest(rows, key, "ingested_at"), WEATHER_PARTITIONS)
+    # parsed once, read three times: for its days, to look up held readings, to write
+    batch = with_partitions(keep_latest(rows, key, "ingested_at"), WEATHER_PARTITIONS).persist()
     held = read_or_empty(spark, path, schema)
     held = in_values(held, "fetched_date", touched_values(batch, "fetched_date"))
     fresh = not_in(batch, held, key)
     fresh.hint("rebalance", *names).write.mode("append").partitionBy(*names).parquet(path)
+    batch.unpersist()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rainledger.operators.asof import asof_scd2
-from rainledger.operators.latest import keep_latest
+from rainledger.operators.latest import keep_latest, latest_state
 from rainledger.plans.gold import consensus_aggregates, order_stats
 from rainledger.plans.silver import (
     KEYS,
@@ -115,6 +115,17 @@ def stream_consensus(weather: DataFrame, path: str, work: str, delay: str) -> No
     drain_updates(hours, path, f"{work}/checkpoint")
 
 
+def stream_current_state(weather: DataFrame, path: str, work: str) -> None:
+    """The latest weather per city by reading time, whichever source it came from: one row of state per city."""
+    state = latest_state(weather, "city_id", "fetched_at", ["condition", "temperature", "wind_speed", "humidity"])
+    drain_updates(state, path, f"{work}/checkpoint")
+
+
+def read_current_state(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    updates = read_or_empty(spark, path, T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())]))
+    return keep_latest(updates, "city_id", "batch_id").drop("batch_id")
+
+
 def read_consensus(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The newest state of every city and hour."""
     updates = read_or_empty(spark, path, T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())]))

@@ -28,10 +28,14 @@ def rows_of(names, rows):
     return Counter(tuple(row[i] for i in order) for row in rows)
 
 
+counts: dict[str, int] = {}
+
+
 def compare(spark, con, name, query, sql, sf_dir):
     """A list of differences, empty if the results agree."""
     df = query(spark, sf_dir)
     got = rows_of(df.columns, df.collect())
+    counts[name] = got.total()
     result = con.execute(sql)
     names = [d[0] for d in result.description]
     types = {d[0]: str(d[1]) for d in result.description}
@@ -54,7 +58,7 @@ def main(sf_dir, only):
     import __spark_entry__ as entry
     from rainledger.session import build_session
 
-    spark = build_session("compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"})
+    spark = build_session("compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con, sqls, bad = connect(sf_dir), entry.oracle_sql(), 0
     for name, query in entry.queries().items():
@@ -66,7 +70,7 @@ def main(sf_dir, only):
         except Exception as error:  # report and go on with the next query
             problems = [f"{type(error).__name__}: {str(error)[:600]}"]
         bad += bool(problems)
-        print(f"{'BAD' if problems else 'ok '} {name} {time.time() - start:.1f}s", *problems, sep="\n    ", flush=True)
+        print(f"{'BAD' if problems else 'ok '} {name} {counts.get(name)} rows {time.time() - start:.1f}s", *problems, sep="\n    ", flush=True)
     print("failures:", bad)
 
 
