@@ -416,8 +416,7 @@ def stream_consensus(spark, sf):
         spark, "stream_consensus", rows, "fetched_at", b.SPLIT, _parquet_stream(spark, rows.schema),
         lambda weather, work: pipelines.stream_consensus(weather, f"{work}/consensus", work, DELAY),
     )
-    schema = gold.weather_consensus(rows).schema
-    return rounded_consensus(pipelines.read_consensus(spark, f"{work}/consensus", schema))
+    return rounded_consensus(spark.read.parquet(f"{work}/consensus").drop(pipelines.CONSENSUS_DAY))
 
 
 def stream_enrich(spark, sf):
@@ -436,9 +435,7 @@ def stream_current_weather(spark, sf):
         spark, "stream_current_weather", rows, "fetched_at", b.SPLIT, _parquet_stream(spark, rows.schema),
         lambda weather, work: pipelines.stream_current_state(weather, f"{work}/state", work),
     )
-    columns = ["condition", "temperature", "wind_speed", "humidity"]
-    schema = latest.latest_state(rows, "city_id", "fetched_at", columns).schema
-    return gold.current_weather(pipelines.read_current_state(spark, f"{work}/state", schema), b.cities(spark, sf))
+    return gold.current_weather(spark.read.parquet(f"{work}/state"), b.cities(spark, sf))
 
 
 def _lakehouse(spark, sf) -> str:

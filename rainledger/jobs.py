@@ -3,8 +3,10 @@
 Each run takes in what has landed since the last one (the stream checkpoints are the
 bookmark) and may be repeated. Submit as::
 
-    spark-submit -m rainledger.jobs silver --bronze <folder> --lake <folder> [--format avro]
-    spark-submit -m rainledger.jobs gold   --lake <folder>
+    spark-submit rainledger/jobs.py silver --bronze <folder> --lake <folder> [--format avro] [--max-files n]
+    spark-submit rainledger/jobs.py gold   --lake <folder>
+
+with the package on the Python path.
 
 Below ``--bronze`` lie ``weather/source=/year=/month=/day=`` and one change-event folder
 per table, ``cdc/orders`` and so on. Folders must be shared by all executors.
@@ -26,9 +28,9 @@ from rainledger.schemas import (
     SILVER_STORES,
     SILVER_WEATHER,
 )
-from rainledger.session import build_session, configure
+from rainledger.session import build_session
 from rainledger.sources.cdc import read_cdc_stream
-from rainledger.sources.paths import read_or_empty
+from rainledger.sources.paths import exists, read_or_empty
 from rainledger.sources.tables import publish
 from rainledger.streaming import pipelines
 
@@ -37,15 +39,23 @@ CDC_TABLES = ["orders", "order_details", "products", "stores"]
 
 def silver_weather(spark: SparkSession, bronze: str, lake: str, run_ts: str | None = None) -> None:
     """Normalize the weather payloads that landed."""
+    if not exists(spark, f"{bronze}/weather"):
+        return
     fields = [f for f in BRONZE_WEATHER if f.name != "source"] + list(BRONZE_PARTITIONS)
     landed = spark.readStream.schema(T.StructType(fields)).parquet(f"{bronze}/weather")
     pipelines.stream_weather(landed.select(*BRONZE_WEATHER.names), f"{lake}/silver/weather", f"{lake}/work/weather", run_ts)
 
 
-def silver_cdc(spark: SparkSession, bronze: str, lake: str, fmt: str = "avro", tables: list[str] = CDC_TABLES) -> None:
-    """Apply the change events that landed, and keep the order statistics fresh."""
-    for table in tables:
-        events = read_cdc_stream(spark, f"{bronze}/cdc/{table}", table, fmt)
+def silver_cdc(spark: SparkSession, bronze: str, lake: str, fmt: str = "avro", max_files: int | None = None) -> None:
+    """Apply the change events that landed, and keep the order statistics fresh.
+
+    A table whose folder is not there yet is left for a later run. ``max_files`` splits a
+    large backlog into several batches.
+    """
+    for table in CDC_TABLES:
+        if not exists(spark, f"{bronze}/cdc/{table}"):
+            continue
+        events = read_cdc_stream(spark, f"{bronze}/cdc/{table}", table, fmt, max_files=max_files)
         path, work = f"{lake}/silver/{table}", f"{lake}/work/{table}"
         if table == "orders":
             pipelines.stream_orders(events, path, work, f"{lake}/gold/realtime_order_stats")
@@ -86,13 +96,14 @@ def main() -> None:
     to_silver, to_gold = steps.add_parser("silver"), steps.add_parser("gold")
     to_silver.add_argument("--bronze", required=True)
     to_silver.add_argument("--format", default="avro")
+    to_silver.add_argument("--max-files", type=int)
     for step in (to_silver, to_gold):
         step.add_argument("--lake", required=True)
     args = parser.parse_args()
-    spark = configure(build_session(f"rainledger-{args.step}"))
+    spark = build_session(f"rainledger-{args.step}")
     if args.step == "silver":
         silver_weather(spark, args.bronze, args.lake)
-        silver_cdc(spark, args.bronze, args.lake, args.format)
+        silver_cdc(spark, args.bronze, args.lake, args.format, args.max_files)
     else:
         build_gold(spark, args.lake)
 

@@ -20,8 +20,10 @@ from rainledger.sources.paths import read_or_empty
 from rainledger.sources.tables import (
     ORDERS_PARTITIONS,
     WEATHER_PARTITIONS,
+    in_values,
     partition_names,
     replace_partitions,
+    touched_values,
     with_partitions,
 )
 
@@ -114,19 +116,7 @@ def read_orders(spark: SparkSession, path: str, schema=SILVER_ORDERS) -> DataFra
     return read_or_empty(spark, path, with_partitions(spark.createDataFrame([], schema), ORDERS_PARTITIONS).schema)
 
 
-def touched_values(rows: DataFrame, column: str) -> list:
-    """The distinct partition values of a batch: calendar months or days, never data keys."""
-    return [row[0] for row in rows.select(column).distinct().collect()]
-
-
-def in_values(df: DataFrame, column: str, values: list) -> DataFrame:
-    """Rows of the given partitions, NULL included; literals prune folders at planning."""
-    known = [v for v in values if v is not None]
-    match = F.col(column).isin(known)
-    return df.filter(match | F.col(column).isNull() if None in values else match)
-
-
-def merge_orders_table(path: str, source: DataFrame, staging: str, schema=SILVER_ORDERS,
+def merge_orders_table(path: str, source: DataFrame, staging: str, batch_id: int = 0, schema=SILVER_ORDERS,
                        creation_is_fixed: bool = False) -> DataFrame:
     """Upsert a batch (one row per key) into the orders table and return its changed months.
 
@@ -145,7 +135,7 @@ def merge_orders_table(path: str, source: DataFrame, staging: str, schema=SILVER
         months = months.unionByName(matched.select(month))
     touched = touched_values(months, month)
     merged = merge_upsert(in_values(target, month, touched), batch, "order_id", "updated_at", ORDER_UPDATES)
-    replace_partitions(merged, path, [month], staging)
+    replace_partitions(merged, path, [month], staging, batch_id)
     return in_values(read_orders(spark, path, schema), month, touched)
 
 
@@ -167,7 +157,7 @@ def apply_scd2_table(path: str, schema, incoming: DataFrame, key: str, tracked:
     rows = scd2_changes(open_rows, incoming, key, tracked).withColumn(
         "closed_in", F.when(F.col("is_current"), F.lit(-1)).otherwise(F.lit(batch_id)).cast("bigint")
     )
-    replace_partitions(rows, path, ["is_current", "closed_in"], staging)
+    replace_partitions(rows, path, ["is_current", "closed_in"], staging, batch_id)
 
 
 def append_order_details(path: str, rows: DataFrame) -> None:
@@ -182,14 +172,16 @@ def append_order_details(path: str, rows: DataFrame) -> None:
 def append_weather(path: str, rows: DataFrame) -> None:
     """Append weather readings, each (source, city, fetch time) once.
 
-    Only the days of the batch are searched for readings already held.
+    Only the days of the batch are searched for readings already held. Readings without
+    a time cannot be told apart from their copies and are left out.
     """
     spark = rows.sparkSession
     names = partition_names(WEATHER_PARTITIONS)
     key = ["source", "city_id", "fetched_at"]
     schema = with_partitions(spark.createDataFrame([], SILVER_WEATHER), WEATHER_PARTITIONS).schema
     # parsed once, read three times: for its days, to look up held readings, to write
-    batch = with_partitions(keep_latest(rows, key, "ingested_at"), WEATHER_PARTITIONS).persist()
+    timed = rows.filter(F.col("fetched_at").isNotNull())
+    batch = with_partitions(keep_latest(timed, key, "ingested_at"), WEATHER_PARTITIONS).persist()
     held = read_or_empty(spark, path, schema)
     held = in_values(held, "fetched_date", touched_values(batch, "fetched_date"))
     fresh = not_in(batch, held, key)

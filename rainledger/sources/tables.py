@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rainledger.sources.paths import exists, read_or_empty
+from rainledger.schemas import struct
+from rainledger.sources.paths import read_or_empty
 
 # A partition column is a plain column name, or (new column, date_trunc unit, timestamp column).
 PartitionBy = list[str | tuple[str, str, str]]
 
+MARK = struct(batch_id="bigint")
+
 ORDERS_PARTITIONS: PartitionBy = [("created_month", "month", "created_at")]
 WEATHER_PARTITIONS: PartitionBy = ["source", ("fetched_date", "day", "fetched_at")]
 
@@ -69,19 +72,22 @@ def publish(df: DataFrame, name: str, base: str) -> str:
     return version
 
 
-def replace_partitions(rows: DataFrame, path: str, partition_cols: list[str], staging: str) -> None:
+def replace_partitions(rows: DataFrame, path: str, partition_cols: list[str], staging: str, batch_id: int = 0) -> None:
     """Replace exactly the partitions ``rows`` falls into; all others stay as they are.
 
     ``rows`` may be computed from the table itself: it is first written to ``staging``
-    and marked complete. A run that is repeated after a loss finds the mark and only
-    moves the staged rows again, so it never computes from half-replaced partitions.
+    and marked complete with the batch's number. A batch that is repeated after a loss
+    finds its mark and only moves the staged rows again, so it never computes from
+    half-replaced partitions. One staging folder serves all batches of a stream in turn
+    and belongs beside the stream's checkpoint.
     """
     spark = rows.sparkSession
-    done = f"{staging}-done"
-    if not exists(spark, done):
-        rows.hint("rebalance", *partition_cols).write.mode("overwrite").partitionBy(*partition_cols).parquet(staging)
-        spark.range(1).write.mode("overwrite").parquet(done)
-    staged = read_or_empty(spark, staging, rows.schema).select(*rows.columns)
+    data, mark = f"{staging}/rows", f"{staging}/complete"
+    marks = read_or_empty(spark, mark, MARK)
+    if marks.filter(F.col("batch_id") == batch_id).isEmpty():
+        rows.hint("rebalance", *partition_cols).write.mode("overwrite").partitionBy(*partition_cols).parquet(data)
+        spark.createDataFrame([(batch_id,)], MARK).write.mode("overwrite").parquet(mark)
+    staged = read_or_empty(spark, data, rows.schema).select(*rows.columns)
     (
         staged.hint("rebalance", *partition_cols)
         .write.mode("overwrite")
@@ -89,3 +95,23 @@ def replace_partitions(rows: DataFrame, path: str, partition_cols: list[str], st
         .partitionBy(*partition_cols)
         .parquet(path)
     )
+
+
+def touched_values(rows: DataFrame, column: str) -> list:
+    """The distinct partition values of a batch: calendar months or days, never data keys."""
+    return [row[0] for row in rows.select(column).distinct().collect()]
+
+
+def in_values(df: DataFrame, column: str, values: list) -> DataFrame:
+    """Rows of the given partitions, NULL included; literals prune folders at planning."""
+    known = [v for v in values if v is not None]
+    match = F.col(column).isin(known)
+    return df.filter(match | F.col(column).isNull() if None in values else match)
+
+
+def replace_groups(rows: DataFrame, path: str, keys: list[str], partition_col: str, staging: str, batch_id: int) -> None:
+    """Put the newest state of each group into the table, in place of what it held before."""
+    held = read_or_empty(rows.sparkSession, path, rows.schema)
+    held = in_values(held, partition_col, touched_values(rows, partition_col))
+    merged = held.join(rows.select(*keys), keys, "left_anti").unionByName(rows)
+    replace_partitions(merged, path, [partition_col], staging, batch_id)

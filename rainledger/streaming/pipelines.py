@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rainledger.operators.asof import asof_scd2
-from rainledger.operators.latest import keep_latest, latest_state
+from rainledger.operators.latest import latest_state
 from rainledger.plans.gold import consensus_aggregates, order_stats
 from rainledger.plans.silver import (
     KEYS,
@@ -17,16 +16,16 @@ from rainledger.plans.silver import (
     apply_scd2_table,
     latest_changes,
     merge_orders_table,
-    touched_values,
 )
 from rainledger.plans.weather import silver_weather
 from rainledger.schemas import SILVER_PRODUCTS, SILVER_STORES
-from rainledger.sources.paths import read_or_empty
-from rainledger.sources.tables import replace_partitions
-from rainledger.streaming.runner import drain_batches, drain_to_parquet, drain_updates
+from rainledger.sources.tables import replace_groups, replace_partitions, touched_values
+from rainledger.streaming.runner import drain_batches, drain_to_parquet
 
 DIMENSIONS = {"products": SILVER_PRODUCTS, "stores": SILVER_STORES}
 STATS_DAY = "order_date"
+CONSENSUS_DAY = "consensus_date"
+STATE_PART = "part"  # the current state of all cities is one small partition
 
 
 def stream_orders(events: DataFrame, table: str, work: str, stats: str | None = None) -> None:
@@ -39,22 +38,22 @@ def stream_orders(events: DataFrame, table: str, work: str, stats: str | None =
     def merge(batch: DataFrame, batch_id: int) -> None:
         # read several times below: to find the months, to merge, to find the days
         source = latest_changes(batch, "orders").drop("source_timestamp").persist()
-        changed = merge_orders_table(table, source, f"{work}/staged/orders-{batch_id}")
+        changed = merge_orders_table(table, source, f"{work}/staged/orders", batch_id)
         if stats:
-            refresh_stats(changed, source, stats, f"{work}/staged/stats-{batch_id}")
+            refresh_stats(changed, source, stats, f"{work}/staged/stats", batch_id)
         source.unpersist()
 
     drain_batches(events, merge, f"{work}/checkpoint")
 
 
-def refresh_stats(changed: DataFrame, source: DataFrame, stats: str, staging: str) -> None:
+def refresh_stats(changed: DataFrame, source: DataFrame, stats: str, staging: str, batch_id: int = 0) -> None:
     """Recompute the statistics of the days the source's orders were created on.
 
     ``changed`` holds the months a merge rewrote, so no other month is read.
     """
     dated = changed.withColumn("__day", F.to_date("created_at"))
     days = touched_values(dated.join(source.select("order_id"), "order_id", "left_semi").dropna(subset="__day"), "__day")
-    replace_partitions(order_stats(dated.filter(F.col("__day").isin(days))), stats, [STATS_DAY], staging)
+    replace_partitions(order_stats(dated.filter(F.col("__day").isin(days))), stats, [STATS_DAY], staging, batch_id)
 
 
 def stream_order_details(events: DataFrame, table: str, work: str) -> None:
@@ -74,7 +73,7 @@ def stream_dimension(events: DataFrame, name: str, table: str, work: str) -> Non
     def apply(batch: DataFrame, batch_id: int) -> None:
         apply_scd2_table(
             table, DIMENSIONS[name], latest_changes(batch, name), KEYS[name], TRACKED[name], batch_id,
-            f"{work}/staged/{name}-{batch_id}",
+            f"{work}/staged/{name}",
         )
 
     drain_batches(events, apply, f"{work}/checkpoint")
@@ -103,33 +102,35 @@ def stream_dedup(weather: DataFrame, path: str, work: str, delay: str) -> None:
     drain_to_parquet(deduplicated(weather, delay), path, f"{work}/checkpoint")
 
 
-def stream_consensus(weather: DataFrame, path: str, work: str, delay: str) -> None:
-    """Hourly consensus per city, updated as readings arrive up to ``delay`` late."""
+def stream_consensus(weather: DataFrame, table: str, work: str, delay: str) -> None:
+    """Hourly consensus per city, kept fresh as readings arrive up to ``delay`` late."""
     hours = (
         weather.withWatermark("fetched_at", delay)
         .groupBy("city_id", F.window("fetched_at", "1 hour").alias("hour"))
         .agg(F.max("city_name").alias("city_name"), *consensus_aggregates())
         .withColumn("date_hour", F.col("hour.start"))
+        .withColumn(CONSENSUS_DAY, F.to_date("date_hour"))
         .drop("hour")
     )
-    drain_updates(hours, path, f"{work}/checkpoint")
 
+    def put(rows: DataFrame, batch_id: int) -> None:
+        changed = rows.persist()  # the state store is read once per batch
+        replace_groups(changed, table, ["city_id", "date_hour"], CONSENSUS_DAY, f"{work}/staged", batch_id)
+        changed.unpersist()
 
-def stream_current_state(weather: DataFrame, path: str, work: str) -> None:
-    """The latest weather per city by reading time, whichever source it came from: one row of state per city."""
-    state = latest_state(weather, "city_id", "fetched_at", ["condition", "temperature", "wind_speed", "humidity"])
-    drain_updates(state, path, f"{work}/checkpoint")
+    drain_batches(hours, put, f"{work}/checkpoint", stateful=True)
 
 
-def read_current_state(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    updates = read_or_empty(spark, path, T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())]))
-    return keep_latest(updates, "city_id", "batch_id").drop("batch_id")
+def stream_current_state(weather: DataFrame, table: str, work: str) -> None:
+    """The latest weather per city by reading time, whichever source it came from: one row of state per city."""
+    state = latest_state(weather, "city_id", "fetched_at", ["condition", "temperature", "wind_speed", "humidity"])
 
+    def put(rows: DataFrame, batch_id: int) -> None:
+        changed = rows.withColumn(STATE_PART, F.lit(0)).persist()
+        replace_groups(changed, table, ["city_id"], STATE_PART, f"{work}/staged", batch_id)
+        changed.unpersist()
 
-def read_consensus(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The newest state of every city and hour."""
-    updates = read_or_empty(spark, path, T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())]))
-    return keep_latest(updates, ["city_id", "date_hour"], "batch_id").drop("batch_id")
+    drain_batches(state, put, f"{work}/checkpoint", stateful=True)
 
 
 def stream_enrich(orders: DataFrame, stores: DataFrame, consensus: DataFrame, path: str, work: str) -> None:

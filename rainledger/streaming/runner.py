@@ -16,20 +16,26 @@ from rainledger.session import configure
 BatchFn = Callable[[DataFrame, int], None]
 
 
-def drain_batches(stream: DataFrame, batch_fn: BatchFn, checkpoint: str) -> None:
-    """Apply ``batch_fn(rows, batch_id)`` to each micro-batch of a stateless stream.
+def drain_batches(stream: DataFrame, batch_fn: BatchFn, checkpoint: str, stateful: bool = False) -> None:
+    """Apply ``batch_fn(rows, batch_id)`` to each micro-batch.
 
     A batch may be delivered again after a failure; batch functions here are
-    idempotent for equal ``batch_id``. Streams switch adaptive execution off in
-    their own session; it is switched on again for the joins inside the batch.
+    idempotent for equal ``batch_id``. A stateful aggregation delivers the groups the
+    batch changed.
+
+    Streams switch adaptive execution off in their own session. Without state it is
+    switched on again for the joins inside the batch; with state it must stay off, as
+    the state's partitions are fixed.
     """
 
     def apply(rows: DataFrame, batch_id: int) -> None:
-        configure(rows.sparkSession)
+        if not stateful:
+            configure(rows.sparkSession)
         batch_fn(rows, batch_id)
 
     query = (
         stream.writeStream.foreachBatch(apply)
+        .outputMode("update" if stateful else "append")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -49,22 +55,3 @@ def drain_to_parquet(stream: DataFrame, path: str, checkpoint: str, partition_by
         .start()
     )
     query.awaitTermination()
-
-
-def drain_updates(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Keep every batch's updated groups of a stateful aggregation in a folder of its own.
-
-    A repeated batch overwrites its own folder. ``updated_rows`` reads the newest state.
-    """
-
-    def write(rows: DataFrame, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-    query = (
-        stream.writeStream.foreachBatch(write)
-        .outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()

@@ -136,15 +136,19 @@ def test_replace_only_touched_partitions(spark, tmp_path):
     # computed from the table it replaces
     table = spark.read.schema("v int, p string").parquet(path)
     new = table.filter("p = 'a' OR p IS NULL").withColumn("v", F.col("v") * 10)
-    tables.replace_partitions(new, path, ["p"], str(tmp_path / "s2"))
+    tables.replace_partitions(new, path, ["p"], str(tmp_path / "s2"), 7)
     again = spark.read.schema("v int, p string").parquet(path)
     want = sorted([(10, "a"), (2, "b"), (30, None)], key=repr)
     assert rows(again) == want
     assert {f.name for f in (tmp_path / "t" / "p=b").iterdir()} == untouched
     # repeating the batch moves the staged rows again instead of computing from the new table
     changed = again.filter("p = 'a'").withColumn("v", F.col("v") * 10)
-    tables.replace_partitions(changed, path, ["p"], str(tmp_path / "s2"))
+    tables.replace_partitions(changed, path, ["p"], str(tmp_path / "s2"), 7)
     assert rows(spark.read.schema("v int, p string").parquet(path)) == want
+    # the next batch uses the same staging folder for its own rows
+    changed = spark.read.schema("v int, p string").parquet(path).filter("p = 'a'").withColumn("v", F.col("v") * 10)
+    tables.replace_partitions(changed, path, ["p"], str(tmp_path / "s2"), 8)
+    assert rows(spark.read.schema("v int, p string").parquet(path)) == sorted([(100, "a"), (2, "b"), (30, None)], key=repr)
 
 
 def test_work_dir_comes_from_the_session(spark):
