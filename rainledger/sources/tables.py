@@ -85,7 +85,7 @@ def replace_partitions(rows: DataFrame, path: str, partition_cols: list[str], st
     data, mark = f"{staging}/rows", f"{staging}/complete"
     marks = read_or_empty(spark, mark, MARK)
     if marks.filter(F.col("batch_id") == batch_id).isEmpty():
-        rows.hint("rebalance", *partition_cols).write.mode("overwrite").partitionBy(*partition_cols).parquet(data)
+        rows.write.mode("overwrite").parquet(data)
         spark.createDataFrame([(batch_id,)], MARK).write.mode("overwrite").parquet(mark)
     staged = read_or_empty(spark, data, rows.schema).select(*rows.columns)
     (
@@ -111,7 +111,9 @@ def in_values(df: DataFrame, column: str, values: list) -> DataFrame:
 
 def replace_groups(rows: DataFrame, path: str, keys: list[str], partition_col: str, staging: str, batch_id: int) -> None:
     """Put the newest state of each group into the table, in place of what it held before."""
-    held = read_or_empty(rows.sparkSession, path, rows.schema)
-    held = in_values(held, partition_col, touched_values(rows, partition_col))
+    touched = touched_values(rows, partition_col)
+    if not touched:
+        return
+    held = in_values(read_or_empty(rows.sparkSession, path, rows.schema), partition_col, touched)
     merged = held.join(rows.select(*keys), keys, "left_anti").unionByName(rows)
     replace_partitions(merged, path, [partition_col], staging, batch_id)
