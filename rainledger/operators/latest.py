@@ -48,14 +48,13 @@ def keep_latest(
     one row per input task.
 
     ``ties="all"`` keeps every row that shares the newest timestamp. That group has
-    no bound, so it is found by a map-side combined ``max`` and a join, which AQE
-    can split, and never collected into one window.
+    no bound, so it is found by a map-side combined ``max`` and a semi join on key and
+    time, which AQE can split, and never collected into one window.
     """
     keys = as_list(key)
     if ties == "all":
-        newest = df.groupBy(*keys).agg(F.max(ts_col).alias("__newest"))
-        joined = null_safe_join(df, newest, keys, "inner")
-        return joined.filter(F.col(ts_col).eqNullSafe(F.col("__newest"))).drop("__newest")
+        newest = df.groupBy(*keys).agg(F.max(ts_col).alias(ts_col))
+        return null_safe_join(df, newest, [*keys, ts_col], "left_semi")
     used = {*keys, ts_col, *tie_cols}
     rest = [f.name for f in df.schema if f.name not in used and _orderable(f)]
     order = [F.col(c).desc_nulls_last() for c in (ts_col, *tie_cols, *rest)]

@@ -2,7 +2,11 @@
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry
+from rainledger import bindings as b
+from rainledger.plans import gold
 from tests.helpers import plan
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -35,3 +39,32 @@ def test_shared_work_is_done_once(spark):
         assert "ReusedExchange" in plan(history)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_hot_order_and_product_are_split(spark):
+    """A third of the lines on one order and a third on one product: AQE splits both joins."""
+    small = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32KB", "spark.sql.shuffle.partitions": "16"}
+    before = {name: spark.conf.get(name, None) for name in small}
+    third = F.col("n") % 3
+    lines = spark.range(60000).withColumnRenamed("id", "n").repartition(6).select(
+        F.when(third == 0, 0).otherwise(F.col("n") % 1000).alias("order_id"),
+        F.when(third == 1, 0).otherwise(F.col("n") % 500).alias("product_id"),
+        F.lit(1).alias("quantity"), F.lit(1.5).alias("subtotal"))
+    orders = b.orders(spark, SF_DIR).withColumn("status", F.lit("Completed"))
+    products = b.products(spark, SF_DIR)
+    try:
+        for name, value in small.items():
+            spark.conf.set(name, value)
+        consensus = gold.weather_consensus(b.weather(spark, SF_DIR))
+        fact = gold.fact_sales_weather(orders, lines, products, b.stores(spark, SF_DIR), consensus, keep_unmatched=True)
+        sold = fact.agg(F.sum("total_items_sold"))
+        known = lines.join(products, "product_id", "left_semi").join(orders, "order_id", "left_semi").count()
+        assert sold.first()[0] == known
+        sold.collect()
+        assert "skew=true" in plan(sold)
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
