@@ -37,13 +37,17 @@ from rainledger.streaming import pipelines
 CDC_TABLES = ["orders", "order_details", "products", "stores"]
 
 
-def silver_weather(spark: SparkSession, bronze: str, lake: str, run_ts: str | None = None) -> None:
+def silver_weather(spark: SparkSession, bronze: str, lake: str, run_ts: str | None = None,
+                   max_files: int | None = None) -> None:
     """Normalize the weather payloads that landed."""
     if not exists(spark, f"{bronze}/weather"):
         return
     fields = [f for f in BRONZE_WEATHER if f.name != "source"] + list(BRONZE_PARTITIONS)
-    landed = spark.readStream.schema(T.StructType(fields)).parquet(f"{bronze}/weather")
-    pipelines.stream_weather(landed.select(*BRONZE_WEATHER.names), f"{lake}/silver/weather", f"{lake}/work/weather", run_ts)
+    reader = spark.readStream.schema(T.StructType(fields))
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    landed = reader.parquet(f"{bronze}/weather").select(*BRONZE_WEATHER.names)
+    pipelines.stream_weather(landed, f"{lake}/silver/weather", f"{lake}/work/weather", run_ts)
 
 
 def silver_cdc(spark: SparkSession, bronze: str, lake: str, fmt: str = "avro", max_files: int | None = None) -> None:
@@ -102,7 +106,7 @@ def main() -> None:
     args = parser.parse_args()
     spark = build_session(f"rainledger-{args.step}")
     if args.step == "silver":
-        silver_weather(spark, args.bronze, args.lake)
+        silver_weather(spark, args.bronze, args.lake, max_files=args.max_files)
         silver_cdc(spark, args.bronze, args.lake, args.format, args.max_files)
     else:
         build_gold(spark, args.lake)
