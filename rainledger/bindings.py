@@ -283,6 +283,33 @@ def store_cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def flagged(df: DataFrame, key: str) -> DataFrame:
-    """Master data: nine of ten keys are active."""
-    return df.withColumn("is_active", (F.col(key) % 10 != 0).cast("int"))
+def master_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product master data; the smallest sizes are no longer sold."""
+    return table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("product_id"),
+        F.col("p_type").alias("category"),
+        F.col("p_retailprice").alias("price"),
+        (F.col("p_size") > 5).cast("int").alias("is_active"),
+    )
+
+
+def master_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Store master data; the last region is closed."""
+    return table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias("store_id"),
+        F.col("n_regionkey").alias("city_id"),
+        (F.col("n_regionkey") < 4).cast("int").alias("is_active"),
+    )
+
+
+def master_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("full_name")
+    )
+
+
+def master_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """City master data, all active."""
+    return cities(spark, sf_dir).withColumns(
+        {"lat": F.col("city_id") * 10.5, "lon": F.col("city_id") * 20.25, "is_active": F.lit(1)}
+    )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -269,16 +270,22 @@ def bronze_roundtrip(spark, sf):
 
 
 def active_dims(spark, sf):
-    products = masters.active(b.flagged(b.table(spark, sf, "part"), "p_partkey"))
-    stores = masters.active(b.flagged(b.table(spark, sf, "nation"), "n_nationkey"))
-    return products.select(
-        F.lit("product").alias("dim"), F.col("p_partkey").alias("id"), F.col("p_type").alias("attribute")
-    ).unionByName(
-        stores.select(
-            F.lit("store").alias("dim"), F.col("n_nationkey").cast("bigint").alias("id"),
-            F.col("n_regionkey").cast("string").alias("attribute"),
+    """The master tables in use, as (table, key, attribute)."""
+    masters_of = {
+        "products": b.master_products, "stores": b.master_stores, "customers": b.master_customers,
+        "cities": b.master_cities,
+    }
+    dims = masters.load_dims(lambda name: masters_of[name](spark, sf))
+    shape = {"products": ("product_id", "category"), "stores": ("store_id", "city_id"),
+             "customers": ("customer_id", "customer_id"), "cities": ("city_id", "city_name")}
+    parts = [
+        dims[name].select(
+            F.lit(name).alias("dim"), F.col(key).cast("bigint").alias("id"),
+            F.col(attribute).cast("string").alias("attribute"),
         )
-    )
+        for name, (key, attribute) in shape.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def published_consensus(spark, sf):

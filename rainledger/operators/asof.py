@@ -72,13 +72,10 @@ def resolve_versions(left: DataFrame, dim: DataFrame, keys: list[str], at: str,
     Versions of a key must not overlap, which ``check_scd2`` verifies.
     """
     attrs = attributes(dim, keys)
+    # ordered by how long a version lasts, for versions that start together
     payload = F.struct(F.col("valid_to").isNull().alias("open"), F.col("valid_to"), *[F.col(c) for c in attrs])
-    # versions that start together: the one that lasts longest is the valid one
-    starts = (
-        dim.filter(all_present([*keys, "valid_from"]))
-        .groupBy(*keys, F.col("valid_from").alias("__at"))
-        .agg(F.max(payload).alias("__version"))
-        .withColumn("__ask", F.lit(False))
+    starts = dim.filter(all_present([*keys, "valid_from"])).select(
+        *keys, F.col("valid_from").alias("__at"), F.lit(False).alias("__ask"), payload.alias("__version")
     )
     asks = (
         left.select(*keys, F.col(at).cast("timestamp").alias("__at"))
@@ -89,16 +86,17 @@ def resolve_versions(left: DataFrame, dim: DataFrame, keys: list[str], at: str,
     line = starts.unionByName(asks, allowMissingColumns=True).withColumn("__bucket", F.date_trunc(bucket, "__at"))
     line = line.filter(all_present(["__bucket"]))
     slot = [*keys, "__bucket"]
-    inside = Window.partitionBy(*slot).orderBy("__at", "__ask").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*slot).orderBy("__at", "__ask", "__version").rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    seen = line.withColumn("__seen", F.last("__version", ignorenulls=True).over(inside))
+    # the version in force when a bucket ends, from the same shuffle as the rows
     edges = (
-        line.groupBy(*slot)
-        .agg(F.max_by("__version", F.when(~F.col("__ask"), F.col("__at"))).alias("__last"))
+        seen.groupBy(*slot)
+        .agg(F.max(F.struct("__at", "__ask", "__seen"))["__seen"].alias("__last"))
         .withColumn("__carry", F.last("__last", ignorenulls=True).over(before))
         .drop("__last")
     )
-    seen = line.withColumn("__seen", F.last("__version", ignorenulls=True).over(inside)).filter("__ask")
-    found = seen.join(edges, slot).withColumn("__v", F.coalesce("__seen", "__carry"))
+    found = seen.filter("__ask").join(edges, slot).withColumn("__v", F.coalesce("__seen", "__carry"))
     valid = F.col("__v.open") | (F.col("__at") < F.col("__v.valid_to"))
     return found.filter(valid).select(*keys, "__at", *[F.col(f"__v.{c}").alias(c) for c in attrs])
 

@@ -12,18 +12,14 @@ def as_list(key: str | list[str] | tuple[str, ...]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left") -> DataFrame:
-    """Equi-join in which NULL keys match each other, as they do in grouping and windows.
+def null_safe_semi_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Rows of ``left`` whose key is in ``right``; NULL keys match each other, as in grouping.
 
-    Spark plans ``<=>`` as a hash or sort-merge join. The key columns of the left side stay.
+    Spark plans ``<=>`` as a hash or sort-merge join.
     """
-    renamed = right.select(
-        *[F.col(c).alias(f"__r_{c}") for c in on],
-        *[c for c in right.columns if c not in on],
-    )
+    renamed = right.select(*[F.col(c).alias(f"__r_{c}") for c in on])
     condition = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"__r_{c}")) for c in on])
-    joined = left.join(renamed, condition, how)
-    return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"__r_{c}" for c in on])
+    return left.join(renamed, condition, "left_semi")
 
 
 def all_present(cols: list[str]) -> Column:

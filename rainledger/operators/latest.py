@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rainledger.operators.keys import as_list, null_safe_join
+from rainledger.operators.keys import as_list, null_safe_semi_join
 
 
 def incremental(df: DataFrame, ts_col: str, lo=None, hi=None) -> DataFrame:
@@ -54,7 +54,7 @@ def keep_latest(
     keys = as_list(key)
     if ties == "all":
         newest = df.groupBy(*keys).agg(F.max(ts_col).alias(ts_col))
-        return null_safe_join(df, newest, [*keys, ts_col], "left_semi")
+        return null_safe_semi_join(df, newest, [*keys, ts_col])
     used = {*keys, ts_col, *tie_cols}
     rest = [f.name for f in df.schema if f.name not in used and _orderable(f)]
     order = [F.col(c).desc_nulls_last() for c in (ts_col, *tie_cols, *rest)]

@@ -63,15 +63,16 @@ def check_scd2(dim: DataFrame, key: str | list[str], bucket: str = "hour") -> Da
     slot = [*keys, "__bucket"]
     earlier = Window.partitionBy(*slot).orderBy("valid_from", "__end").rowsBetween(Window.unboundedPreceding, -1)
     before = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    seen = versions.withColumn("__seen", F.max("__end").over(earlier))
+    # from the same shuffle as the rows
     edges = (
-        versions.groupBy(*slot)
-        .agg(F.max("__end").alias("__end"))
-        .withColumn("__carry", F.max("__end").over(before))
+        seen.groupBy(*slot)
+        .agg(F.max(F.greatest("__end", "__seen")).alias("__last"))
+        .withColumn("__carry", F.max("__last").over(before))
         .select(*slot, "__carry")
     )
-    ends = versions.withColumn("__seen", F.max("__end").over(earlier)).join(edges, slot, "left")
     reached = F.greatest("__seen", "__carry")
-    per_row = ends.agg(
+    per_row = seen.join(edges, slot, "left").agg(
         F.count_if(reached > F.col("valid_from")).alias("overlap"), F.count_if("__bad").alias("bad_interval")
     )
     return _as_rows(per_key, "rule").unionByName(_as_rows(per_row, "rule"))

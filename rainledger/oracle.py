@@ -389,9 +389,12 @@ def oracle_sql() -> dict[str, str]:
         "silver_stores": stores,
         "silver_weather": weather_out,
         "bronze_roundtrip": f"{weather_out} WHERE fetched_at > {SPLIT}",
-        "active_dims": """SELECT 'product' AS dim, p_partkey AS id, p_type AS attribute FROM part WHERE p_partkey % 10 <> 0
-            UNION ALL SELECT 'store', CAST(n_nationkey AS BIGINT), CAST(n_regionkey AS VARCHAR)
-            FROM nation WHERE n_nationkey % 10 <> 0""",
+        "active_dims": """
+            SELECT 'products' AS dim, p_partkey AS id, p_type AS attribute FROM part WHERE p_size > 5
+            UNION ALL SELECT 'stores', CAST(n_nationkey AS BIGINT), CAST(n_regionkey AS VARCHAR)
+                      FROM nation WHERE n_regionkey < 4
+            UNION ALL SELECT 'customers', c_custkey, CAST(c_custkey AS VARCHAR) FROM customer
+            UNION ALL SELECT 'cities', CAST(r_regionkey AS BIGINT), r_name FROM region""",
         "published_consensus": consensus_out,
         "preview_fact": f"""{fact_cte} {FACT_OUT}
             ORDER BY total_revenue DESC, date_hour, order_type, product_category, store_id, city_id LIMIT 10""",
