@@ -80,6 +80,12 @@ def silver_tables(spark: SparkSession, lake: str) -> dict[str, DataFrame]:
     }
 
 
+def register_silver(spark: SparkSession, lake: str, prefix: str = "silver_") -> None:
+    """Give the Silver tables names for SQL in this session."""
+    for name, df in silver_tables(spark, lake).items():
+        df.createOrReplaceTempView(f"{prefix}{name}")
+
+
 def build_gold(spark: SparkSession, lake: str, prefix: str = "") -> dict[str, str]:
     """Rebuild and publish the Gold models; gives the new version's folder per model."""
     tables = silver_tables(spark, lake)
