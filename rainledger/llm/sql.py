@@ -1,0 +1,3 @@
+"""DuckDB SQL for the queries that SQL can express at a fair speed."""
+
+ORACLE: dict[str, str] = {}
