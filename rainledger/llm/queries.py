@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rainledger.llm import decontaminate, packing, sharding, tokenfiles
+from rainledger.llm import decontaminate, licenses, linededup, lm, packing, quality, sharding, simhash, tokenfiles, warc
 from rainledger.llm.common import ship, table
 from rainledger.llm.tokens import default_tokenizer
 from rainledger.session import scratch
@@ -28,6 +28,50 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.with_crc32(tokenfiles.read_token_files(spark, path))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    path = scratch(spark, "warc")
+    # pages carry no time: 2024 began with page 0, and a second passed from page to page
+    captured = F.timestamp_seconds(F.lit(1_704_067_200) + F.coalesce("page_id", F.lit(0)))
+    warc.write_archives(pages, path, captured)
+    index = warc.merge_runs(warc.read_runs(spark, path))
+    return index.select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
+        "url_key", "captured", F.col("run").alias("archive"), F.col("offset").alias("record_offset"),
+        F.col("length").alias("record_length"),
+    )
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    rows = docs.withColumn("row", F.monotonically_increasing_id())
+    return quality.verdicts(rows, "row", carry=("doc_id",)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = linededup.deduplicated(documents(spark, sf_dir))
+    words = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["n_words"])
+    return found.select(
+        "doc_id", F.size("removed").cast("long").alias("n_removed"), words.alias("removed_words"), "removed", "text"
+    )
+
+
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir), width=4, threshold=4)
+
+
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(documents(spark, sf_dir))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     rows = documents(spark, sf_dir).select(
@@ -57,6 +101,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_token_files": op2_token_files,
+    "op3_warc": op3_warc,
+    "op4_quality_rules": op4_quality_rules,
+    "op5_substring_dedup": op5_substring_dedup,
+    "op6_license_scan": op6_license_scan,
+    "op7_simhash": op7_simhash,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_sharding": op9_sharding,
     "op10_decontamination": op10_decontamination,
 }

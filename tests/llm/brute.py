@@ -93,3 +93,147 @@ def op10(docs, items, window=10):
         digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
         out.append((doc_id, len(words), len(hit), len(found), digest, bool(hit)))
     return out
+
+
+def op3(pages):
+    first = {}
+    for page_id, _, html in pages:
+        data = (html or "").encode()
+        if len(data) >= 100 and page_id is not None:
+            first[data] = min(first.get(data, page_id), page_id)
+    out = []
+    for page_id, _, html in pages:
+        data = (html or "").encode()
+        keeper = first.get(data)
+        revisit = keeper is not None and keeper != page_id
+        out.append((page_id, len(data), hashlib.sha256(data).hexdigest(), "revisit" if revisit else "response", keeper if revisit else None))
+    return out
+
+
+def op4_base(text):
+    text = text or ""
+    words, seen, dup = WORD.findall(text), set(), 0
+    for line in text.split("\n"):
+        if WORD.search(line):
+            dup += line in seen
+            seen.add(line)
+    grams = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    covered = {i + k for i, g in enumerate(grams) if grams.count(g) > 1 for k in range(3)} if len(grams) < 3000 else None
+    if covered is None:
+        from collections import Counter
+
+        counts = Counter(grams)
+        covered = {i + k for i, g in enumerate(grams) if counts[g] > 1 for k in range(3)}
+    symbols = sum(c in "#*$%&|<>" for c in text)
+    n = len(words)
+    return n, sum(map(len, words)), symbols, dup, len(covered), n < 50 or 100 * len(covered) > 50 * n
+
+
+def op4(docs, host_of, share, least, left_words, left_share):
+    """(doc_id, base..., kept)."""
+    lines_of = [[" ".join(lower(line).split(None)) for line in re.split("\n", re.sub("[\x0b\x0c\r\t]", " ", t or ""))] for _, t in docs]
+    lines_of = [[" ".join(WORD.findall(x)) for x in lines if WORD.search(x)] for lines in lines_of]
+    from rainledger.llm.quality import least_shingles
+
+    digest = {x: least_shingles([x.encode().split()])[0] for lines in lines_of for x in lines}
+    beside, n_docs = {}, {}
+    for (doc_id, _), lines in zip(docs, lines_of):
+        host = host_of(doc_id)
+        n_docs[host] = n_docs.get(host, 0) + 1
+        for x in set(lines):
+            others = [digest[y] for y in set(lines) if y != x]
+            beside.setdefault((host, x), set()).add(min(others, default=digest[x]))
+    out = []
+    for (doc_id, text), lines in zip(docs, lines_of):
+        host, base = host_of(doc_id), op4_base(text)
+        gone = sum(len(x.split(" ")) for x in lines if len(beside[host, x]) > max(least, share * n_docs[host]))
+        left = base[0] - gone
+        depleted = gone > 0 and (left < left_words or left < left_share * base[0])
+        out.append((doc_id, *base, not base[-1] and not depleted))
+    return out
+
+
+def op6_base(text, phrases):
+    words, places = alnum(text), []
+    for phrase, label in phrases.items():
+        parts = phrase.split()
+        places += [(i, label) for i in range(len(words)) if words[i : i + len(parts)] == parts]
+    starts = [i for i, _ in places]
+    return len(words), len(places), min(starts, default=None), max(starts, default=None), sorted({x for _, x in places})
+
+
+def op6(docs, phrases, templates, threshold):
+    out = []
+    for doc_id, text in docs:
+        *base, labels = op6_base(text, phrases)
+        best, every = (1.0 if labels else 0.0), set(labels)
+        for line in (text or "").split("\n"):
+            words = set(alnum(line))
+            for label, template in templates:
+                asked = set(alnum(template))
+                if len(asked & words) >= threshold * len(asked) - 1e-9:
+                    every.add(label)
+                    best = max(best, len(asked & words) / len(asked))
+        out.append((doc_id, *base, ",".join(labels), ",".join(sorted(every)), best))
+    return out
+
+
+def fingerprint(text, width=4):
+    import xxhash
+
+    words = WORD.findall(lower(text))
+    grams = [" ".join(words[i : i + width]) for i in range(len(words) - width + 1)] or ([" ".join(words)] if words else [])
+    hashes = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def op7(docs, threshold=4):
+    prints = [fingerprint(t) for _, t in docs]
+    root = list(range(len(docs)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(docs)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= threshold:
+                root[find(i)] = find(j)
+    least = {}
+    for i, (doc_id, _) in enumerate(docs):
+        if doc_id is not None:
+            least[find(i)] = min(least.get(find(i), doc_id), doc_id)
+    return [(d, f"{p:016x}", least.get(find(i))) for i, ((d, _), p) in enumerate(zip(docs, prints))]
+
+
+def op8(docs, learn):
+    """Scores with weights from ``learn(events, n_counted, v_counted)``; events as in the operator."""
+    import math
+    from collections import Counter
+
+    def part(doc_id):
+        fold = None if doc_id is None else zlib.crc32(str(doc_id).encode()) % 7
+        return {2: 2, 3: 1}.get(fold, 0)
+
+    streams = [(d, part(d), [*WORD.findall(lower(t)), None]) for d, t in docs]
+    words, pairs = [Counter(), Counter()], [Counter(), Counter()]
+    for _, p, tokens in streams:
+        if p < 2:
+            words[p].update(tokens)
+            pairs[p].update(zip([None, *tokens], tokens))
+    events = Counter()
+    for (v, w), n in pairs[1].items():
+        events[pairs[0][v, w], words[0][v], words[0][w]] += n
+    table = learn(events, words[0].total(), len(words[0]))
+    word, pair = words[0] + words[1], pairs[0] + pairs[1]
+    n_tokens, n_words = word.total(), len(word)
+    out = []
+    for doc_id, p, tokens in streams:
+        base = sum(math.log10((word[w] + 1) / (n_tokens + n_words + 1)) for w in tokens)
+        score = 0.0
+        for v, w in zip([None, *tokens], tokens):
+            l2, l1, l0 = table[math.ceil(math.log2(word[v] + 1))]
+            score += math.log10(l2 * pair[v, w] / max(word[v], 1) + l1 * word[w] / max(n_tokens, 1) + l0 / (n_words + 1))
+        out.append((doc_id, p == 2, len(tokens), sum(word[w] > 0 for w in tokens), n_tokens, base, score))
+    return out

@@ -1,0 +1,78 @@
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from rainledger.llm import lm
+from rainledger.llm.queries import op8_lm_scoring
+from tests.llm import brute
+
+
+def learn(events, n_tokens, n_words):
+    """The same expectation-maximisation over a plain dictionary."""
+    by = {}
+    for (pair, context, word), n in events.items():
+        by.setdefault(math.ceil(math.log2(context + 1)), []).append((pair / context if context else 0.0, word / n_tokens, n))
+    weights = {b: (1 / 3, 1 / 3, 1 / 3) if b else (0.0, 0.5, 0.5) for b in by}
+    for _ in range(lm.EM_ROUNDS):
+        new = {}
+        for b, rows in by.items():
+            sums = [0.0] * 3
+            for pair, word, n in rows:
+                parts = [x * y for x, y in zip(weights[b], (pair, word, 1 / (n_words + 1)))]
+                for k in range(3):
+                    sums[k] += n * parts[k] / sum(parts)
+            new[b] = tuple(s / sum(sums) for s in sums)
+        change = max(abs(x - y) for b in by for x, y in zip(new[b], weights[b]))
+        weights = new
+        if change < lm.EM_CLOSE:
+            break
+    return lm.weight_table({b: lm._floored(w) for b, w in weights.items()})
+
+
+def order(rows):
+    return sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[2], r[5]))
+
+
+@pytest.fixture(scope="module")
+def want(tables):
+    return order(brute.op8(tables[1], learn))
+
+
+def compared(got, want):
+    got = order(tuple(r) for r in got)
+    assert [r[:5] for r in got] == [r[:5] for r in want]
+    np.testing.assert_allclose([r[5:] for r in got], [r[5:] for r in want], rtol=1e-9)
+
+
+def test_contract(spark, tables, want):
+    compared(op8_lm_scoring(spark, tables[0]).collect(), want)
+
+
+def test_units_do_not_change_the_scores(spark, tables, want):
+    docs = spark.read.parquet(f"{tables[0]}/documents.parquet").withColumn("PART", F.lit("x")).withColumn("unit", F.lit(1))
+    compared(lm.score(docs, unit_bytes=5000).collect(), want)
+
+
+def test_better_than_counting_words(want):
+    held = [r for r in want if r[1]]
+    assert sum(r[6] for r in held) > sum(r[5] for r in held)
+
+
+def test_empty_and_nothing_to_train_on(spark, empty_tables):
+    assert op8_lm_scoring(spark, empty_tables).collect() == []
+    ids = [i for i in range(200) if brute.zlib.crc32(str(i).encode()) % 7 == 2][:3]
+    rows = lm.score(spark.createDataFrame([(i, "a b a") for i in ids], "doc_id bigint, text string")).collect()
+    assert [(r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in rows] == [(True, 4, 0, 0, 0.0, 0.0)] * 3
+
+
+def test_probabilities_add_up_to_one():
+    weights = lm.weight_table({1: (0.5, 0.3, 0.2), 3: (0.6, 0.3, 0.1), 0: (0.0, 0.9, 0.1)})
+    np.testing.assert_allclose(weights.sum(axis=1), 1)
+    assert weights[0, 0] == 0 and (weights[:, 2] > 0).all()
+    assert tuple(weights[2]) == (0.5, 0.3, 0.2) and tuple(weights[40]) == (0.6, 0.3, 0.1)
+
+
+def test_frequency_buckets_double():
+    assert lm.frequency_bucket([0, 1, 2, 3, 4, 7, 8]).tolist() == [0, 1, 2, 2, 3, 3, 4]

@@ -1,0 +1,92 @@
+from collections import Counter, defaultdict
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from rainledger.llm import warc
+from rainledger.llm.queries import op3_warc
+from tests.llm import brute
+from tests.llm.data import write_tables
+
+LONG = "<p>" + "copied payload " * 20 + "</p>\r\n\r\nWARC/1.1\r\n\r\n"
+PAGES = [
+    (5, "http://www.Example.com/b?x=1#top", LONG),
+    (3, "https://example.com/a", LONG),
+    (3, "https://example.com/a", LONG),
+    (9, "http://other.org:8080/", LONG),
+    (None, "http://other.org/none", LONG),
+    (7, None, None),
+    (8, "", ""),
+    (10, "not a url\r\nX-Page-ID: 1", "short"),
+    (11, "http://example.com/a", "short"),
+    (12, "http://example.com/long", "ünï🙂" * 50_000),
+    (None, None, None),
+    (13, "http://user@shop.example.com/x", "WARC/1.1\r\nContent-Length: 1\r\n\r\nx\r\n\r\n" * 5),
+] + [(100 + i, f"http://h{i % 7}.example.com/{i % 5}", LONG if i % 3 else f"page {i} " * 30) for i in range(60)]
+CONTRACT = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tables, tmp_path_factory):
+    return write_tables(spark, tmp_path_factory.mktemp("pages"), [], [], PAGES)[0]
+
+
+def test_contract(spark, folder):
+    rows = op3_warc(spark, folder).collect()
+    assert Counter(tuple(r[c] for c in CONTRACT) for r in rows) == Counter(brute.op3(PAGES))
+
+
+def test_histories_are_globally_ordered(spark, folder):
+    out = op3_warc(spark, folder)
+    keys = out.select(F.spark_partition_id().alias("p"), "url_key", "captured", "page_id").collect()
+    by = defaultdict(list)
+    for r in keys:
+        by[r.p].append((r.url_key, r.captured, r.page_id is not None, r.page_id or 0))
+    flat = [k for p in sorted(by) for k in by[p]]
+    assert flat == sorted(flat) and len(flat) == len(PAGES)
+
+
+def test_empty(spark, empty_tables):
+    assert op3_warc(spark, empty_tables).collect() == []
+
+
+def test_many_small_archives(spark, folder, tmp_path):
+    pages = spark.read.parquet(f"{folder}/pages.parquet").withColumn("URL_KEY", F.lit(1))
+    warc.write_archives(pages, str(tmp_path / "w"), F.lit(None).cast("timestamp"), file_bytes=2000)
+    runs = warc.read_runs(spark, str(tmp_path / "w"))
+    assert runs.select("run").distinct().count() > 5
+    merged = warc.merge_runs(runs)
+    assert Counter(tuple(r[c] for c in CONTRACT) for r in merged.collect()) == Counter(brute.op3(PAGES))
+
+
+def test_offsets_lead_to_records(spark, folder, tmp_path):
+    warc.write_archives(spark.read.parquet(f"{folder}/pages.parquet"), str(tmp_path / "w"), F.lit("2024-05-06 07:08:09").cast("timestamp"))
+    for r in warc.read_runs(spark, str(tmp_path / "w")).collect():
+        with open(f"{tmp_path}/w/{r.run}", "rb") as file:
+            file.seek(r.offset)
+            [(_, length, headers, _)] = warc.parse_archive(file.read(r.length))
+        assert length == r.length and headers["WARC-Date"] == "2024-05-06T07:08:09Z"
+        assert headers["WARC-Type"] == r.record_type and headers.get("WARC-Target-URI") == r.url
+
+
+def test_damaged_archives_are_refused():
+    with pytest.raises(ValueError):
+        list(warc.parse_archive(b"WARC/1.1\r\nContent-Length: 5\r\n\r\nab\r\n\r\n"))
+
+
+@pytest.mark.parametrize("url, key", [
+    ("http://www.Example.com/B?x=1#top", "com,example)/b?x=1"),
+    ("https://user@h.example.org:81", "org,example,h)"),
+    ("not a url", "not a url"),
+])
+def test_url_key(spark, url, key):
+    assert spark.createDataFrame([(url,)], "u string").select(warc.url_key(F.col("u"))).first()[0] == key
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 9)).map(sorted), max_size=9))
+def test_loser_tree(runs):
+    order = list(warc.loser_tree(runs))
+    assert order == sorted(((r, i) for r, run in enumerate(runs) for i in range(len(run))), key=lambda x: (runs[x[0]][x[1]], x))
