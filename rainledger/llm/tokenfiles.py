@@ -30,6 +30,7 @@ WRITER = {
     "parquet.dictionary.page.size": str(1 << 20),
     "parquet.page.size": str(256 << 10),
     "compression": "zstd",
+    "parquet.compression.codec.zstd.level": "1",
 }
 
 

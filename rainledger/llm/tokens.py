@@ -10,11 +10,9 @@ from __future__ import annotations
 import json
 from functools import lru_cache
 
-import numpy as np
 import regex
 
-MEMO_WORDS = 400_000  # entries a worker keeps, about 70 MB
-_ID = np.dtype("<u4")
+MEMO_WORDS = 400_000  # entries of which a worker keeps twice as many, about 150 MB
 #: What keeps a text from being cut at each space and line end: white space beside white space or of another kind.
 _UNEVEN = ["  ", "\n\n", " \n", "\n ", "\x01"] + [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 
@@ -50,16 +48,29 @@ class Encoder:
         ).findall
         self._letters = _byte_letters()
         self._memo: dict[str, bytes] = {}
+        self._before: dict[str, bytes] = {}
 
-    def _encode_word(self, word: str) -> bytes:
+    def _pieces_of(self, word: str) -> list[str]:
+        """What the pattern cuts a word into; letters, or letters and one sign behind them, need no pattern."""
         bare = word[1:] if word[:1] == " " else word
-        pieces = (word,) if bare.isalpha() else self._pieces(word)
-        ids = [
-            token.id
-            for piece in pieces
-            for token in self._model.tokenize(piece.encode().decode("latin-1").translate(self._letters))
-        ]
-        return np.array(ids, _ID).tobytes()
+        if bare.isalpha():
+            return [word]
+        if bare[:-1].isalpha() and not bare[-1].isalnum() and not bare[-1].isspace():
+            return [word[:-1], word[-1]]
+        return self._pieces(word)
+
+    def _encode_word(self, word: str) -> bytes:
+        pieces = self._pieces_of(word)
+        return self._encode_piece(word) if len(pieces) == 1 else b"".join(map(self._recall, pieces))
+
+    def _encode_piece(self, piece: str) -> bytes:
+        tokens = self._model.tokenize(piece.encode().decode("latin-1").translate(self._letters))
+        return b"".join([token.id.to_bytes(4, "little") for token in tokens])
+
+    def _recall(self, piece: str) -> bytes:
+        ids = self._memo.get(piece) or self._before.get(piece) or self._encode_piece(piece)
+        self._memo[piece] = ids
+        return ids
 
     def _words(self, text: str) -> list[str]:
         """Neighbouring parts of a text between which the pattern always cuts."""
@@ -69,11 +80,11 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         words = [self._words(text) for text in texts]
-        memo = self._memo
-        if len(memo) > MEMO_WORDS:
-            memo.clear()
+        if len(self._memo) > MEMO_WORDS:  # what is met again comes back from there
+            self._memo, self._before = {}, self._memo
+        memo, before = self._memo, self._before
         for word in set().union(*words).difference(memo):
-            memo[word] = self._encode_word(word)
+            memo[word] = before.get(word) or self._encode_word(word)
         return [b"".join(map(memo.__getitem__, w)) for w in words]
 
 
