@@ -17,6 +17,7 @@ DETAILS_SPLIT = "2024-01-01 12:00:00"
 START = "2024-01-01 00:00:00"
 MOVED = "2024-01-11 00:00:00"
 RECLASSIFIED = "2024-01-16 00:00:00"
+CHANGED = "2024-01-21 00:00:00"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -186,12 +187,32 @@ def cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def category_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cdc(spark, sf_dir).filter(F.col("category").isin("view", "signup", "click"))
+    return cdc(spark, sf_dir).filter("change_type <> 'DELETE'")
 
 
-def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cdc(spark, sf_dir).filter("category = 'purchase'").select(
-        "product_id", F.col("source_timestamp").alias("bought_at"), F.col("price").alias("amount")
+def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The errors of a product's users: facts that are no version of it."""
+    return cdc(spark, sf_dir).filter("change_type = 'DELETE'").select(
+        "product_id", F.col("source_timestamp").alias("happened_at"), F.col("price").alias("amount")
+    )
+
+
+def gap_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Category events of which every third has no category."""
+    known = F.when(F.col("uuid") % 3 != 0, F.col("category"))
+    return category_events(spark, sf_dir).select("product_id", known.alias("category"), "source_timestamp", "uuid")
+
+
+def rough_versions(spark: SparkSession, sf_dir: str, keys: int) -> DataFrame:
+    """Versions as they should not be: overlapping, empty, negative and several open ones, for so many keys."""
+    hours = F.col("event_id") % 7 - 2
+    end = F.timestamp_seconds(F.unix_seconds("ts") + hours * 3600)
+    return events(spark, sf_dir).filter("event_type <> 'error'").select(
+        (F.col("user_id") % keys).cast("int").alias("product_id"),
+        F.col("event_type").alias("category"),
+        F.col("ts").alias("valid_from"),
+        F.when(F.col("event_id") % 97 != 0, end).alias("valid_to"),
+        (F.col("event_id") % 97 == 0).alias("is_current"),
     )
 
 
@@ -283,6 +304,33 @@ def store_cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _two_events(df: DataFrame, table: str, key, before: dict, after: dict) -> DataFrame:
+    """Every row inserted at the start and updated after the split, as change events."""
+    step = lambda op, at, payload: F.struct(
+        F.lit(op).alias("op"), F.lit(at).cast("timestamp").alias("at"), *[c.alias(n) for n, c in payload.items()])
+    steps = df.select(key.alias("key"), F.explode(F.array(step("INSERT", START, before), step("UPDATE", CHANGED, after))).alias("s"))
+    payload = {next(iter(cdc_schema(table)["payload"].dataType)).name: F.col("key")} | {n: F.col(f"s.{n}") for n in before}
+    return _envelope(steps, table, F.concat_ws("-", "key", "s.op"), F.col("s.at"), F.col("s.op"), payload)
+
+
+def part_cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every part as a product whose category changes from type to brand."""
+    own = {"price": F.col("p_retailprice"), "is_active": F.lit(True)}
+    return _two_events(
+        table(spark, sf_dir, "part"), "products", F.col("p_partkey"),
+        {"category": F.col("p_type"), **own}, {"category": F.col("p_brand"), **own},
+    )
+
+
+def nation_cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every nation as a store that moves to the next region."""
+    city = F.col("n_regionkey").cast("bigint")
+    return _two_events(
+        table(spark, sf_dir, "nation"), "stores", F.col("n_nationkey"),
+        {"city_id": city, "is_active": F.lit(True)}, {"city_id": (city + 1) % 5, "is_active": F.lit(True)},
+    )
+
+
 def master_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product master data; the smallest sizes are no longer sold."""
     return table(spark, sf_dir, "part").select(

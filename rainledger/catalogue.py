@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 
 from rainledger import bindings as b
 from rainledger import jobs
-from rainledger.functions.columns import datetime_struct_to_ts, hour_of, ts_to_datetime_struct
+from rainledger.functions.columns import datetime_struct_to_ts, slug, ts_to_datetime_struct
 from rainledger.operators import asof, latest, majority, merge, quality, scd2
 from rainledger.plans import dashboard, gold, silver
 from rainledger.plans import weather as weather_plan
@@ -57,7 +58,7 @@ def weather_consensus_one_vote(spark, sf):
 
 
 def condition_majority(spark, sf):
-    return majority.majority(b.weather(spark, sf), ["city_id", "source"], "temperature", "top_temperature")
+    return majority.majority(b.weather(spark, sf), ["city_id", "source"], "condition", "top_condition")
 
 
 def realtime_order_stats(spark, sf):
@@ -121,10 +122,10 @@ def scd2_current(spark, sf):
 
 def _category_versions(spark, sf, strict_ref=False):
     """Two batches, split in time, applied one after the other to an empty table."""
-    kept = latest.drop_deletes(b.cdc(spark, sf), "change_type").select("product_id", "category", "source_timestamp")
-    key, tracked = "product_id", ["category"]
-    first = latest.keep_latest(latest.incremental(kept, "source_timestamp", hi=b.SPLIT), key, "source_timestamp")
-    second = latest.keep_latest(latest.incremental(kept, "source_timestamp", lo=b.SPLIT), key, "source_timestamp")
+    kept, key, tracked = b.gap_events(spark, sf), "product_id", ["category"]
+    newest = lambda rows: latest.keep_latest(rows, key, "source_timestamp", ("uuid",)).drop("uuid")
+    first = newest(latest.incremental(kept, "source_timestamp", hi=b.SPLIT))
+    second = newest(latest.incremental(kept, "source_timestamp", lo=b.SPLIT))
     start = scd2.scd2_open(first, "source_timestamp")
     return scd2.scd2_apply(start, second, key, tracked, strict_ref=strict_ref)
 
@@ -142,19 +143,26 @@ def scd2_invariants(spark, sf):
 
 
 def fact_asof_daily(spark, sf):
-    sold = asof.asof_scd2(
-        b.purchases(spark, sf), _category_history(spark, sf), "product_id", "bought_at", bucket="hour"
-    )
-    return sold.groupBy(F.to_date("bought_at").alias("sold_on"), "category").agg(
-        F.count(F.lit(1)).alias("purchases"),
-        F.sum(F.col("amount").cast("decimal(18,2)")).cast("double").alias("revenue"),
+    seen = asof.asof_scd2(b.incidents(spark, sf), _category_history(spark, sf), "product_id", "happened_at")
+    return seen.groupBy(F.to_date("happened_at").alias("happened_on"), "category").agg(
+        F.count(F.lit(1)).alias("incidents"),
+        F.sum(F.col("amount").cast("decimal(18,2)")).cast("double").alias("amount"),
     )
 
 
 def asof_unmatched(spark, sf):
-    return asof.unmatched(
-        b.purchases(spark, sf), _category_history(spark, sf), "product_id", "bought_at", bucket="hour"
-    )
+    return asof.unmatched(b.incidents(spark, sf), _category_history(spark, sf), "product_id", "happened_at")
+
+
+def _rough_asof(keys: int, bucket: str | None) -> Query:
+    """Facts joined to versions that overlap, are empty or end before they start."""
+
+    def run(spark, sf):
+        facts = b.incidents(spark, sf).withColumn("product_id", F.col("product_id") % keys)
+        seen = asof.asof_scd2(facts, b.rough_versions(spark, sf, keys), "product_id", "happened_at", "left", bucket)
+        return seen.groupBy("product_id", "category").agg(F.count(F.lit(1)).alias("matches"))
+
+    return run
 
 
 # --- Change events ------------------------------------------------------------------------
@@ -288,6 +296,71 @@ def active_dims(spark, sf):
     return reduce(DataFrame.unionByName, parts)
 
 
+def cdc_read_batch(spark, sf):
+    """Events landed in nested folders, read as one table; a folder that is not there reads as no events."""
+    base = scratch(spark, "cdc_read_batch")
+    events = b.order_cdc(spark, sf)
+    for name, bounds in (("a/1", {"hi": b.SPLIT}), ("b", {"lo": b.SPLIT})):
+        latest.incremental(events, "source_timestamp", **bounds).write.parquet(f"{base}/orders/{name}")
+    landed = read_cdc(spark, f"{base}/orders", "orders", "parquet")
+    every = landed.unionByName(read_cdc(spark, f"{base}/not_there", "orders", "parquet"))
+    return silver.flatten(every, "orders").drop("__uuid").withColumnRenamed("__op", "change_type")
+
+
+def table_append(spark, sf):
+    """Create a partitioned table twice, append to it twice, and read it by name."""
+    name = f"rainledger_{uuid.uuid4().hex}.weather"
+    rows = b.weather(spark, sf).withColumn("ingested_at", F.lit(RUN_TS).cast("timestamp"))
+    for part in ("source = 'openweather'", "source <> 'openweather'"):
+        tables.ensure_table(spark, name, SILVER_WEATHER, tables.WEATHER_PARTITIONS)
+        tables.append(rows.filter(part), name, tables.WEATHER_PARTITIONS)
+    return spark.table(name).select(*SILVER_WEATHER.names)
+
+
+def materialized_order_stats(spark, sf):
+    """A model rebuilt twice under one name; the second build is what is left."""
+    name = f"order_stats_{uuid.uuid4().hex}"
+    stats = gold.order_stats(b.orders(spark, sf))
+    tables.materialize(stats.limit(1), name)
+    tables.materialize(stats, name)
+    return spark.table(name)
+
+
+def registered_sources(spark, sf):
+    """The given tables under names that SQL can use."""
+    session = spark.newSession()
+    tables.register_sources(configure(session), sf, ["nation", "region"])
+    return session.sql("SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey")
+
+
+def ingest_stamp(spark, sf):
+    """Rows per source, and whether all carry the time of this run."""
+    readings = weather_plan.silver_weather(b.bronze(spark, sf))
+    fresh = F.col("ingested_at").between(F.current_timestamp() - F.expr("INTERVAL 1 DAY"), F.current_timestamp())
+    return readings.groupBy("source").agg(F.count(F.lit(1)).alias("row_count"), F.bool_and(fresh).alias("is_fresh"))
+
+
+def city_slugs(spark, sf):
+    return b.table(spark, sf, "nation").select("n_name", slug(F.col("n_name")).alias("slug"))
+
+
+def envelope_json(spark, sf):
+    """Responses as structs become JSON text in the envelope."""
+    payload = F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("kind"))
+    rows = b.events(spark, sf).select(
+        "event_id", (F.col("user_id") % 5).alias("city_id"), F.lit("CITY").alias("city_name"), F.lit("own").alias("source"),
+        F.col("ts").alias("fetched_at"), payload.alias("payload"),
+    )
+    return bronze_source.bronze_envelope(rows).select("city_id", "fetched_at", "raw_json")
+
+
+def weather_route_counts(spark, sf):
+    """Payloads per source, among them a source without a dialect and rows without any."""
+    rows = b.bronze(spark, sf)
+    source = F.when(F.col("city_id") == 0, "weatherstation").when(F.col("city_id") != 1, F.col("source"))
+    return weather_plan.route_counts(rows.withColumn("source", source))
+
+
 def published_consensus(spark, sf):
     """Publish two versions of a table; readers of the view get the second."""
     base = scratch(spark, "published")
@@ -318,6 +391,10 @@ def hourly_volume(spark, sf):
     return dashboard.hourly_volume(realtime_order_stats(spark, sf), b.stores(spark, sf))
 
 
+def hourly_volume_versioned(spark, sf):
+    return dashboard.hourly_volume(realtime_order_stats(spark, sf), b.versioned_stores(spark, sf))
+
+
 def top_categories(spark, sf):
     return dashboard.top_categories(_fact(spark, sf), 3)
 
@@ -334,6 +411,15 @@ def unique_gold(spark, sf):
     return quality.check_unique(_fact(spark, sf), gold.FACT_GRAIN)
 
 
+def consensus_rules(spark, sf):
+    grain = ["city_id", "date_hour"]
+    return quality.table_rules(gold.weather_consensus(b.weather(spark, sf)), grain, grain)
+
+
+def order_stats_rules(spark, sf):
+    return quality.table_rules(realtime_order_stats(spark, sf), ["order_hour", "order_count"], jobs.STATS_GRAIN)
+
+
 # --- Streams ------------------------------------------------------------------------------
 # Each lands its input in two steps below the work folder and drains the stream after each,
 # so the second run starts from the first one's checkpoint.
@@ -358,7 +444,18 @@ def stream_merge(spark, sf):
         spark, "stream_merge", "orders", b.order_cdc(spark, sf), b.SPLIT,
         lambda events, work: pipelines.stream_orders(events, f"{work}/orders", work),
     )
-    return silver.read_orders(spark, f"{work}/orders").drop("created_month")
+    return silver.read_orders(spark, f"{work}/orders").select(*SILVER_ORDERS.names)
+
+
+def merge_orders_table_two_batches(spark, sf):
+    """Two batches of one stream, the first of them repeated, then a stream that starts over, in one staging folder."""
+    work = scratch(spark, "merge_orders_table")
+    events = b.order_cdc(spark, sf)
+    first, second = (latest.incremental(events, "source_timestamp", **bound) for bound in ({"hi": b.SPLIT}, {"lo": b.SPLIT}))
+    for run, number, part in (("a", 0, first), ("a", 0, first), ("a", 1, second), ("b", 0, first), ("b", 1, second)):
+        source = silver.latest_changes(part, "orders").drop("source_timestamp")
+        silver.merge_orders_table(f"{work}/orders", source, f"{work}/staged", tables.Batch(run, number))
+    return silver.read_orders(spark, f"{work}/orders").select(*SILVER_ORDERS.names)
 
 
 def stream_order_stats(spark, sf):
@@ -374,7 +471,7 @@ def stream_order_details(spark, sf):
         spark, "stream_order_details", "order_details", b.order_detail_cdc(spark, sf), b.DETAILS_SPLIT,
         lambda events, work: pipelines.stream_order_details(events, f"{work}/details", work),
     )
-    return read_or_empty(spark, f"{work}/details", SILVER_ORDER_DETAILS)
+    return read_or_empty(spark, f"{work}/details", SILVER_ORDER_DETAILS).select(*SILVER_ORDER_DETAILS.names)
 
 
 def _stream_dimension(name, spark, rows, schema):
@@ -382,7 +479,7 @@ def _stream_dimension(name, spark, rows, schema):
         spark, f"stream_{name}", name, rows, b.SPLIT,
         lambda events, work: pipelines.stream_dimension(events, name, f"{work}/{name}", work),
     )
-    return silver.scd2_table(spark, f"{work}/{name}", schema).drop("closed_in")
+    return silver.scd2_table(spark, f"{work}/{name}", schema).drop("slot")
 
 
 def stream_products(spark, sf):
@@ -417,18 +514,31 @@ def stream_dedup(spark, sf):
     return spark.read.schema(rows.schema).parquet(f"{work}/weather")
 
 
-def stream_consensus(spark, sf):
-    rows = b.weather(spark, sf)
-    work = _landed_in_two(
-        spark, "stream_consensus", rows, "fetched_at", b.SPLIT, _parquet_stream(spark, rows.schema),
-        lambda weather, work: pipelines.stream_consensus(weather, f"{work}/consensus", work, DELAY),
-    )
+def _stream_consensus(spark, sf, name, bounds):
+    """Readings land in two parts, in the order of ``bounds``."""
+    rows = b.weather(spark, sf).withColumn("ingested_at", F.lit(RUN_TS).cast("timestamp"))
+    work = scratch(spark, name)
+    for bound in bounds:
+        latest.incremental(rows, "fetched_at", **bound).write.mode("append").parquet(f"{work}/landing")
+        weather = _parquet_stream(spark, rows.schema)(f"{work}/landing")
+        pipelines.stream_consensus(weather, f"{work}/weather", f"{work}/consensus", work)
     return rounded_consensus(spark.read.parquet(f"{work}/consensus").drop(pipelines.CONSENSUS_DAY))
 
 
+def stream_consensus(spark, sf):
+    return _stream_consensus(spark, sf, "stream_consensus", ({"hi": b.SPLIT}, {"lo": b.SPLIT}))
+
+
+def stream_consensus_late(spark, sf):
+    """The later readings land first, so all of the second batch is days late."""
+    return _stream_consensus(spark, sf, "stream_consensus_late", ({"lo": b.SPLIT}, {"hi": b.SPLIT}))
+
+
 def stream_enrich(spark, sf):
     rows = b.orders(spark, sf)
-    static = b.versioned_stores(spark, sf), gold.weather_consensus(b.weather(spark, sf))
+    # the consensus as published, so that no batch computes it again
+    tables.publish(gold.weather_consensus(b.weather(spark, sf)), "enrich_consensus", scratch(spark, "enrich_consensus"))
+    static = b.versioned_stores(spark, sf), spark.table("enrich_consensus")
     work = _landed_in_two(
         spark, "stream_enrich", rows, "created_at", b.SPLIT, _parquet_stream(spark, rows.schema),
         lambda orders, work: pipelines.stream_enrich(orders, *static, f"{work}/enriched", work),
@@ -437,22 +547,22 @@ def stream_enrich(spark, sf):
 
 
 def stream_current_weather(spark, sf):
-    rows = b.weather(spark, sf)
+    rows = b.weather(spark, sf).withColumn("ingested_at", F.lit(RUN_TS).cast("timestamp"))
     work = _landed_in_two(
         spark, "stream_current_weather", rows, "fetched_at", b.SPLIT, _parquet_stream(spark, rows.schema),
         lambda weather, work: pipelines.stream_current_state(weather, f"{work}/state", work),
     )
-    return gold.current_weather(spark.read.parquet(f"{work}/state"), b.cities(spark, sf))
+    return gold.current_weather(spark.read.parquet(f"{work}/state").drop("city_name"), b.cities(spark, sf))
 
 
-def _lakehouse(spark, sf) -> str:
+def _lakehouse(spark, sf, prefix: str, with_sales: bool = True) -> None:
     """Land payloads and change events in two rounds, run the Silver jobs after each, build Gold."""
     work = scratch(spark, "lakehouse")
     bronze, lake = f"{work}/bronze", f"{work}/lake"
     cdc = {
         "orders": b.order_cdc(spark, sf), "order_details": b.order_detail_cdc(spark, sf),
-        "products": b.product_cdc(spark, sf), "stores": b.store_cdc(spark, sf),
-    }
+        "products": b.part_cdc(spark, sf), "stores": b.nation_cdc(spark, sf),
+    } if with_sales else {}
     payloads = b.bronze(spark, sf)
     early = F.try_to_timestamp("fetched_at") <= F.lit(b.SPLIT).cast("timestamp")
     for rows, bounds in ((payloads.filter(early), {"hi": b.SPLIT}), (payloads.filter(~early), {"lo": b.SPLIT})):
@@ -462,16 +572,21 @@ def _lakehouse(spark, sf) -> str:
             part.write.mode("append").parquet(f"{bronze}/cdc/{name}")
         jobs.silver_weather(spark, bronze, lake, RUN_TS)
         jobs.silver_cdc(spark, bronze, lake, "parquet")
-    jobs.build_gold(spark, lake, "lakehouse_")
-    return lake
+    jobs.build_gold(spark, lake, prefix, b.cities(spark, sf))
 
 
 def lakehouse_fact(spark, sf):
     """The fact at the end of the whole way from raw files, through both Silver rounds."""
-    _lakehouse(spark, sf)
+    _lakehouse(spark, sf, "lakehouse_")
     return rounded(spark.table("lakehouse_fact_sales_weather"), "temperature_c")
 
 
+def lakehouse_current_weather(spark, sf):
+    """The latest weather at the end of the same way, without any sales."""
+    _lakehouse(spark, sf, "weatherhouse_", with_sales=False)
+    return spark.table("weatherhouse_current_weather")
+
+
 QUERIES: dict[str, Query] = {
     "weather_consensus": weather_consensus,
     "weather_consensus_one_vote": weather_consensus_one_vote,
@@ -489,6 +604,8 @@ QUERIES: dict[str, Query] = {
     "scd2_invariants": scd2_invariants,
     "fact_asof_daily": fact_asof_daily,
     "asof_unmatched": asof_unmatched,
+    "asof_overlapping": _rough_asof(1000, None),
+    "asof_overlapping_deep": _rough_asof(3, "hour"),
     "cdc_keep_latest": cdc_keep_latest,
     "cdc_keep_latest_rank": cdc_keep_latest_rank,
     "cdc_incremental": cdc_incremental,
@@ -514,10 +631,22 @@ QUERIES: dict[str, Query] = {
     "revenue_by_condition": revenue_by_condition,
     "delivery_ratio": delivery_ratio,
     "hourly_volume": hourly_volume,
+    "hourly_volume_versioned": hourly_volume_versioned,
     "top_categories": top_categories,
     "status_scorecard": status_scorecard,
     "not_null_gold": not_null_gold,
     "unique_gold": unique_gold,
+    "consensus_rules": consensus_rules,
+    "order_stats_rules": order_stats_rules,
+    "cdc_read_batch": cdc_read_batch,
+    "table_append": table_append,
+    "materialized_order_stats": materialized_order_stats,
+    "registered_sources": registered_sources,
+    "ingest_stamp": ingest_stamp,
+    "city_slugs": city_slugs,
+    "envelope_json": envelope_json,
+    "weather_route_counts": weather_route_counts,
+    "merge_orders_table_two_batches": merge_orders_table_two_batches,
     "stream_merge": stream_merge,
     "stream_order_stats": stream_order_stats,
     "stream_order_details": stream_order_details,
@@ -526,9 +655,11 @@ QUERIES: dict[str, Query] = {
     "stream_weather": stream_weather,
     "stream_dedup": stream_dedup,
     "stream_consensus": stream_consensus,
+    "stream_consensus_late": stream_consensus_late,
     "stream_enrich": stream_enrich,
     "stream_current_weather": stream_current_weather,
     "lakehouse_fact": lakehouse_fact,
+    "lakehouse_current_weather": lakehouse_current_weather,
 }
 
 

@@ -57,18 +57,6 @@ def hour_of(ts: Column) -> Column:
     return F.date_trunc("hour", ts.cast("timestamp"))
 
 
-def majority_value(value: Column) -> Column:
-    """The most frequent string of a group; NULL counts as a value.
-
-    Ties go to the smallest value, NULL last. ``mode`` skips NULLs, so a value votes as
-    ``v<value>`` and NULL as ``w``, which sorts after all of them. The buffer holds one
-    counter per *distinct* value, so use it for vocabularies (weather conditions); for
-    values without a bound use :func:`rainledger.operators.majority.majority`.
-    """
-    winner = F.mode(F.coalesce(F.concat(F.lit("v"), value), F.lit("w")), True)
-    return F.when(winner.startswith("v"), F.substr(winner, F.lit(2)))
-
-
 def differs(pairs: list[tuple[Column, Column]]) -> Column:
     """True if any pair differs, with NULL equal to NULL only."""
     return reduce(Column.__or__, [~left.eqNullSafe(right) for left, right in pairs])

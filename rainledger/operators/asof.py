@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rainledger.operators.keys import all_present, as_list
+from rainledger.operators.keys import as_list
 from rainledger.operators.scd2 import SCD2_COLS
 
 
@@ -13,20 +13,6 @@ def attributes(dim: DataFrame, key: str | list[str]) -> list[str]:
     return [c for c in dim.columns if c not in (*as_list(key), *SCD2_COLS)]
 
 
-# Beyond this many versions of one key, comparing each row with all of them is too much.
-MAX_VERSIONS_COMPARED = 256
-
-
-def bucket_if_deep(dim: DataFrame, key: str | list[str], bucket: str = "hour",
-                   limit: int = MAX_VERSIONS_COMPARED) -> str | None:
-    """``bucket`` if some key has more than ``limit`` versions, else None.
-
-    Counts the dimension only, in one small job.
-    """
-    deepest = dim.groupBy(*as_list(key)).count().agg(F.max("count")).first()[0]
-    return bucket if (deepest or 0) > limit else None
-
-
 def asof_scd2(
     left: DataFrame,
     dim: DataFrame,
@@ -35,19 +21,19 @@ def asof_scd2(
     how: str = "inner",
     bucket: str | None = None,
 ) -> DataFrame:
-    """``left`` with the attributes of the version valid at ``at``.
+    """``left`` with the attributes of every version valid at ``at``.
 
-    ``how`` is inner, left, left_semi or left_anti. Without ``bucket`` this is an equi
-    join on the key whose residual condition is the validity range: right for any
-    intervals, and a broadcast join without a shuffle when Spark finds the dimension
-    small enough. Each row is compared with all versions of its key, so dimensions
-    with long histories should give a ``bucket`` (see :func:`resolve_versions`).
+    ``how`` is inner, left, left_semi or left_anti. An equi join on the key whose residual
+    condition is the validity range: a broadcast join without a shuffle when Spark finds
+    the dimension small enough. Versions may overlap, and then a row matches each of
+    them; intervals that are empty or negative match nothing.
+
+    Without ``bucket`` each row is compared with all versions of its key. Where keys have
+    long histories, give the ``date_trunc`` unit that holds a few versions of one key:
+    versions are laid out once in each unit they reach into, no further than
+    ``left`` goes, and a row meets those of its own unit only. The result is the same.
     """
     keys = as_list(key)
-    if bucket:
-        versions = resolve_versions(left, dim, keys, at, bucket)
-        joined = left.withColumn("__at", F.col(at).cast("timestamp")).join(versions, [*keys, "__at"], how)
-        return joined.select(*left.columns, *([] if how in ("left_semi", "left_anti") else attributes(dim, keys)))
     attrs = attributes(dim, keys)
     versions = dim.select(
         *[F.col(c).alias(f"__k_{c}") for c in keys],
@@ -58,47 +44,29 @@ def asof_scd2(
     condition = (F.col(at) >= F.col("__from")) & (F.col("__to").isNull() | (F.col(at) < F.col("__to")))
     for c in keys:
         condition = condition & (F.col(c) == F.col(f"__k_{c}"))
-    joined = left.join(versions, condition, how)
+    rows = left
+    if bucket:
+        rows = left.withColumn("__unit", F.date_trunc(bucket, at))
+        versions = _laid_out(versions, left, at, bucket)
+        condition = condition & (F.col("__unit") == F.col("__in"))
+    joined = rows.join(versions, condition, how)
     return joined.select(*left.columns, *([] if how in ("left_semi", "left_anti") else attrs))
 
 
-def resolve_versions(left: DataFrame, dim: DataFrame, keys: list[str], at: str, bucket: str) -> DataFrame:
-    """The version valid at every distinct (key, instant) of ``left``: linear, and split by time.
+def _laid_out(versions: DataFrame, left: DataFrame, at: str, bucket: str) -> DataFrame:
+    """Each version once per unit of time between its ends that ``left`` may have rows in.
 
-    Only distinct (key, instant) pairs meet the versions, so copies of a fact collapse
-    before the shuffle. Pairs and version starts are merged in time order inside
-    (key, time bucket); one row per (key, bucket) carries the last version of earlier
-    buckets. No task sees a key's whole history and no row is paired with all versions.
-    Versions of a key must not overlap, which ``check_scd2`` verifies.
+    The first and last time of ``left`` are scalar subqueries, so nothing runs before the join does.
     """
-    attrs = attributes(dim, keys)
-    # ordered by how long a version lasts, for versions that start together
-    payload = F.struct(F.col("valid_to").isNull().alias("open"), F.col("valid_to"), *[F.col(c) for c in attrs])
-    starts = dim.filter(all_present([*keys, "valid_from"])).select(
-        *keys, F.col("valid_from").alias("__at"), F.lit(False).alias("__ask"), payload.alias("__version")
-    )
-    asks = (
-        left.select(*keys, F.col(at).cast("timestamp").alias("__at"))
-        .filter(all_present([*keys, "__at"]))
-        .distinct()
-        .withColumn("__ask", F.lit(True))
-    )
-    line = starts.unionByName(asks, allowMissingColumns=True).withColumn("__bucket", F.date_trunc(bucket, "__at"))
-    line = line.filter(all_present(["__bucket"]))
-    slot = [*keys, "__bucket"]
-    inside = Window.partitionBy(*slot).orderBy("__at", "__ask", "__version").rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    seen = line.withColumn("__seen", F.last("__version", ignorenulls=True).over(inside))
-    # the version in force when a bucket ends, from the same shuffle as the rows
-    edges = (
-        seen.groupBy(*slot)
-        .agg(F.max(F.struct("__at", "__ask", "__seen"))["__seen"].alias("__last"))
-        .withColumn("__carry", F.last("__last", ignorenulls=True).over(before))
-        .drop("__last")
+    times = left.select(F.col(at).cast("timestamp").alias("__at"))
+    first, last = (times.agg(f("__at")).scalar() for f in (F.min, F.max))
+    inside = versions.filter(
+        (F.col("__from") <= last) & (F.col("__to").isNull() | ((F.col("__to") > first) & (F.col("__to") > F.col("__from"))))
     )
-    found = seen.filter("__ask").join(edges, slot).withColumn("__v", F.coalesce("__seen", "__carry"))
-    valid = F.col("__v.open") | (F.col("__at") < F.col("__v.valid_to"))
-    return found.filter(valid).select(*keys, "__at", *[F.col(f"__v.{c}").alias(c) for c in attrs])
+    start = F.date_trunc(bucket, F.greatest("__from", first))
+    end = F.date_trunc(bucket, F.least(F.col("__to"), last))  # least skips NULL
+    step = F.expr(f"INTERVAL 1 {bucket}")
+    return inside.withColumn("__in", F.explode(F.sequence(start, end, step)))
 
 
 def unmatched(left: DataFrame, dim: DataFrame, key: str | list[str], at: str,

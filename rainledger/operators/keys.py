@@ -12,14 +12,14 @@ def as_list(key: str | list[str] | tuple[str, ...]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def null_safe_semi_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    """Rows of ``left`` whose key is in ``right``; NULL keys match each other, as in grouping.
+def null_safe_semi_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left_semi") -> DataFrame:
+    """Rows of ``left`` whose key is in ``right`` (or is not, by ``left_anti``); NULL keys match each other, as in grouping.
 
     Spark plans ``<=>`` as a hash or sort-merge join.
     """
     renamed = right.select(*[F.col(c).alias(f"__r_{c}") for c in on])
     condition = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"__r_{c}")) for c in on])
-    return left.join(renamed, condition, "left_semi")
+    return left.join(renamed, condition, how)
 
 
 def all_present(cols: list[str]) -> Column:

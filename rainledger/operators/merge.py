@@ -12,16 +12,20 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rainledger.operators.keys import as_list
+from rainledger.operators.keys import as_list, null_safe_semi_join
 
 
-def not_in(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
+def not_in(source: DataFrame, target: DataFrame, keys: list[str], null_safe: bool = False) -> DataFrame:
     """Source rows whose key the target does not hold.
 
     The target is first cut down to the source's keys, reading its key columns
     only, so that the side which the anti join shuffles is as small as the source.
-    NULL keys never match, as in MERGE.
+    NULL keys never match, as in MERGE; ``null_safe`` lets them match each other, which
+    appending needs so that a repeated batch finds all it appended before.
     """
+    if null_safe:
+        held = null_safe_semi_join(target.select(*keys), source, keys)
+        return null_safe_semi_join(source, held, keys, "left_anti")
     held = target.select(*keys).join(source.select(*keys), keys, "left_semi")
     return source.join(held, keys, "left_anti")
 

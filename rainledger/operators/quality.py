@@ -36,6 +36,13 @@ def check_unique(df: DataFrame, grain: list[str]) -> DataFrame:
     )
 
 
+def table_rules(df: DataFrame, not_null: list[str], grain: list[str]) -> DataFrame:
+    """``(rule, violations)`` of the checks a Gold table has to pass."""
+    nulls = check_not_null(df, not_null).select(F.concat(F.lit("null "), "column_name").alias("rule"), "violations")
+    repeats = check_unique(df, grain).select(F.lit("repeated " + ", ".join(grain)).alias("rule"), "violations")
+    return nulls.unionByName(repeats)
+
+
 def check_scd2(dim: DataFrame, key: str | list[str], bucket: str = "hour") -> DataFrame:
     """``(rule, violations)`` for the invariants of a versioned dimension.
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from rainledger.functions.columns import differs
 from rainledger.operators.keys import all_present, as_list
+from rainledger.operators.merge import not_in
 
 SCD2_COLS = ["valid_from", "valid_to", "is_current"]
 
@@ -38,8 +39,9 @@ def scd2_changes(
 ) -> DataFrame:
     """What the open versions become: untouched, or closed plus a new open version.
 
-    One full outer join on the key; ``incoming`` holds a key at most once. A key
-    without an open version is new. A changed key closes the open version at the
+    The open versions are streamed through a left join, so a small batch is broadcast and
+    they are not shuffled; ``incoming`` holds a key at most once. A key without an open
+    version is new. A changed key closes the open version at the
     event time. Events not later than the open version's start are ignored.
 
     ``strict_ref=True`` classifies by value instead of by match: a key counts as new
@@ -48,30 +50,28 @@ def scd2_changes(
     """
     keys = as_list(key)
     attrs = [c for c in open_rows.columns if c not in keys]
-    # flag columns tell a missing side from a side full of NULLs
+    # structs tell a missing side from a side full of NULLs
     old = open_rows.select(*keys, F.struct(*attrs).alias("__old"))
-    new_attrs = scd2_open(incoming, ts_col).select(*keys, F.struct(*attrs).alias("__new"))
-    joined = old.join(new_attrs, keys, "full_outer")
+    starts = scd2_open(incoming, ts_col)
+    joined = old.join(starts.select(*keys, F.struct(*attrs).alias("__new")), keys, "left")
 
     o, n = F.col("__old"), F.col("__new")
     pairs = [(n[c], o[c]) for c in tracked]
     if strict_ref:
         first = o[tracked[0]]
         not_equal = reduce(Column.__or__, [new != held for new, held in pairs])
-        is_new = n.isNotNull() & first.isNull()
+        is_added = n.isNotNull() & first.isNull()
         is_changed = n.isNotNull() & first.isNotNull() & F.coalesce(not_equal, F.lit(False))
     else:
-        is_new = o.isNull()
-        is_changed = n.isNotNull() & o.isNotNull() & differs(pairs) & (n["valid_from"] > o["valid_from"])
+        is_added = F.lit(False)
+        is_changed = n.isNotNull() & differs(pairs) & (n["valid_from"] > o["valid_from"])
 
     closed = o.withField("valid_to", n["valid_from"]).withField("is_current", F.lit(False))
     versions = (
-        F.when(is_new & o.isNotNull(), F.array(o, n))
-        .when(is_new, F.array(n))
-        .when(is_changed, F.array(closed, n))
-        .otherwise(F.array(o))
+        F.when(is_added, F.array(o, n)).when(is_changed, F.array(closed, n)).otherwise(F.array(o))
     )
-    return joined.select(*keys, F.inline(versions)).select(*open_rows.columns)
+    kept = joined.select(*keys, F.inline(versions)).select(*open_rows.columns)
+    return kept.unionByName(not_in(starts, open_rows, keys).select(*open_rows.columns))
 
 
 def scd2_apply(

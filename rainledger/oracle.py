@@ -5,10 +5,13 @@ Written independently of the operators, in plain windows, joins and groupings.
 
 from __future__ import annotations
 
+from rainledger.functions.conditions import DEFAULT_CONDITION, TOMORROW_CONDITIONS, WMO_CONDITIONS
+
 SPLIT = "TIMESTAMP '2024-01-20 00:00:00'"
 SPLIT_1998 = "TIMESTAMP '1998-01-01 00:00:00'"
 DETAILS_SPLIT = "TIMESTAMP '2024-01-01 12:00:00'"
 RUN_TS = "TIMESTAMP '2024-02-01 00:00:00'"
+CHANGED = "TIMESTAMP '2024-01-21 00:00:00'"
 
 WEATHER = """
 b_weather AS (
@@ -72,17 +75,22 @@ dim_stores AS (
   SELECT n_nationkey AS store_id, n_regionkey AS city_id, TIMESTAMP '2024-01-01 00:00:00' AS valid_from,
          CAST(NULL AS TIMESTAMP) AS valid_to FROM nation)"""
 
-VERSIONED_DIMS = """
+def versioned_dims(reclassified: str, moved: str | None = None) -> str:
+    """Products that change from type to brand and stores that move on, at the given times."""
+    moved = moved or reclassified
+    start = "TIMESTAMP '2024-01-01 00:00:00'"
+    return f"""
 dim_products AS (
-  SELECT p_partkey AS product_id, p_type AS category, TIMESTAMP '2024-01-01 00:00:00' AS valid_from,
-         TIMESTAMP '2024-01-16 00:00:00' AS valid_to FROM part
+  SELECT p_partkey AS product_id, p_type AS category, {start} AS valid_from, {reclassified} AS valid_to FROM part
   UNION ALL
-  SELECT p_partkey, p_brand, TIMESTAMP '2024-01-16 00:00:00', NULL FROM part),
+  SELECT p_partkey, p_brand, {reclassified}, NULL FROM part),
 dim_stores AS (
-  SELECT n_nationkey AS store_id, n_regionkey AS city_id, TIMESTAMP '2024-01-01 00:00:00' AS valid_from,
-         TIMESTAMP '2024-01-11 00:00:00' AS valid_to FROM nation
+  SELECT n_nationkey AS store_id, n_regionkey AS city_id, {start} AS valid_from, {moved} AS valid_to FROM nation
   UNION ALL
-  SELECT n_nationkey, CAST((n_regionkey + 1) % 5 AS INTEGER), TIMESTAMP '2024-01-11 00:00:00', NULL FROM nation)"""
+  SELECT n_nationkey, CAST((n_regionkey + 1) % 5 AS INTEGER), {moved}, NULL FROM nation)"""
+
+
+VERSIONED_DIMS = versioned_dims("TIMESTAMP '2024-01-16 00:00:00'", "TIMESTAMP '2024-01-11 00:00:00'")
 
 
 def fact(dims: str = STATIC_DIMS, only_matched: bool = True) -> str:
@@ -132,7 +140,7 @@ HISTORY = f"""
 {CDC},
 steps AS (
   SELECT *, lag(category) OVER (PARTITION BY product_id ORDER BY source_timestamp) AS prev_category
-  FROM b_cdc WHERE category IN ('view', 'signup', 'click')),
+  FROM b_cdc WHERE change_type <> 'DELETE'),
 history AS (
   SELECT product_id, category, source_timestamp AS valid_from,
          lead(source_timestamp) OVER (PARTITION BY product_id ORDER BY source_timestamp) AS valid_to
@@ -163,10 +171,56 @@ def scd2_two_batches(key: str, columns: dict[str, str], source: str, changed: st
   WHERE o.{key} IS NULL OR ({changed}))"""
 
 
-CATEGORY_BATCHES = scd2_two_batches(
-    "product_id", {"product_id": "product_id", "category": "category"}, "b_cdc",
-    "n.category IS NOT NULL AND n.category <> o.category",
+GAPS = f"""
+{CDC},
+gaps AS (
+  SELECT product_id, CASE WHEN uuid % 3 <> 0 THEN category END AS category, source_timestamp, uuid, change_type
+  FROM b_cdc)"""
+
+
+def category_batches(changed: str, added: str) -> str:
+    """The two batches by the rules given: when the open version closes, and when the second batch opens one."""
+    return f"""
+halves AS (
+  SELECT *, source_timestamp > {SPLIT} AS second,
+         row_number() OVER (PARTITION BY product_id, source_timestamp > {SPLIT}
+                            ORDER BY source_timestamp DESC, uuid DESC) AS rn
+  FROM gaps WHERE change_type <> 'DELETE'),
+o AS (SELECT * FROM halves WHERE rn = 1 AND NOT second),
+n AS (SELECT * FROM halves WHERE rn = 1 AND second),
+versions AS (
+  SELECT o.product_id, o.category, o.source_timestamp AS valid_from,
+         CASE WHEN {changed} THEN n.source_timestamp END AS valid_to
+  FROM o LEFT JOIN n ON o.product_id = n.product_id
+  UNION ALL
+  SELECT n.product_id, n.category, n.source_timestamp, NULL
+  FROM n LEFT JOIN o ON o.product_id = n.product_id WHERE {added})"""
+
+
+# By match: NULL equals NULL only. By value: an open version without a category counts as none, and a
+# change to no category goes unseen.
+BY_MATCH = category_batches(
+    "n.product_id IS NOT NULL AND n.category IS DISTINCT FROM o.category",
+    "o.product_id IS NULL OR n.category IS DISTINCT FROM o.category",
 )
+BY_VALUE = category_batches("n.category <> o.category", "o.category IS NULL OR n.category <> o.category")
+
+ROUGH = f"""
+{CDC},
+rough AS (
+  SELECT user_id AS product_id, event_type AS category, ts AS valid_from,
+         CASE WHEN event_id % 97 <> 0 THEN ts + INTERVAL 1 HOUR * (event_id % 7 - 2) END AS valid_to
+  FROM events WHERE event_type <> 'error')"""
+
+
+def rough_asof(keys: int) -> str:
+    return f"""WITH {ROUGH}
+            SELECT CAST(f.product_id % {keys} AS INTEGER) AS product_id, r.category, count(*) AS matches
+            FROM b_cdc f LEFT JOIN rough r ON f.product_id % {keys} = r.product_id % {keys}
+                 AND f.source_timestamp >= r.valid_from AND (r.valid_to IS NULL OR f.source_timestamp < r.valid_to)
+            WHERE f.change_type = 'DELETE' GROUP BY ALL"""
+
+
 PRODUCT_COLUMNS = {"product_id": "product_id", "category": "category",
                    "price": "CAST(CAST(price AS DECIMAL(10,2)) AS DOUBLE)", "is_active": "is_active"}
 PRODUCT_CHANGED = (
@@ -207,14 +261,13 @@ details AS (
     FROM images) WHERE rn = 1)"""
 
 
-WMO = """CASE WHEN code IN (0, 1) THEN 'Clear' WHEN code IN (2, 3) THEN 'Clouds' WHEN code IN (45, 48) THEN 'Fog'
-              WHEN code IN (51, 53, 55) THEN 'Drizzle' WHEN code IN (61, 63, 65, 80, 81, 82) THEN 'Rain'
-              WHEN code IN (71, 73, 75) THEN 'Snow' WHEN code IN (95, 96, 99) THEN 'Thunderstorm'
-              ELSE 'Clouds' END"""
-TOMORROW = """CASE WHEN code IN (1000, 1100) THEN 'Clear' WHEN code IN (1001, 1101, 1102) THEN 'Clouds'
-              WHEN code IN (2000, 2100) THEN 'Fog' WHEN code = 4000 THEN 'Drizzle'
-              WHEN code IN (4001, 4200, 4201) THEN 'Rain' WHEN code IN (5000, 5001, 5100, 5101) THEN 'Snow'
-              WHEN code = 8000 THEN 'Thunderstorm' ELSE 'Clouds' END"""
+def code_case(names: dict[int, str]) -> str:
+    """The lookup in a code table as CASE, in the table's own order."""
+    branches = " ".join(f"WHEN {code} THEN '{name}'" for code, name in names.items())
+    return f"CASE code {branches} ELSE '{DEFAULT_CONDITION}' END"
+
+
+WMO, TOMORROW = code_case(WMO_CONDITIONS), code_case(TOMORROW_CONDITIONS)
 
 BRONZE = """
 b_bronze AS (
@@ -284,10 +337,10 @@ def oracle_sql() -> dict[str, str]:
         "weather_consensus": consensus_out,
         "weather_consensus_one_vote": f"WITH {WEATHER},{ONE_VOTE},{consensus('one_vote')} {CONSENSUS_OUT}",
         "condition_majority": f"""WITH {WEATHER},
-            counted AS (SELECT city_id, source, temperature, count(*) AS n FROM b_weather GROUP BY ALL)
-            SELECT city_id, source, temperature AS top_temperature, n AS votes FROM (
+            counted AS (SELECT city_id, source, condition, count(*) AS n FROM b_weather GROUP BY ALL)
+            SELECT city_id, source, condition AS top_condition, n AS votes FROM (
               SELECT *, row_number() OVER (PARTITION BY city_id, source
-                                           ORDER BY n DESC, temperature NULLS LAST) AS rn FROM counted) WHERE rn = 1""",
+                                           ORDER BY n DESC, condition NULLS LAST) AS rn FROM counted) WHERE rn = 1""",
         "realtime_order_stats": order_stats,
         "fact_sales_weather": f"{fact_cte} {FACT_OUT}",
         "fact_sales_weather_versioned": f"WITH {fact(VERSIONED_DIMS)} {FACT_OUT}",
@@ -306,8 +359,8 @@ def oracle_sql() -> dict[str, str]:
             FROM newest JOIN region ON r_regionkey = city_id WHERE rn = 1""",
         "scd2_history": f"WITH {HISTORY} SELECT *, valid_to IS NULL AS is_current FROM history",
         "scd2_current": f"WITH {HISTORY} SELECT product_id, category, valid_from FROM history WHERE valid_to IS NULL",
-        "scd2_apply_batch": f"WITH {CDC},{CATEGORY_BATCHES} {scd2_out}",
-        "scd2_apply_batch_strict": f"WITH {CDC},{CATEGORY_BATCHES} {scd2_out}",
+        "scd2_apply_batch": f"WITH {GAPS},{BY_MATCH} {scd2_out}",
+        "scd2_apply_batch_strict": f"WITH {GAPS},{BY_VALUE} {scd2_out}",
         "scd2_invariants": f"""WITH {HISTORY},
             opens AS (SELECT product_id, count(*) FILTER (valid_to IS NULL) AS n FROM history GROUP BY product_id),
             ends AS (SELECT *, max(coalesce(valid_to, TIMESTAMP '9999-12-31 00:00:00')) OVER (
@@ -318,16 +371,18 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'overlap', count(*) FILTER (reached > valid_from) FROM ends
             UNION ALL SELECT 'bad_interval', count(*) FILTER (valid_from IS NULL OR valid_to < valid_from) FROM ends""",
         "fact_asof_daily": f"""WITH {HISTORY}
-            SELECT CAST(p.source_timestamp AS DATE) AS sold_on, h.category, count(*) AS purchases,
-                   CAST(sum(CAST(p.price AS DECIMAL(18,2))) AS DOUBLE) AS revenue
+            SELECT CAST(p.source_timestamp AS DATE) AS happened_on, h.category, count(*) AS incidents,
+                   CAST(sum(CAST(p.price AS DECIMAL(18,2))) AS DOUBLE) AS amount
             FROM b_cdc p JOIN history h ON p.product_id = h.product_id AND p.source_timestamp >= h.valid_from
                  AND (h.valid_to IS NULL OR p.source_timestamp < h.valid_to)
-            WHERE p.category = 'purchase' GROUP BY ALL""",
+            WHERE p.change_type = 'DELETE' GROUP BY ALL""",
         "asof_unmatched": f"""WITH {HISTORY}
-            SELECT p.product_id, p.source_timestamp AS bought_at, p.price AS amount
-            FROM b_cdc p WHERE p.category = 'purchase' AND NOT EXISTS (
+            SELECT p.product_id, p.source_timestamp AS happened_at, p.price AS amount
+            FROM b_cdc p WHERE p.change_type = 'DELETE' AND NOT EXISTS (
               SELECT 1 FROM history h WHERE p.product_id = h.product_id AND p.source_timestamp >= h.valid_from
                 AND (h.valid_to IS NULL OR p.source_timestamp < h.valid_to))""",
+        "asof_overlapping": rough_asof(1000),
+        "asof_overlapping_deep": rough_asof(3),
         "cdc_keep_latest": """SELECT * EXCLUDE (rn) FROM (
             SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
               ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC,
@@ -414,6 +469,12 @@ def oracle_sql() -> dict[str, str]:
             SELECT order_hour, store_id, CAST(sum(order_count) AS BIGINT) AS order_count,
                    CAST(sum(CAST(total_revenue AS DECIMAL(18,2))) AS DOUBLE) AS revenue, n_regionkey AS city_id
             FROM stats JOIN nation ON n_nationkey = store_id GROUP BY order_hour, store_id, n_regionkey""",
+        "hourly_volume_versioned": f"""WITH {STATS},{VERSIONED_DIMS}
+            SELECT s.order_hour, s.store_id, CAST(sum(order_count) AS BIGINT) AS order_count,
+                   CAST(sum(CAST(total_revenue AS DECIMAL(18,2))) AS DOUBLE) AS revenue, d.city_id
+            FROM stats s LEFT JOIN dim_stores d ON d.store_id = s.store_id AND s.order_hour >= d.valid_from
+                 AND (d.valid_to IS NULL OR s.order_hour < d.valid_to)
+            GROUP BY s.order_hour, s.store_id, d.city_id""",
         "top_categories": f"""{fact_cte},
             revenue AS (SELECT weather_condition, product_category,
                           CAST(sum(CAST(total_revenue AS DECIMAL(18,2))) AS DOUBLE) AS revenue FROM fact GROUP BY ALL)
@@ -434,6 +495,38 @@ def oracle_sql() -> dict[str, str]:
                        FROM fact GROUP BY ALL)
             SELECT CAST(sum(n) AS BIGINT) AS row_count, count(*) AS group_count,
                    count(*) FILTER (n > 1) AS violations FROM groups""",
+        "consensus_rules": f"""WITH {WEATHER},{consensus()}
+            SELECT 'null city_id' AS rule, count(*) FILTER (city_id IS NULL) AS violations FROM consensus
+            UNION ALL SELECT 'null date_hour', count(*) FILTER (date_hour IS NULL) FROM consensus
+            UNION ALL SELECT 'repeated city_id, date_hour', count(*) - count(DISTINCT (city_id, date_hour)) FROM consensus""",
+        "order_stats_rules": f"""WITH {STATS}
+            SELECT 'null order_hour' AS rule, count(*) FILTER (order_hour IS NULL) AS violations FROM stats
+            UNION ALL SELECT 'null order_count', count(*) FILTER (order_count IS NULL) FROM stats
+            UNION ALL SELECT 'repeated order_hour, store_id, order_type, status',
+                             count(*) - count(DISTINCT (order_hour, store_id, order_type, status)) FROM stats""",
+        "cdc_read_batch": f"""WITH {ORDERS},
+            steps AS (
+              SELECT *, 'INSERT' AS change_type, created_at AS source_timestamp, 'Pending' AS step, 0.0 AS amount FROM b_orders
+              UNION ALL SELECT *, 'UPDATE', created_at + INTERVAL 30 MINUTE, status, total_amount FROM b_orders
+              UNION ALL SELECT *, 'DELETE', created_at + INTERVAL 60 MINUTE, status, total_amount FROM b_orders
+                        WHERE store_id < 5)
+            SELECT CAST(order_id AS VARCHAR) AS order_id, store_id, CAST(customer_id AS INTEGER) AS customer_id, order_type,
+                   step AS status, CAST(CAST(amount AS DECIMAL(10,2)) AS DOUBLE) AS total_amount, created_at,
+                   source_timestamp AS updated_at, source_timestamp, change_type
+            FROM steps""",
+        "table_append": f"WITH {WEATHER} SELECT *, {RUN_TS} AS ingested_at FROM b_weather",
+        "materialized_order_stats": order_stats,
+        "registered_sources": "SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey",
+        "ingest_stamp": f"WITH {BRONZE} SELECT source, count(*) AS row_count, true AS is_fresh FROM b_bronze GROUP BY source",
+        "city_slugs": "SELECT n_name, replace(lower(n_name), ' ', '_') AS slug FROM nation",
+        "envelope_json": """SELECT CAST(user_id % 5 AS BIGINT) AS city_id,
+            strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS fetched_at,
+            '{"id":' || event_id || ',"kind":"' || event_type || '"}' AS raw_json FROM events""",
+        "weather_route_counts": f"""WITH {BRONZE}, routed AS (
+              SELECT CASE city_id WHEN 0 THEN 'weatherstation' WHEN 1 THEN NULL ELSE source END AS source FROM b_bronze)
+            SELECT source, coalesce(source <> 'weatherstation', false) AS is_known, count(*) AS row_count
+            FROM routed GROUP BY ALL""",
+        "merge_orders_table_two_batches": final_orders,
         "stream_merge": final_orders,
         "stream_order_stats": order_stats,
         "stream_order_details": details_out,
@@ -442,10 +535,9 @@ def oracle_sql() -> dict[str, str]:
         "stream_weather": weather_out,
         "stream_dedup": f"WITH {WEATHER} SELECT * FROM b_weather",
         "stream_consensus": consensus_out,
+        "stream_consensus_late": consensus_out,
         "lakehouse_fact": f"""WITH {SILVER_WEATHER},{consensus("silver_weather")},{SILVER_ORDERS},
-            {silver_details(SPLIT)},{CDC},
-            {scd2_two_batches("product_id", PRODUCT_COLUMNS, "b_cdc", PRODUCT_CHANGED, "p_")},
-            {scd2_two_batches("store_id", STORE_COLUMNS, "b_cdc", STORE_CHANGED, "s_")}
+            {silver_details(SPLIT)},{versioned_dims(CHANGED)}
             SELECT CAST(date_trunc('hour', o.created_at) AS TIMESTAMP) AS date_hour,
                    CAST(o.created_at AS DATE) AS order_date, st.city_id, o.store_id,
                    w.majority_condition AS weather_condition, round(w.avg_temperature, 9) AS temperature_c,
@@ -454,9 +546,9 @@ def oracle_sql() -> dict[str, str]:
                    CAST(sum(CAST(d.subtotal AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue
             FROM final o
             JOIN details d ON o.order_id = d.order_id
-            JOIN p_versions p ON d.product_id = p.product_id AND o.created_at >= p.valid_from
+            JOIN dim_products p ON d.product_id = p.product_id AND o.created_at >= p.valid_from
                              AND (p.valid_to IS NULL OR o.created_at < p.valid_to)
-            JOIN s_versions st ON o.store_id = st.store_id AND o.created_at >= st.valid_from
+            JOIN dim_stores st ON o.store_id = st.store_id AND o.created_at >= st.valid_from
                               AND (st.valid_to IS NULL OR o.created_at < st.valid_to)
             JOIN consensus w ON st.city_id = w.city_id AND date_trunc('hour', o.created_at) = w.date_hour
             WHERE o.status <> 'Cancelled' AND w.majority_condition IS NOT NULL
@@ -470,6 +562,12 @@ def oracle_sql() -> dict[str, str]:
             LEFT JOIN consensus w ON w.city_id = st.city_id AND w.date_hour = date_trunc('hour', o.created_at)""",
     }
     sql["stream_current_weather"] = sql["current_weather"]
+    sql["lakehouse_current_weather"] = f"""WITH {SILVER_WEATHER},
+            newest AS (SELECT *, row_number() OVER (PARTITION BY city_id ORDER BY fetched_at DESC) AS rn FROM silver_weather)
+            SELECT r_regionkey AS city_id, r_name AS city_name,
+                   CASE WHEN condition IS NULL OR condition = '' THEN 'Clouds' ELSE condition END AS condition,
+                   CASE WHEN temperature IS NULL OR temperature = 0 THEN 25.0 ELSE temperature END AS temperature
+            FROM newest JOIN region ON r_regionkey = city_id WHERE rn = 1"""
     for source in ("openweather", "openmeteo", "tomorrowio"):
         sql[f"normalize_{source}"] = f"{weather_out} WHERE source = '{source}'"
     return sql

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rainledger.functions.columns import money_sum
+from rainledger.operators.asof import asof_scd2
 from rainledger.operators.majority import top_k
 
 
@@ -30,11 +31,16 @@ def delivery_ratio(fact: DataFrame) -> DataFrame:
 
 
 def hourly_volume(stats: DataFrame, stores: DataFrame) -> DataFrame:
-    """Orders and revenue per hour, city and store, from the additive order statistics."""
+    """Orders and revenue per hour, city and store, from the additive order statistics.
+
+    The city is the one the store was in when the hour began; a store the dimension lacks
+    keeps its orders under no city.
+    """
     volume = stats.groupBy("order_hour", "store_id").agg(
         F.sum("order_count").alias("order_count"), money_sum(F.col("total_revenue")).alias("revenue")
     )
-    return volume.join(stores.select("store_id", "city_id"), "store_id")
+    versions = stores.select("store_id", "city_id", "valid_from", "valid_to")
+    return asof_scd2(volume, versions, "store_id", "order_hour", "left")
 
 
 def top_categories(fact: DataFrame, k: int = 3) -> DataFrame:

@@ -2,28 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rainledger.functions.columns import hour_of, majority_value, money, money_sum
+from rainledger.functions.columns import hour_of, money, money_sum
 from rainledger.functions.conditions import DEFAULT_CONDITION, DEFAULT_TEMPERATURE
-from rainledger.operators.asof import asof_scd2, bucket_if_deep
+from rainledger.operators.asof import asof_scd2
 from rainledger.operators.latest import keep_latest
 
 FACT_GRAIN = ["date_hour", "order_type", "product_category", "store_id", "city_id"]
 
 
-def consensus_aggregates() -> list:
-    """One aggregation that works in batch and on a stream. Sources are a handful."""
-    return [
+def _consensus(rows: DataFrame, grain: list[str], *extra: Column) -> DataFrame:
+    """Averages and the majority per group, each from counters alone.
+
+    No buffer holds a group's distinct values: conditions are counted per value first and
+    the counts compared, and distinct sources are counted by grouping. NULL conditions vote;
+    ties go to the smallest value, NULL last.
+    """
+    votes = rows.groupBy(*grain, "condition").agg(F.count(F.lit(1)).alias("__n"))
+    best = F.min(F.struct(-F.col("__n"), F.col("condition").isNull(), F.col("condition").alias("value")))
+    winners = votes.groupBy(*[F.col(c).alias(f"__{c}") for c in grain]).agg(best["value"].alias("majority_condition"))
+    averages = rows.groupBy(*grain).agg(
+        *extra,
         F.avg("temperature").alias("avg_temperature"),
         F.avg("humidity").alias("avg_humidity"),
         F.avg("pressure").alias("avg_pressure"),
         F.avg("wind_speed").alias("avg_wind_speed"),
-        majority_value(F.col("condition")).alias("majority_condition"),
-        F.size(F.collect_set("source")).cast("bigint").alias("source_count"),
+        F.count_distinct("source").alias("source_count"),
         F.stddev_samp("temperature").alias("temperature_stddev"),
-    ]
+    )
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in grain])
+    return averages.join(winners, same).select(*averages.columns, "majority_condition")
 
 
 def weather_consensus(weather: DataFrame, one_vote_per_source: bool = False, strict_ref: bool = False) -> DataFrame:
@@ -37,18 +49,14 @@ def weather_consensus(weather: DataFrame, one_vote_per_source: bool = False, str
     if one_vote_per_source:
         rows = keep_latest(rows, ["city_id", "date_hour", "source"], "fetched_at")
     if strict_ref:
-        return rows.groupBy("city_id", "city_name", "date_hour").agg(*consensus_aggregates())
-    return rows.groupBy("city_id", "date_hour").agg(F.max("city_name").alias("city_name"), *consensus_aggregates())
-
-
-def _chosen(bucket: str | None, dim: DataFrame, key: str) -> str | None:
-    return bucket_if_deep(dim, key) if bucket == "auto" else bucket
+        return _consensus(rows, ["city_id", "city_name", "date_hour"])
+    return _consensus(rows, ["city_id", "date_hour"], F.max("city_name").alias("city_name"))
 
 
 def _placed(orders: DataFrame, stores: DataFrame, bucket: str | None) -> DataFrame:
     """Orders with the city their store was in at the order time."""
     versions = stores.select("store_id", "city_id", "valid_from", "valid_to")
-    return asof_scd2(orders, versions, "store_id", "created_at", bucket=_chosen(bucket, versions, "store_id"))
+    return asof_scd2(orders, versions, "store_id", "created_at", bucket=bucket)
 
 
 def fact_sales_weather(
@@ -58,7 +66,7 @@ def fact_sales_weather(
     stores: DataFrame,
     consensus: DataFrame,
     keep_unmatched: bool = False,
-    bucket: str | None = "auto",
+    bucket: str | None = None,
 ) -> DataFrame:
     """Sales by hour, store, order type and product category, with the hour's weather.
 
@@ -71,14 +79,13 @@ def fact_sales_weather(
     becomes a count after a grouping by order and category, which reuses the
     partitioning of the join on the order when the products are broadcast.
 
-    ``bucket`` is that of the as-of joins; ``auto`` counts each dimension's versions to
-    choose between comparing a row with all versions of its key and merging in time.
+    ``bucket`` is that of the as-of joins, for dimensions with long histories.
     """
     kept = orders.filter(F.col("status") != "Cancelled").select("order_id", "store_id", "order_type", "created_at")
     placed = _placed(kept, stores, bucket)
     sold = placed.join(lines.select("order_id", "product_id", "quantity", "subtotal"), "order_id")
     versions = products.select("product_id", F.col("category").alias("product_category"), "valid_from", "valid_to")
-    priced = asof_scd2(sold, versions, "product_id", "created_at", bucket=_chosen(bucket, versions, "product_id"))
+    priced = asof_scd2(sold, versions, "product_id", "created_at", bucket=bucket)
 
     at = F.col("created_at").cast("timestamp")
     grain = ["date_hour", "order_date", "city_id", "store_id", "order_type", "product_category"]
@@ -104,7 +111,7 @@ def fact_sales_weather(
 
 
 def sales_without_weather(orders: DataFrame, stores: DataFrame, consensus: DataFrame,
-                          bucket: str | None = "auto") -> DataFrame:
+                          bucket: str | None = None) -> DataFrame:
     """Store hours with orders but no weather, and how many orders the fact loses there."""
     kept = orders.filter(F.col("status") != "Cancelled").select("order_id", "store_id", "created_at")
     placed = _placed(kept, stores, bucket)

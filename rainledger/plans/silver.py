@@ -14,14 +14,18 @@ from pyspark.sql import types as T
 from rainledger.functions.columns import datetime_struct_to_ts
 from rainledger.operators.latest import deleted_keys, drop_deletes, incremental, keep_latest
 from rainledger.operators.merge import merge_delete, merge_insert_only, merge_upsert, not_in
-from rainledger.operators.scd2 import current, scd2_apply, scd2_changes, scd2_close
+from rainledger.operators.scd2 import current, late_events, scd2_apply, scd2_changes, scd2_close
 from rainledger.schemas import SILVER_ORDER_DETAILS, SILVER_ORDERS, SILVER_WEATHER
 from rainledger.sources.paths import read_or_empty
 from rainledger.sources.tables import (
+    DETAILS_PARTITIONS,
     ORDERS_PARTITIONS,
     WEATHER_PARTITIONS,
+    Batch,
+    hash_part,
     in_values,
     partition_names,
+    persisted,
     replace_partitions,
     touched_values,
     with_partitions,
@@ -116,74 +120,98 @@ def read_orders(spark: SparkSession, path: str, schema=SILVER_ORDERS) -> DataFra
     return read_or_empty(spark, path, with_partitions(spark.createDataFrame([], schema), ORDERS_PARTITIONS).schema)
 
 
-def merge_orders_table(path: str, source: DataFrame, staging: str, batch_id: int = 0, schema=SILVER_ORDERS,
+def merge_orders_table(path: str, source: DataFrame, staging: str, batch: Batch, schema=SILVER_ORDERS,
                        creation_is_fixed: bool = False) -> DataFrame:
-    """Upsert a batch (one row per key) into the orders table and return its changed months.
+    """Upsert a batch (one row per key) into the orders table and return its changed days.
 
-    An order keeps the month it was created in, so the months to rewrite are those of
-    the matched targets, found by reading key and month only, and those of new rows.
+    An order keeps the day it was created on, so the days to rewrite are those of
+    the matched targets, found by reading key and day only, and those of new rows.
     Where the source system never changes an order's creation time,
-    ``creation_is_fixed`` spares that read: the batch's own months are then all.
+    ``creation_is_fixed`` spares that read: the batch's own days are then all.
     """
     spark = source.sparkSession
-    month = partition_names(ORDERS_PARTITIONS)[0]
+    day = partition_names(ORDERS_PARTITIONS)[0]
     target = read_orders(spark, path, schema)
-    batch = with_partitions(source, ORDERS_PARTITIONS)
-    months = batch.select(month)
+    rows = with_partitions(source, ORDERS_PARTITIONS)
+    days = rows.select(day)
     if not creation_is_fixed:
-        matched = target.select("order_id", month).join(batch.select("order_id"), "order_id", "left_semi")
-        months = months.unionByName(matched.select(month))
-    touched = touched_values(months, month)
-    merged = merge_upsert(in_values(target, month, touched), batch, "order_id", "updated_at", ORDER_UPDATES)
-    replace_partitions(merged, path, [month], staging, batch_id)
-    return in_values(read_orders(spark, path, schema), month, touched)
+        matched = target.select("order_id", day).join(rows.select("order_id"), "order_id", "left_semi")
+        days = days.unionByName(matched.select(day))
+    touched = touched_values(days, day)
+    merged = merge_upsert(in_values(target, day, touched), rows, "order_id", "updated_at", ORDER_UPDATES)
+    replace_partitions(merged, path, [day], staging, batch)
+    return in_values(read_orders(spark, path, schema), day, touched)
+
+
+OPEN_SLOTS = 32
 
 
 def scd2_table(spark: SparkSession, path: str, schema) -> DataFrame:
-    """A versioned table with the batch that closed each version (-1 while open)."""
-    return read_or_empty(spark, path, T.StructType([*schema.fields, T.StructField("closed_in", T.LongType())]))
+    """A versioned table with its slots: a hash part of the key while open, then the month a version closed in."""
+    return read_or_empty(spark, path, T.StructType([*schema.fields, T.StructField("slot", T.IntegerType())]))
+
+
+def open_slots(spark: SparkSession, path: str, schema, slots: list[int]) -> DataFrame:
+    """The open versions in the given hash parts; no other folder is read."""
+    return in_values(current(scd2_table(spark, path, schema)), "slot", slots).drop("slot")
 
 
-def apply_scd2_table(path: str, schema, incoming: DataFrame, key: str, tracked: list[str], batch_id: int,
-                     staging: str) -> None:
-    """Apply a batch to a versioned table partitioned by ``is_current`` and closing batch.
+def apply_scd2_table(path: str, schema, incoming: DataFrame, key: str, tracked: list[str], batch: Batch,
+                     staging: str) -> int:
+    """Apply a batch to a versioned table partitioned by ``is_current`` and slot; how many late events it ignored.
 
-    Only the open versions are read and rewritten. Versions this batch closes go to
-    their own partition, so closed history is never touched and a repeated batch
-    replaces what it wrote the first time.
+    Only the hash parts of open versions that hold keys of the batch are read and
+    rewritten, and of closed versions the months in which the batch closes some.
     """
     spark = incoming.sparkSession
-    open_rows = current(scd2_table(spark, path, schema)).drop("closed_in")
-    rows = scd2_changes(open_rows, incoming, key, tracked).withColumn(
-        "closed_in", F.when(F.col("is_current"), F.lit(-1)).otherwise(F.lit(batch_id)).cast("bigint")
-    )
-    replace_partitions(rows, path, ["is_current", "closed_in"], staging, batch_id)
+    with persisted(incoming) as events:
+        slots = touched_values(events.select(hash_part(key, OPEN_SLOTS).alias("slot")), "slot")
+        held = open_slots(spark, path, schema, slots)
+        late = late_events(held, events, key).count()
+        closed_in = F.date_format("valid_to", "yyyyMM").cast("int")
+        slot = F.when(F.col("is_current"), hash_part(key, OPEN_SLOTS)).otherwise(closed_in)
+        with persisted(scd2_changes(held, events, key, tracked).withColumn("slot", slot)) as changes:
+            months = touched_values(changes.filter(~F.col("is_current")), "slot")
+            closed = scd2_table(spark, path, schema).filter(~F.col("is_current"))
+            rows = changes.unionByName(in_values(closed, "slot", months))
+            replace_partitions(rows, path, ["is_current", "slot"], staging, batch)
+    return late
 
 
 def append_order_details(path: str, rows: DataFrame) -> None:
     """Append the lines of a batch (one row per key) that the table does not hold yet.
 
-    A repeated batch finds what it appended before, in whole or in part.
+    A repeated batch finds what it appended before, in whole or in part, and a line
+    without a key too. Only the hash parts the batch's keys fall into are searched.
     """
-    held = read_or_empty(rows.sparkSession, path, SILVER_ORDER_DETAILS)
-    not_in(rows, held, ["detail_id"]).select(*held.columns).write.mode("append").parquet(path)
+    spark = rows.sparkSession
+    names = partition_names(DETAILS_PARTITIONS)
+    schema = with_partitions(spark.createDataFrame([], SILVER_ORDER_DETAILS), DETAILS_PARTITIONS).schema
+    with persisted(with_partitions(rows, DETAILS_PARTITIONS)) as lines:
+        held = in_values(read_or_empty(spark, path, schema), names[0], touched_values(lines, names[0]))
+        fresh = not_in(lines, held, ["detail_id"], null_safe=True).select(*held.columns)
+        fresh.hint("rebalance", *names).write.mode("append").partitionBy(*names).parquet(path)
 
 
-def append_weather(path: str, rows: DataFrame) -> None:
-    """Append weather readings, each (source, city, fetch time) once.
+def append_weather(path: str, rows: DataFrame) -> list:
+    """Append weather readings, each (source, city, fetch time) once, and give the days touched.
 
-    Only the days of the batch are searched for readings already held. Readings without
-    a time cannot be told apart from their copies and are left out.
+    Only the days of the batch are searched for readings already held; a reading without a
+    city or source is told from others like any. Readings without a time cannot be told
+    apart from their copies and are left out.
     """
     spark = rows.sparkSession
     names = partition_names(WEATHER_PARTITIONS)
     key = ["source", "city_id", "fetched_at"]
-    schema = with_partitions(spark.createDataFrame([], SILVER_WEATHER), WEATHER_PARTITIONS).schema
     # parsed once, read three times: for its days, to look up held readings, to write
     timed = rows.filter(F.col("fetched_at").isNotNull())
-    batch = with_partitions(keep_latest(timed, key, "ingested_at"), WEATHER_PARTITIONS).persist()
-    held = read_or_empty(spark, path, schema)
-    held = in_values(held, "fetched_date", touched_values(batch, "fetched_date"))
-    fresh = not_in(batch, held, key)
-    fresh.hint("rebalance", *names).write.mode("append").partitionBy(*names).parquet(path)
-    batch.unpersist()
+    with persisted(with_partitions(keep_latest(timed, key, "ingested_at"), WEATHER_PARTITIONS)) as readings:
+        days = touched_values(readings, "fetched_date")
+        held = in_values(read_weather(spark, path), "fetched_date", days)
+        fresh = not_in(readings, held, key, null_safe=True)
+        fresh.hint("rebalance", *names).write.mode("append").partitionBy(*names).parquet(path)
+    return days
+
+
+def read_weather(spark: SparkSession, path: str) -> DataFrame:
+    return read_or_empty(spark, path, with_partitions(spark.createDataFrame([], SILVER_WEATHER), WEATHER_PARTITIONS).schema)

@@ -151,5 +151,14 @@ def normalize(bronze: DataFrame, source: str, run_ts: str | None = None) -> Data
 
 def counted_by_route(bronze: DataFrame, name: str):
     """The input with an observation that counts rows of unknown sources as ``unknown``."""
-    unknown = F.count_if(~F.coalesce(F.col("source").isin(*NORMALIZERS), F.lit(False)))
-    return observed(bronze, name, unknown=unknown)
+    return observed(bronze, name, unknown=F.count_if(~known_sources()))
+
+
+def known_sources(dialects: dict[str, Dialect] = NORMALIZERS) -> Column:
+    """True for rows of the sources that have a dialect; NULL is none of them."""
+    return F.coalesce(F.col("source").isin(*dialects), F.lit(False))
+
+
+def route_counts(bronze: DataFrame) -> DataFrame:
+    """Rows per source, and whether they reach Silver."""
+    return bronze.groupBy("source", known_sources().alias("is_known")).agg(F.count(F.lit(1)).alias("row_count"))

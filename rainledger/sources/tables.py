@@ -3,20 +3,33 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rainledger.schemas import struct
 from rainledger.sources.paths import read_or_empty
 
-# A partition column is a plain column name, or (new column, date_trunc unit, timestamp column).
-PartitionBy = list[str | tuple[str, str, str]]
+# A partition column is a plain column name, or (new column, date_trunc unit, timestamp column), or
+# (new column, number of hash parts, column).
+PartitionBy = list[str | tuple[str, str | int, str]]
 
-MARK = struct(batch_id="bigint")
 
-ORDERS_PARTITIONS: PartitionBy = [("created_month", "month", "created_at")]
+class Batch(NamedTuple):
+    """One batch of one stream: the stream's own identity, which a new checkpoint changes, and the batch's number."""
+
+    run: str
+    number: int
+
+
+MARK = struct(run="string", number="bigint")
+
+ORDERS_PARTITIONS: PartitionBy = [("created_date", "day", "created_at")]
+DETAILS_PARTITIONS: PartitionBy = [("detail_part", 64, "detail_id")]
 WEATHER_PARTITIONS: PartitionBy = ["source", ("fetched_date", "day", "fetched_at")]
 
 
@@ -25,16 +38,21 @@ def partition_names(partition_by: PartitionBy) -> list[str]:
 
 
 def with_partitions(df: DataFrame, partition_by: PartitionBy) -> DataFrame:
-    """Add the derived partition columns (first day of the unit, UTC)."""
-    derived = {p[0]: F.to_date(F.date_trunc(p[1], p[2])) for p in partition_by if not isinstance(p, str)}
+    """Add the derived partition columns (first day of the unit, UTC, or part of the hash)."""
+    derived = {p[0]: hash_part(p[2], p[1]) if isinstance(p[1], int) else F.to_date(F.date_trunc(p[1], p[2]))
+               for p in partition_by if not isinstance(p, str)}
     return df.withColumns(derived) if derived else df
 
 
+def hash_part(column: str, parts: int) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(parts)).cast("int")
+
+
 def ensure_table(spark: SparkSession, name: str, schema: T.StructType, partition_by: PartitionBy = ()) -> None:
     """Create the database and the Parquet table unless they are there."""
     if "." in name:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.rsplit('.', 1)[0]}")
-    derived = [f"{p[0]} DATE" for p in partition_by if not isinstance(p, str)]
+    derived = [f"{p[0]} {'INT' if isinstance(p[1], int) else 'DATE'}" for p in partition_by if not isinstance(p, str)]
     columns = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in schema] + derived)
     partitioned = f" PARTITIONED BY ({', '.join(partition_names(partition_by))})" if partition_by else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{partitioned}")
@@ -60,33 +78,43 @@ def register_sources(spark: SparkSession, base: str, tables: list[str]) -> None:
         spark.read.parquet(f"{base}/{table}.parquet").createOrReplaceTempView(table)
 
 
-def publish(df: DataFrame, name: str, base: str) -> str:
-    """Write a new full version, then point the view at it.
+class ChecksFailed(ValueError):
+    """A new version broke its rules; readers still see the one before."""
+
+
+def publish(df: DataFrame, name: str, base: str, checks: Callable[[DataFrame], DataFrame] | None = None) -> str:
+    """Write a new full version, check it, then point the view at it.
 
-    Readers see the old version or the new one, never a mixture, and a failed write
-    changes nothing.
+    Readers see the old version or the new one, never a mixture, and a failed write or
+    check changes nothing. ``checks`` takes the version as written and gives rows with a
+    ``violations`` column.
     """
     version = f"{base}/{name.replace('.', '/')}/version={uuid.uuid4().hex}"
     df.write.parquet(version)
+    if checks:
+        broken = checks(df.sparkSession.read.schema(df.schema).parquet(version)).filter("violations > 0").collect()
+        if broken:
+            raise ChecksFailed(f"{name}: {'; '.join(str(r.asDict()) for r in broken)}")
     df.sparkSession.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{version}`")
     return version
 
 
-def replace_partitions(rows: DataFrame, path: str, partition_cols: list[str], staging: str, batch_id: int = 0) -> None:
+def replace_partitions(rows: DataFrame, path: str, partition_cols: list[str], staging: str, batch: Batch) -> None:
     """Replace exactly the partitions ``rows`` falls into; all others stay as they are.
 
     ``rows`` may be computed from the table itself: it is first written to ``staging``
-    and marked complete with the batch's number. A batch that is repeated after a loss
-    finds its mark and only moves the staged rows again, so it never computes from
-    half-replaced partitions. One staging folder serves all batches of a stream in turn
-    and belongs beside the stream's checkpoint.
+    and marked complete with the stream's identity and the batch's number. A batch that
+    is repeated after a loss finds its mark and only moves the staged rows again, so it
+    never computes from half-replaced partitions; any other batch, of this stream or of
+    one that starts from a new checkpoint, is computed. One staging folder serves all
+    batches of a stream in turn and belongs beside the stream's checkpoint.
     """
     spark = rows.sparkSession
     data, mark = f"{staging}/rows", f"{staging}/complete"
     marks = read_or_empty(spark, mark, MARK)
-    if marks.filter(F.col("batch_id") == batch_id).isEmpty():
+    if marks.filter((F.col("run") == batch.run) & (F.col("number") == batch.number)).isEmpty():
         rows.write.mode("overwrite").parquet(data)
-        spark.createDataFrame([(batch_id,)], MARK).write.mode("overwrite").parquet(mark)
+        spark.createDataFrame([batch], MARK).write.mode("overwrite").parquet(mark)
     staged = read_or_empty(spark, data, rows.schema).select(*rows.columns)
     (
         staged.hint("rebalance", *partition_cols)
@@ -109,11 +137,11 @@ def in_values(df: DataFrame, column: str, values: list) -> DataFrame:
     return df.filter(match | F.col(column).isNull() if None in values else match)
 
 
-def replace_groups(rows: DataFrame, path: str, keys: list[str], partition_col: str, staging: str, batch_id: int) -> None:
-    """Put the newest state of each group into the table, in place of what it held before."""
-    touched = touched_values(rows, partition_col)
-    if not touched:
-        return
-    held = in_values(read_or_empty(rows.sparkSession, path, rows.schema), partition_col, touched)
-    merged = held.join(rows.select(*keys), keys, "left_anti").unionByName(rows)
-    replace_partitions(merged, path, [partition_col], staging, batch_id)
+@contextmanager
+def persisted(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` kept for the jobs inside, and let go whatever happens to them."""
+    kept = df.persist()
+    try:
+        yield kept
+    finally:
+        kept.unpersist()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rainledger.operators.asof import asof_scd2
 from rainledger.operators.latest import latest_state
-from rainledger.plans.gold import consensus_aggregates, order_stats
+from rainledger.plans.gold import order_stats, weather_consensus
 from rainledger.plans.silver import (
     KEYS,
     TRACKED,
@@ -16,121 +16,143 @@ from rainledger.plans.silver import (
     apply_scd2_table,
     latest_changes,
     merge_orders_table,
+    read_weather,
 )
-from rainledger.plans.weather import silver_weather
-from rainledger.schemas import SILVER_PRODUCTS, SILVER_STORES
-from rainledger.sources.tables import replace_groups, replace_partitions, touched_values
+from rainledger.plans.weather import known_sources, silver_weather
+from rainledger.schemas import SILVER_PRODUCTS, SILVER_STORES, SILVER_WEATHER
+from rainledger.sources.paths import read_or_empty
+from rainledger.sources.tables import Batch, in_values, persisted, replace_partitions, touched_values
 from rainledger.streaming.runner import drain_batches, drain_to_parquet
 
 DIMENSIONS = {"products": SILVER_PRODUCTS, "stores": SILVER_STORES}
 STATS_DAY = "order_date"
 CONSENSUS_DAY = "consensus_date"
 STATE_PART = "part"  # the current state of all cities is one small partition
+STATE = ["condition", "temperature", "wind_speed", "humidity"]
 
 
-def stream_orders(events: DataFrame, table: str, work: str, stats: str | None = None) -> None:
+def stream_orders(events: DataFrame, table: str, work: str, stats: str | None = None,
+                  creation_is_fixed: bool = True) -> None:
     """Upsert order events batch by batch; with ``stats``, keep the order statistics fresh too.
 
     A status change moves an order between groups, so the statistics of the days a
     batch touches are computed again from the merged orders and replace those days.
+    Orders keep their creation time, so a batch reads and writes the days its own events
+    name; for a source that changes it, pass ``creation_is_fixed=False``.
     """
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        # read several times below: to find the months, to merge, to find the days
-        source = latest_changes(batch, "orders").drop("source_timestamp").persist()
-        changed = merge_orders_table(table, source, f"{work}/staged/orders", batch_id)
-        if stats:
-            refresh_stats(changed, source, stats, f"{work}/staged/stats", batch_id)
-        source.unpersist()
+    def merge(rows: DataFrame, batch: Batch) -> None:
+        # read several times below: to find the days, to merge, for the statistics
+        with persisted(latest_changes(rows, "orders").drop("source_timestamp")) as source:
+            changed = merge_orders_table(table, source, f"{work}/staged/orders", batch, creation_is_fixed=creation_is_fixed)
+            if stats:
+                refresh_stats(changed, stats, f"{work}/staged/stats", batch)
 
     drain_batches(events, merge, f"{work}/checkpoint")
 
 
-def refresh_stats(changed: DataFrame, source: DataFrame, stats: str, staging: str, batch_id: int = 0) -> None:
-    """Recompute the statistics of the days the source's orders were created on.
-
-    ``changed`` holds the months a merge rewrote, so no other month is read.
-    """
-    dated = changed.withColumn("__day", F.to_date("created_at"))
-    days = touched_values(dated.join(source.select("order_id"), "order_id", "left_semi").dropna(subset="__day"), "__day")
-    replace_partitions(order_stats(dated.filter(F.col("__day").isin(days))), stats, [STATS_DAY], staging, batch_id)
+def refresh_stats(changed: DataFrame, stats: str, staging: str, batch: Batch) -> None:
+    """Recompute the statistics of the days in ``changed``, which holds those days whole."""
+    replace_partitions(order_stats(changed), stats, [STATS_DAY], staging, batch)
 
 
 def stream_order_details(events: DataFrame, table: str, work: str) -> None:
     """Insert unseen order lines batch by batch."""
 
-    def insert(batch: DataFrame, batch_id: int) -> None:
-        source = latest_changes(batch, "order_details").drop("source_timestamp").persist()
-        append_order_details(table, source)
-        source.unpersist()
+    def insert(rows: DataFrame, batch: Batch) -> None:
+        append_order_details(table, latest_changes(rows, "order_details").drop("source_timestamp"))
 
     drain_batches(events, insert, f"{work}/checkpoint")
 
 
-def stream_dimension(events: DataFrame, name: str, table: str, work: str) -> None:
-    """Apply product or store events to their versioned table batch by batch."""
+def stream_dimension(events: DataFrame, name: str, table: str, work: str) -> int:
+    """Apply product or store events to their versioned table batch by batch; how many came too late to count."""
+    late = []
 
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        apply_scd2_table(
-            table, DIMENSIONS[name], latest_changes(batch, name), KEYS[name], TRACKED[name], batch_id,
-            f"{work}/staged/{name}",
-        )
+    def apply(rows: DataFrame, batch: Batch) -> None:
+        late.append(apply_scd2_table(
+            table, DIMENSIONS[name], latest_changes(rows, name), KEYS[name], TRACKED[name], batch, f"{work}/staged/{name}"
+        ))
 
     drain_batches(events, apply, f"{work}/checkpoint")
+    return sum(late)
+
 
+def stream_weather(bronze: DataFrame, table: str, work: str, run_ts: str | None = None, consensus: str | None = None,
+                   state: str | None = None) -> dict[str, int]:
+    """Normalize landed payloads and append each reading once, whenever its copies arrive.
 
-def stream_weather(bronze: DataFrame, table: str, work: str, run_ts: str | None = None) -> None:
-    """Normalize landed payloads and append each reading once, whenever its copies arrive."""
+    With ``consensus`` the hours a batch touches are voted on again, with ``state`` the
+    latest weather of its cities is kept. Gives the rows of unknown sources and the readings
+    without a time, none of which reach the table.
+    """
+    lost = {"unknown_source": 0, "no_time": 0}
 
-    def add(batch: DataFrame, batch_id: int) -> None:
-        append_weather(table, silver_weather(batch, run_ts))
+    def add(rows: DataFrame, batch: Batch) -> None:
+        with persisted(silver_weather(rows, run_ts)) as readings:
+            _add_readings(readings, batch, table, work, consensus, state)
+            lost["no_time"] += readings.filter(F.col("fetched_at").isNull()).count()
+        lost["unknown_source"] += rows.filter(~known_sources()).count()
 
     drain_batches(bronze, add, f"{work}/checkpoint")
+    return lost
 
 
-def deduplicated(weather: DataFrame, delay: str) -> DataFrame:
-    """Readings once per (source, city, fetch time), with state kept only for ``delay``.
+def stream_consensus(weather: DataFrame, table: str, consensus: str, work: str) -> None:
+    """Append normalized readings to ``table`` and keep the hourly consensus of all it holds fresh.
 
-    A copy that arrives later than the delay behind the newest reading is dropped as late.
+    The hours a batch touches are computed again from the table, so no reading is too late.
     """
-    return weather.withWatermark("fetched_at", delay).dropDuplicatesWithinWatermark(
-        ["source", "city_id", "fetched_at"]
-    )
 
+    def add(rows: DataFrame, batch: Batch) -> None:
+        _add_readings(rows, batch, table, work, consensus, None)
 
-def stream_dedup(weather: DataFrame, path: str, work: str, delay: str) -> None:
-    drain_to_parquet(deduplicated(weather, delay), path, f"{work}/checkpoint")
+    drain_batches(weather, add, f"{work}/checkpoint")
 
 
-def stream_consensus(weather: DataFrame, table: str, work: str, delay: str) -> None:
-    """Hourly consensus per city, kept fresh as readings arrive up to ``delay`` late."""
-    hours = (
-        weather.withWatermark("fetched_at", delay)
-        .groupBy("city_id", F.window("fetched_at", "1 hour").alias("hour"))
-        .agg(F.max("city_name").alias("city_name"), *consensus_aggregates())
-        .withColumn("date_hour", F.col("hour.start"))
-        .withColumn(CONSENSUS_DAY, F.to_date("date_hour"))
-        .drop("hour")
-    )
+def _add_readings(readings: DataFrame, batch: Batch, table: str, work: str, consensus: str | None, state: str | None) -> None:
+    days = append_weather(table, readings)
+    if consensus and days:
+        held = in_values(read_weather(readings.sparkSession, table), "fetched_date", days)
+        voted = weather_consensus(held).withColumn(CONSENSUS_DAY, F.to_date("date_hour"))
+        replace_partitions(voted, consensus, [CONSENSUS_DAY], f"{work}/staged/consensus", batch)
+    if state:
+        refresh_state(readings, state, f"{work}/staged/state", batch)
+
 
-    def put(rows: DataFrame, batch_id: int) -> None:
-        changed = rows.persist()  # the state store is read once per batch
-        replace_groups(changed, table, ["city_id", "date_hour"], CONSENSUS_DAY, f"{work}/staged", batch_id)
-        changed.unpersist()
+def refresh_state(readings: DataFrame, state: str, staging: str, batch: Batch) -> None:
+    """Keep the latest reading of each city by reading time, whichever source it came from: one row per city."""
+    cols = ["city_name", *STATE]
+    fields = [f for f in SILVER_WEATHER if f.name in ("city_id", "fetched_at", *cols)]
+    rows = readings.select(*[f.name for f in fields])
+    schema = rows.withColumn(STATE_PART, F.lit(0)).schema
+    held = read_or_empty(readings.sparkSession, state, schema).drop(STATE_PART)
+    newest = latest_state(held.unionByName(rows), "city_id", "fetched_at", cols)
+    replace_partitions(newest.withColumn(STATE_PART, F.lit(0)), state, [STATE_PART], staging, batch)
 
-    drain_batches(hours, put, f"{work}/checkpoint", stateful=True)
 
+def stream_current_state(weather: DataFrame, state: str, work: str) -> None:
+    """The latest weather per city from a stream of normalized readings."""
 
-def stream_current_state(weather: DataFrame, table: str, work: str) -> None:
-    """The latest weather per city by reading time, whichever source it came from: one row of state per city."""
-    state = latest_state(weather, "city_id", "fetched_at", ["condition", "temperature", "wind_speed", "humidity"])
+    def put(rows: DataFrame, batch: Batch) -> None:
+        refresh_state(rows, state, f"{work}/staged", batch)
+
+    drain_batches(weather, put, f"{work}/checkpoint")
+
+
+def deduplicated(weather: DataFrame, delay: str) -> DataFrame:
+    """Readings once per (source, city, fetch time), with state kept only for ``delay``.
+
+    A copy that arrives later than the delay behind the newest reading is dropped as late.
+    """
+    return weather.withWatermark("fetched_at", delay).dropDuplicatesWithinWatermark(
+        ["source", "city_id", "fetched_at"]
+    )
 
-    def put(rows: DataFrame, batch_id: int) -> None:
-        changed = rows.withColumn(STATE_PART, F.lit(0)).persist()
-        replace_groups(changed, table, ["city_id"], STATE_PART, f"{work}/staged", batch_id)
-        changed.unpersist()
 
-    drain_batches(state, put, f"{work}/checkpoint", stateful=True)
+def stream_dedup(weather: DataFrame, path: str, work: str, delay: str) -> int:
+    """Append each reading once; how many readings came too late and were dropped."""
+    return drain_to_parquet(deduplicated(weather, delay), path, f"{work}/checkpoint")
 
 
 def stream_enrich(orders: DataFrame, stores: DataFrame, consensus: DataFrame, path: str, work: str) -> None:

@@ -55,6 +55,22 @@ def test_against_brute_force(spark, bucket):
     assert sorted(rows(asof_scd2(left, spark.createDataFrame(versions, DIM), "k", "at", bucket=bucket), "id", "city")) == want
 
 
+@pytest.mark.parametrize("bucket", [None, "hour", "month"])
+@pytest.mark.parametrize("versions", [5, 400])
+def test_rough_versions_match_alike_at_every_size(spark, bucket, versions):
+    """Overlapping, empty, negative and open intervals, on shallow and on deep keys."""
+    rng, start = random.Random(versions), datetime(2024, 1, 1)
+    dims = []
+    for i in range(versions):
+        lo = start + timedelta(minutes=rng.randrange(8000))
+        hi = lo + timedelta(minutes=rng.choice([-60, 0, 1, 90, 4000]))
+        dims.append((0, i, lo, None if rng.random() < 0.05 else hi, False))
+    facts = [(i, 0, start + timedelta(minutes=rng.randrange(-100, 9000))) for i in range(60)]
+    want = sorted((i, c) for i, _, at in facts for _, c, lo, hi, _ in dims if at >= lo and (hi is None or at < hi))
+    left = spark.createDataFrame(facts, "id int, k int, at timestamp")
+    assert sorted(rows(asof_scd2(left, spark.createDataFrame(dims, DIM), "k", "at", bucket=bucket), "id", "city")) == want
+
+
 def test_overlapping_versions_multiply_in_the_general_join(spark, facts):
     twice = spark.createDataFrame([(1, 1, ts("01 00:00"), None, True), (1, 2, ts("01 00:00"), None, True)], DIM)
     assert len(rows(asof_scd2(facts.filter("id = 'open'"), twice, "k", "at"))) == 2

@@ -4,14 +4,14 @@ import pytest
 
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from rainledger import bindings as b
+from rainledger import catalogue
 from rainledger.plans import gold
 from tests.helpers import plan
 
 SF_DIR = "/root/testdata/sf0.001"
 WRITERS = ("stream_", "bronze_", "published_", "lakehouse_")  # what they return only reads files
-QUERIES = {n: q for n, q in entry.queries().items() if not n.startswith(WRITERS)}
+QUERIES = {n: q for n, q in catalogue.queries().items() if not n.startswith(WRITERS)}
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
@@ -69,3 +69,21 @@ def test_a_hot_order_and_product_are_split(spark):
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_the_consensus_keeps_no_values_per_group(spark):
+    text = plan(gold.weather_consensus(b.weather(spark, SF_DIR)))
+    assert "ObjectHashAggregate" not in text and "collect_set" not in text and "mode(" not in text
+
+
+def test_building_a_plan_runs_nothing(spark):
+    """As-of joins and the fact only start jobs when asked for rows."""
+    inputs = (b.orders(spark, SF_DIR), b.lines(spark, SF_DIR), b.versioned_products(spark, SF_DIR), b.versioned_stores(spark, SF_DIR))
+    weather = b.weather(spark, SF_DIR)
+    spark.sparkContext.setJobGroup("building", "building")
+    try:
+        gold.fact_sales_weather(*inputs, gold.weather_consensus(weather), bucket="day")
+        gold.fact_sales_weather(*inputs, gold.weather_consensus(weather))
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("building")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

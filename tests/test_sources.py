@@ -105,7 +105,7 @@ def test_ensure_and_append(spark):
     assert rows(table.select(*SILVER_WEATHER.names)) == [row, row]
     assert [p.name for p in spark.catalog.listColumns(name) if p.isPartition] == ["source", "fetched_date"]
     tables.ensure_table(spark, "silver_test.orders", SILVER_ORDERS, tables.ORDERS_PARTITIONS)
-    assert "created_month" in spark.table("silver_test.orders").columns
+    assert "created_date" in spark.table("silver_test.orders").columns
 
 
 def test_materialize_and_register(spark, tmp_path):
@@ -131,26 +131,49 @@ def test_publish_keeps_the_old_version_until_the_new_is_complete(spark, tmp_path
 def test_replace_only_touched_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     old = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "v int, p string")
-    tables.replace_partitions(old, path, ["p"], str(tmp_path / "s1"))
+    tables.replace_partitions(old, path, ["p"], str(tmp_path / "s1"), tables.Batch("a", 0))
     untouched = {f.name for f in (tmp_path / "t" / "p=b").iterdir()}
     # computed from the table it replaces
     table = spark.read.schema("v int, p string").parquet(path)
     new = table.filter("p = 'a' OR p IS NULL").withColumn("v", F.col("v") * 10)
-    tables.replace_partitions(new, path, ["p"], str(tmp_path / "s2"), 7)
+    tables.replace_partitions(new, path, ["p"], str(tmp_path / "s2"), tables.Batch("a", 7))
     again = spark.read.schema("v int, p string").parquet(path)
     want = sorted([(10, "a"), (2, "b"), (30, None)], key=repr)
     assert rows(again) == want
     assert {f.name for f in (tmp_path / "t" / "p=b").iterdir()} == untouched
     # repeating the batch moves the staged rows again instead of computing from the new table
     changed = again.filter("p = 'a'").withColumn("v", F.col("v") * 10)
-    tables.replace_partitions(changed, path, ["p"], str(tmp_path / "s2"), 7)
+    tables.replace_partitions(changed, path, ["p"], str(tmp_path / "s2"), tables.Batch("a", 7))
     assert rows(spark.read.schema("v int, p string").parquet(path)) == want
     # the next batch uses the same staging folder for its own rows
     changed = spark.read.schema("v int, p string").parquet(path).filter("p = 'a'").withColumn("v", F.col("v") * 10)
-    tables.replace_partitions(changed, path, ["p"], str(tmp_path / "s2"), 8)
+    tables.replace_partitions(changed, path, ["p"], str(tmp_path / "s2"), tables.Batch("a", 8))
     assert rows(spark.read.schema("v int, p string").parquet(path)) == sorted([(100, "a"), (2, "b"), (30, None)], key=repr)
 
 
+def test_another_stream_with_the_same_batch_number_is_computed(spark, tmp_path):
+    path, staging = str(tmp_path / "t"), str(tmp_path / "s")
+    for run, value in (("a", 1), ("b", 2)):
+        rows_in = spark.createDataFrame([(value, run)], "v int, p string")
+        tables.replace_partitions(rows_in, path, ["p"], staging, tables.Batch(run, 0))
+    assert rows(spark.read.schema("v int, p string").parquet(path)) == [(1, "a"), (2, "b")]
+
+
+def test_a_failing_check_keeps_the_old_view(spark, tmp_path):
+    at_most_two = lambda df: df.selectExpr("'rows' as rule", "count(*) as n").selectExpr("rule", "greatest(n - 2, 0) as violations")
+    tables.publish(spark.range(2), "checked", str(tmp_path), at_most_two)
+    with pytest.raises(tables.ChecksFailed, match="rows"):
+        tables.publish(spark.range(3), "checked", str(tmp_path), at_most_two)
+    assert spark.table("checked").count() == 2
+
+
+def test_persisted_rows_are_let_go_when_a_job_fails(spark):
+    with pytest.raises(RuntimeError), tables.persisted(spark.range(3)) as kept:
+        assert kept.count() == 3
+        raise RuntimeError
+    assert not kept.is_cached
+
+
 def test_work_dir_comes_from_the_session(spark):
     assert work_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch(spark, "x").startswith(work_dir(spark)) and scratch(spark, "x") != scratch(spark, "x")

@@ -7,11 +7,14 @@ from rainledger import bindings as b
 from rainledger import jobs
 from rainledger.plans import gold, silver
 from rainledger.plans.weather import silver_weather
-from rainledger.schemas import SILVER_ORDER_DETAILS, SILVER_ORDERS, SILVER_PRODUCTS, SILVER_STORES
+from rainledger.schemas import SILVER_ORDER_DETAILS, SILVER_ORDERS, SILVER_PRODUCTS, SILVER_STORES, SILVER_WEATHER
 from rainledger.session import scratch
 from rainledger.sources.cdc import read_cdc_stream
+from rainledger.sources.paths import read_or_empty
+from rainledger.sources.tables import DETAILS_PARTITIONS, Batch, ChecksFailed, in_values, with_partitions
 from rainledger.streaming import pipelines
-from tests.helpers import rows, ts
+from rainledger.streaming.runner import drain_batches
+from tests.helpers import plan, rows, ts
 
 SF_DIR = "/root/testdata/sf0.001"
 SPLITS = ["2024-01-05", "2024-01-12", "2024-01-20", "2024-02-20"]
@@ -53,29 +56,29 @@ def test_repeated_order_batch_changes_nothing(spark, work):
     path = f"{work}/orders"
     for i, part in enumerate((first, second, second)):
         source = silver.latest_changes(part, "orders").drop("source_timestamp")
-        silver.merge_orders_table(path, source, f"{work}/staged", min(i, 1))
+        silver.merge_orders_table(path, source, f"{work}/staged", Batch("run", min(i, 1)))
         if i == 1:
             once = rows(silver.read_orders(spark, path))
     assert rows(silver.read_orders(spark, path)) == once
 
 
-def test_old_months_are_not_rewritten(spark, work, tmp_path):
+def test_old_days_are_not_rewritten(spark, work, tmp_path):
     path = str(tmp_path / "orders")
     def order(key, month, status, minute):
         at = ts("01 00:00").replace(month=month)
         return (key, 1, 1, "Delivery", status, 1.0, at, at.replace(minute=minute))
     def put(batch, *orders):
         source = spark.createDataFrame(list(orders), SILVER_ORDERS)
-        return silver.merge_orders_table(path, source, f"{work}/{batch}")
-    put("a", order("jan", 1, "Pending", 0), order("feb", 2, "Pending", 0))
-    january = {f.name for f in (tmp_path / "orders" / "created_month=2024-01-01").iterdir()}
-    changed = put("b", order("feb", 2, "Completed", 5), order("mar", 3, "Pending", 0))
+        return silver.merge_orders_table(path, source, f"{work}/staged", Batch("run", batch))
+    put(0, order("jan", 1, "Pending", 0), order("feb", 2, "Pending", 0))
+    january = {f.name for f in (tmp_path / "orders" / "created_date=2024-01-01").iterdir()}
+    changed = put(1, order("feb", 2, "Completed", 5), order("mar", 3, "Pending", 0))
     assert rows(changed, "order_id", "status") == [("feb", "Completed"), ("mar", "Pending")]
-    assert {f.name for f in (tmp_path / "orders" / "created_month=2024-01-01").iterdir()} == january
+    assert {f.name for f in (tmp_path / "orders" / "created_date=2024-01-01").iterdir()} == january
     # an update that carries another creation time still finds its order and leaves that time alone
     moved = order("feb", 5, "Cancelled", 0)
-    changed = put("c", moved)
-    assert rows(silver.read_orders(spark, path), "order_id", "status", "created_month")[0][:2] == ("feb", "Cancelled")
+    changed = put(2, moved)
+    assert rows(silver.read_orders(spark, path), "order_id", "status", "created_date")[0][:2] == ("feb", "Cancelled")
     assert silver.read_orders(spark, path).filter("order_id = 'feb'").count() == 1
 
 
@@ -90,7 +93,7 @@ def test_order_details(spark, work):
     target = spark.createDataFrame([], SILVER_ORDER_DETAILS)
     for part in (first, second):
         target = silver.silver_order_details(target, part)
-    assert rows(spark.read.parquet(work_dir)) == rows(target)
+    assert rows(spark.read.parquet(work_dir).select(*target.columns)) == rows(target)
 
 
 @pytest.mark.parametrize("name, events, schema", [
@@ -104,8 +107,9 @@ def test_dimensions(spark, work, name, events, schema):
         target = step(target, part)
     table = silver.scd2_table(spark, f"{work}/dim", schema)
     assert rows(table, *schema.names) == rows(target)
-    # closed versions lie with the batch that closed them
-    assert rows(table.filter("is_current").select("closed_in").distinct()) == [(-1,)]
+    # open versions lie with others of their hash, closed ones with those of their month
+    assert table.filter("is_current AND slot >= 32").count() == 0
+    assert rows(table.filter("NOT is_current").select(F.col("slot") - F.date_format("valid_to", "yyyyMM")).distinct()) == [(0,)]
 
 
 def test_repeated_dimension_batch_changes_nothing(spark, work):
@@ -113,7 +117,7 @@ def test_repeated_dimension_batch_changes_nothing(spark, work):
     for i, part in enumerate(slices(b.product_cdc(spark, SF_DIR), "source_timestamp")):
         for _ in range(2):
             silver.apply_scd2_table(path, SILVER_PRODUCTS, silver.latest_changes(part, "products"), "product_id",
-                                    silver.TRACKED["products"], i, f"{work}/staged")
+                                    silver.TRACKED["products"], Batch("run", i), f"{work}/staged")
     target = spark.createDataFrame([], SILVER_PRODUCTS)
     for part in slices(b.product_cdc(spark, SF_DIR), "source_timestamp"):
         target = silver.silver_products(target, part)
@@ -145,17 +149,20 @@ def test_dedup_keeps_late_readings_within_the_delay_only(spark, work):
     for batch in batches:
         spark.createDataFrame(batch, READING).coalesce(1).write.mode("append").parquet(f"{work}/landing")
         stream = parquet_stream(spark, f"{work}/landing", READING)
-        pipelines.stream_dedup(stream, f"{work}/weather", work, "2 hours")
+        dropped = pipelines.stream_dedup(stream, f"{work}/weather", work, "2 hours")
+    assert dropped == 1
     assert rows(spark.read.parquet(f"{work}/weather"), "fetched_at") == [
         (ts(t),) for t in ("01 10:00", "01 11:00", "01 12:00", "02 00:00", "02 01:00")]
 
 
-def test_consensus_updates_open_hours(spark, work):
-    weather = b.weather(spark, SF_DIR)
-    for part in slices(weather, "fetched_at"):
+@pytest.mark.parametrize("late", [False, True])
+def test_consensus_counts_every_reading(spark, work, late):
+    weather = b.weather(spark, SF_DIR).withColumn("ingested_at", F.current_timestamp())
+    parts = list(slices(weather, "fetched_at"))
+    for part in reversed(parts) if late else parts:
         part.write.mode("append").parquet(f"{work}/landing")
         stream = parquet_stream(spark, f"{work}/landing", weather.schema)
-        pipelines.stream_consensus(stream, f"{work}/consensus", work, "2 hours")
+        pipelines.stream_consensus(stream, f"{work}/weather", f"{work}/consensus", work)
     want = gold.weather_consensus(weather)
     got = spark.read.parquet(f"{work}/consensus")
     keys = ["city_id", "date_hour", "city_name", "majority_condition", "source_count"]
@@ -178,8 +185,9 @@ def test_enrichment(spark, work):
 
 def test_current_state_follows_reading_time(spark, work):
     def read(city, at, condition):
-        return (city, ts(at), condition, 20.0, 1.0, 50)
-    ddl = "city_id int, fetched_at timestamp, condition string, temperature double, wind_speed double, humidity int"
+        return (city, f"CITY_{city}", ts(at), condition, 20.0, 1.0, 50)
+    ddl = ("city_id int, city_name string, fetched_at timestamp, condition string, temperature double, "
+           "wind_speed double, humidity int")
     for batch in ([read(1, "02 10:00", "Rain"), read(2, "01 10:00", "Fog")],
                   [read(1, "02 09:00", "Clear"), read(2, "03 10:00", "Clear"), read(3, "01 00:00", "Snow")]):
         spark.createDataFrame(batch, ddl).write.mode("append").parquet(f"{work}/landing")
@@ -187,6 +195,69 @@ def test_current_state_follows_reading_time(spark, work):
     assert rows(spark.read.parquet(f"{work}/state"), "city_id", "condition") == [(1, "Rain"), (2, "Clear"), (3, "Snow")]
 
 
+def test_null_keys_are_appended_once(spark, work):
+    reading = (None, "Hanoi", None, ts("02 10:00"), 1.0, 2, 3.0, 4.0, "Rain", ts("02 11:00"))
+    other = (None, "Hanoi", "openmeteo", ts("02 10:00"), 1.0, 2, 3.0, 4.0, "Rain", ts("02 11:00"))
+    for batch in ([reading], [reading, other], [reading]):
+        silver.append_weather(f"{work}/weather", spark.createDataFrame(batch, SILVER_WEATHER))
+    assert silver.read_weather(spark, f"{work}/weather").count() == 2
+    line = (None, "1", 2, 3, 4.0, 5.0)
+    for _ in range(2):
+        silver.append_order_details(f"{work}/details", spark.createDataFrame([line, ("1-1", *line[1:])], SILVER_ORDER_DETAILS))
+    assert spark.read.parquet(f"{work}/details").count() == 2
+
+
+def test_a_stream_that_starts_over_neither_skips_nor_repeats(spark, work):
+    """The checkpoint is reset while the staging folder and the table stay."""
+    first, second, *_ = slices(b.order_cdc(spark, SF_DIR), "source_timestamp")
+    for part, checkpoint in ((first, "c1"), (second, "c2")):
+        part.write.mode("append").parquet(f"{work}/landing")
+        stream = read_cdc_stream(spark, f"{work}/landing", "orders", "parquet")
+
+        def merge(rows_in, batch):
+            source = silver.latest_changes(rows_in, "orders").drop("source_timestamp")
+            silver.merge_orders_table(f"{work}/orders", source, f"{work}/staged", batch)
+
+        drain_batches(stream, merge, f"{work}/{checkpoint}")
+    target = silver.silver_orders(spark.createDataFrame([], SILVER_ORDERS), first.unionByName(second))
+    assert rows(silver.read_orders(spark, f"{work}/orders"), *SILVER_ORDERS.names) == rows(target)
+
+
+def test_a_small_batch_reads_its_own_partitions_and_shuffles_no_table(spark, work):
+    products = b.product_cdc(spark, SF_DIR)
+    silver.apply_scd2_table(f"{work}/dim", SILVER_PRODUCTS, silver.latest_changes(products, "products"), "product_id",
+                            silver.TRACKED["products"], Batch("a", 0), f"{work}/staged")
+    held = silver.open_slots(spark, f"{work}/dim", SILVER_PRODUCTS, [3])
+    few = silver.latest_changes(products, "products").limit(1)
+    text = plan(silver.scd2_changes(held, few, "product_id", silver.TRACKED["products"]))
+    assert "slot" in text.split("PartitionFilters")[1].splitlines()[0] and "LeftOuter" in text and "FullOuter" not in text
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    silver.append_order_details(f"{work}/details", silver.latest_changes(b.order_detail_cdc(spark, SF_DIR), "order_details").drop("source_timestamp"))
+    schema = with_partitions(spark.createDataFrame([], SILVER_ORDER_DETAILS), DETAILS_PARTITIONS).schema
+    text = plan(in_values(read_or_empty(spark, f"{work}/details", schema), "detail_part", [3]))
+    assert "detail_part" in text.split("PartitionFilters")[1].splitlines()[0]
+
+
+def test_jobs_count_what_they_leave_out_and_start_where_told(spark, work):
+    bronze = b.bronze(spark, SF_DIR).limit(20)
+    odd = bronze.limit(3).withColumn("source", F.lit("unknown")).unionByName(bronze.limit(2).withColumn("fetched_at", F.lit("no time")))
+    bronze.unionByName(odd).withColumn("year", F.lit(2024)).write.partitionBy("source", "year").parquet(f"{work}/bronze/weather")
+    lost = jobs.silver_weather(spark, f"{work}/bronze", f"{work}/lake")
+    assert lost == {"unknown_source": 3, "no_time": 2}
+    b.store_cdc(spark, SF_DIR).write.parquet(f"{work}/bronze/cdc/stores")
+    assert jobs.silver_cdc(spark, f"{work}/bronze", f"{work}/lake", "parquet", since="2024-01-20") == {"stores": 0}
+    kept = jobs.silver_tables(spark, f"{work}/lake")["stores"]
+    assert kept.filter("valid_from <= '2024-01-20'").count() == 0 and kept.count() > 0
+
+
+def test_gold_is_not_published_over_a_broken_dimension(spark, work):
+    twice = [(1, 1, 1, ts("01 00:00"), None, True, 0), (1, 2, 1, ts("02 00:00"), None, True, 0)]
+    schema = silver.scd2_table(spark, f"{work}/none", SILVER_STORES).schema
+    spark.createDataFrame(twice, schema).write.partitionBy("is_current", "slot").parquet(f"{work}/lake/silver/stores")
+    with pytest.raises(ChecksFailed, match="several_open"):
+        jobs.build_gold(spark, f"{work}/lake", "broken_")
+
+
 def test_jobs_wait_for_folders_that_are_not_there(spark, work):
     jobs.silver_weather(spark, f"{work}/bronze", f"{work}/lake")
     jobs.silver_cdc(spark, f"{work}/bronze", f"{work}/lake", "parquet")
