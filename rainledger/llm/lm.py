@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 
 from rainledger.llm.common import stored, texts_of
 
-UNIT_BYTES = 12 << 20  # of words
-EM_ROUNDS = 40
-EM_CLOSE = 1e-4
+UNIT_BYTES = 5 << 20  # of words; a task holds a unit, about thirty times that
+EM_ROUNDS = 30
+EM_CLOSE = 1e-3
 LEAST_UNIFORM = 1e-6  # so that an unseen word never has probability 0
 COUNT, TUNE, HELD_OUT = 0, 1, 2
 EDGE = b"\n"  # stands before the first word and is the end token; no word holds it
@@ -100,13 +100,14 @@ def _scramble(x: np.ndarray) -> np.ndarray:
 def read_unit(data: bytes) -> Unit:
     words = zlib.decompress(data).split(b" ")
     numbers = {w: i for i, w in enumerate(dict.fromkeys(words))}
-    tokens = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
+    tokens = np.fromiter(map(numbers.__getitem__, words), np.int32, len(words))
+    del words
     hashes = np.fromiter(map(xxhash.xxh64_intdigest, numbers), np.uint64, len(numbers))
     word_hashes, word_of = np.unique(hashes, return_inverse=True)
     counts = np.bincount(word_of[tokens[1:]], minlength=len(word_hashes))  # the first edge is no token
-    left, right = hashes[tokens[:-1]], hashes[tokens[1:]]
-    pairs = _scramble(left * np.uint64(3) + _MIX) + _scramble(right)
-    pair_hashes, pair_of, pair_counts = np.unique(_scramble(pairs), return_inverse=True, return_counts=True)
+    left, right = _scramble(hashes * np.uint64(3) + _MIX), _scramble(hashes)  # the order of a pair counts
+    pairs = _scramble(left[tokens[:-1]] + right[tokens[1:]])
+    pair_hashes, pair_of, pair_counts = np.unique(pairs, return_inverse=True, return_counts=True)
     return Unit(tokens, word_of, word_hashes, counts, pair_of, pair_hashes, pair_counts)
 
 
@@ -143,7 +144,7 @@ def statements(table: DataFrame, bits: int) -> DataFrame:
     return narrow.mapInArrow(run, "bucket bigint, unit bigint, part int, hashes array<bigint>, counts array<int>")
 
 
-_ANSWER = "bucket bigint, unit bigint, counted array<bigint>, tuned array<bigint>, n_known bigint, n_counted bigint"
+_ANSWER = "bucket bigint, unit bigint, part int, counted array<bigint>, tuned array<bigint>, n_known bigint, n_counted bigint"
 
 
 def answers(stated: DataFrame) -> DataFrame:
@@ -168,6 +169,7 @@ def answers(stated: DataFrame) -> DataFrame:
             {
                 "bucket": pa.array([group["bucket"][0].as_py()] * (rows + 1), pa.int64()),
                 "unit": pa.array([*group["unit"].to_pylist(), None], pa.int64()),
+                "part": pa.array([*group["part"].to_pylist(), None], pa.int32()),
                 "counted": told[0],
                 "tuned": told[1],
                 "n_known": pa.array([*none, int((sums[0] + sums[1] > 0).sum())], pa.int64()),
@@ -195,7 +197,10 @@ def frequency_bucket(count):
 
 
 def tuning_events(table: DataFrame, told: DataFrame) -> DataFrame:
-    """``bucket, pair, context, word, n``: how often tuning documents have a pair with such counts in the counted ones."""
+    """``bucket, pair, context, word, n``: how often tuning documents have a pair with such counts in the counted ones.
+
+    Beyond its bucket, the context only matters where the pair was counted; else it is given as 0.
+    """
 
     def run(unit: pa.Table, answer: pa.Table) -> pa.Table:
         data = read_unit(unit["words"][0].as_py())
@@ -204,13 +209,16 @@ def tuning_events(table: DataFrame, told: DataFrame) -> DataFrame:
         events = np.stack(
             [pairs, words[data.word_of[data.tokens[first]]], words[data.word_of[data.tokens[first + 1]]]], axis=1
         )
-        kinds, where = np.unique(events, axis=0, return_inverse=True)
-        n = np.bincount(where.ravel(), data.pair_counts, len(kinds)).astype(np.int64)
-        return pa.table({"bucket": frequency_bucket(kinds[:, 1]), "pair": kinds[:, 0], "context": kinds[:, 1], "word": kinds[:, 2], "n": n})
+        bucket = frequency_bucket(events[:, 1])
+        events[events[:, 0] == 0, 1] = 0
+        names = ["bucket", "pair", "context", "word"]
+        columns = [pa.array(np.ascontiguousarray(c)) for c in (bucket, *events.T)]
+        made = pa.table([*columns, pa.array(data.pair_counts.astype(np.int64))], names=[*names, "n"])
+        return made.group_by(names).aggregate([("n", "sum")]).rename_columns({"n_sum": "n"}).select([*names, "n"])
 
     schema = "bucket bigint, pair bigint, context bigint, word bigint, n bigint"
     mine = table.where(F.col("part") == TUNE).select("unit", "words").groupBy("unit")
-    events = mine.cogroup(told.groupBy("unit")).applyInArrow(_both(run, schema), schema)
+    events = mine.cogroup(told.where(F.col("part") == TUNE).groupBy("unit")).applyInArrow(_both(run, schema), schema)
     return events.groupBy("bucket", "pair", "context", "word").agg(F.sum("n").alias("n"))
 
 
@@ -235,7 +243,14 @@ def learn_weights(events: DataFrame, n_tokens: int, n_words: int) -> dict[int, t
     """
     pair = F.when(F.col("context") > 0, F.col("pair") / F.col("context")).otherwise(0.0)
     word = F.col("word") / F.lit(float(max(n_tokens, 1)))
-    shares = stored(events.select("bucket", pair.alias("pair"), word.alias("word"), "n"), "tuning")
+    shares = stored(events.select("bucket", pair.alias("pair"), word.alias("word"), "n"), "tuning").persist()
+    try:
+        return _weights(shares, n_words)
+    finally:
+        shares.unpersist()
+
+
+def _weights(shares: DataFrame, n_words: int) -> dict[int, tuple[float, float, float]]:
     buckets = sorted(r[0] for r in shares.select("bucket").distinct().collect())
     weights = {b: (1 / 3, 1 / 3, 1 / 3) if b else (0.0, 0.5, 0.5) for b in buckets}
     uniform = 1 / (n_words + 1)
@@ -291,7 +306,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit_
     n_words, n_counted_words = known[0] or 0, known[1] or 0
     tokens = {r["part"]: r["n"] for r in table.groupBy("part").agg(F.sum("n_tokens").alias("n")).collect()}
     counted, tuned = tokens.get(COUNT, 0), tokens.get(TUNE, 0)
-    told = told.where("unit is not null").select("unit", "bucket", "counted", "tuned")
+    told = told.where("unit is not null").select("unit", "part", "bucket", "counted", "tuned")
     weights = learn_weights(tuning_events(table, told), counted, n_counted_words)
     return _scored(table, told, weight_table(weights), counted + tuned, n_words)
 

@@ -36,11 +36,7 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     captured = F.timestamp_seconds(F.lit(1_704_067_200) + F.coalesce("page_id", F.lit(0)))
     warc.write_archives(pages, path, captured)
     index = warc.merge_runs(warc.read_runs(spark, path))
-    return index.select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
-        "url_key", "captured", F.col("run").alias("archive"), F.col("offset").alias("record_offset"),
-        F.col("length").alias("record_length"),
-    )
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
