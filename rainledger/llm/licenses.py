@@ -175,14 +175,15 @@ def scan(
     found = stored(scanned(rowed, text_col, phrases, vocabulary, least), "license-blocks")
     blocks = found.select(F.col(row).alias("row"), F.posexplode("blocks").alias("block", "tokens"))
     matches = matching_blocks(blocks, template_table(spark, templates), threshold)
-    labels = matches.groupBy("row").agg(F.collect_set("label").alias("more"), F.max("score").alias("best"))
-    joined = found.join(labels.withColumnRenamed("row", row), row, "left")
-    every = F.array_sort(F.array_union("base", F.coalesce("more", F.array().cast("array<string>"))))
+    more, best = free_name(found, "more"), free_name(found, "best")
+    labels = matches.groupBy(F.col("row").alias(row)).agg(F.collect_set("label").alias(more), F.max("score").alias(best))
+    joined = found.join(labels, row, "left")
+    every = F.array_sort(F.array_union("base", F.coalesce(more, F.array().cast("array<string>"))))
     phrase_score = F.when(F.col("n_base") > 0, 1.0).otherwise(0.0)
     return joined.select(
         *rest,
         *_NAMES[:4],
         F.array_join("base", ",").alias("base_labels"),
         F.array_join(every, ",").alias("labels"),
-        F.greatest(phrase_score, F.coalesce("best", F.lit(0.0))).alias("score"),
+        F.greatest(phrase_score, F.coalesce(best, F.lit(0.0))).alias("score"),
     )

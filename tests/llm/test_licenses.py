@@ -31,11 +31,11 @@ def test_notices_and_edited_notices(spark, tables):
             words[rng.randrange(len(words))] = "edited"
         rows.append((i, f"some line\n{' '.join(words).upper()} and more words\nBY CC by-nc by CC BY NC\ncc by nc"))
     rows.append((900, "licensed under the mit\nlicense"))  # a phrase over two lines, no block
-    docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "1 as LABELS", "2 as row", "3 as blocks")
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "1 as LABELS", "2 as row", "3 as blocks", "4 as best", "5 as More")
     out = licenses.scan(docs)
     got = rounded(tuple(r[c] for c in COLUMNS) for r in out.collect())
     assert got == rounded(brute.op6(rows, licenses.PHRASES, licenses.TEMPLATES, licenses.THRESHOLD))
-    assert out.columns == ["doc_id", "row", *COLUMNS[1:]]
+    assert out.columns == ["doc_id", "row", "best", "More", *COLUMNS[1:]]
 
 
 @pytest.mark.parametrize("threshold", [0.3, 0.5, 1.0])
