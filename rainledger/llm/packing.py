@@ -18,11 +18,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rainledger.llm.common import chunks, free_name, stored
+from rainledger.llm.common import chunks, stored
 from rainledger.llm.tokens import encoder
 
 TEXT_BATCH = 1 << 20  # characters that are encoded at a time
-_PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint"
+_PIECES = "row bigint, doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint"
 _NEVER = np.iinfo(np.int64).max
 
 
@@ -88,11 +88,11 @@ def pack_lengths(lengths: list[int], capacity: int) -> list[list[int]]:
 
 
 def pieces(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, capacity: int, end_id: int, with_ids: bool) -> DataFrame:
-    """A row per piece; those that fill a sequence already have their ``sequence_id`` (negative)."""
+    """A numbered row per piece; those that fill a sequence already have their ``sequence_id`` (negative)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = encoder(tokenizer).encode, np.array([end_id], "<u4").tobytes()
-        whole = (TaskContext.get().partitionId() << 33) + 1
+        row = TaskContext.get().partitionId() << 33
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
             texts = [t or "" for t in batch.column(1).to_pylist()]
@@ -102,10 +102,8 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, capacity
                     ids += end
                     for k, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
                         part = ids[4 * start : 4 * (start + length)]
-                        alone = None
-                        if length == capacity:
-                            alone, whole = -whole, whole + 1
-                        rows.append((doc_id, k, start, length, zlib.crc32(part), alone))
+                        row += 1
+                        rows.append((row, doc_id, k, start, length, zlib.crc32(part), -row if length == capacity else None))
                         payload.append(part)
                 columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _ARROW, strict=True)]
                 if with_ids:
@@ -119,7 +117,7 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, capacity
     return docs.select(F.col(id_col).cast("bigint"), F.col(text_col).cast("string")).mapInArrow(run, schema)
 
 
-_ARROW = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+_ARROW = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
 
 
 def pack(
@@ -140,13 +138,11 @@ def pack(
     empty table gives no rows.
     """
     table = stored(pieces(docs, tokenizer, id_col, text_col, capacity, end_id, with_ids), "pieces")
-    row = free_name(table, "row")
-    table = table.withColumn(row, F.monotonically_increasing_id())
     open_pieces = table.where("sequence_id is null")
     groups = -(-open_pieces.count() // group_rows) or 1
 
     def place(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(row, kind="stable")
+        group = group.sort_values("row")
         lengths = group["length"].tolist()
         sequence, offset = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
         first = int(group["part"].iloc[0]) << 32
@@ -154,15 +150,15 @@ def pack(
             at = 0
             for i in members:
                 sequence[i], offset[i], at = first + k, at, at + lengths[i]
-        return pd.DataFrame({row: group[row].to_numpy(), "sequence_id": sequence, "offset": offset})
+        return pd.DataFrame({"row": group["row"].to_numpy(), "sequence_id": sequence, "offset": offset})
 
-    part = F.pmod(F.xxhash64("doc_id", "piece", row), F.lit(groups)).cast("int")
+    part = F.pmod(F.xxhash64("row"), F.lit(groups)).cast("int")
     placed = (
-        open_pieces.select(row, "length", part.alias("part"))
+        open_pieces.select("row", "length", part.alias("part"))
         .groupBy("part")
-        .applyInPandas(place, f"{row} bigint, sequence_id bigint, offset bigint")
+        .applyInPandas(place, "row bigint, sequence_id bigint, offset bigint")
     )
-    packed = open_pieces.drop("sequence_id").join(placed, row)
+    packed = open_pieces.drop("sequence_id").join(placed, "row")
     alone = table.where("sequence_id is not null").withColumn("offset", F.lit(0).cast("bigint"))
     columns = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] + ["ids"] * with_ids
     return alone.select(columns).unionAll(packed.select(columns))
