@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import shutil
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -36,9 +38,32 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.option("compression", "zstd").parquet(path)
+    for made in _collectors:
+        made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_collectors: list[list[str]] = []
+
+
+@contextmanager
+def collected(made: list[str]) -> Iterator[None]:
+    """Add the folders of all tables that are ``stored`` inside to ``made``, for ``discard``."""
+    _collectors.append(made)
+    try:
+        yield
+    finally:
+        _collectors.remove(made)
+
+
+def discard(spark: SparkSession, made: list[str]) -> None:
+    """Delete tables that no result needs any more."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    while made:
+        path = hadoop.Path(made.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, or ``name`` with underscores before it if ``df`` has such a column in any case."""
     taken = {c.lower() for c in df.columns}
