@@ -13,7 +13,7 @@ MAX_ROUNDS = 60
 def _large_star(edges: DataFrame) -> DataFrame:
     """Link each node's larger neighbours to the smallest node around it, itself included."""
     both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
+    least = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least")), "least")
     return (
         both.where("b > a").join(least, "a").select(F.col("least").alias("a"), "b").where("a <> b").distinct()
     )
@@ -21,7 +21,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Link each node and its smaller neighbours to the smallest of them."""
-    least = edges.groupBy("b").agg(F.min("a").alias("least"))
+    least = stored(edges.groupBy("b").agg(F.min("a").alias("least")), "least")
     joined = edges.join(least, "b")
     smaller = joined.where("a <> least").select(F.col("least").alias("a"), F.col("a").alias("b"))
     return smaller.unionAll(least.select(F.col("least").alias("a"), "b")).distinct()
@@ -31,14 +31,15 @@ def components(links: DataFrame) -> DataFrame:
     """``node, root`` for every node of ``links`` (``a, b`` long); the root is the component's smallest node.
 
     Alternating large and small stars (Kiveris et al.), which end when each component is a star; a path of n nodes takes
-    some log n rounds. A node's neighbours are only aggregated and joined, never gathered. Each
+    some log n rounds. A node's neighbours are only aggregated and joined, never gathered; as the
+    minima are tables of their own, Spark can split the join of a node with very many. Each
     round is written to the shared folder, so lost executors do not set it back.
     """
     low, high = F.least("a", "b"), F.greatest("a", "b")
     edges = stored(links.select(low.alias("a"), high.alias("b")).where("a <> b").distinct(), "links")
     state = None
     for _ in range(MAX_ROUNDS):
-        edges = stored(_small_star(_large_star(edges)), "stars")
+        edges = stored(_small_star(stored(_large_star(edges), "stars")), "stars")
         now = edges.agg(F.count(F.lit(1)), F.sum(F.hash("a", "b").cast("long")), F.sum(F.xxhash64("a").bitwiseAND(0xFFFFFFFF))).first()
         if now == state:
             break

@@ -261,8 +261,8 @@ def near_duplicates(
     table = stored(with_fingerprint(docs.withColumn(text_col, F.col(text_col).cast("string")), text_col, width, fp), "fingerprints")
     classes = stored(table.groupBy(F.col(fp).alias("fp")).agg(F.min(id_col).alias("least")), "classes")
     roots = components(links(classes, threshold, block=block)).withColumnRenamed("node", "fp")
-    rooted = classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    rooted = stored(classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "roots")
+    smallest = stored(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "smallest")
     labelled = rooted.join(smallest, "root").select(F.col("fp").alias(fp), "component_id")
     digits = F.lower(F.lpad(F.hex(fp), 16, "0"))
     return table.join(labelled, fp).select(*[c for c in docs.columns if c != text_col], digits.alias("fingerprint"), "component_id")
