@@ -96,6 +96,7 @@ def repeated_spans(docs: DataFrame, row: str, id_col: str, text_col: str, min_wo
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("row"), F.col("place"))
     every = table.select("row", "doc_id", F.posexplode("digests").alias("place", "digest"))
     first = every.groupBy("digest").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    first = stored(first, "first-units")  # a table, so that Spark can split the join of a digest that is everywhere
     repeats = every.join(first.select("digest", "first"), "digest").where(
         (F.col("row") != F.col("first.row")) | (F.col("place") != F.col("first.place"))
     )
