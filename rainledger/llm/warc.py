@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rainledger.llm.common import stored
+
 RECORD_END = "\r\n\r\n"
 FILE_BYTES = 16 << 20  # about; a reader holds a whole file
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -61,6 +63,7 @@ def records(pages: DataFrame, id_col: str, url_col: str, payload_col: str, time_
     full = narrow.withColumns({"digest": F.sha2("payload", 256), "size": F.octet_length("payload")})
     groups = full.where(F.col("size") >= min_bytes).groupBy("digest")
     first = groups.agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    first = stored(first, "first-pages")
     marked = full.join(first, "digest", "left")
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     head = F.concat(
