@@ -166,7 +166,7 @@ def verdicts(
     are removed is depleted with fewer than ``left_words`` words or less than ``left_share`` of them left.
     """
     profiles = stored(profile(docs, row, host_col, text_col, list(carry)), "line-profiles")
-    frequent = frequent_lines(profiles, share, least_docs)
+    frequent = stored(frequent_lines(profiles, share, least_docs), "frequent-lines")  # a join with it can be split
     lines = profiles.select("row", "host", F.explode("lines").alias("line")).select("row", "host", "line.hash", "line.words")
     removed = (
         lines.join(frequent, ["host", "hash"])
