@@ -137,8 +137,8 @@ def spread(prints: DataFrame, threshold: int) -> DataFrame:
 def dealt(spread_out: DataFrame, block: int) -> DataFrame:
     """``spread_out`` with ``cell`` after the anchor: anchors with over ``block`` homes or replicas become cells of at most about that many of each.
 
-    Each home meets each replica of its anchor in exactly one cell. Fingerprints, or
-    nodes, are distinct, so their hash deals them evenly.
+    Each home meets each replica of its anchor in exactly one cell. Fingerprints are
+    distinct, so their hash deals them evenly.
     """
     sizes = spread_out.groupBy("anchor").agg(F.sum("home").alias("homes"), F.count(F.lit(1)).alias("n"))
     parts = lambda n: F.ceil(n / block).cast("int")
@@ -146,9 +146,9 @@ def dealt(spread_out: DataFrame, block: int) -> DataFrame:
         "anchor", F.greatest(F.lit(1), parts(F.col("homes"))).alias("across"), F.greatest(F.lit(1), parts(F.col("n") - F.col("homes"))).alias("down")
     )
     large = stored(large, "large-anchors")
-    joined, name = spread_out.join(large, "anchor", "left"), "node" if "node" in spread_out.columns else "fp"
-    x = F.pmod(F.xxhash64(name), F.col("across")).cast("int")
-    y = F.pmod(F.xxhash64(name), F.col("down")).cast("int")
+    joined = spread_out.join(large, "anchor", "left")
+    x = F.pmod(F.xxhash64("fp"), F.col("across")).cast("int")
+    y = F.pmod(F.xxhash64("fp"), F.col("down")).cast("int")
     own_row = F.transform(F.sequence(F.lit(0), F.col("down") - 1), lambda i: x * F.col("down") + i)
     own_column = F.transform(F.sequence(F.lit(0), F.col("across") - 1), lambda i: i * F.col("down") + y)
     cells = F.when(F.col("across").isNull(), F.array(F.lit(0))).when(F.col("home") == 1, own_row).otherwise(own_column)
@@ -174,11 +174,9 @@ def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[root[moved]], nodes[moved]
 
 
-def close_pairs(group: np.ndarray, home: np.ndarray, near: list[tuple[np.ndarray, int]], node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links, as a forest, between nodes that are a home and a replica of the same group and near.
-
-    Near is a list of fingerprints with the most bits in which they may differ. ``group`` is sorted.
-    """
+def close_pairs(group: np.ndarray, home: np.ndarray, fp: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links, as a forest, between fingerprints within ``threshold`` bits that are a home and a replica of the same, sorted ``group``."""
+    prints = fp.view(np.uint64)
     r, h = np.flatnonzero(home == 0), np.flatnonzero(home == 1)
     first = np.searchsorted(group[r], group[h], "left")
     many = np.searchsorted(group[r], group[h], "right") - first
@@ -192,27 +190,20 @@ def close_pairs(group: np.ndarray, home: np.ndarray, near: list[tuple[np.ndarray
         one = np.repeat(h[start:stop], count)
         offset = np.arange(len(one)) - np.repeat(np.cumsum(count) - count, count)
         two = r[np.repeat(first[start:stop], count) + offset]
-        for fp, most in near:
-            close = np.bitwise_count(fp[one] ^ fp[two]) <= most
-            one, two = one[close], two[close]
-        a, b = node[one], node[two]
+        close = np.bitwise_count(prints[one] ^ prints[two]) <= threshold
+        a, b = fp[one[close]], fp[two[close]]
         if (up := a < b).any():
             found.append(_forest(a[up], b[up]))
         start = stop
     if len(found) == 1:
         return found[0]
-    both = [np.concatenate(x) for x in zip(*found, strict=True)] if found else [node[:0], node[:0]]
+    both = [np.concatenate(x) for x in zip(*found, strict=True)] if found else [fp[:0], fp[:0]]
     return _forest(*both) if found else tuple(both)
 
 
-def links(prints: DataFrame, threshold: int, also_threshold: int = BITS, block: int = ANCHOR_BLOCK) -> DataFrame:
-    """``a, b``: a spanning forest, per task, of all pairs of rows within ``threshold`` bits of ``fp``.
-
-    ``prints`` has distinct ``fp``, which are then the nodes; or ``fp, node, also`` with distinct nodes,
-    which also have to be within ``also_threshold`` bits of ``also``.
-    """
-    wide = "node" in prints.columns
-    prints = prints.select("fp", "node", "also") if wide else prints.select("fp")
+def links(prints: DataFrame, threshold: int, block: int = ANCHOR_BLOCK) -> DataFrame:
+    """``a, b``: a spanning forest, per task, of all pairs of distinct fingerprints ``fp`` within ``threshold`` bits."""
+    prints = prints.select("fp")
     cells = dealt(spread(prints, threshold), block).repartition("anchor", "cell").sortWithinPartitions("anchor", "cell")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,12 +225,9 @@ def links(prints: DataFrame, threshold: int, also_threshold: int = BITS, block:
             yield from found([np.concatenate(c) for c in zip(*held, strict=True)])
 
     def found(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        anchor, cell, home, fp = columns[:4]
+        anchor, cell, home, fp = columns
         steps = (np.diff(anchor, prepend=anchor[:1]) != 0) | (np.diff(cell, prepend=cell[:1]) != 0)
-        near = [(fp.view(np.uint64), threshold)]
-        if wide:
-            near.append((columns[5].view(np.uint64), also_threshold))
-        a, b = close_pairs(np.cumsum(steps), home, near, columns[4] if wide else fp)
+        a, b = close_pairs(np.cumsum(steps), home, fp, threshold)
         if len(a):
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
@@ -268,55 +256,124 @@ def near_duplicates(
     return table.join(labelled, fp).select(*[c for c in docs.columns if c != text_col], digits.alias("fingerprint"), "component_id")
 
 
-def word_prints(text: bytes, seeds: range) -> list[int]:
-    """Fingerprints over the distinct words, a table of hashes each."""
-    words = set(text.lower().split())
-    return [simhash([xxhash.xxh64_intdigest(w, seed) for w in words]) for seed in seeds]
+BANDS, MINIMA = 16, 4  # at a Jaccard similarity of 0.8 a pair shares no band with probability (1 - 0.8 ** 4) ** 16 = 0.0002
+MINIMA_AT_ONCE = 4096  # shingles of a text
+_random = np.random.default_rng(SEED)
+_MASKS, _ODDS = _random.integers(0, 1 << 64, (2, BANDS * MINIMA), np.uint64) | np.array([[0], [1]], np.uint64)
+MORE_HUBS = 4  # times as many in each round
 
 
-def one_of_each(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    width: int = 5,
-    similarity: float = 0.8,
-    tables: int = 3,
-    threshold: int = 5,
-) -> DataFrame:
+def band_keys(hashes: list[int]) -> list[int]:
+    """A key for each band: a hash of the smallest shingles under ``MINIMA`` orders of its own."""
+    values = np.array(hashes or [0], np.uint64)[:, None]
+    parts = [((values[i : i + MINIMA_AT_ONCE] ^ _MASKS) * _ODDS).min(axis=0) for i in range(0, len(values), MINIMA_AT_ONCE)]
+    bands = np.minimum.reduce(parts).astype("<u8").reshape(BANDS, MINIMA)
+    return [xxhash.xxh64_intdigest(band.tobytes(), seed) for seed, band in enumerate(bands)]
+
+
+def sketched(docs: DataFrame, width: int) -> DataFrame:
+    """``row, id`` with ``low, high``, a 128-bit digest of the words, and the band keys ``key0``, ... of ``row, id, text``."""
+    names = ["low", "high", *(f"key{k}" for k in range(BANDS))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for text in texts_of(batch, "text"):
+                whole = xxhash.xxh3_128_intdigest(b" ".join(text.lower().split()))
+                found.append([whole & (1 << 64) - 1, whole >> 64, *band_keys(shingle_hashes(text, width))])
+            columns = np.array(found, np.uint64).reshape(-1, len(names)).view(np.int64)
+            arrays = [pa.array(columns[:, k].copy()) for k in range(len(names))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *arrays], ["row", "id", *names])
+
+    return docs.mapInArrow(run, "row bigint, id bigint" + "".join(f", {n} bigint" for n in names))
+
+
+def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
+    """``node, shingles`` (distinct hashes) of ``node, text``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = texts_of(batch, "text")
+            for at in range(0, len(texts), 256):  # sets of long texts are large
+                sets = [np.unique(np.array(shingle_hashes(t, width), np.uint64)).view(np.int64) for t in texts[at : at + 256]]
+                column = pa.array(sets, pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, 256), column], ["node", "shingles"])
+
+    return docs.mapInArrow(run, "node bigint, shingles array<bigint>")
+
+
+def similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs ``a, b`` whose shingles have the Jaccard similarity."""
+    one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("one"))
+    two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("two"))
+    shared = F.size(F.array_intersect("one", "two"))
+    return (
+        pairs.join(one, "a")
+        .join(two, "b")
+        .select("a", "b", shared.alias("shared"), (F.size("one") + F.size("two") - shared).alias("every"))
+        .where(F.col("shared") >= similarity * F.col("every") - 1e-9)
+        .select("a", "b")
+    )
+
+
+def verified_groups(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """``node, root`` of the nodes of ``members`` (``key, node``): components over all pairs that share a key and are similar.
+
+    Pairs are compared by their ``sets``, but not all of them: per key a few hubs meet the others, and those that
+    are by then in one component need no more. Hubs have met everyone and leave the key; each round takes
+    ``MORE_HUBS`` times as many, until no key holds two components. Hubs are nodes that share
+    much with many: the text that a group's edits began with, if it is there.
+    """
+    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    weights = members.join(stored(sizes, "key-sizes"), "key").groupBy("node").agg(F.sum("n").alias("weight"))
+    roots = stored(weights.select("node", "weight", F.col("node").alias("root")), "roots")
+    hubs_of_key = 1
+    while True:
+        now = members.join(roots, "node")
+        open_keys = now.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
+        now = stored(now.join(stored(open_keys, "open-keys"), "key"), "members")
+        if now.isEmpty():
+            return roots.select("node", "root")
+        best = F.min(F.struct(-F.col("weight"), "node", "root")).alias("hub")
+        hubs = now.groupBy("key", F.pmod(F.xxhash64("node"), F.lit(hubs_of_key)).alias("part")).agg(best)
+        hubs = stored(hubs.select("key", F.col("hub.node").alias("hub"), F.col("hub.root").alias("hub_root")), "hubs")
+        a, b = F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")
+        pairs = now.join(hubs, "key").where("root <> hub_root").select(a, b).distinct()
+        linked = stored(similar(stored(pairs, "pairs"), sets, similarity), "similar")
+        if not linked.isEmpty():
+            to_root = lambda side: roots.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
+            edges = linked.join(to_root("a"), "a").join(to_root("b"), "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
+            moved = components(edges).select(F.col("node").alias("root"), F.col("root").alias("new_root"))
+            roots = roots.join(stored(moved, "moved"), "root", "left")
+            roots = stored(roots.select("node", "weight", F.coalesce("new_root", "root").alias("root")), "roots")
+        met = hubs.select("key", F.col("hub").alias("node"))
+        members = stored(now.select("key", "node").join(met, ["key", "node"], "left_anti"), "members")
+        hubs_of_key *= MORE_HUBS
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8) -> DataFrame:
     """One document of each group of near copies, that of the smallest id; columns as they were.
 
-    Texts are copies if the fingerprints of their shingles of ``width`` words agree in ``similarity`` of
-    their bits. That many differing bits are too many to search for by anchors, so candidates come from
-    fingerprints over distinct words, which an edit changes ``width`` times less, within
-    ``threshold`` bits in any of ``tables`` tables of hashes. Groups are connected components.
+    Texts are copies if their sets of shingles of ``width`` words have a Jaccard similarity of ``similarity``.
+    Candidates share one of ``BANDS`` bands of ``MINIMA`` smallest shingles (MinHash), and what links
+    them is their shingles themselves. Groups are connected components.
 
     Null texts are empty, and texts without words are copies of each other. Rows that share the smallest id, or a group without
     ids, keep the first row as stored. An empty table gives no rows.
     """
     row = free_name(docs, "row")
     rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
-    names = ["also", *(f"fp{k}" for k in range(tables))]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            prints = [
-                [simhash(shingle_hashes(t, width)), *word_prints(t, range(tables))] for t in texts_of(batch, "text")
-            ]
-            columns = np.array(prints, np.uint64).reshape(-1, len(names)).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *(pa.array(columns[:, k].copy()) for k in range(len(names)))], ["row", "id", *names]
-            )
-
-    narrow = rows.select(F.col(row).alias("row"), F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
-    prints = narrow.mapInArrow(run, "row bigint, id bigint" + "".join(f", {n} bigint" for n in names))
+    text = F.col(text_col).cast("string").alias("text")
+    sketches = sketched(rows.select(F.col(row).alias("row"), F.col(id_col).cast("bigint").alias("id"), text), width)
+    keys = [f"key{k}" for k in range(BANDS)]
     rank = F.struct(F.col("id").isNull().alias("no_id"), "id", "row")
-    classes = prints.groupBy(*names).agg(F.min(rank).alias("first")).withColumn("node", F.xxhash64(*names))
-    classes = stored(classes, "classes")
-    most = int((1 - similarity) * BITS + 1e-9)
-    found = [links(classes.select(F.col(n).alias("fp"), "node", "also"), threshold, most) for n in names[1:]]
-    every = found[0]
-    for more in found[1:]:
-        every = every.unionAll(more)
-    rooted = classes.select("node", "first").join(components(every), "node", "left")
+    classes = sketches.groupBy("low", "high", *keys).agg(F.min(rank).alias("first"))  # equal words: one node
+    classes = stored(classes.select(F.col("first.row").alias("node"), "first", F.array(*keys).alias("keys")), "classes")
+    every = classes.select("node", F.explode("keys").alias("key"))
+    shared = stored(every.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "shared-keys")
+    members = stored(every.join(shared, "key").select("key", "node"), "members")
+    nodes = stored(members.select(F.col("node").alias(row)).distinct(), "nodes")
+    sets = stored(shingle_sets(rows.join(nodes, row, "left_semi").select(F.col(row).alias("node"), text), width), "shingles")
+    rooted = classes.select("node", "first").join(verified_groups(members, sets, similarity), "node", "left")
     kept = rooted.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
     return rows.join(kept.select(F.col("first.row").alias(row)), row, "left_semi").select(docs.columns)

@@ -92,6 +92,43 @@ def test_one_of_each(spark, tables):
     assert kept == [*range(0, 2000, 100), *range(5000, 5060), 7000, None]
 
 
+def shingles(words):
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+
+def test_similarity_itself_decides(spark, tables):
+    """Appended blocks above 0.8 go and scattered edits below 0.8 stay, whatever bits of a sketch they change."""
+    rng = random.Random(9)
+    words = lambda n: [f"w{int(rng.paretovariate(0.8))}" if rng.random() < 0.6 else f"v{rng.randrange(9999)}" for _ in range(n)]
+    rows, stay = [], set()
+    for pair in range(60):
+        base = words(400)
+        near = base + words((90, 60, 40)[pair % 3]) if pair % 2 else list(base)
+        if pair % 2 == 0:
+            for at in range(5, 400, (60, 30, 25)[pair % 3]):
+                near[at] = f"edit{pair}x{at}"
+        rows += [(2 * pair, " ".join(base)), (2 * pair + 1, " ".join(near))]
+        one, two = shingles(base), shingles(near)
+        stay |= {2 * pair} | ({2 * pair + 1} if len(one & two) < 0.8 * len(one | two) else set())
+    assert 70 < len(stay) < 110
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {r.doc_id for r in simhash.one_of_each(docs).collect()} == stay
+
+
+def test_every_pair_of_a_key_is_decided(spark, tables):
+    """Hubs in rounds find the components that all pairs of a key give: chains, stars and strangers."""
+    rng = random.Random(2)
+    sets = {n: set(range(1000 * (n // 20) + 3 * n, 1000 * (n // 20) + 3 * n + 40)) for n in range(100)}  # a chain of 20
+    sets |= {n: {rng.randrange(10**6) for _ in range(20)} for n in range(100, 130)}
+    members = [(n % 3 if n < 100 else 0, n) for n in sets] + [(7, n) for n in sets]
+    out = simhash.verified_groups(
+        spark.createDataFrame(members, "key bigint, node bigint"),
+        spark.createDataFrame([(n, sorted(x)) for n, x in sets.items()], "node bigint, shingles array<bigint>"),
+        0.8,
+    )
+    assert {r.node: r.root for r in out.collect()} == {n: n // 20 * 20 if n < 100 else n for n in sets}
+
+
 def test_components_of_a_long_path(spark, tables):
     order = list(range(300))
     random.Random(1).shuffle(order)
