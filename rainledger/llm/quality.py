@@ -3,10 +3,11 @@
 A first pass over the texts leaves counts and line hashes. Lines are then counted per host, a line
 above the host's limit is removed, and documents with too little left are rejected.
 
-Copies are not boilerplate. A line of the menu stands beside other lines in each document; a line of
-a text that was copied a thousand times always stands beside the same ones. So documents are told
-apart by the smallest hash among the three-word shingles of their other lines, which an edit
-seldom changes: exact copies count once, and a thousand near copies a few times.
+Copies are not boilerplate. A line of the menu stands in documents with lines of their own; all lines of a
+text that was copied a thousand times, or such lines with an edit, stand in a thousand documents. So documents are told
+apart by their own lines: those of which no sketch value (smallest shingles under several orders) is
+frequent on the host. A document without own lines is told by its smallest frequent value, which
+near copies share: however many they are, they count once or a few times.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ LEFT_WORDS = 20  # what must be left of a document from which lines are removed
 LEFT_SHARE = 0.3
 
 _MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-_LINES = pa.list_(pa.struct([("hash", pa.int64()), ("beside", pa.int64()), ("words", pa.int32())]))
+_LINES = pa.list_(pa.struct([("hash", pa.int64()), ("least", pa.list_(pa.int64())), ("words", pa.int32())]))
 
 
 def repeated_words(words: list[bytes], window: int = 3) -> int:
@@ -70,8 +71,8 @@ _SYMBOLS = [bytes([s]) for s in SYMBOLS]
 _CONTINUATION = [bytes([b]) for b in range(0x80, 0xC0)]
 
 
-def least_shingles(lines: list[list[bytes]]) -> list[int]:
-    """The smallest hash among the three-word shingles of each line, or among its words if they are fewer."""
+def _shingles(lines: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the words of all lines and of the three-word shingles that begin with them, place of each line, and its words."""
     sizes = np.array([len(words) for words in lines])
     starts = np.cumsum(sizes) - sizes
     words = np.fromiter((xxhash.xxh64_intdigest(w) for line in lines for w in line), np.uint64, int(sizes.sum()))
@@ -81,16 +82,40 @@ def least_shingles(lines: list[list[bytes]]) -> list[int]:
         grams[:-2] = (mixed ^ mixed >> np.uint64(29)) * _ODD[2]
     for back in (1, 2):  # those that run into the next line
         grams[(starts + sizes - back)[sizes >= back]] = _LARGEST
+    return words, grams, starts, sizes
+
+
+def least_shingles(lines: list[list[bytes]]) -> list[int]:
+    """The smallest hash among the three-word shingles of each line, or among its words if they are fewer."""
+    words, grams, starts, sizes = _shingles(lines)
     least = np.where(sizes > 2, np.minimum.reduceat(grams, starts), np.minimum.reduceat(words, starts))
     return (least ^ np.uint64(1 << 63)).view(np.int64).tolist()
 
 
+def sketches(lines: list[list[bytes]]) -> list[list[int]]:
+    """Of each line the smallest of its shingles, or of its words if they are fewer than three, under each of ``ORDERS`` orders.
+
+    Of a line of 18 shingles, an edit of one word changes all four once in 140 times.
+    """
+    words, grams, starts, sizes = _shingles(lines)
+    whole = grams != _LARGEST
+    own = np.where(whole | np.repeat(sizes > 2, sizes), grams, words)
+    counts = whole | np.repeat(sizes < 3, sizes)
+    out = np.empty((len(lines), ORDERS), np.uint64)
+    for k in range(ORDERS):
+        mixed = (own ^ _MASKS[k]) * _ODDS[k]
+        out[:, k] = np.minimum.reduceat(np.where(counts, mixed ^ mixed >> np.uint64(32), _LARGEST), starts)
+    return out.view(np.int64).tolist()
+
+
 _LARGEST = np.uint64((1 << 64) - 1)
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
+ORDERS = 4
+_MASKS, _ODDS = np.random.default_rng(4).integers(0, 1 << 64, (2, ORDERS), np.uint64) | np.array([[0], [1]], np.uint64)
 
 
 def distinct_lines(text: bytes) -> list[dict]:
-    """Each normalised line once: hash, smallest shingle of the others (its own if alone), words in all its occurrences."""
+    """Each normalised line once: hash, sketch, words in all its occurrences."""
     words: Counter[int] = Counter()
     lines: dict[int, list[bytes]] = {}
     for line in text.split(b"\n"):
@@ -100,12 +125,8 @@ def distinct_lines(text: bytes) -> list[dict]:
             words[key] += len(parts)
     if not lines:
         return []
-    least = dict(zip(lines, least_shingles(list(lines.values())), strict=True))
-    first, second = [*sorted(least, key=least.get), None][:2]
-    return [
-        {"hash": h, "beside": least[second if h == first and second is not None else first], "words": n}
-        for h, n in words.items()
-    ]
+    least = dict(zip(lines, sketches(list(lines.values())), strict=True))
+    return [{"hash": h, "least": least[h], "words": n} for h, n in words.items()]
 
 
 def profile(docs: DataFrame, row: str, host_col: str, text_col: str, carry: list[str]) -> DataFrame:
@@ -129,17 +150,39 @@ def profile(docs: DataFrame, row: str, host_col: str, text_col: str, carry: list
         *(F.col(c).alias(new) for c, new in zip(carry, carried, strict=True)),
     )
     counts = "".join(f", {m} bigint" for m in _MEASURES)
-    schema = T.StructType.fromDDL(f"row bigint, host string{counts}, lines array<struct<hash:bigint,beside:bigint,words:int>>")
+    schema = T.StructType.fromDDL(f"row bigint, host string{counts}, lines array<struct<hash:bigint,least:array<bigint>,words:int>>")
     for field in narrow.select(*carried).schema if carried else ():
         schema = schema.add(field)
     return narrow.mapInArrow(run, schema)
 
 
+def told_apart(profiles: DataFrame, share: float, docs: int) -> DataFrame:
+    """``host, told, hashes``: by what each document is told apart from others of its host, null without a line, and its lines.
+
+    Frequent are sketch values of more than ``docs`` documents, copies included, and more than ``share`` of
+    the host's distinct ones, taken here from the smallest value of the whole text: few if much is shared,
+    so that more values count as frequent.
+    """
+    first = F.array_min(F.transform("lines", lambda x: x["least"][0]))
+    hosts = profiles.select("host", first.alias("whole")).distinct().groupBy("host").agg(F.count(F.lit(1)).alias("n_docs"))
+    values = F.array_distinct(F.flatten(F.transform("lines", lambda x: x["least"])))
+    every = profiles.select("row", "host", F.explode(values).alias("value"))
+    counts = every.groupBy("host", "value").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > docs)
+    frequent = counts.join(hosts, "host").where(F.col("n") > F.col("n_docs") * share).select("host", "value")
+    frequent = stored(frequent, "frequent-values")
+    shared = every.join(frequent, ["host", "value"]).groupBy("row").agg(F.collect_set("value").alias("shared"))  # a document's at most
+    own = F.filter("lines", lambda x: F.col("shared").isNull() | ~F.arrays_overlap(x["least"], "shared"))
+    told = F.coalesce(F.array_min(F.transform(own, lambda x: x["least"][0])), F.array_min("shared"))
+    lines = profiles.select("row", "host", "lines").join(shared, "row", "left")
+    return lines.select("host", told.alias("told"), F.col("lines.hash").alias("hashes"))
+
+
 def frequent_lines(profiles: DataFrame, share: float, docs: int) -> DataFrame:
     """``host, hash`` of lines that stand in more than ``docs`` documents and more than ``share`` of the host's."""
-    lines = profiles.select("host", F.explode("lines").alias("line")).select("host", "line.hash", "line.beside")
+    told = stored(told_apart(profiles, share, docs), "told-apart")
+    lines = told.select("host", "told", F.explode("hashes").alias("hash"))
     counts = lines.distinct().groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"))
-    hosts = profiles.groupBy("host").agg(F.count(F.lit(1)).alias("n_docs"))
+    hosts = told.groupBy("host").agg(F.count(F.lit(1)).alias("n_docs"))
     limit = F.greatest(F.lit(float(docs)), F.col("n_docs") * share)
     return counts.where(F.col("n") > docs).join(hosts, "host").where(F.col("n") > limit).select("host", "hash")
 

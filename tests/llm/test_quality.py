@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 
 from hypothesis import given, settings
@@ -40,6 +41,21 @@ def test_depleted_documents_go_and_copies_stay(spark, tables):
     assert out.where("row <> 1 or host <> 2 or n_words <> 3").count() == 0
 
 
+def removed_rows(spark, rows):
+    docs = spark.createDataFrame(rows, "row bigint, text string, source string")
+    return {r.row: len(r.removed or []) for r in quality.verdicts(docs, "row").collect()}
+
+
+def test_footers_of_several_lines(spark, tables):
+    """Lines that stand together are removed however short the rest is."""
+    rng = random.Random(5)
+    words = lambda n: " ".join(f"w{rng.randrange(9999)}" for _ in range(n))
+    footer = "\n".join(words(20) for _ in range(6))
+    for own in (7, 12, 32):
+        got = removed_rows(spark, [(i, f"{words(own)}\n{footer}", "h") for i in range(300)])
+        assert got == dict.fromkeys(range(300), 6)
+
+
 def test_empty(spark, empty_tables):
     assert op4_quality_rules(spark, empty_tables).collect() == []
     assert quality.filtered(spark.read.parquet(f"{empty_tables}/documents.parquet")).collect() == []
