@@ -7,7 +7,8 @@ Copies are not boilerplate. A line of the menu stands in documents with lines of
 text that was copied a thousand times, or such lines with an edit, stand in a thousand documents. So documents are told
 apart by their own lines: those of which no sketch value (smallest shingles under several orders) is
 frequent on the host. A document without own lines is told by its smallest frequent value, which
-near copies share: however many they are, they count once or a few times.
+near copies share: however many they are, they count once or a few times. The documents
+of a host are counted in the same way.
 """
 
 from __future__ import annotations
@@ -178,11 +179,11 @@ def told_apart(profiles: DataFrame, share: float, docs: int) -> DataFrame:
 
 
 def frequent_lines(profiles: DataFrame, share: float, docs: int) -> DataFrame:
-    """``host, hash`` of lines that stand in more than ``docs`` documents and more than ``share`` of the host's."""
+    """``host, hash`` of lines that stand in more than ``docs`` documents and more than ``share`` of the host's, copies counted once on both sides."""
     told = stored(told_apart(profiles, share, docs), "told-apart")
     lines = told.select("host", "told", F.explode("hashes").alias("hash"))
     counts = lines.distinct().groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"))
-    hosts = told.groupBy("host").agg(F.count(F.lit(1)).alias("n_docs"))
+    hosts = told.select("host", "told").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("n_docs"))
     limit = F.greatest(F.lit(float(docs)), F.col("n_docs") * share)
     return counts.where(F.col("n") > docs).join(hosts, "host").where(F.col("n") > limit).select("host", "hash")
 

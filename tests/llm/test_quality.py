@@ -56,6 +56,20 @@ def test_footers_of_several_lines(spark, tables):
         assert got == dict.fromkeys(range(300), 6)
 
 
+def test_copies_count_on_neither_side(spark, tables):
+    rng = random.Random(6)
+    words = lambda n: " ".join(f"w{rng.randrange(9999)}" for _ in range(n))
+    lines, menu = [words(20) for _ in range(6)], words(8)
+    rows = [(i, "\n".join(lines), "h") for i in range(900)]
+    for i in range(900, 1800):  # near copies, a word of some line changed
+        near = [line.split() for line in lines]
+        near[i % 6][rng.randrange(20)] = f"edit{i}"
+        rows.append((i, "\n".join(map(" ".join, near))))
+        rows[-1] += ("h",)
+    rows += [(2000 + i, f"{words(60)}" + f"\n{menu}" * (i < 80), "h") for i in range(200)]
+    assert removed_rows(spark, rows) == {r[0]: int(2000 <= r[0] < 2080) for r in rows}
+
+
 def test_empty(spark, empty_tables):
     assert op4_quality_rules(spark, empty_tables).collect() == []
     assert quality.filtered(spark.read.parquet(f"{empty_tables}/documents.parquet")).collect() == []
