@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from rainledger.llm.common import stored, texts_of
 
 UNIT_BYTES = 5 << 20  # of words; a task holds a unit, about thirty times that
-EM_ROUNDS = 30
-EM_CLOSE = 1e-3
+EM_ROUNDS = 40
+EM_CLOSE = 1e-4
 LEAST_UNIFORM = 1e-6  # so that an unseen word never has probability 0
 COUNT, TUNE, HELD_OUT = 0, 1, 2
 EDGE = b"\n"  # stands before the first word and is the end token; no word holds it

@@ -74,5 +74,16 @@ def test_probabilities_add_up_to_one():
     assert tuple(weights[2]) == (0.5, 0.3, 0.2) and tuple(weights[40]) == (0.6, 0.3, 0.1)
 
 
+def test_weights_settle(spark):
+    """Another round changes no weight by 1e-4."""
+    rows = [(3, 0.3, 0.1, 5), (3, 0.0, 0.2, 5), (3, 0.05, 0.3, 3)]
+    weights = lm._weights(spark.createDataFrame(rows, "bucket int, pair double, word double, n bigint"), 9)[3]
+    sums = np.zeros(3)
+    for _, pair, word, n in rows:
+        parts = np.array(weights) * (pair, word, 1 / 10)
+        sums += n * parts / parts.sum()
+    assert np.abs(sums / sums.sum() - weights).max() < 1e-4
+
+
 def test_frequency_buckets_double():
     assert lm.frequency_bucket([0, 1, 2, 3, 4, 7, 8]).tolist() == [0, 1, 2, 2, 3, 3, 4]
