@@ -64,4 +64,59 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base,
        greatest(CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END, coalesce(best.score, 0.0::DOUBLE)) AS score
 FROM docs LEFT JOIN base ON docs.rid = base.rid LEFT JOIN every ON docs.rid = every.rid LEFT JOIN best ON docs.rid = best.rid"""
 
-ORACLE: dict[str, str] = {"op3_warc": OP3, "op6_license_scan": OP6, "op10_decontamination": OP10}
+
+def _clustering(rounds: int = 5, k: int = 40, dims: int = 64) -> str:
+    """Vectors and centroids as one row per component; a round is an assignment and floored means."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""d{r} AS (SELECT p.rid, c.num, sum((p.x - c.x) * (p.x - c.x)) AS d FROM points p JOIN c{r} c USING (i) GROUP BY p.rid, c.num),
+a{r} AS (SELECT rid, arg_min(num, (d, num)) AS num, min(d) AS d FROM d{r} GROUP BY rid),
+""")
+        if r < rounds:
+            steps.append(f"""m{r} AS (SELECT a.num, p.i, sum(p.x) AS s, count(*) AS n FROM a{r} a JOIN points p USING (rid) GROUP BY a.num, p.i),
+c{r + 1} AS (SELECT c.num, c.i, coalesce((s - (s % n + n) % n) // n, c.x) AS x FROM c{r} c LEFT JOIN m{r} m ON c.num = m.num AND c.i = m.i),
+""")
+    return f"""
+WITH kept AS (SELECT row_number() OVER () AS rid, vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+              FROM embeddings WHERE len(embedding) = {dims} AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = {dims}),
+points AS (SELECT rid, unnest(v) AS x, unnest(generate_series(1, {dims})) AS i FROM kept),
+starts AS (SELECT v, row_number() OVER (ORDER BY sha256('2:' || vec_id) NULLS LAST, v) - 1 AS num FROM kept QUALIFY num < {k}),
+c0 AS (SELECT num, unnest(v) AS x, unnest(generate_series(1, {dims})) AS i FROM starts),
+{"".join(steps)}totals AS (SELECT num, sum(d) AS cluster_inertia, sum(sum(d)) OVER () AS inertia FROM a{rounds} GROUP BY num),
+digests AS (SELECT num, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY num)
+SELECT vec_id, CAST(a.num AS INTEGER) AS cluster, CAST(a.d AS BIGINT) AS distance, CAST(cluster_inertia AS BIGINT) AS cluster_inertia,
+       CAST(inertia AS BIGINT) AS inertia, centroid_sha256
+FROM kept JOIN a{rounds} a USING (rid) JOIN totals USING (num) JOIN digests USING (num)"""
+
+
+OP12 = rf"""
+WITH texts AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS t FROM documents),
+pieces AS (SELECT row_number() OVER () AS rid, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+           FROM (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM texts)),
+starts AS (SELECT lang, w, unnest(generate_series(1, len(w))) AS i FROM pieces WHERE len(w) > 0),
+grams AS (SELECT lang, m, list_slice(w, i, i + m - 1) AS g, count(*) AS f
+          FROM starts, (SELECT unnest(generate_series(1, 5)) AS m) WHERE i + m - 1 <= len(w) GROUP BY lang, m, g),
+totals AS (SELECT lang, CAST(sum(f) AS HUGEINT) AS n FROM grams WHERE m = 1 GROUP BY lang),
+candidates AS (SELECT * FROM grams WHERE m > 1 AND f >= 100),
+cuts AS (SELECT lang, g, m, f, unnest(generate_series(1, m - 1)) AS k FROM candidates),
+scored AS (SELECT c.lang, c.g, c.m, c.f AS a, k, x.f AS l, y.f AS r, n,
+                  (CAST(1000 AS HUGEINT) * c.f * n) // (CAST(x.f AS HUGEINT) * y.f) AS score
+           FROM cuts c JOIN grams x ON x.lang = c.lang AND x.g = list_slice(c.g, 1, k)
+                JOIN grams y ON y.lang = c.lang AND y.g = list_slice(c.g, k + 1, c.m) JOIN totals t ON t.lang = c.lang),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+inner_parts AS (SELECT DISTINCT c.lang, list_slice(c.g, i, i + s - 1) AS g, c.f
+                FROM (SELECT *, unnest(generate_series(1, m)) AS i FROM candidates) c, (SELECT unnest(generate_series(2, 4)) AS s)
+                WHERE s < c.m AND i + s - 1 <= c.m),
+kept AS (SELECT * FROM lowest l WHERE NOT EXISTS (
+    SELECT 1 FROM inner_parts p WHERE p.lang = l.lang AND p.g = l.g AND 100 * p.f >= 100 * l.a))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+       a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM (SELECT *, array_to_string(g, ' ') AS phrase FROM kept) QUALIFY rank <= 2000"""
+
+ORACLE: dict[str, str] = {
+    "op3_warc": OP3,
+    "op6_license_scan": OP6,
+    "op10_decontamination": OP10,
+    "op12_collocations": OP12,
+    "op13_centroid_clustering": _clustering(),
+}

@@ -1,0 +1,114 @@
+"""Clusters against plain integers, and the filter against all distances."""
+
+import hashlib
+import math
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from rainledger.llm import clusters
+from rainledger.llm.queries import op13_centroid_clustering
+from tests.compare import compare, connect
+
+SF_DIR = "/root/testdata/sf0.001"
+COLUMNS = ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"]
+
+
+def plain(rows, dims=64, k=40, rounds=5):
+    """The contract, a vector at a time."""
+    kept = [(i, [math.floor(256 * x) for x in v]) for i, v in rows
+            if v is not None and len(v) == dims and all(x is not None and math.isfinite(x) for x in v)]
+    order = sorted(kept, key=lambda r: (r[0] is None, hashlib.sha256(f"2:{r[0]}".encode()).hexdigest() if r[0] is not None else "", r[1]))
+    centroids = [list(v) for _, v in order[:k]]
+
+    def assign(v):
+        return min((sum((a - b) ** 2 for a, b in zip(v, c)), i) for i, c in enumerate(centroids))
+
+    for _ in range(rounds):
+        groups = {}
+        for _, v in kept:
+            groups.setdefault(assign(v)[1], []).append(v)
+        for i, vs in groups.items():
+            centroids[i] = [sum(column) // len(vs) for column in zip(*vs)]
+    found = [(i, *assign(v)) for i, v in kept]
+    per, total = Counter(), sum(d for _, d, _ in found)
+    for _, d, c in found:
+        per[c] += d
+    digest = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids]
+    return Counter((i, c, d, per[c], total, digest[c]) for i, d, c in found)
+
+
+def write(spark, folder, rows):
+    df = spark.createDataFrame([(i, v, 1, "x") for i, v in rows], "vec_id bigint, embedding array<float>, label int, v string")
+    df.repartition(3).write.mode("overwrite").parquet(f"{folder}/embeddings.parquet")
+    return str(folder)
+
+
+def awkward(seed=3):
+    rng = random.Random(seed)
+    f32 = lambda x: float(np.float32(x))
+    base = [[f32(rng.gauss(0, 0.3)) for _ in range(64)] for _ in range(6)]
+    near = lambda: [f32(x + rng.gauss(0, 0.05)) for x in rng.choice(base)]
+    rows = [(i, near()) for i in range(300)]
+    rows += [(1000 + i, base[0]) for i in range(80)] + [(7, rows[7][1])] * 3 + [(None, near()), (None, near())]
+    rows += [(5000, None), (5001, []), (5002, base[0][:63]), (5003, [*base[0], 1.0]), (5004, [None, *base[0][1:]])]
+    rows += [(5005, [float("nan"), *base[0][1:]]), (5006, [float("inf"), *base[0][1:]]), (5007, [0.0] * 64), (-1, [-1000.5] * 64)]
+    return rows
+
+
+def test_contract(spark, tables, tmp_path):
+    rows = awkward()
+    got = op13_centroid_clustering(spark, write(spark, tmp_path, rows)).collect()
+    assert Counter(tuple(r[c] for c in COLUMNS) for r in got) == plain(rows)
+
+
+@pytest.mark.parametrize("rows", [[], [(1, None), (2, [1.0])], [(1, [0.5] * 64), (2, [0.5] * 64), (3, [2.0] * 64)]])
+def test_few_vectors(spark, tables, tmp_path, rows):
+    got = op13_centroid_clustering(spark, write(spark, tmp_path, rows)).collect()
+    assert Counter(tuple(r[c] for c in COLUMNS) for r in got) == plain(rows)
+
+
+def test_clashing_names(spark, tables):
+    df = spark.createDataFrame([(i, [float(i), 1.0], 9, 9) for i in range(5)], "vec_id int, embedding array<double>, V int, cluster int")
+    out = clusters.cluster(df, dims=2, k=2, rounds=2)
+    assert out.count() == 5 and out.columns == COLUMNS
+
+
+def test_too_large(spark, tables):
+    df = spark.createDataFrame([(1, [1e30, 1.0])], "vec_id int, embedding array<double>")
+    with pytest.raises(Exception, match="beyond"):
+        clusters.cluster(df, dims=2, k=2)
+
+
+@pytest.mark.parametrize("size", [1, 300, 1 << 24])
+def test_filter_loses_no_centroid(size):
+    """Ties, equal centroids and large numbers: as all distances give it, at fewer distances."""
+    rng = np.random.default_rng(size)
+    centroids = rng.integers(-size, size + 1, (40, 64))
+    centroids[7] = centroids[3]
+    v = np.vstack([rng.integers(-size, size + 1, (200, 64)), centroids, centroids + rng.integers(0, 2, (40, 64))])
+    values, axes = np.linalg.eigh(np.cov(v.T))
+    rotation = clusters.Rotation(v.mean(axis=0), axes[:, ::-1])
+    best, distance, computed = clusters.nearest(v, *rotation.of(v.astype(float), 48), centroids, rotation)
+    every = ((v[:, None, :] - centroids[None]) ** 2).sum(axis=2)
+    assert (best == every.argmin(axis=1)).all() and (distance == every.min(axis=1)).all()
+    assert computed <= every.size
+
+
+def test_filter_saves_distances(spark, tables):
+    v = np.array([r.embedding for r in spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").collect() if len(r.embedding or []) == 64])
+    v = np.floor(256 * v[np.isfinite(v).all(axis=1)]).astype(np.int64)
+    values, axes = np.linalg.eigh(np.cov(v.T))
+    rotation = clusters.Rotation(v.mean(axis=0), axes[:, ::-1])
+    _, _, computed = clusters.nearest(v, *rotation.of(v.astype(float), clusters.LEAD), v[:40], rotation)
+    assert computed < 0.5 * 40 * len(v)
+
+
+def test_sql(spark, tables):
+    from rainledger.llm.queries import QUERIES
+    from rainledger.llm.sql import ORACLE
+
+    name = "op13_centroid_clustering"
+    assert compare(spark, connect(SF_DIR), name, QUERIES[name], ORACLE[name], SF_DIR) == []
