@@ -8,8 +8,10 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rainledger.session import scratch
 
@@ -98,3 +100,23 @@ def ship(spark: SparkSession) -> None:
     package = Path(__file__).resolve().parent.parent
     into = Path(tempfile.mkdtemp(prefix="rainledger-ship-"))  # the driver's own; Spark serves the file
     context.addPyFile(shutil.make_archive(str(into / "rainledger"), "zip", package.parent, package.name))
+
+
+def bitmap(values: DataFrame, column: str, bits: int) -> np.ndarray:
+    """``bits`` bits, of which bit ``value mod bits`` is set for every value of a long column.
+
+    What it says of a value that is not there may be wrong, of one that is there never; its size does not
+    depend on the data. Tasks make pieces of it, so no value reaches the driver.
+    """
+    at = F.pmod(F.col(column), F.lit(bits)) + 1
+    pieces = values.groupBy(F.bitmap_bucket_number(at).alias("piece")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
+    out = np.zeros(bits // 8, np.uint8)
+    for r in pieces.collect():
+        out[(r.piece - 1) * 4096 : r.piece * 4096] = np.frombuffer(r.bits, np.uint8)[: len(out)]
+    return out
+
+
+def in_bitmap(values: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Which longs (or unsigned) the ``bitmap`` may hold; its number of bits is a power of two."""
+    at = values.view(np.uint64) & np.uint64(len(bits) * 8 - 1)
+    return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)

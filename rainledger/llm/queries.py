@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rainledger.llm import clusters, decontaminate, licenses, linededup, lm, packing, quality, sharding, simhash, tokenfiles, warc
+from rainledger.llm import clusters, collocations, decontaminate, licenses, linededup, lm, packing, quality, sharding, simhash, tokenfiles, warc
 from rainledger.llm.common import ship, table
 from rainledger.llm.tokens import default_tokenizer
 from rainledger.session import scratch
@@ -94,6 +94,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return collocations.collocations(table(spark, sf_dir, "documents"), "text", "lang", least=100, width=5, top=2000)
+
+
 def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return clusters.cluster(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", dims=64, k=40, rounds=5)
@@ -110,5 +115,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_sharding": op9_sharding,
     "op10_decontamination": op10_decontamination,
+    "op12_collocations": op12_collocations,
     "op13_centroid_clustering": op13_centroid_clustering,
 }
