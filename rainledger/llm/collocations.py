@@ -2,12 +2,13 @@
 
 Words become 64-bit codes, tried for collisions. Every place of a text where two frequent words stand together points to
 a suffix, of which up to ``width`` words matter. Equal suffixes of a task are one pointer with a weight before
-they travel. Pointers are routed globally by their leading two words, and by more of them where those lead too many. In each part a
-multikey three-way quicksort splits them by one word after the other, down to ``width``: the sizes of equal partitions are
-the phrases' counts, and partitions below the threshold are abandoned.
+they travel. First their leading two words alone are routed globally, and suffixes whose leading words
+are not frequent together are abandoned there. The others are routed whole by their leading two words, and by more of them where those
+lead too many. In each part a multikey three-way quicksort splits pointers by one word after the other, down to ``width``: the sizes
+of equal partitions are the phrases' counts, and partitions below the threshold are abandoned.
 
-A bitmap of fixed size tells tasks which words are frequent, another which leading words have to be routed
-deeper. Both may say yes wrongly, which costs work and changes nothing. The number of parts follows the corpus, so a part's
+Bitmaps of fixed size tell tasks which words and pairs are frequent, and which leading words have to be routed
+deeper. They may say yes wrongly, which costs work and changes nothing. The number of parts follows the corpus, so a part's
 pointers are bounded. Phrases are counted whole in one part, except those that are routed deeper:
 their partial counts are added up.
 """
@@ -28,12 +29,12 @@ from pyspark.sql import functions as F
 from rainledger.llm.common import bitmap, in_bitmap, stored, texts_of
 
 WIDTH = 5
-PART_POINTERS = 1 << 21  # of a part, before its hottest leading words are taken out
+PART_POINTERS = 1 << 22  # of a part, before its hottest leading words are taken out
 BITS = 1 << 24  # of each bitmap
 ROW_CODES = 1 << 18  # codes of a stored row, at least, and then up to the end of a document
 FLUSH_CODES = 1 << 20  # codes that are sorted in a task at once
 SLICE = 1 << 22  # bytes of a text that become words at once
-MEMO_WORDS = 400_000
+MEMO_WORDS = 150_000  # of a language, in a task
 _GAP = b"\xff"  # between pieces: no byte of UTF-8
 _LETTERS = bytes(c + 32 if 0x41 <= c <= 0x5A else 0xFF if c in b".,;:!?\n\x0b\x0c\r" else 0x20 if c == 9 else c for c in range(256))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -141,17 +142,23 @@ def _chunks(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[np.ndarra
         yield np.concatenate(held)
 
 
-def suffixes(codes: np.ndarray, frequent: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def suffixes(codes: np.ndarray, frequent: np.ndarray, width: int, pairs: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(distinct codes, the first of them 0; distinct suffixes as numbers of them, sorted, one row per depth; their weights).
 
-    A suffix begins where two frequent words stand together and ends before the first word that is not frequent.
+    A suffix begins where two frequent words stand together and ends before the first word that is not frequent; with
+    ``pairs``, before the first word that is not frequent behind its neighbour.
     """
     kept = np.where(in_bitmap(codes, frequent), codes, np.uint64(0))
-    words, at = np.unique(np.concatenate([[np.uint64(0)] * width, kept, [np.uint64(0)] * width]).astype(np.uint64), return_inverse=True)
-    starts = np.flatnonzero((at[:-1] > 0) & (at[1:] > 0))
-    columns = [at[starts].astype(np.int64)]
+    words, at = np.unique(np.concatenate([np.zeros(1, np.uint64), kept, np.zeros(width, np.uint64)]), return_inverse=True)
+    goes_on = np.append((at[:-1] > 0) & (at[1:] > 0), False)
+    if pairs is not None:
+        both = np.flatnonzero(goes_on)
+        goes_on[both] = in_bitmap(pair_key(words[at[both]], words[at[both + 1]]), pairs)
+    starts = np.flatnonzero(goes_on)
+    columns, on = [at[starts].astype(np.int64)], np.ones(len(starts), bool)
     for depth in range(1, width):
-        columns.append(np.where(columns[-1] > 0, at[starts + depth], 0))
+        on = on & goes_on[starts + depth - 1]
+        columns.append(np.where(on, at[starts + depth], 0))
     half = (width + 1) // 2
     keys = []
     for part in (columns[:half], columns[half:]):
@@ -178,6 +185,39 @@ def prefix_key(prefix: list[np.ndarray]) -> np.ndarray:
     return key
 
 
+def pair_key(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """40 bits of two neighbours' codes; pairs with equal keys are taken for one, so each seems as frequent as both."""
+    return prefix_key([one, two]) >> np.uint64(24)
+
+
+def frequent_pairs(codes: DataFrame, frequent, parts: int, least: int) -> DataFrame:
+    """``key, n`` of the pairs of neighbours that occur ``least`` times or more."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in _chunks(batches, FLUSH_CODES):
+            words, rows, weights = suffixes(chunk, frequent.value, 2)
+            keys, at = np.unique(pair_key(words[rows[0]], words[rows[1]]), return_inverse=True)
+            n = np.bincount(at, weights, len(keys)).astype(np.uint32)
+            part = (keys * np.uint64(parts) >> np.uint64(40)).astype(np.int64)
+            cuts = np.flatnonzero(np.diff(part, prepend=-1, append=-1)) if len(part) else []
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                blob = zstandard.ZstdCompressor(3).compress(np.diff(keys[a:b], prepend=np.uint64(0)).tobytes() + n[a:b].tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array([int(part[a])], pa.int64()), pa.array([int(b - a)], pa.int64()), pa.array([blob], pa.binary())], ["part", "size", "blob"])
+
+    def add(group: pa.Table) -> pa.Table:
+        keys, n = [], []
+        for size, blob in zip(group.column("size").to_pylist(), group.column("blob").to_pylist(), strict=True):
+            data = zstandard.ZstdDecompressor().decompress(blob)
+            keys.append(np.cumsum(np.frombuffer(data, np.uint64, size)))
+            n.append(np.frombuffer(data, np.uint32, size, 8 * size))
+        every, at = np.unique(np.concatenate(keys), return_inverse=True)
+        total = np.bincount(at, np.concatenate(n), len(every)).astype(np.int64)
+        many = total >= least
+        return pa.table([pa.array(every[many].view(np.int64)), pa.array(total[many])], ["key", "n"])
+
+    return codes.mapInArrow(send, "part bigint, size bigint, blob binary").groupBy("part").applyInArrow(add, "key bigint, n bigint")
+
+
 def routes(columns: list[np.ndarray], hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(key that each suffix is routed by, number of its words in it): two words, or as many as are needed to be no hot prefix."""
     key, depths = prefix_key(columns[:2]), np.full(len(columns[0]), 2)
@@ -249,11 +289,11 @@ def quicksorted(rows: np.ndarray, weights: np.ndarray, least: int, spread: int =
             stack.append((same, depth + 1, longer))
 
 
-def phrase_counts(codes: DataFrame, frequent, hot, parts: int, width: int, least: int) -> DataFrame:
+def phrase_counts(codes: DataFrame, frequent, pairs, hot, parts: int, width: int, least: int) -> DataFrame:
     """``phrase`` (codes), ``f``: all phrases of 2 to ``width`` words that occur ``least`` times."""
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in _chunks(batches, FLUSH_CODES):
-            words, rows, weights = suffixes(chunk, frequent.value, width)
+            words, rows, weights = suffixes(chunk, frequent.value, width, pairs.value)
             key, _ = routes([words[r] for r in rows], hot.value)
             part = (key >> np.uint64(7)) % np.uint64(parts)
             order = np.argsort(part, kind="stable")
@@ -319,12 +359,14 @@ def collocations(
     share = spark.sparkContext.broadcast
     known = share(bitmap(frequent, "code", BITS))
     pointers = frequent.agg(F.sum("f")).first()[0] or 0
+    pairs = stored(frequent_pairs(codes, known, max(1, math.ceil(pointers / part_pointers)), least), "pairs")
+    pointers = pairs.agg(F.sum("n")).first()[0] or 0
     limit = part_pointers // 2
     hot_words = frequent.where(F.col("f") > limit)
     hot = np.zeros(BITS // 8, np.uint8)
     if not hot_words.isEmpty():
         hot = bitmap(hot_prefixes(codes, known, share(bitmap(hot_words, "code", BITS)), width, limit), "key", BITS)
-    counts = phrase_counts(codes, known, share(hot), max(1, math.ceil(pointers / part_pointers)), width, least)
+    counts = phrase_counts(codes, known, share(bitmap(pairs, "key", BITS)), share(hot), max(1, math.ceil(pointers / part_pointers)), width, least)
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
     return ranked(_spelled(stored(counts, "phrases"), frequent), frequent, totals, absorbed, top)
 
