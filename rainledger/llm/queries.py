@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rainledger.llm import clusters, collocations, decontaminate, licenses, linededup, lm, packing, quality, sharding, simhash, tokenfiles, warc
+from rainledger.llm import clusters, collocations, decontaminate, jaccard, licenses, linededup, lm, packing, quality, sharding, simhash, tokenfiles, warc
 from rainledger.llm.common import ship, table
 from rainledger.llm.tokens import default_tokenizer
 from rainledger.session import scratch
@@ -94,6 +94,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(documents(spark, sf_dir), "doc_id", "text", width=5, percent=80)
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return collocations.collocations(table(spark, sf_dir, "documents"), "text", "lang", least=100, width=5, top=2000)
@@ -115,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_sharding": op9_sharding,
     "op10_decontamination": op10_decontamination,
+    "op11_jaccard_join": op11_jaccard_join,
     "op12_collocations": op12_collocations,
     "op13_centroid_clustering": op13_centroid_clustering,
 }
