@@ -1,10 +1,11 @@
 """Exact Jaccard join of texts' shingle sets in metric space.
 
 The distance 1 - |x & y| / |x | y| obeys the triangle inequality, so what two sets are to a pivot bounds what they are
-to each other. Equal sets are one class. Two classes that link share one of the first shingles of both under any common
-order of shingles, as many as may be missing and one more. The order puts shingles that many first places hold last, so passages that are
+to each other. Equal sets are one class. Two classes that link share shingles among the first of both under any common
+order of shingles: one among as many as may be missing and one more, and with ``SPARE`` percent more places as many again. Classes that
+share fewer of those with any other are alone. For the rest the order puts shingles that many first places hold last, so passages that are
 everywhere bring nobody together. The first class that has a shingle is the pivot of all that share it: a region is the pivot with
-them, and each pair that links is in one. Classes that share no such shingle are alone.
+them, and each pair that links is in one.
 
 Inside a region the join is recursive. Some members far from each other are pivots; each member's home is the cell of the nearest (Voronoi),
 and it is a visitor in the cells of pivots that are no more than twice the threshold further away. If x and y link, y is at home or a
@@ -31,7 +32,10 @@ from rainledger.llm.components import components
 from rainledger.llm.simhash import _forest, shingle_hashes
 
 HEAVY = 16  # classes that have a shingle among their first: with more, it is ordered last
-BITS = 1 << 24  # of each bitmap
+SPARE = 5  # percent of a set that two sets that link share among their first shingles, or of the smaller one
+BITS = 1 << 24  # of the bitmaps of documents and late shingles
+SHARED_BITS = 1 << 26  # of the bitmap of shared first shingles
+SEEN = 1 << 20  # digests that a task remembers
 BLOCK = 1024  # members of a region that meet in a task at once
 BLOCK_SHINGLES = 1 << 21  # of a block; a larger set stands alone
 SMALL = 48  # members that are compared without pivots
@@ -44,18 +48,23 @@ def shingle_set(text: bytes, width: int) -> np.ndarray:
     return np.unique(np.array(shingle_hashes(text, width), np.uint64))
 
 
-def prefix_length(n: int, percent: int) -> int:
-    """So many first shingles that two sets that link share one of them."""
-    return n - (percent * n + 99) // 100 + 1 if n else 0
+def prefix_length(n: int, percent: int, spare: int = 0) -> int:
+    """So many first shingles that two sets that link share one of them, or ``spare`` percent more of each for ``least_shared``."""
+    return n - (percent * n + 99) // 100 + 1 + spare * n // 100 if n else 0
 
 
-def first_shingles(shingles: np.ndarray, percent: int, heavy: np.ndarray | None) -> np.ndarray:
-    """Keys (48 bits) of the first shingles: the smallest hashes, those in ``heavy`` after all others."""
+def least_shared(n: np.ndarray, percent: int, spare: int) -> np.ndarray:
+    """How many of its first shingles a set of ``n`` shares with any set it links with, which has ``percent`` of ``n`` at least."""
+    return spare * ((percent * n + 99) // 100) // 100 + 1
+
+
+def first_keys(shingles: np.ndarray, length: int, late: np.ndarray | None = None) -> np.ndarray:
+    """Keys (48 bits) of the first shingles: the smallest hashes, those in the bitmap ``late`` after all others."""
     keys = (shingles >> np.uint64(16)).view(np.int64)
-    if heavy is not None:
-        late = in_bitmap(keys, heavy)
-        keys = np.concatenate([keys[~late], keys[late]])
-    return np.unique(keys[: prefix_length(len(shingles), percent)])
+    if late is not None:
+        last = in_bitmap(keys, late)
+        keys = np.concatenate([keys[~last], keys[last]])
+    return keys[:length]
 
 
 def _lists(values: list[np.ndarray]) -> pa.Array:
@@ -65,28 +74,55 @@ def _lists(values: list[np.ndarray]) -> pa.Array:
 
 
 def prints(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """``id, low, high`` (a digest of the set), ``n, keys`` (the first shingles by hash) of ``id, text``."""
+    """``id, low, high`` (a digest of the set), ``n, keys`` of ``id, text``; of copies in a task only one has keys, the first shingles by hash."""
     names = ["id", "low", "high", "n", "keys"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
             for at in range(0, batch.num_rows, DOCS_AT_ONCE):
                 part = batch.slice(at, DOCS_AT_ONCE)
-                low, high, sizes, keys = [], [], [], []
+                digests, sizes, keys = [], [], []
                 for text in texts_of(part, "text"):
                     found = shingle_set(text, width)
-                    digest = xxhash.xxh3_128_intdigest(found.tobytes())
-                    low.append(digest & (1 << 64) - 1)
-                    high.append(digest >> 64)
+                    digests.append(xxhash.xxh3_128_intdigest(found.tobytes()))
                     sizes.append(len(found))
-                    keys.append(first_shingles(found, percent, None))
-                signed = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (low, high)]
-                yield pa.RecordBatch.from_arrays([part.column(0), *signed, pa.array(sizes, pa.int64()), _lists(keys)], names)
+                    length = 0 if digests[-1] in seen else prefix_length(len(found), percent, SPARE)
+                    keys.append(first_keys(found, length))
+                    if len(seen) < SEEN:
+                        seen.add(digests[-1])
+                yield pa.RecordBatch.from_arrays([part.column(0), *_halves(digests), pa.array(sizes, pa.int64()), _lists(keys)], names)
 
     return docs.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, low bigint, high bigint, n bigint, keys array<bigint>")
 
 
-def sets_of(docs: DataFrame, wanted, heavy, width: int, percent: int) -> DataFrame:
+def _halves(digests: list[int]) -> list[pa.Array]:
+    parts = [d & (1 << 64) - 1 for d in digests], [d >> 64 for d in digests]
+    return [pa.array(np.array(x, np.uint64).view(np.int64)) for x in parts]
+
+
+def shared_places(table: DataFrame, shared, percent: int) -> DataFrame:
+    """``low, n, key`` of the first shingles that the bitmap ``shared`` may hold, of the sets that have enough of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            low, n = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            lists = batch.column(2)
+            sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+            keys = lists.flatten().to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(len(low)), sizes)
+            hit = in_bitmap(keys, shared.value)
+            enough = np.bincount(row[hit], minlength=len(low)) >= least_shared(n, percent, SPARE)
+            kept = np.flatnonzero(hit & enough[row])
+            for at in range(0, len(kept), 1 << 16):
+                cut = kept[at : at + (1 << 16)]
+                columns = [low[row[cut]], n[row[cut]], keys[cut]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["low", "n", "key"])
+
+    return table.select("low", "n", "keys").where(F.size("keys") > 0).mapInArrow(run, "low bigint, n bigint, key bigint")
+
+
+def sets_of(docs: DataFrame, wanted, late, width: int, percent: int) -> DataFrame:
     """``id, low, high, shingles, keys`` of the documents of ``id, text, at`` whose ``at`` is in the bitmap ``wanted``."""
     names = ["id", "low", "high", "shingles", "keys"]
 
@@ -96,11 +132,9 @@ def sets_of(docs: DataFrame, wanted, heavy, width: int, percent: int) -> DataFra
             for at in range(0, len(hits), DOCS_AT_ONCE):
                 part = batch.take(pa.array(hits[at : at + DOCS_AT_ONCE]))
                 sets = [shingle_set(t, width) for t in texts_of(part, "text")]
-                digests = [xxhash.xxh3_128_intdigest(s.tobytes()) for s in sets]
-                halves = [[d & (1 << 64) - 1 for d in digests], [d >> 64 for d in digests]]
-                signed = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in halves]
-                keys = [first_shingles(s, percent, heavy.value) for s in sets]
-                yield pa.RecordBatch.from_arrays([part.column(0), *signed, _lists(sets), _lists(keys)], names)
+                halves = _halves([xxhash.xxh3_128_intdigest(s.tobytes()) for s in sets])
+                keys = [first_keys(s, prefix_length(len(s), percent), late.value) for s in sets]
+                yield pa.RecordBatch.from_arrays([part.column(0), *halves, _lists(sets), _lists(keys)], names)
 
     kind = docs.schema["id"].dataType.simpleString()
     return docs.mapInArrow(run, f"id {kind}, low bigint, high bigint, shingles array<bigint>, keys array<bigint>")
@@ -289,21 +323,25 @@ def jaccard_components(
     told apart by 64-bit hashes. A very long text is one set of 8 bytes a word, which a task holds.
     """
     spark = docs.sparkSession
+    share = spark.sparkContext.broadcast
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     made: list[str] = []
     with collected(made):
         table = stored(prints(rows, width, percent), "prints")
     each = stored(table.select("id", "low", "high", "n"), "rows")
-    grouped = table.where("n > 0").groupBy("low", "high").agg(F.min("id").alias("least"), F.first("n").alias("n"), F.first("keys").alias("keys"))
-    classes = stored(grouped.withColumn("node", F.monotonically_increasing_id()), "classes")
+    places = table.select("low", F.explode("keys").alias("key"))
+    lows = F.min("low").alias("low"), F.max("low").alias("other"), F.count(F.lit(1)).alias("many")
+    shared = stored(places.groupBy("key").agg(*lows).where("low <> other").select("key", "many"), "shared")
+    late = share(bitmap(shared.where(F.col("many") > heavy), "key", BITS))
+    meet = shared_places(table, share(bitmap(shared, "key", SHARED_BITS)), percent).distinct().join(shared.select("key"), "key", "left_semi")
+    least = F.floor(F.lit(SPARE) * F.floor((percent * F.col("n") + 99) / 100) / 100) + 1  # as ``least_shared``
+    meet = stored(meet.groupBy("low", "n").agg(F.count(F.lit(1)).alias("many")).where(F.col("many") >= least).select("low"), "meet")
     discard(spark, made)
-    postings = classes.select("node", F.explode("keys").alias("key"))
-    shared = stored(postings.groupBy("key").agg(F.count(F.lit(1)).alias("many")).where("many > 1"), "shared")
-    late = spark.sparkContext.broadcast(bitmap(shared.where(F.col("many") > heavy), "key", BITS))
-    meet = postings.join(shared.select("key"), "key", "left_semi").select("node").distinct()
-    some = stored(classes.select("node", "low", "high", "least", "n").join(meet, "node", "left_semi"), "some")
+    grouped = each.where("n > 0").groupBy("low", "high").agg(F.min("id").alias("least"), F.first("n").alias("n"))
+    classes = stored(grouped.withColumn("node", F.monotonically_increasing_id()), "classes")
+    some = stored(classes.join(meet, "low", "left_semi"), "some")
     at = F.xxhash64("id")
-    wanted = spark.sparkContext.broadcast(bitmap(some.select(F.xxhash64(F.col("least")).alias("at")), "at", BITS))
+    wanted = share(bitmap(some.select(F.xxhash64(F.col("least")).alias("at")), "at", BITS))
     found = sets_of(rows.select("id", "text", at.alias("at")), wanted, late, width, percent)
     same = (found.low == some.low) & (found.high == some.high) & found.id.eqNullSafe(some.least)
     sets = found.join(some, same).select("node", "n", "shingles", "keys").dropDuplicates(["node"])

@@ -132,12 +132,18 @@ def test_cell(seed, count, percent, share):
 
 
 def test_prefixes_meet():
-    """Sets that link share a first shingle, whichever shingles are late."""
-    rng = np.random.default_rng(5)
-    for _ in range(300):
-        x = rng.integers(0, 1 << 63, rng.integers(1, 60)).astype(np.uint64)
-        y = np.unique(np.concatenate([x[rng.random(len(x)) < 0.93], rng.integers(0, 1 << 63, rng.integers(0, 4)).astype(np.uint64)]))
+    """Sets that link share a first shingle, whichever shingles are late, and of more places as many as every set must."""
+    rng, linked = np.random.default_rng(5), 0
+    for _ in range(400):
+        x = rng.integers(0, 1 << 63, rng.integers(1, 300)).astype(np.uint64)
+        y = np.unique(np.concatenate([x[rng.random(len(x)) < rng.choice([0.85, 0.93, 1])], rng.integers(0, 1 << 63, rng.integers(0, 4)).astype(np.uint64)]))
         x = np.unique(x)
         late = rng.integers(0, 256, 1 << 10).astype(np.uint8)
         if 100 * len(np.intersect1d(x, y)) >= 80 * len(np.union1d(x, y)):
-            assert len(np.intersect1d(jaccard.first_shingles(x, 80, late), jaccard.first_shingles(y, 80, late)))
+            linked += 1
+            one, two = (jaccard.first_keys(s, jaccard.prefix_length(len(s), 80), late) for s in (x, y))
+            assert len(np.intersect1d(one, two))
+            one, two = (jaccard.first_keys(s, jaccard.prefix_length(len(s), 80, jaccard.SPARE)) for s in (x, y))
+            for s in (x, y):
+                assert len(np.intersect1d(one, two)) >= jaccard.least_shared(np.int64(len(s)), 80, jaccard.SPARE)
+    assert linked > 100
