@@ -32,7 +32,7 @@ from rainledger.llm.components import components
 from rainledger.llm.simhash import _forest, shingle_hashes
 
 HEAVY = 16  # classes that have a shingle among their first: with more, it is ordered last
-SPARE = 5  # percent of a set that two sets that link share among their first shingles, or of the smaller one
+SPARE = 10  # percent of a set that two sets that link share among their first shingles, or of the smaller one
 BITS = 1 << 24  # of the bitmaps of documents and late shingles
 SHARED_BITS = 1 << 26  # of the bitmap of shared first shingles
 SEEN = 1 << 20  # digests that a task remembers
@@ -344,8 +344,7 @@ def jaccard_components(
     wanted = share(bitmap(some.select(F.xxhash64(F.col("least")).alias("at")), "at", BITS))
     found = sets_of(rows.select("id", "text", at.alias("at")), wanted, late, width, percent)
     same = (found.low == some.low) & (found.high == some.high) & found.id.eqNullSafe(some.least)
-    sets = found.join(some, same).select("node", "n", "shingles", "keys").dropDuplicates(["node"])
-    sets = stored(sets, "sets")
+    sets = stored(found.join(some, same).select("node", "n", "shingles", "keys"), "sets")  # repeated rows are repeated; cells hold each node once
     postings = sets.select("node", "n", F.explode("keys").alias("key"))
     firsts = stored(postings.groupBy("key").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("many")).where("many > 1"), "firsts")
     members = postings.join(firsts, "key").select("pivot", "node", "n").distinct()
