@@ -27,7 +27,6 @@ from rainledger.session import configure, scratch
 from rainledger.sources import bronze as bronze_source
 from rainledger.sources import masters, tables
 from rainledger.sources.cdc import read_cdc, read_cdc_stream
-from rainledger.sources.paths import read_or_empty
 from rainledger.streaming import pipelines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -458,6 +457,55 @@ def merge_orders_table_two_batches(spark, sf):
     return silver.read_orders(spark, f"{work}/orders").select(*SILVER_ORDERS.names)
 
 
+def _moved(events):
+    """Updates carry another creation time than the insert, or none."""
+    created = F.col("payload.created_at")
+    number = F.regexp_extract(F.col("payload.order_id"), "[0-9]+", 0).cast("bigint")
+    later = F.struct(F.date_add(created["date"], 3).alias("date"), created["time"].alias("time"))
+    moved = F.when(number % 3 == 0, F.lit(None)).when(number % 3 == 1, later).otherwise(created)
+    update = F.col("source_metadata.change_type") == "UPDATE"
+    return events.withColumn("payload", F.when(update, F.col("payload").withField("created_at", moved)).otherwise(F.col("payload")))
+
+
+def merge_orders_moved_creation(spark, sf):
+    """Updates that name another day than their order lies in, or none, still update that order, in four batches."""
+    work = scratch(spark, "merge_orders_moved")
+    events = _moved(b.order_cdc(spark, sf))
+    inserts = F.col("source_metadata.change_type") == "INSERT"
+    early = F.col("source_timestamp") <= b.SPLIT
+    for number, part in enumerate((inserts & early, ~inserts & early, inserts & ~early, ~inserts & ~early)):
+        source = silver.latest_changes(events.filter(part), "orders")
+        silver.merge_orders_table(f"{work}/orders", source, f"{work}/staged", tables.Batch("a", number))
+    return silver.read_orders(spark, f"{work}/orders").select(*SILVER_ORDERS.names)
+
+
+def stream_merge_deletes(spark, sf):
+    """Deletes applied on the way, and events of the first part landing once more at the end bring nothing back."""
+    events = b.order_cdc(spark, sf)
+    drain = lambda stream, work: pipelines.stream_orders(stream, f"{work}/orders", work, f"{work}/stats", apply_deletes=True)
+    work = _stream_cdc(spark, "stream_merge_deletes", "orders", events, b.SPLIT, drain)
+    again = events.filter("source_metadata.change_type = 'INSERT'")
+    latest.incremental(again, "source_timestamp", hi=b.SPLIT).write.mode("append").parquet(f"{work}/landing")
+    drain(read_cdc_stream(spark, f"{work}/landing", "orders", "parquet"), work)
+    return silver.read_orders(spark, f"{work}/orders").select(*SILVER_ORDERS.names)
+
+
+def stream_products_deletes(spark, sf):
+    return _stream_dimension("products", spark, b.product_cdc(spark, sf), SILVER_PRODUCTS, apply_deletes=True)
+
+
+def order_details_many_batches(spark, sf):
+    """Lines in two batches, the first of them repeated, into parts so small that their number grows on the way."""
+    path = f"{scratch(spark, 'details_log')}/details"
+    events = b.order_detail_cdc(spark, sf)
+    log = silver.order_details_log(path)._replace(part_rows=500)
+    for bound in ({"hi": b.DETAILS_SPLIT}, {"hi": b.DETAILS_SPLIT}, {"lo": b.DETAILS_SPLIT}):
+        part = latest.incremental(events, "source_timestamp", **bound)
+        with tables.persisted(silver.latest_changes(part, "order_details").drop("source_timestamp")) as lines:
+            log.append(lines, ["detail_id"])
+    return log.rows(spark)
+
+
 def stream_order_stats(spark, sf):
     work = _stream_cdc(
         spark, "stream_order_stats", "orders", b.order_cdc(spark, sf), b.SPLIT,
@@ -471,15 +519,15 @@ def stream_order_details(spark, sf):
         spark, "stream_order_details", "order_details", b.order_detail_cdc(spark, sf), b.DETAILS_SPLIT,
         lambda events, work: pipelines.stream_order_details(events, f"{work}/details", work),
     )
-    return read_or_empty(spark, f"{work}/details", SILVER_ORDER_DETAILS).select(*SILVER_ORDER_DETAILS.names)
+    return silver.read_order_details(spark, f"{work}/details")
 
 
-def _stream_dimension(name, spark, rows, schema):
+def _stream_dimension(name, spark, rows, schema, apply_deletes=False):
     work = _stream_cdc(
         spark, f"stream_{name}", name, rows, b.SPLIT,
-        lambda events, work: pipelines.stream_dimension(events, name, f"{work}/{name}", work),
+        lambda events, work: pipelines.stream_dimension(events, name, f"{work}/{name}", work, apply_deletes),
     )
-    return silver.scd2_table(spark, f"{work}/{name}", schema).drop("slot")
+    return silver.scd2_table(spark, f"{work}/{name}", schema)
 
 
 def stream_products(spark, sf):
@@ -647,7 +695,11 @@ QUERIES: dict[str, Query] = {
     "envelope_json": envelope_json,
     "weather_route_counts": weather_route_counts,
     "merge_orders_table_two_batches": merge_orders_table_two_batches,
+    "merge_orders_moved_creation": merge_orders_moved_creation,
+    "order_details_many_batches": order_details_many_batches,
     "stream_merge": stream_merge,
+    "stream_merge_deletes": stream_merge_deletes,
+    "stream_products_deletes": stream_products_deletes,
     "stream_order_stats": stream_order_stats,
     "stream_order_details": stream_order_details,
     "stream_products": stream_products,

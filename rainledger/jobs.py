@@ -26,14 +26,13 @@ from rainledger.plans import gold, silver
 from rainledger.schemas import (
     BRONZE_PARTITIONS,
     BRONZE_WEATHER,
-    SILVER_ORDER_DETAILS,
     SILVER_PRODUCTS,
     SILVER_STORES,
     SILVER_WEATHER,
 )
 from rainledger.session import build_session
 from rainledger.sources.cdc import read_cdc_stream
-from rainledger.sources.paths import exists, read_or_empty
+from rainledger.sources.paths import exists
 from rainledger.sources.tables import ChecksFailed, publish
 from rainledger.streaming import pipelines
 
@@ -61,12 +60,13 @@ def silver_weather(spark: SparkSession, bronze: str, lake: str, run_ts: str | No
 
 
 def silver_cdc(spark: SparkSession, bronze: str, lake: str, fmt: str = "avro", max_files: int | None = None,
-               since: str | None = None) -> dict[str, int]:
+               since: str | None = None, apply_deletes: bool = False) -> dict[str, int]:
     """Apply the change events that landed, and keep the order statistics fresh.
 
     A table whose folder is not there yet is left for a later run. ``max_files`` splits a
     large backlog into several batches; ``since`` leaves out events up to that time. Gives
-    the events per dimension that came too late to count.
+    the events per dimension that came too late to count. ``apply_deletes`` removes deleted orders and
+    ends deleted products and stores; order lines are never removed.
     """
     late = {}
     for table in CDC_TABLES:
@@ -76,11 +76,11 @@ def silver_cdc(spark: SparkSession, bronze: str, lake: str, fmt: str = "avro", m
         events = incremental(events, "source_timestamp", lo=since)
         path, work = f"{lake}/silver/{table}", f"{lake}/work/{table}"
         if table == "orders":
-            pipelines.stream_orders(events, path, work, f"{lake}/gold/realtime_order_stats")
+            pipelines.stream_orders(events, path, work, f"{lake}/gold/realtime_order_stats", apply_deletes)
         elif table == "order_details":
             pipelines.stream_order_details(events, path, work)
         else:
-            late[table] = pipelines.stream_dimension(events, table, path, work)
+            late[table] = pipelines.stream_dimension(events, table, path, work, apply_deletes)
     return late
 
 
@@ -88,7 +88,7 @@ def silver_tables(spark: SparkSession, lake: str) -> dict[str, DataFrame]:
     """The Silver tables as DataFrames; one that was never written has no rows."""
     return {
         "orders": silver.read_orders(spark, f"{lake}/silver/orders"),
-        "order_details": read_or_empty(spark, f"{lake}/silver/order_details", SILVER_ORDER_DETAILS),
+        "order_details": silver.read_order_details(spark, f"{lake}/silver/order_details"),
         "products": silver.scd2_table(spark, f"{lake}/silver/products", SILVER_PRODUCTS),
         "stores": silver.scd2_table(spark, f"{lake}/silver/stores", SILVER_STORES),
         "weather": silver.read_weather(spark, f"{lake}/silver/weather").select(*SILVER_WEATHER.names),
@@ -102,8 +102,12 @@ def register_silver(spark: SparkSession, lake: str, prefix: str = "silver_") ->
 
 
 def check_silver(spark: SparkSession, lake: str) -> None:
-    """Raise if a dimension has overlapping or several open versions, or the order statistics a repeated group."""
+    """Raise if an order or a line is there twice, a dimension has overlapping or several open versions, or the
+    order statistics a repeated group."""
     tables = silver_tables(spark, lake)
+    for name in ("orders", "order_details"):
+        key = silver.KEYS[name]
+        _require(quality.check_unique(tables[name].filter(F.col(key).isNotNull()), [key]), name)
     for name in pipelines.DIMENSIONS:
         rules = quality.check_scd2(tables[name], silver.KEYS[name]).filter(F.col("rule").isin(DIMENSION_RULES))
         _require(rules, name)
@@ -159,13 +163,14 @@ def main() -> None:
     to_silver.add_argument("--format", default="avro")
     to_silver.add_argument("--max-files", type=int)
     to_silver.add_argument("--since", help="leave out what happened up to this time (UTC)")
+    to_silver.add_argument("--deletes", action="store_true", help="apply delete events")
     for step in (to_silver, to_gold):
         step.add_argument("--lake", required=True)
     args = parser.parse_args()
     spark = build_session(f"rainledger-{args.step}")
     if args.step == "silver":
         left_out = silver_weather(spark, args.bronze, args.lake, max_files=args.max_files, since=args.since)
-        late = silver_cdc(spark, args.bronze, args.lake, args.format, args.max_files, args.since)
+        late = silver_cdc(spark, args.bronze, args.lake, args.format, args.max_files, args.since, args.deletes)
         print(f"left out: {left_out}; late events: {late}")
     else:
         build_gold(spark, args.lake)

@@ -111,6 +111,46 @@ def late_events(open_rows: DataFrame, incoming: DataFrame, key: str | list[str],
     return incoming.join(started, keys).filter(F.col(ts_col) <= F.col("__from")).drop("__from")
 
 
+def scd2_deltas(
+    held: DataFrame,
+    incoming: DataFrame,
+    key: str,
+    tracked: list[str],
+    ts_col: str = "source_timestamp",
+    deletes: bool = False,
+) -> DataFrame:
+    """What each event does to the newest row of its key: ``begun``, ``ended`` (rows like ``held``, or NULL) and ``late``.
+
+    ``held`` has a key's newest version, or the tombstone of its deletion: a row that is not current and ends where it
+    starts. Both sides hold a key at most once. An event newer than that row begins a version if there
+    is none, the key was deleted, or a tracked value differs, and ends the one that is open; with ``deletes``
+    each event ends the open version and leaves a tombstone. Events that are not newer do nothing, so none brings a
+    deleted key back; they are ``late`` unless they are the very event that began the row.
+    """
+    attrs = [c for c in held.columns if c != key]
+    old = held.select(F.col(key).alias("__key"), F.struct(*held.columns).alias("__old"))
+    begun = {ts_col: "valid_from"}
+    starts = incoming.withColumnsRenamed(begun).withColumn("is_current", F.lit(not deletes))
+    end = F.col("valid_from") if deletes else F.lit(None).cast("timestamp")
+    starts = starts.withColumn("valid_to", end)
+    if deletes:
+        kept = [c for c in attrs if c not in SCD2_COLS]
+        starts = starts.withColumns({c: F.lit(None).cast(held.schema[c].dataType) for c in kept})
+    joined = starts.select(F.struct(*held.columns).alias("__new")).join(old, F.col(f"__new.{key}") == F.col("__key"), "left")
+
+    o, n = F.col("__old"), F.col("__new")
+    newer = o.isNull() | (n["valid_from"] > o["valid_from"])
+    other = o.isNull() | (o["is_current"] if deletes else ~o["is_current"] | differs([(n[c], o[c]) for c in tracked]))
+    begins = newer & other
+    closed = o.withField("valid_to", n["valid_from"]).withField("is_current", F.lit(False))
+    same = n["valid_from"].eqNullSafe(o["valid_from"]) & ~other
+    return joined.select(
+        F.when(begins, n).alias("begun"),
+        F.when(begins & o.isNotNull() & o["is_current"], closed).alias("ended"),
+        (o.isNotNull() & ~newer & ~same).alias("late"),
+    )
+
+
 def scd2_history(
     events: DataFrame,
     key: str | list[str],

@@ -527,7 +527,10 @@ def oracle_sql() -> dict[str, str]:
             SELECT source, coalesce(source <> 'weatherstation', false) AS is_known, count(*) AS row_count
             FROM routed GROUP BY ALL""",
         "merge_orders_table_two_batches": final_orders,
+        "merge_orders_moved_creation": final_orders,
+        "order_details_many_batches": details_out,
         "stream_merge": final_orders,
+        "stream_merge_deletes": f"{final_orders} WHERE store_id >= 5",
         "stream_order_stats": order_stats,
         "stream_order_details": details_out,
         "stream_products": products,
@@ -570,4 +573,5 @@ def oracle_sql() -> dict[str, str]:
             FROM newest JOIN region ON r_regionkey = city_id WHERE rn = 1"""
     for source in ("openweather", "openmeteo", "tomorrowio"):
         sql[f"normalize_{source}"] = f"{weather_out} WHERE source = '{source}'"
+    sql["stream_products_deletes"] = sql["silver_products_deletes"]
     return sql

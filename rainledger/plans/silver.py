@@ -1,8 +1,8 @@
 """Change events to Silver tables: flatten, keep the latest, merge or version.
 
 The ``silver_*`` functions are pure: ``(target, events) -> new target``. The
-``merge_*_table`` functions apply the same to Parquet tables, rewriting only the
-partitions a batch touches.
+``*_table`` functions apply the same to Parquet tables: orders by rewriting the days a batch
+touches, versions and lines by appending.
 """
 
 from __future__ import annotations
@@ -14,15 +14,15 @@ from pyspark.sql import types as T
 from rainledger.functions.columns import datetime_struct_to_ts
 from rainledger.operators.latest import deleted_keys, drop_deletes, incremental, keep_latest
 from rainledger.operators.merge import merge_delete, merge_insert_only, merge_upsert, not_in
-from rainledger.operators.scd2 import current, late_events, scd2_apply, scd2_changes, scd2_close
-from rainledger.schemas import SILVER_ORDER_DETAILS, SILVER_ORDERS, SILVER_WEATHER
-from rainledger.sources.paths import read_or_empty
+from rainledger.operators.scd2 import current, scd2_apply, scd2_close, scd2_deltas
+from rainledger.schemas import SILVER_ORDER_DETAILS, SILVER_ORDERS, SILVER_WEATHER, struct
+from rainledger.sources.keyed import KeyedLog
+from rainledger.sources.paths import exists, read_or_empty
 from rainledger.sources.tables import (
-    DETAILS_PARTITIONS,
     ORDERS_PARTITIONS,
     WEATHER_PARTITIONS,
     Batch,
-    hash_part,
+    drop_partitions,
     in_values,
     partition_names,
     persisted,
@@ -113,84 +113,154 @@ def silver_stores(target: DataFrame, events: DataFrame, lo=None, hi=None, apply_
     return _silver_dimension("stores", target, events, lo, hi, apply_deletes, strict_ref)
 
 
-# --- Parquet tables, changed by partition -------------------------------------------------
+# --- Parquet tables, changed by partition or appended to by key ----------------------------
+
+PLACES = struct(order_id="string", created_date="date", at="timestamp", deleted="boolean")
 
 
 def read_orders(spark: SparkSession, path: str, schema=SILVER_ORDERS) -> DataFrame:
     return read_or_empty(spark, path, with_partitions(spark.createDataFrame([], schema), ORDERS_PARTITIONS).schema)
 
 
+def order_places(path: str) -> KeyedLog:
+    """Where each order of the table lies: the day it was created on, or that it was deleted, since ``at``."""
+    return KeyedLog(f"{path.rstrip('/')}_places", "order_id", PLACES, compact=_newest_place)
+
+
+def _newest_place(places: DataFrame) -> DataFrame:
+    return keep_latest(places, "order_id", "at", ("deleted",))
+
+
 def merge_orders_table(path: str, source: DataFrame, staging: str, batch: Batch, schema=SILVER_ORDERS,
-                       creation_is_fixed: bool = False) -> DataFrame:
+                       deleted: DataFrame | None = None) -> DataFrame:
     """Upsert a batch (one row per key) into the orders table and return its changed days.
 
-    An order keeps the day it was created on, so the days to rewrite are those of
-    the matched targets, found by reading key and day only, and those of new rows.
-    Where the source system never changes an order's creation time,
-    ``creation_is_fixed`` spares that read: the batch's own days are then all.
+    Orders lie in the day they were created on, whatever later events say of it. That day is looked up in the
+    table's places, so a batch reads and writes the days of its own keys only. New keys are placed before
+    their rows are written: a repeated batch finds them where it put them.
+
+    ``deleted`` has keys whose newest event is a delete, with its ``source_timestamp``. Their rows go and a tombstone stays
+    among the places, so no event up to that time brings a key back, in whatever batch it comes. Events are
+    timed by ``source_timestamp`` if the batch has it, else by ``updated_at``.
     """
     spark = source.sparkSession
     day = partition_names(ORDERS_PARTITIONS)[0]
-    target = read_orders(spark, path, schema)
-    rows = with_partitions(source, ORDERS_PARTITIONS)
-    days = rows.select(day)
-    if not creation_is_fixed:
-        matched = target.select("order_id", day).join(rows.select("order_id"), "order_id", "left_semi")
-        days = days.unionByName(matched.select(day))
-    touched = touched_values(days, day)
-    merged = merge_upsert(in_values(target, day, touched), rows, "order_id", "updated_at", ORDER_UPDATES)
-    replace_partitions(merged, path, [day], staging, batch)
+    places = order_places(path)
+    if not exists(spark, places.path) and exists(spark, path):  # a table from before it had places
+        held = read_orders(spark, path, schema).select("order_id", day, F.col("updated_at").alias("at"), F.lit(False).alias("deleted"))
+        places.append(held, ["order_id", "at", "deleted"])
+    at = "source_timestamp" if "source_timestamp" in source.columns else "updated_at"
+    known = _newest_place(places.lookup(source)).select(
+        F.col("order_id").alias("__key"), F.col(day).alias("__day"), F.col("at").alias("__at"), F.col("deleted").alias("__deleted"))
+    joined = with_partitions(source, ORDERS_PARTITIONS).join(known, F.col("order_id") == F.col("__key"), "left")
+    back = F.col("__deleted") & (F.col(at).isNull() | (F.col(at) <= F.col("__at")))
+    lies = F.col("__deleted").isNotNull() & ~F.col("__deleted")
+    located = joined.filter(~F.coalesce(back, F.lit(False))).withColumns(
+        {day: F.when(lies, F.col("__day")).otherwise(F.col(day)), "__new": ~F.coalesce(lies, F.lit(False))})
+    with persisted(located) as rows:
+        fresh = rows.filter("__new").select("order_id", day, F.col(at).alias("at"), F.lit(False).alias("deleted"))
+        places.append(fresh, ["order_id", "at", "deleted"])
+        touched = touched_values(rows, day)
+        gone = _bury(places, deleted) if deleted is not None else None
+        if gone is not None:
+            touched = list({*touched, *touched_values(gone, day)})
+        target = in_values(read_orders(spark, path, schema), day, touched)
+        merged = merge_upsert(target, rows, "order_id", "updated_at", ORDER_UPDATES)
+        if gone is not None:
+            merged = merge_delete(merged, gone, "order_id")
+        replace_partitions(merged, path, [day], staging, batch)
+        if gone is not None:
+            left = touched_values(read_or_empty(spark, f"{staging}/rows", merged.schema), day)
+            drop_partitions(spark, path, day, [d for d in touched if d not in left])
     return in_values(read_orders(spark, path, schema), day, touched)
 
 
-OPEN_SLOTS = 32
+def _bury(places: KeyedLog, deleted: DataFrame) -> DataFrame:
+    """Put a tombstone for each key that was deleted after it got its place; the keys buried, now or by this batch before, and their days."""
+    ends = deleted.select("order_id", F.col("source_timestamp").alias("__end"))
+    held = _newest_place(places.lookup(deleted))
+    found = ends.join(held, "order_id", "left").filter(F.col("at").isNull() | (F.col("__end") >= F.col("at")))
+    stones = found.select("order_id", "created_date", F.col("__end").alias("at"), F.lit(True).alias("deleted"))
+    with persisted(stones) as rows:
+        places.append(rows, ["order_id", "at", "deleted"])
+    return _buried(places, deleted)
+
+
+def _buried(places: KeyedLog, deleted: DataFrame) -> DataFrame:
+    return _newest_place(places.lookup(deleted)).filter("deleted").select("order_id", "created_date")
+
+
+def buried_days(path: str, deleted: DataFrame) -> list:
+    """The days that the deleted orders lay in."""
+    return touched_values(_buried(order_places(path), deleted), "created_date")
+
+
+def open_versions(path: str, schema: T.StructType) -> KeyedLog:
+    """The versions and tombstones that began, by key, the first column; a key's newest one counts."""
+    key = schema.names[0]
+    return KeyedLog(f"{path}/open", key, schema, compact=lambda rows: keep_latest(rows, key, "valid_from"))
 
 
-def scd2_table(spark: SparkSession, path: str, schema) -> DataFrame:
-    """A versioned table with its slots: a hash part of the key while open, then the month a version closed in."""
-    return read_or_empty(spark, path, T.StructType([*schema.fields, T.StructField("slot", T.IntegerType())]))
+def closed_versions(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The versions that ended, by the month they ended in."""
+    return read_or_empty(spark, f"{path}/closed", T.StructType([*schema.fields, T.StructField("closed_in", T.IntegerType())]))
 
 
-def open_slots(spark: SparkSession, path: str, schema, slots: list[int]) -> DataFrame:
-    """The open versions in the given hash parts; no other folder is read."""
-    return in_values(current(scd2_table(spark, path, schema)), "slot", slots).drop("slot")
+def scd2_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A versioned table: the newest version of each key that is not deleted, and all that ended."""
+    newest = keep_latest(open_versions(path, schema).rows(spark), schema.names[0], "valid_from")
+    return current(newest).unionByName(closed_versions(spark, path, schema).select(*schema.names))
 
 
-def apply_scd2_table(path: str, schema, incoming: DataFrame, key: str, tracked: list[str], batch: Batch,
-                     staging: str) -> int:
-    """Apply a batch to a versioned table partitioned by ``is_current`` and slot; how many late events it ignored.
+def apply_scd2_table(path: str, schema: T.StructType, incoming: DataFrame, key: str, tracked: list[str],
+                     deleted: DataFrame | None = None) -> int:
+    """Apply a batch (one row per key) to a versioned table; how many late events it ignored.
 
-    Only the hash parts of open versions that hold keys of the batch are read and
-    rewritten, and of closed versions the months in which the batch closes some.
+    Only adds rows: versions that end, in the month they end in, and versions that begin, in the hash part
+    of their key. So what a batch writes follows the batch. Ended versions are written first; a batch that is
+    repeated, after a loss at any point, finds what it wrote and adds the rest.
+
+    ``deleted`` has keys whose newest event is a delete, with its ``source_timestamp``: their open versions end and
+    tombstones begin, so no event up to that time brings a key back.
     """
+    late = _append_versions(path, schema, incoming, key, tracked, False)
+    if deleted is not None:
+        late += _append_versions(path, schema, deleted, key, tracked, True)
+    return late
+
+
+def _append_versions(path: str, schema: T.StructType, incoming: DataFrame, key: str, tracked: list[str], deletes: bool) -> int:
     spark = incoming.sparkSession
+    log = open_versions(path, schema)
+    begin = [key, "valid_from"]
     with persisted(incoming) as events:
-        slots = touched_values(events.select(hash_part(key, OPEN_SLOTS).alias("slot")), "slot")
-        held = open_slots(spark, path, schema, slots)
-        late = late_events(held, events, key).count()
-        closed_in = F.date_format("valid_to", "yyyyMM").cast("int")
-        slot = F.when(F.col("is_current"), hash_part(key, OPEN_SLOTS)).otherwise(closed_in)
-        with persisted(scd2_changes(held, events, key, tracked).withColumn("slot", slot)) as changes:
-            months = touched_values(changes.filter(~F.col("is_current")), "slot")
-            closed = scd2_table(spark, path, schema).filter(~F.col("is_current"))
-            rows = changes.unionByName(in_values(closed, "slot", months))
-            replace_partitions(rows, path, ["is_current", "slot"], staging, batch)
-    return late
+        held = keep_latest(log.lookup(events), key, "valid_from")
+        with persisted(scd2_deltas(held, events, key, tracked, deletes=deletes)) as steps:
+            month = F.date_format("valid_to", "yyyyMM").cast("int")
+            ended = steps.filter("ended IS NOT NULL").select("ended.*").withColumn("closed_in", month)
+            before = in_values(closed_versions(spark, path, schema), "closed_in", touched_values(ended, "closed_in"))
+            fresh = not_in(ended, before, begin, null_safe=True)
+            fresh.hint("rebalance", "closed_in").write.mode("append").partitionBy("closed_in").parquet(f"{path}/closed")
+            log.append(steps.filter("begun IS NOT NULL").select("begun.*"), begin)
+            return steps.filter("late").count()
+
+
+def order_details_log(path: str) -> KeyedLog:
+    return KeyedLog(path, "detail_id", SILVER_ORDER_DETAILS)
+
+
+def read_order_details(spark: SparkSession, path: str) -> DataFrame:
+    return order_details_log(path).rows(spark)
 
 
 def append_order_details(path: str, rows: DataFrame) -> None:
     """Append the lines of a batch (one row per key) that the table does not hold yet.
 
     A repeated batch finds what it appended before, in whole or in part, and a line
-    without a key too. Only the hash parts the batch's keys fall into are searched.
+    without a key too. Only the hash parts the batch's keys fall into are searched, and their number grows with the table.
     """
-    spark = rows.sparkSession
-    names = partition_names(DETAILS_PARTITIONS)
-    schema = with_partitions(spark.createDataFrame([], SILVER_ORDER_DETAILS), DETAILS_PARTITIONS).schema
-    with persisted(with_partitions(rows, DETAILS_PARTITIONS)) as lines:
-        held = in_values(read_or_empty(spark, path, schema), names[0], touched_values(lines, names[0]))
-        fresh = not_in(lines, held, ["detail_id"], null_safe=True).select(*held.columns)
-        fresh.hint("rebalance", *names).write.mode("append").partitionBy(*names).parquet(path)
+    with persisted(rows) as lines:
+        order_details_log(path).append(lines, ["detail_id"])
 
 
 def append_weather(path: str, rows: DataFrame) -> list:

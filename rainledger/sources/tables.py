@@ -29,7 +29,6 @@ class Batch(NamedTuple):
 MARK = struct(run="string", number="bigint")
 
 ORDERS_PARTITIONS: PartitionBy = [("created_date", "day", "created_at")]
-DETAILS_PARTITIONS: PartitionBy = [("detail_part", 64, "detail_id")]
 WEATHER_PARTITIONS: PartitionBy = ["source", ("fetched_date", "day", "fetched_at")]
 
 
@@ -137,6 +136,14 @@ def in_values(df: DataFrame, column: str, values: list) -> DataFrame:
     return df.filter(match | F.col(column).isNull() if None in values else match)
 
 
+def drop_partitions(spark: SparkSession, path: str, column: str, values: list) -> None:
+    """Remove the folders of the given partitions, which no row is left for; one that is gone already is no error."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for value in values:
+        folder = hadoop.Path(f"{path}/{column}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 @contextmanager
 def persisted(df: DataFrame) -> Iterator[DataFrame]:
     """``df`` kept for the jobs inside, and let go whatever happens to them."""

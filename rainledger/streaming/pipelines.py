@@ -14,6 +14,8 @@ from rainledger.plans.silver import (
     append_order_details,
     append_weather,
     apply_scd2_table,
+    buried_days,
+    deletes,
     latest_changes,
     merge_orders_table,
     read_weather,
@@ -21,7 +23,7 @@ from rainledger.plans.silver import (
 from rainledger.plans.weather import known_sources, silver_weather
 from rainledger.schemas import SILVER_PRODUCTS, SILVER_STORES, SILVER_WEATHER
 from rainledger.sources.paths import read_or_empty
-from rainledger.sources.tables import Batch, in_values, persisted, replace_partitions, touched_values
+from rainledger.sources.tables import Batch, drop_partitions, in_values, persisted, replace_partitions, touched_values
 from rainledger.streaming.runner import drain_batches, drain_to_parquet
 
 DIMENSIONS = {"products": SILVER_PRODUCTS, "stores": SILVER_STORES}
@@ -32,28 +34,34 @@ STATE = ["condition", "temperature", "wind_speed", "humidity"]
 
 
 def stream_orders(events: DataFrame, table: str, work: str, stats: str | None = None,
-                  creation_is_fixed: bool = True) -> None:
+                  apply_deletes: bool = False) -> None:
     """Upsert order events batch by batch; with ``stats``, keep the order statistics fresh too.
 
     A status change moves an order between groups, so the statistics of the days a
     batch touches are computed again from the merged orders and replace those days.
-    Orders keep their creation time, so a batch reads and writes the days its own events
-    name; for a source that changes it, pass ``creation_is_fixed=False``.
+    An order stays in the day it was created on, whatever a later event says of that.
+    Deletes are skipped; ``apply_deletes`` removes the order, and no older event brings it back.
     """
 
     def merge(rows: DataFrame, batch: Batch) -> None:
         # read several times below: to find the days, to merge, for the statistics
-        with persisted(latest_changes(rows, "orders").drop("source_timestamp")) as source:
-            changed = merge_orders_table(table, source, f"{work}/staged/orders", batch, creation_is_fixed=creation_is_fixed)
+        with persisted(latest_changes(rows, "orders")) as source:
+            gone = deletes(rows, "orders") if apply_deletes else None
+            changed = merge_orders_table(table, source, f"{work}/staged/orders", batch, deleted=gone)
             if stats:
-                refresh_stats(changed, stats, f"{work}/staged/stats", batch)
+                days = buried_days(table, gone) if apply_deletes else []
+                refresh_stats(changed, stats, f"{work}/staged/stats", batch, days)
 
     drain_batches(events, merge, f"{work}/checkpoint")
 
 
-def refresh_stats(changed: DataFrame, stats: str, staging: str, batch: Batch) -> None:
-    """Recompute the statistics of the days in ``changed``, which holds those days whole."""
-    replace_partitions(order_stats(changed), stats, [STATS_DAY], staging, batch)
+def refresh_stats(changed: DataFrame, stats: str, staging: str, batch: Batch, emptied: list = ()) -> None:
+    """Recompute the statistics of the days in ``changed``, which holds those days whole; of ``emptied`` days, those without orders have none."""
+    rows = order_stats(changed)
+    replace_partitions(rows, stats, [STATS_DAY], staging, batch)
+    if emptied:
+        left = touched_values(read_or_empty(rows.sparkSession, f"{staging}/rows", rows.schema), STATS_DAY)
+        drop_partitions(rows.sparkSession, stats, STATS_DAY, [d for d in emptied if d not in left])
 
 
 def stream_order_details(events: DataFrame, table: str, work: str) -> None:
@@ -65,14 +73,16 @@ def stream_order_details(events: DataFrame, table: str, work: str) -> None:
     drain_batches(events, insert, f"{work}/checkpoint")
 
 
-def stream_dimension(events: DataFrame, name: str, table: str, work: str) -> int:
-    """Apply product or store events to their versioned table batch by batch; how many came too late to count."""
+def stream_dimension(events: DataFrame, name: str, table: str, work: str, apply_deletes: bool = False) -> int:
+    """Apply product or store events to their versioned table batch by batch; how many came too late to count.
+
+    Deletes are skipped; ``apply_deletes`` ends the open version, and no older event opens another.
+    """
     late = []
 
     def apply(rows: DataFrame, batch: Batch) -> None:
-        late.append(apply_scd2_table(
-            table, DIMENSIONS[name], latest_changes(rows, name), KEYS[name], TRACKED[name], batch, f"{work}/staged/{name}"
-        ))
+        gone = deletes(rows, name) if apply_deletes else None
+        late.append(apply_scd2_table(table, DIMENSIONS[name], latest_changes(rows, name), KEYS[name], TRACKED[name], gone))
 
     drain_batches(events, apply, f"{work}/checkpoint")
     return sum(late)

@@ -10,8 +10,7 @@ from rainledger.plans.weather import silver_weather
 from rainledger.schemas import SILVER_ORDER_DETAILS, SILVER_ORDERS, SILVER_PRODUCTS, SILVER_STORES, SILVER_WEATHER
 from rainledger.session import scratch
 from rainledger.sources.cdc import read_cdc_stream
-from rainledger.sources.paths import read_or_empty
-from rainledger.sources.tables import DETAILS_PARTITIONS, Batch, ChecksFailed, in_values, with_partitions
+from rainledger.sources.tables import Batch, ChecksFailed
 from rainledger.streaming import pipelines
 from rainledger.streaming.runner import drain_batches
 from tests.helpers import plan, rows, ts
@@ -90,10 +89,11 @@ def test_order_details(spark, work):
         part.write.mode("append").parquet(f"{work}/landing")
         stream = read_cdc_stream(spark, f"{work}/landing", "order_details", "parquet")
         pipelines.stream_order_details(stream, work_dir, work)
+    got = silver.read_order_details(spark, work_dir)
     target = spark.createDataFrame([], SILVER_ORDER_DETAILS)
     for part in (first, second):
         target = silver.silver_order_details(target, part)
-    assert rows(spark.read.parquet(work_dir).select(*target.columns)) == rows(target)
+    assert rows(got.select(*target.columns)) == rows(target)
 
 
 @pytest.mark.parametrize("name, events, schema", [
@@ -107,17 +107,17 @@ def test_dimensions(spark, work, name, events, schema):
         target = step(target, part)
     table = silver.scd2_table(spark, f"{work}/dim", schema)
     assert rows(table, *schema.names) == rows(target)
-    # open versions lie with others of their hash, closed ones with those of their month
-    assert table.filter("is_current AND slot >= 32").count() == 0
-    assert rows(table.filter("NOT is_current").select(F.col("slot") - F.date_format("valid_to", "yyyyMM")).distinct()) == [(0,)]
+    # closed versions lie with those of their month
+    closed = silver.closed_versions(spark, f"{work}/dim", schema)
+    assert rows(closed.select(F.col("closed_in") - F.date_format("valid_to", "yyyyMM")).distinct()) == [(0,)]
 
 
 def test_repeated_dimension_batch_changes_nothing(spark, work):
     path = f"{work}/dim"
-    for i, part in enumerate(slices(b.product_cdc(spark, SF_DIR), "source_timestamp")):
+    for part in slices(b.product_cdc(spark, SF_DIR), "source_timestamp"):
         for _ in range(2):
             silver.apply_scd2_table(path, SILVER_PRODUCTS, silver.latest_changes(part, "products"), "product_id",
-                                    silver.TRACKED["products"], Batch("run", i), f"{work}/staged")
+                                    silver.TRACKED["products"])
     target = spark.createDataFrame([], SILVER_PRODUCTS)
     for part in slices(b.product_cdc(spark, SF_DIR), "source_timestamp"):
         target = silver.silver_products(target, part)
@@ -204,7 +204,7 @@ def test_null_keys_are_appended_once(spark, work):
     line = (None, "1", 2, 3, 4.0, 5.0)
     for _ in range(2):
         silver.append_order_details(f"{work}/details", spark.createDataFrame([line, ("1-1", *line[1:])], SILVER_ORDER_DETAILS))
-    assert spark.read.parquet(f"{work}/details").count() == 2
+    assert silver.read_order_details(spark, f"{work}/details").count() == 2
 
 
 def test_a_stream_that_starts_over_neither_skips_nor_repeats(spark, work):
@@ -224,18 +224,103 @@ def test_a_stream_that_starts_over_neither_skips_nor_repeats(spark, work):
 
 
 def test_a_small_batch_reads_its_own_partitions_and_shuffles_no_table(spark, work):
-    products = b.product_cdc(spark, SF_DIR)
-    silver.apply_scd2_table(f"{work}/dim", SILVER_PRODUCTS, silver.latest_changes(products, "products"), "product_id",
-                            silver.TRACKED["products"], Batch("a", 0), f"{work}/staged")
-    held = silver.open_slots(spark, f"{work}/dim", SILVER_PRODUCTS, [3])
-    few = silver.latest_changes(products, "products").limit(1)
-    text = plan(silver.scd2_changes(held, few, "product_id", silver.TRACKED["products"]))
-    assert "slot" in text.split("PartitionFilters")[1].splitlines()[0] and "LeftOuter" in text and "FullOuter" not in text
-    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
-    silver.append_order_details(f"{work}/details", silver.latest_changes(b.order_detail_cdc(spark, SF_DIR), "order_details").drop("source_timestamp"))
-    schema = with_partitions(spark.createDataFrame([], SILVER_ORDER_DETAILS), DETAILS_PARTITIONS).schema
-    text = plan(in_values(read_or_empty(spark, f"{work}/details", schema), "detail_part", [3]))
-    assert "detail_part" in text.split("PartitionFilters")[1].splitlines()[0]
+    """Of a table in many parts, a batch of one key reads one part of its places, versions and lines, and one day."""
+    log = silver.order_details_log(f"{work}/details")._replace(part_rows=500)
+    lines = silver.latest_changes(b.order_detail_cdc(spark, SF_DIR), "order_details").drop("source_timestamp")
+    log.append(lines, ["detail_id"])
+    assert log.depth(spark) > 2
+    few = log.rows(spark).limit(1)
+    text = plan(log.lookup(few))
+    assert "part" in text.split("PartitionFilters")[1].splitlines()[0] and "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    files = lambda df: df.select(F.input_file_name()).distinct().count()
+    assert files(log.candidates(few)) == 1 and files(log.rows(spark)) >= 8
+    for i, part in enumerate(slices(b.order_cdc(spark, SF_DIR), "source_timestamp")):
+        silver.merge_orders_table(f"{work}/orders", silver.latest_changes(part, "orders"), f"{work}/staged", Batch("a", i))
+    one = silver.latest_changes(b.order_cdc(spark, SF_DIR).filter("payload.order_id = '7'"), "orders").withColumn("status", F.lit("Moved"))
+    changed = silver.merge_orders_table(f"{work}/orders", one.withColumn("updated_at", F.expr("updated_at + INTERVAL 1 DAY")), f"{work}/staged", Batch("a", 9))
+    assert len(changed.select("created_date").distinct().collect()) == 1 and changed.filter("status = 'Moved'").count() == 1
+
+
+def test_parts_grow_and_written_rows_follow_the_batch(spark, work):
+    """Batches of equal size into a table that doubles and doubles: each writes its own rows, all rewriting together little more than the table."""
+    log = silver.order_details_log(f"{work}/details")._replace(part_rows=40)
+    depths, kept = [], 0
+    for batch in range(12):
+        lines = [(f"{batch}-{i}", str(batch), 1, 1, 1.0, 1.0) for i in range(60)]
+        before = set(log.rows(spark).inputFiles()) if batch else set()
+        log.append(spark.createDataFrame(lines, SILVER_ORDER_DETAILS), ["detail_id"])
+        depths.append(log.depth(spark))
+        kept += before <= set(log.rows(spark).inputFiles())
+        assert log.rows(spark).count() == 60 * (batch + 1)
+        found = log.lookup(spark.createDataFrame([("3-7",), ("0-1",), ("none",)], "detail_id string"))
+        assert rows(found, "detail_id") == [(k,) for k in ("0-1", "3-7") if int(k[0]) <= batch]
+    assert depths == sorted(depths) and depths[-1] >= 4 and kept >= 7  # the files of the other batches stayed as they were
+    log.append(spark.createDataFrame(lines, SILVER_ORDER_DETAILS), ["detail_id"])
+    assert log.rows(spark).count() == 720
+
+
+def test_orders_are_found_whatever_creation_time_an_event_has(spark, work):
+    def order(status, created, minute):
+        at = None if created is None else ts(created)
+        return ("a", 1, 1, "Delivery", status, 1.0, at, ts(f"05 00:{minute:02}"))
+    for number, row in enumerate((order("Pending", "03 10:00", 0), order("Ready", None, 5), order("Completed", "04 11:00", 9), order("Old", "04 11:00", 1))):
+        source = spark.createDataFrame([row], SILVER_ORDERS)
+        for _ in range(2):
+            silver.merge_orders_table(f"{work}/orders", source, f"{work}/staged", Batch("run", number))
+    held = silver.read_orders(spark, f"{work}/orders")
+    assert rows(held, "order_id", "status", "created_at") == [("a", "Completed", ts("03 10:00"))]
+    first = spark.createDataFrame([("b", *order("Pending", None, 0)[1:])], SILVER_ORDERS)
+    then = spark.createDataFrame([("b", *order("Ready", "03 10:00", 9)[1:])], SILVER_ORDERS)
+    for number, source in enumerate((first, then)):
+        silver.merge_orders_table(f"{work}/orders", source, f"{work}/staged", Batch("again", number))
+    assert rows(silver.read_orders(spark, f"{work}/orders"), "order_id", "status") == [("a", "Completed"), ("b", "Ready")]
+
+
+def test_places_are_made_for_a_table_that_has_none(spark, work):
+    old = spark.createDataFrame([("a", 1, 1, "Delivery", "Pending", 1.0, ts("03 10:00"), ts("03 10:00"))], SILVER_ORDERS)
+    old.withColumn("created_date", F.to_date("created_at")).write.partitionBy("created_date").parquet(f"{work}/orders")
+    moved = spark.createDataFrame([("a", 1, 1, "Delivery", "Ready", 1.0, ts("09 10:00"), ts("09 10:00"))], SILVER_ORDERS)
+    silver.merge_orders_table(f"{work}/orders", moved, f"{work}/staged", Batch("run", 0))
+    assert rows(silver.read_orders(spark, f"{work}/orders"), "status", "created_at") == [("Ready", ts("03 10:00"))]
+
+
+def test_deleted_orders_stay_away(spark, work):
+    """Older events change nothing after a delete, newer ones make a new order; a day without orders goes; repeats change nothing."""
+    fields = [*SILVER_ORDERS.fields, silver.PLACES["at"]]
+    def put(number, events, gone=()):
+        source = spark.createDataFrame([(k, 1, 1, "Delivery", s, 1.0, ts(c), ts(at), ts(at)) for k, s, c, at in events], type(SILVER_ORDERS)(fields)).withColumnRenamed("at", "source_timestamp")
+        deleted = spark.createDataFrame([(k, ts(at)) for k, at in gone], "order_id string, source_timestamp timestamp")
+        for _ in range(2):
+            silver.merge_orders_table(f"{work}/orders", source, f"{work}/staged", Batch("run", number), deleted=deleted)
+        return rows(silver.read_orders(spark, f"{work}/orders"), "order_id", "status")
+    assert put(0, [("a", "Pending", "01 10:00", "01 10:00"), ("b", "Pending", "02 10:00", "02 10:00")]) == [("a", "Pending"), ("b", "Pending")]
+    assert put(1, [], [("a", "03 00:00"), ("x", "03 00:00")]) == [("b", "Pending")]
+    assert put(2, [("a", "Late", "01 10:00", "02 00:00"), ("x", "Late", "01 10:00", "02 00:00")]) == [("b", "Pending")]
+    assert put(3, [("a", "Again", "05 10:00", "05 10:00")], [("b", "01 00:00")]) == [("a", "Again"), ("b", "Pending")]
+
+
+def test_deleted_versions_stay_away_and_late_events_are_counted_once(spark, work):
+    def put(events, gone=()):
+        make = lambda rows_in, ddl: spark.createDataFrame([(*r[:-1], ts(r[-1])) for r in rows_in], ddl)
+        incoming = make(events, "store_id int, city_id int, is_active int, source_timestamp timestamp")
+        deleted = make(gone, "store_id int, source_timestamp timestamp")
+        late = [silver.apply_scd2_table(f"{work}/dim", SILVER_STORES, incoming, "store_id", ["city_id", "is_active"], deleted) for _ in range(2)]
+        table = silver.scd2_table(spark, f"{work}/dim", SILVER_STORES)
+        assert late[0] == late[1]
+        return late[0], rows(table, "city_id", "valid_from", "valid_to")
+    one = (1, ts("01 00:00"), ts("03 00:00"))
+    assert put([(7, 1, 1, "01 00:00")]) == (0, [(1, ts("01 00:00"), None)])
+    assert put([], [(7, "03 00:00"), (8, "03 00:00")]) == (0, [one])
+    assert put([(7, 2, 1, "02 00:00"), (8, 2, 1, "02 00:00")]) == (2, [one])
+    assert put([(7, 3, 1, "04 00:00")]) == (0, [one, (3, ts("04 00:00"), None)])
+    assert put([(7, 5, 1, "03 12:00")], [(7, "01 12:00")])[1] == [one, (3, ts("04 00:00"), None)]
+
+
+def test_silver_keys_have_to_be_unique(spark, work):
+    twice = spark.createDataFrame([("a", 1, 1, "Delivery", s, 1.0, ts(d), ts(d)) for s, d in (("Pending", "01 00:00"), ("Ready", "02 00:00"))], SILVER_ORDERS)
+    twice.withColumn("created_date", F.to_date("created_at")).write.partitionBy("created_date").parquet(f"{work}/lake/silver/orders")
+    with pytest.raises(ChecksFailed, match="orders"):
+        jobs.check_silver(spark, f"{work}/lake")
 
 
 def test_jobs_count_what_they_leave_out_and_start_where_told(spark, work):
@@ -251,10 +336,11 @@ def test_jobs_count_what_they_leave_out_and_start_where_told(spark, work):
 
 
 def test_gold_is_not_published_over_a_broken_dimension(spark, work):
-    twice = [(1, 1, 1, ts("01 00:00"), None, True, 0), (1, 2, 1, ts("02 00:00"), None, True, 0)]
-    schema = silver.scd2_table(spark, f"{work}/none", SILVER_STORES).schema
-    spark.createDataFrame(twice, schema).write.partitionBy("is_current", "slot").parquet(f"{work}/lake/silver/stores")
-    with pytest.raises(ChecksFailed, match="several_open"):
+    """Versions that overlap, as a writer outside could leave them."""
+    broken = [(1, 1, 1, ts("01 00:00"), ts("03 00:00"), False, 202401), (1, 2, 1, ts("02 00:00"), ts("04 00:00"), False, 202401)]
+    schema = silver.closed_versions(spark, f"{work}/none", SILVER_STORES).schema
+    spark.createDataFrame(broken, schema).write.partitionBy("closed_in").parquet(f"{work}/lake/silver/stores/closed")
+    with pytest.raises(ChecksFailed, match="overlap"):
         jobs.build_gold(spark, f"{work}/lake", "broken_")
 
 
