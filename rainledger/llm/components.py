@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +11,25 @@ from rainledger.llm.common import stored
 MAX_ROUNDS = 60
 
 
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links with the same components as ``a``-``b``, at most one per node: each node with its component's smallest."""
+    nodes, inverse = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = inverse[: len(a)], inverse[len(a) :]
+    root = np.arange(len(nodes))
+    while True:
+        low = np.minimum(root[x], root[y])
+        before = root.copy()
+        np.minimum.at(root, before[x], low)
+        np.minimum.at(root, before[y], low)
+        np.minimum.at(root, x, low)
+        np.minimum.at(root, y, low)
+        root = root[root]
+        if (root == before).all():
+            break
+    moved = np.flatnonzero(root != np.arange(len(nodes)))
+    return nodes[root[moved]], nodes[moved]
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Link each node's larger neighbours to the smallest node around it, itself included."""
     both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -40,7 +60,7 @@ def components(links: DataFrame) -> DataFrame:
     state = None
     for _ in range(MAX_ROUNDS):
         edges = stored(_small_star(stored(_large_star(edges), "stars")), "stars")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.hash("a", "b").cast("long")), F.sum(F.xxhash64("a").bitwiseAND(0xFFFFFFFF))).first()
+        now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a"))).first()
         if now == state:
             break
         state = now

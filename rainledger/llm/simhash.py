@@ -24,8 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rainledger.llm.common import free_name, stored, texts_of
-from rainledger.llm.components import components
+from rainledger.llm.common import bitmap, free_name, in_bitmap, stored, texts_of
+from rainledger.llm.components import components, forest
+from rainledger.llm.regions import BLOCK, region_links
 
 BITS = 64
 SEED = 42  # of XXH64
@@ -155,25 +156,6 @@ def dealt(spread_out: DataFrame, block: int) -> DataFrame:
     return joined.select("anchor", F.explode(cells).alias("cell"), *spread_out.columns[1:])
 
 
-def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links with the same components as ``a``-``b``, at most one per node: each node with its component's smallest."""
-    nodes, inverse = np.unique(np.concatenate([a, b]), return_inverse=True)
-    x, y = inverse[: len(a)], inverse[len(a) :]
-    root = np.arange(len(nodes))
-    while True:
-        low = np.minimum(root[x], root[y])
-        before = root.copy()
-        np.minimum.at(root, before[x], low)
-        np.minimum.at(root, before[y], low)
-        np.minimum.at(root, x, low)
-        np.minimum.at(root, y, low)
-        root = root[root]
-        if (root == before).all():
-            break
-    moved = np.flatnonzero(root != np.arange(len(nodes)))
-    return nodes[root[moved]], nodes[moved]
-
-
 def close_pairs(group: np.ndarray, home: np.ndarray, fp: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray]:
     """Links, as a forest, between fingerprints within ``threshold`` bits that are a home and a replica of the same, sorted ``group``."""
     prints = fp.view(np.uint64)
@@ -193,12 +175,12 @@ def close_pairs(group: np.ndarray, home: np.ndarray, fp: np.ndarray, threshold:
         close = np.bitwise_count(prints[one] ^ prints[two]) <= threshold
         a, b = fp[one[close]], fp[two[close]]
         if (up := a < b).any():
-            found.append(_forest(a[up], b[up]))
+            found.append(forest(a[up], b[up]))
         start = stop
     if len(found) == 1:
         return found[0]
     both = [np.concatenate(x) for x in zip(*found, strict=True)] if found else [fp[:0], fp[:0]]
-    return _forest(*both) if found else tuple(both)
+    return forest(*both) if found else tuple(both)
 
 
 def links(prints: DataFrame, threshold: int, block: int = ANCHOR_BLOCK) -> DataFrame:
@@ -260,7 +242,7 @@ BANDS, MINIMA = 16, 4  # at a Jaccard similarity of 0.8 a pair shares no band wi
 MINIMA_AT_ONCE = 4096  # shingles of a text
 _random = np.random.default_rng(SEED)
 _MASKS, _ODDS = _random.integers(0, 1 << 64, (2, BANDS * MINIMA), np.uint64) | np.array([[0], [1]], np.uint64)
-MORE_HUBS = 4  # times as many in each round
+WANTED_BITS = 1 << 24  # of the bitmap of rows whose shingles are compared
 
 
 def band_keys(hashes: list[int]) -> list[int]:
@@ -272,15 +254,16 @@ def band_keys(hashes: list[int]) -> list[int]:
 
 
 def sketched(docs: DataFrame, width: int) -> DataFrame:
-    """``row, id`` with ``low, high``, a 128-bit digest of the words, and the band keys ``key0``, ... of ``row, id, text``."""
-    names = ["low", "high", *(f"key{k}" for k in range(BANDS))]
+    """``row, id`` with ``low, high``, a 128-bit digest of the words, the number of shingles, the fingerprint and the band keys of ``row, id, text``."""
+    names = ["low", "high", "n", "fp", *(f"key{k}" for k in range(BANDS))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
             for text in texts_of(batch, "text"):
                 whole = xxhash.xxh3_128_intdigest(b" ".join(text.lower().split()))
-                found.append([whole & (1 << 64) - 1, whole >> 64, *band_keys(shingle_hashes(text, width))])
+                hashes = shingle_hashes(text, width)
+                found.append([whole & (1 << 64) - 1, whole >> 64, len(hashes), simhash(hashes), *band_keys(hashes)])
             columns = np.array(found, np.uint64).reshape(-1, len(names)).view(np.int64)
             arrays = [pa.array(columns[:, k].copy()) for k in range(len(names))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *arrays], ["row", "id", *names])
@@ -288,78 +271,33 @@ def sketched(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(run, "row bigint, id bigint" + "".join(f", {n} bigint" for n in names))
 
 
-def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
-    """``node, shingles`` (distinct hashes) of ``node, text``."""
+def shingle_sets(docs: DataFrame, wanted, width: int) -> DataFrame:
+    """``node, shingles`` (distinct hashes) of the rows of ``node, text, at`` whose ``at`` is in the bitmap ``wanted``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = texts_of(batch, "text")
-            for at in range(0, len(texts), 256):  # sets of long texts are large
-                sets = [np.unique(np.array(shingle_hashes(t, width), np.uint64)).view(np.int64) for t in texts[at : at + 256]]
-                column = pa.array(sets, pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, 256), column], ["node", "shingles"])
+            hits = np.flatnonzero(in_bitmap(batch.column(2).to_numpy(zero_copy_only=False), wanted.value))
+            for at in range(0, len(hits), 256):  # sets of long texts are large
+                part = batch.take(pa.array(hits[at : at + 256]))
+                sets = [np.unique(np.array(shingle_hashes(t, width), np.uint64)).view(np.int64) for t in texts_of(part, "text")]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
 
     return docs.mapInArrow(run, "node bigint, shingles array<bigint>")
 
 
-def similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs ``a, b`` whose shingles have the Jaccard similarity."""
-    one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("one"))
-    two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("two"))
-    shared = F.size(F.array_intersect("one", "two"))
-    return (
-        pairs.join(one, "a")
-        .join(two, "b")
-        .select("a", "b", shared.alias("shared"), (F.size("one") + F.size("two") - shared).alias("every"))
-        .where(F.col("shared") >= similarity * F.col("every") - 1e-9)
-        .select("a", "b")
-    )
-
-
-def verified_groups(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """``node, root`` of the nodes of ``members`` (``key, node``): components over all pairs that share a key and are similar.
-
-    Pairs are compared by their ``sets``, but not all of them: per key a few hubs meet the others, and those that
-    are by then in one component need no more. Hubs have met everyone and leave the key; each round takes
-    ``MORE_HUBS`` times as many, until no key holds two components. Hubs are nodes that share
-    much with many: the text that a group's edits began with, if it is there.
-    """
-    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    weights = members.join(stored(sizes, "key-sizes"), "key").groupBy("node").agg(F.sum("n").alias("weight"))
-    roots = stored(weights.select("node", "weight", F.col("node").alias("root")), "roots")
-    hubs_of_key = 1
-    while True:
-        now = members.join(roots, "node")
-        open_keys = now.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-        now = stored(now.join(stored(open_keys, "open-keys"), "key"), "members")
-        if now.isEmpty():
-            return roots.select("node", "root")
-        best = F.min(F.struct(-F.col("weight"), "node", "root")).alias("hub")
-        hubs = now.groupBy("key", F.pmod(F.xxhash64("node"), F.lit(hubs_of_key)).alias("part")).agg(best)
-        hubs = stored(hubs.select("key", F.col("hub.node").alias("hub"), F.col("hub.root").alias("hub_root")), "hubs")
-        a, b = F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")
-        pairs = now.join(hubs, "key").where("root <> hub_root").select(a, b).distinct()
-        linked = stored(similar(stored(pairs, "pairs"), sets, similarity), "similar")
-        if not linked.isEmpty():
-            to_root = lambda side: roots.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
-            edges = linked.join(to_root("a"), "a").join(to_root("b"), "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
-            moved = components(edges).select(F.col("node").alias("root"), F.col("root").alias("new_root"))
-            roots = roots.join(stored(moved, "moved"), "root", "left")
-            roots = stored(roots.select("node", "weight", F.coalesce("new_root", "root").alias("root")), "roots")
-        met = hubs.select("key", F.col("hub").alias("node"))
-        members = stored(now.select("key", "node").join(met, ["key", "node"], "left_anti"), "members")
-        hubs_of_key *= MORE_HUBS
-
-
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8) -> DataFrame:
+def one_of_each(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8, bits: int = 4, block: int = BLOCK
+) -> DataFrame:
     """One document of each group of near copies, that of the smallest id; columns as they were.
 
-    Texts are copies if their sets of shingles of ``width`` words have a Jaccard similarity of ``similarity``.
-    Candidates share one of ``BANDS`` bands of ``MINIMA`` smallest shingles (MinHash), and what links
-    them is their shingles themselves. Groups are connected components.
+    Texts are copies if their sets of shingles of ``width`` words have a Jaccard similarity of ``similarity``; groups are connected
+    components. Candidates are texts whose SimHash fingerprints are connected within ``bits`` bits, found through the anchors, and,
+    as fingerprints of texts at that similarity are often further apart, texts that share one of ``BANDS`` bands of
+    ``MINIMA`` smallest shingles (MinHash). Candidates form regions around their first text, in which the sets
+    themselves decide (``regions``); no pair leaves a task.
 
     Null texts are empty, and texts without words are copies of each other. Rows that share the smallest id, or a group without
-    ids, keep the first row as stored. An empty table gives no rows.
+    ids, keep the first row as stored. An empty table gives no rows. A very long text is one set of 8 bytes a word, which a task holds.
     """
     row = free_name(docs, "row")
     rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
@@ -367,13 +305,18 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sketches = sketched(rows.select(F.col(row).alias("row"), F.col(id_col).cast("bigint").alias("id"), text), width)
     keys = [f"key{k}" for k in range(BANDS)]
     rank = F.struct(F.col("id").isNull().alias("no_id"), "id", "row")
-    classes = sketches.groupBy("low", "high", *keys).agg(F.min(rank).alias("first"))  # equal words: one node
-    classes = stored(classes.select(F.col("first.row").alias("node"), "first", F.array(*keys).alias("keys")), "classes")
-    every = classes.select("node", F.explode("keys").alias("key"))
-    shared = stored(every.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "shared-keys")
-    members = stored(every.join(shared, "key").select("key", "node"), "members")
-    nodes = stored(members.select(F.col("node").alias(row)).distinct(), "nodes")
-    sets = stored(shingle_sets(rows.join(nodes, row, "left_semi").select(F.col(row).alias("node"), text), width), "shingles")
-    rooted = classes.select("node", "first").join(verified_groups(members, sets, similarity), "node", "left")
-    kept = rooted.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
+    classes = sketches.groupBy("low", "high", "n", "fp", *keys).agg(F.min(rank).alias("first"))  # equal words: one node
+    classes = stored(classes.select(F.col("first.row").alias("node"), "first", "n", "fp", F.array(*keys).alias("keys")), "classes")
+    prints = stored(classes.select("fp").distinct(), "prints")
+    close = components(links(prints, bits)).select(F.col("node").alias("fp"), F.col("root").alias("near"))
+    by_print = classes.join(close, "fp", "left").select("node", "n", F.coalesce("near", "fp").alias("key"))
+    every = classes.select("node", "n", F.explode("keys").alias("key")).unionAll(by_print)
+    shared = stored(every.groupBy("key").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("many")).where("many > 1"), "shared-keys")
+    members = stored(every.join(shared, "key").select("pivot", "node", "n").distinct(), "candidates")
+    at = F.xxhash64("node").alias("at")
+    wanted = docs.sparkSession.sparkContext.broadcast(bitmap(members.select(at), "at", WANTED_BITS))
+    texts = rows.select(F.col(row).alias("node"), text).select("node", "text", at)
+    sets = stored(shingle_sets(texts, wanted, width), "shingles")
+    roots = region_links(members, sets, round(100 * similarity), block)
+    kept = classes.select("node", "first").join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
     return rows.join(kept.select(F.col("first.row").alias(row)), row, "left_semi").select(docs.columns)

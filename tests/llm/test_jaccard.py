@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from rainledger.llm import jaccard
+from rainledger.llm import jaccard, regions
 from rainledger.llm.queries import op11_jaccard_join
 from tests.llm.brute import WORD, lower
 from tests.llm.data import write_tables
@@ -114,7 +114,7 @@ def test_cell(seed, count, percent, share):
     home = np.array([rng.random() < share for _ in sets])
     roots = np.array([rng.randrange(count) if rng.random() < 0.3 else i + count for i in range(count)])
     nodes = np.arange(count) * 7 + 3
-    a, b = jaccard.cell_links(nodes, [np.array(sorted(s), np.uint64) for s in sets], roots, home, percent)
+    a, b = regions.cell_links(nodes, [np.array(sorted(s), np.uint64) for s in sets], roots, home, percent)
 
     def classes(links):
         label = np.unique(roots, return_inverse=True)[1]

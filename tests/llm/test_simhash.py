@@ -6,7 +6,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from rainledger.llm import components, simhash
+from rainledger.llm import components, regions, simhash
 from rainledger.llm.queries import op7_simhash
 from tests.llm import brute
 
@@ -116,17 +116,20 @@ def test_similarity_itself_decides(spark, tables):
 
 
 def test_every_pair_of_a_key_is_decided(spark, tables):
-    """Hubs in rounds find the components that all pairs of a key give: chains, stars and strangers."""
+    """Regions find the components that all pairs of a key give: chains and strangers, whole or in blocks."""
     rng = random.Random(2)
     sets = {n: set(range(1000 * (n // 20) + 3 * n, 1000 * (n // 20) + 3 * n + 40)) for n in range(100)}  # a chain of 20
     sets |= {n: {rng.randrange(10**6) for _ in range(20)} for n in range(100, 130)}
     members = [(n % 3 if n < 100 else 0, n) for n in sets] + [(7, n) for n in sets]
-    out = simhash.verified_groups(
-        spark.createDataFrame(members, "key bigint, node bigint"),
-        spark.createDataFrame([(n, sorted(x)) for n, x in sets.items()], "node bigint, shingles array<bigint>"),
-        0.8,
-    )
-    assert {r.node: r.root for r in out.collect()} == {n: n // 20 * 20 if n < 100 else n for n in sets}
+    first = {k: min(n for key, n in members if key == k) for k, _ in members}
+    for block in (1024, 16):
+        out = regions.region_links(
+            spark.createDataFrame([(first[k], n, len(sets[n])) for k, n in members], "pivot bigint, node bigint, n int").distinct(),
+            spark.createDataFrame([(n, sorted(x)) for n, x in sets.items()], "node bigint, shingles array<bigint>"),
+            80,
+            block,
+        )
+        assert {n: n // 20 * 20 for n in range(100)} == {r.node: r.root for r in out.collect()}
 
 
 def test_components_of_a_long_path(spark, tables):
@@ -141,7 +144,7 @@ def test_components_of_a_long_path(spark, tables):
 @given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 30)), min_size=1, max_size=40))
 def test_forest(pairs):
     a, b = (np.array(x) for x in zip(*pairs))
-    x, y = simhash._forest(a, b)
+    x, y = components.forest(a, b)
     assert len(x) <= len({*a.tolist(), *b.tolist()})
 
     def classes(edges):
