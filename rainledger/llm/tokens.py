@@ -32,17 +32,22 @@ def _byte_letters() -> dict[int, str]:
 
 
 class Encoder:
-    """Ids as little-endian unsigned 32-bit integers, equal to
-    ``Tokenizer.encode(text, add_special_tokens=False)`` with special tokens' strings taken as text."""
+    """Ids as little-endian unsigned 32-bit integers, equal to ``Tokenizer.encode(text, add_special_tokens=False)``.
+
+    The library finds the strings of the file's added tokens in a text before it cuts; texts that hold one go to it whole.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as file:
-            pre = json.load(file)["pre_tokenizer"]
+            content = json.load(file)
+        pre = content["pre_tokenizer"]
         if pre["type"] != "ByteLevel" or pre["add_prefix_space"] or not pre.get("use_regex", True):
             raise ValueError(f"{path} is not a byte-level vocabulary with the usual pattern")
-        self._model = Tokenizer.from_file(path).model
+        self._tokenizer = Tokenizer.from_file(path)
+        self._model = self._tokenizer.model
+        self._added = [token["content"] for token in content.get("added_tokens", [])]
         self._pieces = regex.compile(
             r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
         ).findall
@@ -79,13 +84,17 @@ class Encoder:
         return text.replace("\n", "\x01\n\x01").replace(" ", "\x01 ").split("\x01")
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        words = [self._words(text) for text in texts]
+        whole = [any(map(text.__contains__, self._added)) for text in texts]
+        words = [[] if added else self._words(text) for text, added in zip(texts, whole, strict=True)]
         if len(self._memo) > MEMO_WORDS:  # what is met again comes back from there
             self._memo, self._before = {}, self._memo
         memo, before = self._memo, self._before
         for word in set().union(*words).difference(memo):
             memo[word] = before.get(word) or self._encode_word(word)
-        return [b"".join(map(memo.__getitem__, w)) for w in words]
+        return [self._by_library(t) if added else b"".join(map(memo.__getitem__, w)) for t, w, added in zip(texts, words, whole, strict=True)]
+
+    def _by_library(self, text: str) -> bytes:
+        return b"".join([token.to_bytes(4, "little") for token in self._tokenizer.encode(text, add_special_tokens=False).ids])
 
 
 @lru_cache(1)

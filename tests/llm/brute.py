@@ -25,9 +25,7 @@ def alnum(text):
 
 @lru_cache(1)
 def tokenizer():
-    made = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    made.encode_special_tokens = True
-    return made
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def ids_of(text, end):

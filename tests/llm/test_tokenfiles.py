@@ -49,3 +49,15 @@ def test_selective_reads(spark, tables, tmp_path):
     assert "GreaterThan(doc_id,1000)" in plan(tokens.where("doc_id > 1000"))
     one = tokens.where("doc_id = 3").collect()[0]
     assert one.ids == brute.ids_of("Two words", 0)
+
+
+def test_added_tokens_are_found_as_the_library_does():
+    import numpy as np
+
+    from rainledger.llm.tokens import Encoder, default_tokenizer
+
+    mark = "<|endoftext|>"
+    texts = ["", mark, f"{mark}a b", f"a {mark} b", f"a b{mark}", f"a{mark}{mark}  b\n{mark} ", "<|endoftext|", "plain text <|end of text|>"]
+    got = [np.frombuffer(ids, "<u4").tolist() for ids in Encoder(default_tokenizer()).encode(texts)]
+    assert got == [brute.tokenizer().encode(t, add_special_tokens=False).ids for t in texts]
+    assert 50256 in got[3] and 50256 not in got[6]
