@@ -31,6 +31,18 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class _Memo(dict):
+    """Ids by word; a word that is not there yet is made when it is asked for."""
+
+    def __init__(self, make):
+        super().__init__()
+        self._make = make
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self[word] = self._make(word)
+        return ids
+
+
 class Encoder:
     """Ids as little-endian unsigned 32-bit integers, equal to ``Tokenizer.encode(text, add_special_tokens=False)``.
 
@@ -52,7 +64,7 @@ class Encoder:
             r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
         ).findall
         self._letters = _byte_letters()
-        self._memo: dict[str, bytes] = {}
+        self._memo = _Memo(self._made)
         self._before: dict[str, bytes] = {}
 
     def _pieces_of(self, word: str) -> list[str]:
@@ -72,6 +84,9 @@ class Encoder:
         tokens = self._model.tokenize(piece.encode().decode("latin-1").translate(self._letters))
         return b"".join([token.id.to_bytes(4, "little") for token in tokens])
 
+    def _made(self, word: str) -> bytes:
+        return self._before.get(word) or self._encode_word(word)
+
     def _recall(self, piece: str) -> bytes:
         ids = self._memo.get(piece) or self._before.get(piece) or self._encode_piece(piece)
         self._memo[piece] = ids
@@ -85,13 +100,10 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         whole = [any(map(text.__contains__, self._added)) for text in texts]
-        words = [[] if added else self._words(text) for text, added in zip(texts, whole, strict=True)]
         if len(self._memo) > MEMO_WORDS:  # what is met again comes back from there
-            self._memo, self._before = {}, self._memo
-        memo, before = self._memo, self._before
-        for word in set().union(*words).difference(memo):
-            memo[word] = before.get(word) or self._encode_word(word)
-        return [self._by_library(t) if added else b"".join(map(memo.__getitem__, w)) for t, w, added in zip(texts, words, whole, strict=True)]
+            self._memo, self._before = _Memo(self._made), self._memo
+        ids = self._memo.__getitem__
+        return [self._by_library(t) if added else b"".join(map(ids, self._words(t))) for t, added in zip(texts, whole, strict=True)]
 
     def _by_library(self, text: str) -> bytes:
         return b"".join([token.to_bytes(4, "little") for token in self._tokenizer.encode(text, add_special_tokens=False).ids])
