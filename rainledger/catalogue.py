@@ -83,6 +83,14 @@ def fact_sales_weather_versioned(spark, sf):
     return rounded(fact, "temperature_c")
 
 
+def fact_sales_weather_nested(spark, sf):
+    fact = gold.fact_sales_weather(
+        b.orders(spark, sf), b.lines(spark, sf), b.versioned_products(spark, sf), b.versioned_stores(spark, sf),
+        gold.weather_consensus(b.weather(spark, sf)), nested=True,
+    )
+    return rounded(fact, "temperature_c")
+
+
 def fact_sales_weather_unmatched(spark, sf):
     fact = gold.fact_sales_weather(
         b.orders(spark, sf), b.lines(spark, sf), b.products(spark, sf), b.stores(spark, sf),
@@ -153,12 +161,16 @@ def asof_unmatched(spark, sf):
     return asof.unmatched(b.incidents(spark, sf), _category_history(spark, sf), "product_id", "happened_at")
 
 
-def _rough_asof(keys: int, bucket: str | None) -> Query:
+def asof_unmatched_nested(spark, sf):
+    return asof.unmatched(b.incidents(spark, sf), _category_history(spark, sf), "product_id", "happened_at", nested=True)
+
+
+def _rough_asof(keys: int, nested: bool) -> Query:
     """Facts joined to versions that overlap, are empty or end before they start."""
 
     def run(spark, sf):
         facts = b.incidents(spark, sf).withColumn("product_id", F.col("product_id") % keys)
-        seen = asof.asof_scd2(facts, b.rough_versions(spark, sf, keys), "product_id", "happened_at", "left", bucket)
+        seen = asof.asof_scd2(facts, b.rough_versions(spark, sf, keys), "product_id", "happened_at", "left", nested)
         return seen.groupBy("product_id", "category").agg(F.count(F.lit(1)).alias("matches"))
 
     return run
@@ -642,6 +654,7 @@ QUERIES: dict[str, Query] = {
     "realtime_order_stats": realtime_order_stats,
     "fact_sales_weather": fact_sales_weather,
     "fact_sales_weather_versioned": fact_sales_weather_versioned,
+    "fact_sales_weather_nested": fact_sales_weather_nested,
     "fact_sales_weather_unmatched": fact_sales_weather_unmatched,
     "sales_without_weather": sales_without_weather,
     "current_weather": current_weather,
@@ -652,8 +665,9 @@ QUERIES: dict[str, Query] = {
     "scd2_invariants": scd2_invariants,
     "fact_asof_daily": fact_asof_daily,
     "asof_unmatched": asof_unmatched,
-    "asof_overlapping": _rough_asof(1000, None),
-    "asof_overlapping_deep": _rough_asof(3, "hour"),
+    "asof_unmatched_nested": asof_unmatched_nested,
+    "asof_overlapping": _rough_asof(1000, False),
+    "asof_overlapping_deep": _rough_asof(3, True),
     "cdc_keep_latest": cdc_keep_latest,
     "cdc_keep_latest_rank": cdc_keep_latest_rank,
     "cdc_incremental": cdc_incremental,

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rainledger.operators.keys import as_list
+from rainledger.operators.keys import all_present, as_list
 from rainledger.operators.scd2 import SCD2_COLS
 
 
@@ -19,7 +21,7 @@ def asof_scd2(
     key: str | list[str],
     at: str,
     how: str = "inner",
-    bucket: str | None = None,
+    nested: bool = False,
 ) -> DataFrame:
     """``left`` with the attributes of every version valid at ``at``.
 
@@ -28,48 +30,71 @@ def asof_scd2(
     the dimension small enough. Versions may overlap, and then a row matches each of
     them; intervals that are empty or negative match nothing.
 
-    Without ``bucket`` each row is compared with all versions of its key. Where keys have
-    long histories, give the ``date_trunc`` unit that holds a few versions of one key:
-    versions are laid out once in each unit they reach into, no further than
-    ``left`` goes, and a row meets those of its own unit only. The result is the same.
+    That compares each row with all versions of its key. For keys with long histories
+    ``nested`` lays each version into units as long as itself (:func:`laid_out`), and a row
+    meets those of the units it lies in only. The result is the same.
     """
     keys = as_list(key)
     attrs = attributes(dim, keys)
     versions = dim.select(
         *[F.col(c).alias(f"__k_{c}") for c in keys],
-        F.col("valid_from").alias("__from"),
-        F.col("valid_to").alias("__to"),
+        F.col("valid_from").cast("timestamp").alias("__from"),
+        F.col("valid_to").cast("timestamp").alias("__to"),
         *attrs,
     )
-    condition = (F.col(at) >= F.col("__from")) & (F.col("__to").isNull() | (F.col(at) < F.col("__to")))
-    for c in keys:
-        condition = condition & (F.col(c) == F.col(f"__k_{c}"))
-    rows = left
-    if bucket:
-        rows = left.withColumn("__unit", F.date_trunc(bucket, at))
-        versions = _laid_out(versions, left, at, bucket)
-        condition = condition & (F.col("__unit") == F.col("__in"))
-    joined = rows.join(versions, condition, how)
+    same_key = reduce(Column.__and__, [F.col(c) == F.col(f"__k_{c}") for c in keys])
+    valid = (F.col(at) >= F.col("__from")) & (F.col("__to").isNull() | (F.col(at) < F.col("__to")))
+    if not nested:
+        joined = left.join(versions, same_key & valid, how)
+    elif how == "inner":
+        joined = _met(left, laid_out(versions), same_key & valid, at)
+    else:
+        # rows without a match must come back once: instants meet the versions, rows meet the instants
+        instants = left.filter(all_present([*keys, at])).select(*keys, F.col(at).alias("__at")).distinct()
+        valid_then = (F.col("__at") >= F.col("__from")) & (F.col("__to").isNull() | (F.col("__at") < F.col("__to")))
+        found = _met(instants, laid_out(versions), same_key & valid_then, "__at").drop(*keys)
+        joined = left.join(found, same_key & (F.col(at) == F.col("__at")), how)
     return joined.select(*left.columns, *([] if how in ("left_semi", "left_anti") else attrs))
 
 
-def _laid_out(versions: DataFrame, left: DataFrame, at: str, bucket: str) -> DataFrame:
-    """Each version once per unit of time between its ends that ``left`` may have rows in.
+def _node(micros: Column, level: Column) -> Column:
+    """The unit of 16^level microseconds that holds an instant; level 0 is all of time."""
+    return F.when(level == 0, F.lit(0).cast("long")).otherwise(F.call_function("shiftright", micros, 4 * level))
+
+
+def laid_out(versions: DataFrame) -> DataFrame:
+    """Each version (``__from``, ``__to``) with the units it lies in, as ``__level`` and ``__node``.
+
+    Units of a level are 16 times as long as those below. A version goes to the lowest level
+    whose units are no shorter than itself, so it touches two of them at most, however long it is,
+    and a unit holds a key's versions of its own scale only: 17 if none overlap. Open
+    versions share level 0; empty and negative ones are in no unit.
+    """
+    first, behind = F.unix_micros("__from"), F.unix_micros("__to")
+    length = F.try_subtract(behind, first)  # NULL: open, or longer than a long can say
+    level = F.coalesce(F.least(F.length(F.hex(length - 1)), F.lit(15)), F.lit(0))  # one hexadecimal digit a level
+    kept = versions.filter(F.col("__from").isNotNull() & (F.col("__to").isNull() | (F.col("__to") > F.col("__from"))))
+    last = F.coalesce(behind - 1, first)
+    nodes = F.sequence(_node(first, F.col("__level")), _node(last, F.col("__level")))
+    return kept.withColumn("__level", level).withColumn("__node", F.explode(nodes))
+
+
+def _met(rows: DataFrame, units: DataFrame, condition: Column, at: str) -> DataFrame:
+    """Each row with each version that meets ``condition`` in one of the units the row's time lies in.
 
-    The first and last time of ``left`` are scalar subqueries, so nothing runs before the join does.
+    A row is tried on the levels that hold any version, sixteen at most; finding them is a subquery
+    over the versions, so nothing runs before the join does. A version that holds the row's time is
+    in exactly one of the units tried, so no pair comes twice.
     """
-    times = left.select(F.col(at).cast("timestamp").alias("__at"))
-    first, last = (times.agg(f("__at")).scalar() for f in (F.min, F.max))
-    inside = versions.filter(
-        (F.col("__from") <= last) & (F.col("__to").isNull() | ((F.col("__to") > first) & (F.col("__to") > F.col("__from"))))
+    levels = units.agg(F.collect_set("__level")).scalar()
+    tried = rows.withColumn("__tried", F.explode(levels)).withColumn(
+        "__in", _node(F.unix_micros(F.col(at).cast("timestamp")), F.col("__tried"))
     )
-    start = F.date_trunc(bucket, F.greatest("__from", first))
-    end = F.date_trunc(bucket, F.least(F.col("__to"), last))  # least skips NULL
-    step = F.expr(f"INTERVAL 1 {bucket}")
-    return inside.withColumn("__in", F.explode(F.sequence(start, end, step)))
+    same_unit = (F.col("__tried") == F.col("__level")) & (F.col("__in") == F.col("__node"))
+    return tried.join(units, condition & same_unit).drop("__tried", "__in", "__level", "__node")
 
 
 def unmatched(left: DataFrame, dim: DataFrame, key: str | list[str], at: str,
-              bucket: str | None = None) -> DataFrame:
+              nested: bool = False) -> DataFrame:
     """Rows an inner as-of join loses: no version of their key is valid at their time."""
-    return asof_scd2(left, dim, key, at, "left_anti", bucket)
+    return asof_scd2(left, dim, key, at, "left_anti", nested)

@@ -212,6 +212,12 @@ rough AS (
          CASE WHEN event_id % 97 <> 0 THEN ts + INTERVAL 1 HOUR * (event_id % 7 - 2) END AS valid_to
   FROM events WHERE event_type <> 'error')"""
 
+ASOF_UNMATCHED = f"""WITH {HISTORY}
+SELECT p.product_id, p.source_timestamp AS happened_at, p.price AS amount
+FROM b_cdc p WHERE p.change_type = 'DELETE' AND NOT EXISTS (
+  SELECT 1 FROM history h WHERE p.product_id = h.product_id AND p.source_timestamp >= h.valid_from
+    AND (h.valid_to IS NULL OR p.source_timestamp < h.valid_to))"""
+
 
 def rough_asof(keys: int) -> str:
     return f"""WITH {ROUGH}
@@ -344,6 +350,7 @@ def oracle_sql() -> dict[str, str]:
         "realtime_order_stats": order_stats,
         "fact_sales_weather": f"{fact_cte} {FACT_OUT}",
         "fact_sales_weather_versioned": f"WITH {fact(VERSIONED_DIMS)} {FACT_OUT}",
+        "fact_sales_weather_nested": f"WITH {fact(VERSIONED_DIMS)} {FACT_OUT}",
         "fact_sales_weather_unmatched": f"WITH {fact(only_matched=False)} {FACT_OUT}",
         "sales_without_weather": f"""WITH {WEATHER},{consensus()},{ORDERS}
             SELECT n_regionkey AS city_id, o.store_id, CAST(date_trunc('hour', created_at) AS TIMESTAMP) AS date_hour,
@@ -376,11 +383,8 @@ def oracle_sql() -> dict[str, str]:
             FROM b_cdc p JOIN history h ON p.product_id = h.product_id AND p.source_timestamp >= h.valid_from
                  AND (h.valid_to IS NULL OR p.source_timestamp < h.valid_to)
             WHERE p.change_type = 'DELETE' GROUP BY ALL""",
-        "asof_unmatched": f"""WITH {HISTORY}
-            SELECT p.product_id, p.source_timestamp AS happened_at, p.price AS amount
-            FROM b_cdc p WHERE p.change_type = 'DELETE' AND NOT EXISTS (
-              SELECT 1 FROM history h WHERE p.product_id = h.product_id AND p.source_timestamp >= h.valid_from
-                AND (h.valid_to IS NULL OR p.source_timestamp < h.valid_to))""",
+        "asof_unmatched": ASOF_UNMATCHED,
+        "asof_unmatched_nested": ASOF_UNMATCHED,
         "asof_overlapping": rough_asof(1000),
         "asof_overlapping_deep": rough_asof(3),
         "cdc_keep_latest": """SELECT * EXCLUDE (rn) FROM (

@@ -53,10 +53,10 @@ def weather_consensus(weather: DataFrame, one_vote_per_source: bool = False, str
     return _consensus(rows, ["city_id", "date_hour"], F.max("city_name").alias("city_name"))
 
 
-def _placed(orders: DataFrame, stores: DataFrame, bucket: str | None) -> DataFrame:
+def _placed(orders: DataFrame, stores: DataFrame, nested: bool) -> DataFrame:
     """Orders with the city their store was in at the order time."""
     versions = stores.select("store_id", "city_id", "valid_from", "valid_to")
-    return asof_scd2(orders, versions, "store_id", "created_at", bucket=bucket)
+    return asof_scd2(orders, versions, "store_id", "created_at", nested=nested)
 
 
 def fact_sales_weather(
@@ -66,7 +66,7 @@ def fact_sales_weather(
     stores: DataFrame,
     consensus: DataFrame,
     keep_unmatched: bool = False,
-    bucket: str | None = None,
+    nested: bool = False,
 ) -> DataFrame:
     """Sales by hour, store, order type and product category, with the hour's weather.
 
@@ -79,13 +79,13 @@ def fact_sales_weather(
     becomes a count after a grouping by order and category, which reuses the
     partitioning of the join on the order when the products are broadcast.
 
-    ``bucket`` is that of the as-of joins, for dimensions with long histories.
+    ``nested`` is that of the as-of joins, for dimensions with long histories.
     """
     kept = orders.filter(F.col("status") != "Cancelled").select("order_id", "store_id", "order_type", "created_at")
-    placed = _placed(kept, stores, bucket)
+    placed = _placed(kept, stores, nested)
     sold = placed.join(lines.select("order_id", "product_id", "quantity", "subtotal"), "order_id")
     versions = products.select("product_id", F.col("category").alias("product_category"), "valid_from", "valid_to")
-    priced = asof_scd2(sold, versions, "product_id", "created_at", bucket=bucket)
+    priced = asof_scd2(sold, versions, "product_id", "created_at", nested=nested)
 
     at = F.col("created_at").cast("timestamp")
     grain = ["date_hour", "order_date", "city_id", "store_id", "order_type", "product_category"]
@@ -111,10 +111,10 @@ def fact_sales_weather(
 
 
 def sales_without_weather(orders: DataFrame, stores: DataFrame, consensus: DataFrame,
-                          bucket: str | None = None) -> DataFrame:
+                          nested: bool = False) -> DataFrame:
     """Store hours with orders but no weather, and how many orders the fact loses there."""
     kept = orders.filter(F.col("status") != "Cancelled").select("order_id", "store_id", "created_at")
-    placed = _placed(kept, stores, bucket)
+    placed = _placed(kept, stores, nested)
     hours = placed.groupBy("city_id", "store_id", hour_of(F.col("created_at")).alias("date_hour")).agg(
         F.count(F.lit(1)).alias("lost_orders")
     )

@@ -3,8 +3,10 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from rainledger.operators.asof import asof_scd2, unmatched
-from tests.helpers import rows, ts
+from pyspark.sql import functions as F
+
+from rainledger.operators.asof import asof_scd2, laid_out, unmatched
+from tests.helpers import plan, rows, ts
 
 DIM = "k int, city int, valid_from timestamp, valid_to timestamp, is_current boolean"
 
@@ -25,19 +27,19 @@ def facts(spark):
         "id string, k int, at timestamp")
 
 
-@pytest.mark.parametrize("bucket", [None, "hour", "day", "month"])
-def test_kinds(dim, facts, bucket):
+@pytest.mark.parametrize("nested", [False, True])
+def test_kinds(dim, facts, nested):
     matched = [("at_end", 20), ("at_start", 10), ("inside", 30), ("open", 20)]
     lost = ["before", "ended", "no_key", "no_time", "unknown"]
-    assert rows(asof_scd2(facts, dim, "k", "at", bucket=bucket), "id", "city") == matched
-    assert rows(asof_scd2(facts, dim, "k", "at", "left", bucket), "id", "city") == sorted(
+    assert rows(asof_scd2(facts, dim, "k", "at", nested=nested), "id", "city") == matched
+    assert rows(asof_scd2(facts, dim, "k", "at", "left", nested), "id", "city") == sorted(
         matched + [(i, None) for i in lost], key=repr)
-    assert rows(asof_scd2(facts, dim, "k", "at", "left_semi", bucket), "id") == sorted((i,) for i, _ in matched)
-    assert rows(unmatched(facts, dim, "k", "at", bucket), "id") == [(i,) for i in lost]
+    assert rows(asof_scd2(facts, dim, "k", "at", "left_semi", nested), "id") == sorted((i,) for i, _ in matched)
+    assert rows(unmatched(facts, dim, "k", "at", nested), "id") == [(i,) for i in lost]
 
 
-@pytest.mark.parametrize("bucket", [None, "hour", "day"])
-def test_against_brute_force(spark, bucket):
+@pytest.mark.parametrize("nested", [False, True])
+def test_against_brute_force(spark, nested):
     rng, start = random.Random(3), datetime(2024, 1, 1)
     versions = []
     for key in range(3):
@@ -52,12 +54,12 @@ def test_against_brute_force(spark, bucket):
         (i, city) for i, k, at in facts for key, city, lo, hi, _ in versions
         if key == k and at >= lo and (hi is None or at < hi))
     left = spark.createDataFrame(facts, "id int, k int, at timestamp")
-    assert sorted(rows(asof_scd2(left, spark.createDataFrame(versions, DIM), "k", "at", bucket=bucket), "id", "city")) == want
+    assert sorted(rows(asof_scd2(left, spark.createDataFrame(versions, DIM), "k", "at", nested=nested), "id", "city")) == want
 
 
-@pytest.mark.parametrize("bucket", [None, "hour", "month"])
+@pytest.mark.parametrize("nested", [False, True])
 @pytest.mark.parametrize("versions", [5, 400])
-def test_rough_versions_match_alike_at_every_size(spark, bucket, versions):
+def test_rough_versions_match_alike_at_every_size(spark, nested, versions):
     """Overlapping, empty, negative and open intervals, on shallow and on deep keys."""
     rng, start = random.Random(versions), datetime(2024, 1, 1)
     dims = []
@@ -68,9 +70,56 @@ def test_rough_versions_match_alike_at_every_size(spark, bucket, versions):
     facts = [(i, 0, start + timedelta(minutes=rng.randrange(-100, 9000))) for i in range(60)]
     want = sorted((i, c) for i, _, at in facts for _, c, lo, hi, _ in dims if at >= lo and (hi is None or at < hi))
     left = spark.createDataFrame(facts, "id int, k int, at timestamp")
-    assert sorted(rows(asof_scd2(left, spark.createDataFrame(dims, DIM), "k", "at", bucket=bucket), "id", "city")) == want
+    assert sorted(rows(asof_scd2(left, spark.createDataFrame(dims, DIM), "k", "at", nested=nested), "id", "city")) == want
 
 
 def test_overlapping_versions_multiply_in_the_general_join(spark, facts):
     twice = spark.createDataFrame([(1, 1, ts("01 00:00"), None, True), (1, 2, ts("01 00:00"), None, True)], DIM)
     assert len(rows(asof_scd2(facts.filter("id = 'open'"), twice, "k", "at"))) == 2
+
+
+LENGTHS = [1, 16, 17, 10**6, 3_600_000_000, 86_400_000_000, 10 * 366 * 86_400_000_000]  # microseconds
+
+
+def test_a_version_lies_in_two_units_at_most_however_long(spark):
+    start = datetime(2014, 5, 6, 7, 8, 9, 123456)
+    dims = [(start, start + timedelta(microseconds=n)) for n in LENGTHS]
+    dims += [(start, None), (start, start), (start, start - timedelta(days=1)), (None, start), (None, None)]
+    units = laid_out(spark.createDataFrame(dims, "__from timestamp, __to timestamp"))
+    copies = {tuple(r)[:2]: r[2] for r in units.groupBy("__from", "__to").count().collect()}
+    assert set(copies) == set(dims[: len(LENGTHS) + 1])  # open ones too; empty and negative ones nowhere
+    assert all(n <= 2 for n in copies.values()) and copies[(start, None)] == 1
+    assert units.agg(F.max("__level")).first()[0] <= 15
+
+
+def test_times_at_the_edges_of_units_and_before_the_epoch(spark):
+    edges = [16**9, 16**10, 0, -(16**10), -1]
+    at = [datetime(1970, 1, 1) + timedelta(microseconds=m + d) for m in edges for d in (-1, 0, 1)]
+    dims = [(1, i, lo, hi, False) for i, (lo, hi) in enumerate((a, b) for a in at for b in at)]
+    want = sorted((f, c) for f, t in enumerate(at) for _, c, lo, hi, _ in dims if lo <= t < hi)
+    left = spark.createDataFrame([(f, 1, t) for f, t in enumerate(at)], "id int, k int, at timestamp")
+    got = asof_scd2(left, spark.createDataFrame(dims, DIM), "k", "at", nested=True)
+    assert sorted(rows(got, "id", "city")) == want
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_empty_sides_and_repeated_rows(spark, dim, facts, how):
+    twice = facts.union(facts)
+    for left, right in ((facts, dim.limit(0)), (facts.limit(0), dim), (twice, dim.union(dim))):
+        plain, nested = (asof_scd2(left, right, "k", "at", how, nested) for nested in (False, True))
+        assert rows(nested) == rows(plain)
+
+
+def test_a_deep_history_meets_few_versions(spark):
+    """Ten thousand versions of one key and as many rows: the residual sees some 17 versions a row and level."""
+    versions = spark.range(10000).select(
+        F.lit(1).alias("k"), F.col("id").cast("int").alias("city"),
+        F.timestamp_seconds(F.col("id") * 3600).alias("valid_from"),
+        F.timestamp_seconds((F.col("id") + 1) * 3600).alias("valid_to"), F.lit(False).alias("is_current"))
+    left = spark.range(10000).select("id", F.lit(1).alias("k"), F.timestamp_seconds(F.col("id") * 3600 + 7).alias("at"))
+    units = laid_out(versions.select(F.col("valid_from").alias("__from"), F.col("valid_to").alias("__to")))
+    assert units.count() <= 2 * 10000
+    assert units.groupBy("__level", "__node").count().agg(F.max("count")).first()[0] <= 18
+    got = asof_scd2(left, versions, "k", "at", nested=True)
+    assert got.filter("id = city").count() == got.count() == 10000
+    assert "__in" in plan(got) and "CartesianProduct" not in plan(got) and "NestedLoop" not in plan(got)

@@ -100,9 +100,9 @@ def shop(spark):
     return orders, lines, products, stores, weather_consensus(weather)
 
 
-@pytest.mark.parametrize("bucket", [None, "hour"])
-def test_fact(shop, bucket):
-    fact = fact_sales_weather(*shop, bucket=bucket)
+@pytest.mark.parametrize("nested", [False, True])
+def test_fact(shop, nested):
+    fact = fact_sales_weather(*shop, nested=nested)
     got = rows(fact, "date_hour", "city_id", "store_id", "weather_condition", "temperature_c", "order_type",
                "product_category", "total_orders", "total_items_sold", "total_revenue")
     # o3 cancelled, o4 without status, o6 before the product's first version, o7 without a condition
@@ -110,7 +110,7 @@ def test_fact(shop, bucket):
         (ts("02 10:00"), 100, 1, "Rain", 18.0, "Delivery", "Hot Drink", 2, 3, 25.5),
         (ts("02 10:00"), 100, 1, "Rain", 18.0, "Delivery", "Food", 1, 2, 20.0),
         (ts("03 10:00"), 200, 1, "Clear", 30.0, "Dine-in", "Cold Drink", 1, 3, 30.0)], key=repr)
-    kept = fact_sales_weather(*shop, keep_unmatched=True, bucket=bucket)
+    kept = fact_sales_weather(*shop, keep_unmatched=True, nested=nested)
     assert rows(kept.filter("weather_condition IS NULL"), "date_hour", "total_revenue") == [(ts("02 23:00"), 7.0)]
 
 

@@ -82,7 +82,7 @@ def test_building_a_plan_runs_nothing(spark):
     weather = b.weather(spark, SF_DIR)
     spark.sparkContext.setJobGroup("building", "building")
     try:
-        gold.fact_sales_weather(*inputs, gold.weather_consensus(weather), bucket="day")
+        gold.fact_sales_weather(*inputs, gold.weather_consensus(weather), nested=True)
         gold.fact_sales_weather(*inputs, gold.weather_consensus(weather))
         assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("building")) == []
     finally:
