@@ -1,24 +1,25 @@
 """WARC archives of captured pages and a globally ordered index of what is in them.
 
 Spark's text writer writes the archives: a record is a string, and the two line ends that close a
-record are the writer's line separator. Each file is sorted by URL key and time, so the
-index read from it is a sorted run. Runs are merged as in an external sort: the keys are cut into
+record are the writer's line separator. Each file is as long as its limit at most and sorted by URL key
+and time, so the index read from it is a sorted run. Runs are merged as in an external sort: the keys are cut into
 ranges, and each range merges its parts of all runs with a loser tree.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rainledger.llm.common import stored
 
 RECORD_END = "\r\n\r\n"
-FILE_BYTES = 16 << 20  # about; a reader holds a whole file
+FILE_BYTES = 16 << 20  # at most; a reader holds a whole file
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 INDEX = (
     "run string, place bigint, offset bigint, length bigint, page_id bigint, url string, captured string, "
@@ -101,16 +102,36 @@ def write_archives(
 ) -> None:
     """Write a record per page; payloads of at least ``min_bytes`` are stored once and revisited.
 
+    Archives lie in folders by their number within the task that wrote them. None is longer than ``file_bytes``, unless a single
+    record is, whatever sizes the pages of a host have; a very long page is a file of its own.
+
     A null payload is empty, a null URL or id leaves its header line out, and a null time is 1970. Pages with a
     null id revisit but are never revisited. Rows that repeat the smallest id of their payload are
     responses too. Other columns are not looked at. An empty table writes no record.
     """
-    size = F.octet_length(F.coalesce(F.col(payload_col).cast("string"), F.lit("")))
-    mean = pages.agg(F.avg(size)).first()[0] or 0
-    per_file = max(1, int(file_bytes / (mean + 600)))  # a record's headers take about 600 bytes
-    ordered = records(pages, id_col, url_col, payload_col, time_col, min_bytes)
-    ordered = ordered.sortWithinPartitions("url_key", "captured", "page_id").select("value")
-    ordered.write.option("lineSep", RECORD_END).option("maxRecordsPerFile", per_file).text(path)
+    made = records(pages, id_col, url_col, payload_col, time_col, min_bytes)
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in made.schema)
+    numbered = made.mapInArrow(_into_files(file_bytes), f"{fields}, file bigint")
+    ordered = numbered.sortWithinPartitions("file", "url_key", "captured", "page_id").select("value", "file")
+    ordered.write.option("lineSep", RECORD_END).partitionBy("file").text(path)
+
+
+def _into_files(file_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Adds to each record the number of the task's file it goes into: the next one when this one would pass the limit."""
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        file, filled = 0, 0
+        for batch in batches:
+            files = []
+            for size in pc.binary_length(batch.column("value")).to_pylist():
+                size += len(RECORD_END)
+                if filled and filled + size > file_bytes:
+                    file, filled = file + 1, 0
+                filled += size
+                files.append(file)
+            yield batch.append_column("file", pa.array(files, pa.int64()))
+
+    return number
 
 
 def parse_archive(data: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
@@ -153,7 +174,7 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for name, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 archive = data.as_buffer().to_pybytes()
-                file = name.rsplit("/", 1)[-1]
+                file = "/".join(name.rsplit("/", 2)[-2:])  # tasks number their files alike, and a task's names repeat
                 rows = [_entry(file, i, r) for i, r in enumerate(parse_archive(archive))]
                 if rows:
                     yield pa.RecordBatch.from_arrays(

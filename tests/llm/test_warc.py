@@ -63,6 +63,22 @@ def test_many_small_archives(spark, folder, tmp_path):
     assert Counter(tuple(r[c] for c in CONTRACT) for r in merged.collect()) == Counter(brute.op3(PAGES))
 
 
+def test_no_archive_passes_its_limit(spark, tmp_path):
+    """Many small pages and a host of long ones, which stand together in key order; a page over the limit has a file alone."""
+    small = [(i, f"http://a.example.com/{i}", f"small {i} ") for i in range(3000)]
+    large = [(5000 + i, f"http://b.example.com/{i}", f"large {i} " * 20_000) for i in range(60)]
+    rows = [*small, *large, (9999, "http://c.example.com/", "huge " * 600_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    warc.write_archives(pages, str(tmp_path / "w"), F.timestamp_seconds("page_id"), file_bytes=1_000_000)
+    runs = warc.read_runs(spark, str(tmp_path / "w"))
+    by = runs.groupBy("run").agg(F.count("*").alias("n"), F.max(F.expr("offset + length")).alias("bytes"), F.max("page_id").alias("last")).collect()
+    assert sum(r.n for r in by) == len(rows)
+    assert [(r.n, r["last"]) for r in by if r.bytes > 1_000_000] == [(1, 9999)]
+    assert len(by) <= 30  # files are filled: some 13 MB in all, and each of three tasks ends with one that is not full
+    places = runs.orderBy("run", "place").select("run", "url_key", "captured").collect()
+    assert places == sorted(places, key=lambda r: (r.run, r.url_key, r.captured))
+
+
 def test_offsets_lead_to_records(spark, folder, tmp_path):
     warc.write_archives(spark.read.parquet(f"{folder}/pages.parquet"), str(tmp_path / "w"), F.lit("2024-05-06 07:08:09").cast("timestamp"))
     for r in warc.read_runs(spark, str(tmp_path / "w")).collect():
