@@ -565,6 +565,19 @@ def stream_weather(spark, sf):
     return spark.read.parquet(f"{work}/weather").select(*SILVER_WEATHER.names)
 
 
+def stream_weather_left_out(spark, sf):
+    """What the stream counts while it writes: a city's payloads come from unknown sources, another's without a source or a time."""
+    city = F.col("city_id")
+    rows = b.bronze(spark, sf).withColumns({
+        "source": F.when(city == 0, "weatherstation").when(city != 1, F.col("source")),
+        "fetched_at": F.when(city == 2, "no time").otherwise(F.col("fetched_at")),
+    })
+    work = scratch(spark, "stream_weather_left_out")
+    rows.write.parquet(f"{work}/landing")
+    lost = pipelines.stream_weather(_parquet_stream(spark, rows.schema)(f"{work}/landing"), f"{work}/weather", work, RUN_TS)
+    return spark.createDataFrame(list(lost.items()), "reason string, row_count bigint")
+
+
 def stream_dedup(spark, sf):
     """Readings land twice in full; the stream keeps each once."""
     rows = b.weather(spark, sf)
@@ -719,6 +732,7 @@ QUERIES: dict[str, Query] = {
     "stream_products": stream_products,
     "stream_stores": stream_stores,
     "stream_weather": stream_weather,
+    "stream_weather_left_out": stream_weather_left_out,
     "stream_dedup": stream_dedup,
     "stream_consensus": stream_consensus,
     "stream_consensus_late": stream_consensus_late,

@@ -44,7 +44,8 @@ DIMENSION_RULES = ["several_open", "overlap", "bad_interval"]
 
 def silver_weather(spark: SparkSession, bronze: str, lake: str, run_ts: str | None = None,
                    max_files: int | None = None, since: str | None = None) -> dict[str, int]:
-    """Normalize the weather payloads that landed, keep the latest weather per city; the rows that were left out."""
+    """Normalize the weather payloads that landed, keep the latest weather per city and the hourly consensus fresh;
+    the rows that were left out."""
     if not exists(spark, f"{bronze}/weather"):
         return {}
     fields = [f for f in BRONZE_WEATHER if f.name != "source"] + list(BRONZE_PARTITIONS)
@@ -55,10 +56,18 @@ def silver_weather(spark: SparkSession, bronze: str, lake: str, run_ts: str | No
     if since:
         landed = landed.filter(F.try_to_timestamp("fetched_at") > F.lit(since).cast("timestamp"))
     return pipelines.stream_weather(
-        landed, f"{lake}/silver/weather", f"{lake}/work/weather", run_ts, state=f"{lake}/silver/current_state"
+        landed, f"{lake}/silver/weather", f"{lake}/work/weather", run_ts, f"{lake}/silver/consensus", f"{lake}/silver/current_state"
     )
 
 
+def hourly_consensus(spark: SparkSession, lake: str) -> DataFrame:
+    """The consensus the Silver job keeps fresh; voted on from all readings where there is none yet."""
+    path = f"{lake}/silver/consensus"
+    if exists(spark, path):
+        return spark.read.parquet(path).drop(pipelines.CONSENSUS_DAY)
+    return gold.weather_consensus(silver_tables(spark, lake)["weather"])
+
+
 def silver_cdc(spark: SparkSession, bronze: str, lake: str, fmt: str = "avro", max_files: int | None = None,
                since: str | None = None, apply_deletes: bool = False) -> dict[str, int]:
     """Apply the change events that landed, and keep the order statistics fresh.
@@ -131,7 +140,7 @@ def build_gold(spark: SparkSession, lake: str, prefix: str = "", cities: DataFra
     check_silver(spark, lake)
     tables = silver_tables(spark, lake)
     consensus = publish(
-        gold.weather_consensus(tables["weather"]), f"{prefix}weather_consensus", f"{lake}/gold",
+        hourly_consensus(spark, lake), f"{prefix}weather_consensus", f"{lake}/gold",
         lambda df: quality.table_rules(df, ["city_id", "date_hour"], ["city_id", "date_hour"]),
     )
     fact = gold.fact_sales_weather(

@@ -540,6 +540,9 @@ def oracle_sql() -> dict[str, str]:
         "stream_products": products,
         "stream_stores": stores,
         "stream_weather": weather_out,
+        "stream_weather_left_out": f"""WITH {BRONZE}
+            SELECT 'unknown_source' AS reason, count(*) FILTER (city_id IN (0, 1)) AS row_count FROM b_bronze
+            UNION ALL SELECT 'no_time', count(*) FILTER (city_id = 2) FROM b_bronze""",
         "stream_dedup": f"WITH {WEATHER} SELECT * FROM b_weather",
         "stream_consensus": consensus_out,
         "stream_consensus_late": consensus_out,

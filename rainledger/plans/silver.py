@@ -238,11 +238,14 @@ def _append_versions(path: str, schema: T.StructType, incoming: DataFrame, key:
         with persisted(scd2_deltas(held, events, key, tracked, deletes=deletes)) as steps:
             month = F.date_format("valid_to", "yyyyMM").cast("int")
             ended = steps.filter("ended IS NOT NULL").select("ended.*").withColumn("closed_in", month)
-            before = in_values(closed_versions(spark, path, schema), "closed_in", touched_values(ended, "closed_in"))
+            # a row per month: the months to look into, and how many events are late, in one job
+            months = steps.groupBy(F.date_format("ended.valid_to", "yyyyMM").cast("int").alias("closed_in")).agg(
+                F.count_if("late").alias("late")).collect()
+            before = in_values(closed_versions(spark, path, schema), "closed_in", [m.closed_in for m in months if m.closed_in is not None])
             fresh = not_in(ended, before, begin, null_safe=True)
             fresh.hint("rebalance", "closed_in").write.mode("append").partitionBy("closed_in").parquet(f"{path}/closed")
             log.append(steps.filter("begun IS NOT NULL").select("begun.*"), begin)
-            return steps.filter("late").count()
+    return sum(m.late for m in months)
 
 
 def order_details_log(path: str) -> KeyedLog:

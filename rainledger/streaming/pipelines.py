@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rainledger.operators.asof import asof_scd2
 from rainledger.operators.latest import latest_state
+from rainledger.operators.quality import observed
 from rainledger.plans.gold import order_stats, weather_consensus
 from rainledger.plans.silver import (
     KEYS,
@@ -20,9 +21,9 @@ from rainledger.plans.silver import (
     merge_orders_table,
     read_weather,
 )
-from rainledger.plans.weather import known_sources, silver_weather
+from rainledger.plans.weather import counted_by_route, silver_weather
 from rainledger.schemas import SILVER_PRODUCTS, SILVER_STORES, SILVER_WEATHER
-from rainledger.sources.paths import read_or_empty
+from rainledger.sources.paths import exists, read_or_empty
 from rainledger.sources.tables import Batch, drop_partitions, in_values, persisted, replace_partitions, touched_values
 from rainledger.streaming.runner import drain_batches, drain_to_parquet
 
@@ -99,10 +100,13 @@ def stream_weather(bronze: DataFrame, table: str, work: str, run_ts: str | None
     lost = {"unknown_source": 0, "no_time": 0}
 
     def add(rows: DataFrame, batch: Batch) -> None:
-        with persisted(silver_weather(rows, run_ts)) as readings:
+        routed, sources = counted_by_route(rows, "sources")
+        parsed, times = observed(silver_weather(routed, run_ts), "times", no_time=F.count_if(F.col("fetched_at").isNull()))
+        with persisted(parsed) as readings:
             _add_readings(readings, batch, table, work, consensus, state)
-            lost["no_time"] += readings.filter(F.col("fetched_at").isNull()).count()
-        lost["unknown_source"] += rows.filter(~known_sources()).count()
+        # counted by the job that first went over the batch
+        lost["unknown_source"] += sources.get["unknown"]
+        lost["no_time"] += times.get["no_time"]
 
     drain_batches(bronze, add, f"{work}/checkpoint")
     return lost
@@ -121,9 +125,12 @@ def stream_consensus(weather: DataFrame, table: str, consensus: str, work: str)
 
 
 def _add_readings(readings: DataFrame, batch: Batch, table: str, work: str, consensus: str | None, state: str | None) -> None:
+    spark = readings.sparkSession
     days = append_weather(table, readings)
     if consensus and days:
-        held = in_values(read_weather(readings.sparkSession, table), "fetched_date", days)
+        held = read_weather(spark, table)
+        if exists(spark, consensus):  # else the table may hold days from before there was a consensus
+            held = in_values(held, "fetched_date", days)
         voted = weather_consensus(held).withColumn(CONSENSUS_DAY, F.to_date("date_hour"))
         replace_partitions(voted, consensus, [CONSENSUS_DAY], f"{work}/staged/consensus", batch)
     if state:

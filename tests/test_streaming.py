@@ -335,6 +335,45 @@ def test_jobs_count_what_they_leave_out_and_start_where_told(spark, work):
     assert kept.filter("valid_from <= '2024-01-20'").count() == 0 and kept.count() > 0
 
 
+def test_rows_left_out_are_counted_by_the_jobs_that_write(spark, work, monkeypatch):
+    bronze = b.bronze(spark, SF_DIR).limit(20)
+    bronze.unionByName(bronze.limit(3).withColumn("source", F.lit("unknown"))).write.parquet(f"{work}/landing")
+
+    def count(df):
+        raise AssertionError("a job that only counts")
+
+    monkeypatch.setattr(type(bronze), "count", count)
+    lost = pipelines.stream_weather(parquet_stream(spark, f"{work}/landing", bronze.schema), f"{work}/weather", work)
+    assert lost == {"unknown_source": 3, "no_time": 0}
+
+
+def test_late_events_of_whole_batches(spark, work):
+    events = silver.latest_changes(b.product_cdc(spark, SF_DIR), "products")
+    assert silver.apply_scd2_table(f"{work}/dim", SILVER_PRODUCTS, events, "product_id", ["category"]) == 0
+    old = events.withColumn("source_timestamp", F.lit("2000-01-01").cast("timestamp"))
+    late = silver.apply_scd2_table(f"{work}/dim", SILVER_PRODUCTS, old, "product_id", ["category"])
+    assert late == len(events.collect()) > 0
+    empty = silver.apply_scd2_table(f"{work}/dim", SILVER_PRODUCTS, old.limit(0), "product_id", ["category"])
+    assert empty == 0
+
+
+def test_the_job_keeps_the_consensus_fresh(spark, work):
+    """Payloads in two runs, into a lake that had readings before it had a consensus; Gold publishes what was kept."""
+    bronze = b.bronze(spark, SF_DIR).withColumn("year", F.lit(2024))
+    parts = [bronze.filter("fetched_at < '2024-01-10'"), bronze.filter("fetched_at >= '2024-01-10' AND fetched_at < '2024-01-20'"),
+             bronze.filter("fetched_at >= '2024-01-20'")]
+    landed = lambda part: part.write.mode("append").partitionBy("source", "year").parquet(f"{work}/bronze/weather")
+    landed(parts[0])
+    silver.append_weather(f"{work}/lake/silver/weather", silver_weather(parts[0]))
+    for part in parts[1:]:
+        landed(part)
+        jobs.silver_weather(spark, f"{work}/bronze", f"{work}/lake", since="2024-01-10")
+    kept = jobs.hourly_consensus(spark, f"{work}/lake")
+    want = gold.weather_consensus(silver_weather(bronze))
+    near = [F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in want.dtypes]
+    assert rows(kept.select(*near)) == rows(want.select(*near))
+
+
 def test_gold_is_not_published_over_a_broken_dimension(spark, work):
     """Versions that overlap, as a writer outside could leave them."""
     broken = [(1, 1, 1, ts("01 00:00"), ts("03 00:00"), False, 202401), (1, 2, 1, ts("02 00:00"), ts("04 00:00"), False, 202401)]
