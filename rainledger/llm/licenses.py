@@ -1,7 +1,9 @@
 """License scans: phrases, and an exact set-similarity join of text blocks with license templates.
 
-A block is a line. It matches a template if it holds at least ``threshold`` of the template's
-distinct words. The join is exact: words are ordered from the rarest in the corpus on; a block that
+Notices are wrapped over lines, so a block begins with each line of a paragraph (lines up to one without
+a word) and goes on until the lines after the first hold as many words as the longest template: a template
+that is wrapped anyhow, after other words too, lies in the block of the line it begins in. A block matches a
+template if it holds at least ``threshold`` of the template's distinct words. The join is exact: words are ordered from the rarest in the corpus on; a block that
 meets the threshold must hold one of the template's first words in that order (prefix), have words
 enough (length), and have words enough left after the shared one in both orders (position).
 Candidates that pass are compared in full. Only words of templates travel, and the templates,
@@ -77,7 +79,42 @@ def template_table(spark: SparkSession, templates: list[tuple[str, str]]) -> Dat
     return spark.createDataFrame([r for r in rows if r[2]], "template int, label string, tokens array<string>")
 
 
-def scanned(docs: DataFrame, text_col: str, phrases: dict[str, str], vocabulary: frozenset[bytes], least: int) -> DataFrame:
+def text_blocks(lines: list[list[bytes]], vocabulary: frozenset[bytes], least: int, reach: int) -> list[set[bytes]]:
+    """The words of ``vocabulary`` in each block, if at least ``least``: see the module; ``reach`` words after the first line.
+
+    A block whose words all stand in the one before or after it is left out: whatever it matches, that one does, at no lower score.
+    """
+    out: list[set[bytes]] = []
+    held: Counter[bytes] = Counter()  # of the lines from the block's first to before ``end``
+    shared = [vocabulary.intersection(line) for line in lines]
+    end = after = 0  # after: words of the block's lines behind the first
+    for i, line in enumerate(lines):
+        if not line:
+            continue
+        if end <= i:
+            held.clear()
+            held.update(shared[i])
+            end, after = i + 1, 0
+        else:
+            after -= len(line)  # it was behind the line before, now it is the first
+        while after < reach and end < len(lines) and lines[end]:
+            held.update(shared[end])
+            after += len(lines[end])
+            end += 1
+        if len(held) >= least:
+            if out and out[-1] <= held.keys():
+                out[-1] = set(held)
+            elif not out or not held.keys() <= out[-1]:
+                out.append(set(held))
+        for word in shared[i]:
+            if held[word] == 1:
+                del held[word]
+            else:
+                held[word] -= 1
+    return out
+
+
+def scanned(docs: DataFrame, text_col: str, phrases: dict[str, str], vocabulary: frozenset[bytes], least: int, reach: int) -> DataFrame:
     """``docs`` without the text, with counts and phrases, and of each block with at least ``least`` words of templates those words."""
     others = [c for c in docs.columns if c != text_col]
 
@@ -89,9 +126,8 @@ def scanned(docs: DataFrame, text_col: str, phrases: dict[str, str], vocabulary:
                 words = [w for line in lines for w in line]
                 places = phrase_places(words, phrases)
                 starts = [at for at, _ in places]
-                blocks = [sorted(shared) for line in lines if len(shared := vocabulary.intersection(line)) >= least]
                 first, last = (starts[0], starts[-1]) if starts else (None, None)
-                blocks = [[w.decode() for w in block] for block in blocks]
+                blocks = [[w.decode() for w in sorted(block)] for block in text_blocks(lines, vocabulary, least, reach)]
                 out.append((len(words), len(places), first, last, sorted({x for _, x in places}), blocks))
             if out:
                 columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), _TYPES, strict=True)]
@@ -158,8 +194,8 @@ def scan(
     base_labels, labels, score``.
 
     ``score`` is the largest containment among matching blocks, 1 where only a phrase was found, else 0. A null or
-    empty text has no words; repeated rows each get their labels; an empty table gives no rows. Columns
-    of these names are replaced.
+    empty text has no words; repeated rows each get their labels; an empty table gives no rows. A very long text
+    is read in one go, its blocks leave as words of templates only. Columns of these names are replaced.
     """
     if not 0 < threshold <= 1:
         raise ValueError("the threshold is a share of a template's words")
@@ -167,12 +203,14 @@ def scan(
     docs = docs.drop(*[c for c in docs.columns if c.lower() in out_names and c != text_col])
     row = free_name(docs, "row")
     spark = docs.sparkSession
-    tokens = [set(alnum_words(t.encode())) for _, t in templates]
+    texts = [alnum_words(t.encode()) for _, t in templates]
+    tokens = [set(t) for t in texts]
     vocabulary = frozenset().union(*tokens)
+    reach = max(map(len, texts), default=0)
     least = min((math.ceil(len(t) * threshold - 1e-9) for t in tokens if t), default=1)
     rest = [c for c in docs.columns if c != text_col]
     rowed = docs.withColumn(text_col, F.col(text_col).cast("string")).withColumn(row, F.monotonically_increasing_id())
-    found = stored(scanned(rowed, text_col, phrases, vocabulary, least), "license-blocks")
+    found = stored(scanned(rowed, text_col, phrases, vocabulary, least, reach), "license-blocks")
     blocks = found.select(F.col(row).alias("row"), F.posexplode("blocks").alias("block", "tokens"))
     matches = matching_blocks(blocks, template_table(spark, templates), threshold)
     more, best = free_name(found, "more"), free_name(found, "best")

@@ -53,7 +53,17 @@ starts AS (SELECT rid, w, unnest(generate_series(1, len(w))) AS i FROM docs WHER
 places AS (SELECT rid, i - 1 AS pos, label FROM starts JOIN phrases ON w[i] = part[1] AND list_slice(w, i, i + len(part) - 1) = part),
 base AS (SELECT rid, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word,
                 string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM places GROUP BY rid),
-blocks AS (SELECT rid, list_distinct({words('line')}) AS b FROM (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM docs)),
+vocabulary AS (SELECT list_distinct(flatten(list(asked))) AS known FROM templates),
+longest AS (SELECT max(len({words('text')})) AS reach FROM (VALUES {_TEMPLATES}) AS t(label, text)),
+split AS (SELECT rid, {words('line')} AS line, no
+          FROM (SELECT rid, unnest(string_split(text, chr(10))) AS line, unnest(generate_series(1, len(string_split(text, chr(10))))) AS no FROM docs)),
+lines AS (SELECT rid, no, len(line) AS n, list_intersect(line, known) AS shared,
+                 sum(CASE WHEN len(line) = 0 THEN 1 ELSE 0 END) OVER upto AS par, sum(len(line)) OVER upto AS total
+          FROM split, vocabulary WINDOW upto AS (PARTITION BY rid ORDER BY no)),
+reached AS (SELECT rid, par, no, total, unnest(generate_series(no, no + reach)) AS other FROM lines, longest WHERE n > 0),
+blocks AS (SELECT a.rid, list_distinct(flatten(list(b.shared))) AS b
+           FROM reached a JOIN lines b ON b.rid = a.rid AND b.no = a.other AND b.par = a.par, longest
+           WHERE b.no = a.no OR b.total - b.n - a.total < reach GROUP BY a.rid, a.no),
 matches AS (SELECT rid, label, CAST(len(list_intersect(b, asked)) AS DOUBLE) / len(asked) AS score
             FROM blocks, templates WHERE len(list_intersect(b, asked)) >= ceil(len(asked) * {THRESHOLD} - 1e-9)),
 best AS (SELECT rid, max(score) AS score FROM matches GROUP BY rid),

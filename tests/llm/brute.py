@@ -160,13 +160,25 @@ def op6_base(text, phrases):
     return len(words), len(places), min(starts, default=None), max(starts, default=None), sorted({x for _, x in places})
 
 
+def blocks(text, reach):
+    """The distinct words of each line with those that follow it in its paragraph, until those that follow are ``reach``."""
+    lines = [alnum(line) for line in (text or "").split("\n")]
+    for i, line in enumerate(lines):
+        if line:
+            behind, j = [], i + 1
+            while len(behind) < reach and j < len(lines) and lines[j]:
+                behind += lines[j]
+                j += 1
+            yield {*line, *behind}
+
+
 def op6(docs, phrases, templates, threshold):
     out = []
     for doc_id, text in docs:
         *base, labels = op6_base(text, phrases)
         best, every = (1.0 if labels else 0.0), set(labels)
-        for line in (text or "").split("\n"):
-            words = set(alnum(line))
+        reach = max((len(alnum(t)) for _, t in templates), default=0)
+        for words in blocks(text, reach):
             for label, template in templates:
                 asked = set(alnum(template))
                 if len(asked & words) >= threshold * len(asked) - 1e-9:

@@ -1,7 +1,10 @@
 import random
+import textwrap
 from collections import Counter
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from rainledger.llm import licenses
 from rainledger.llm.queries import op6_license_scan
@@ -30,7 +33,7 @@ def test_notices_and_edited_notices(spark, tables):
         for _ in range(i // len(licenses.TEMPLATES)):
             words[rng.randrange(len(words))] = "edited"
         rows.append((i, f"some line\n{' '.join(words).upper()} and more words\nBY CC by-nc by CC BY NC\ncc by nc"))
-    rows.append((900, "licensed under the mit\nlicense"))  # a phrase over two lines, no block
+    rows.append((900, "licensed under the mit\nlicense"))  # a phrase over two lines
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "1 as LABELS", "2 as row", "3 as blocks", "4 as best", "5 as More")
     out = licenses.scan(docs)
     got = rounded(tuple(r[c] for c in COLUMNS) for r in out.collect())
@@ -38,6 +41,35 @@ def test_notices_and_edited_notices(spark, tables):
     assert out.columns == ["doc_id", "row", "best", "More", *COLUMNS[1:]]
 
 
+def wrapped(text, width, prefix=""):
+    return "\n".join(prefix + line for line in textwrap.wrap(text, width, break_long_words=False))
+
+
+@pytest.mark.parametrize("width", [30, 72])
+@pytest.mark.parametrize("prefix", ["", " * ", "# "])
+def test_wrapped_notices(spark, tables, width, prefix):
+    rows = []
+    for i, (_, template) in enumerate(licenses.TEMPLATES):
+        rows.append((i, f"title\n\n{wrapped('Copyright 2024 by its authors. ' + template + ' and so on', width, prefix)}\n\nend"))
+        broken = wrapped(template, 20).split("\n")
+        rows.append((100 + i, "\n\n".join(["some words", *broken])))  # a paragraph a line: no block holds it
+    out = {r.doc_id: (r.labels.split(","), r.score) for r in licenses.scan(spark.createDataFrame(rows, "doc_id bigint, text string"), phrases={}).collect()}
+    for i, (label, _) in enumerate(licenses.TEMPLATES):
+        assert label in out[i][0] and out[i][1] == 1.0
+        assert out[100 + i][1] == 0.0
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([b"a", b"b", b"c", b"d", b"x", b"y"]), max_size=4), max_size=12), st.integers(0, 8), st.integers(1, 3))
+def test_blocks_left_out_lie_in_others(lines, reach, least):
+    vocabulary = frozenset([b"a", b"b", b"c", b"d"])
+    text = "\n".join(" ".join(w.decode() for w in line) for line in lines)
+    every = [shared for b in brute.blocks(text, reach) if len(shared := {w.encode() for w in b} & vocabulary) >= least]
+    found = licenses.text_blocks(lines, vocabulary, least, reach)
+    assert all(any(b <= f for f in found) for b in every)
+    assert all(f in every for f in found)
+
+
 @pytest.mark.parametrize("threshold", [0.3, 0.5, 1.0])
 def test_the_filters_lose_nothing(spark, tables, threshold):
     rng = random.Random(9)
