@@ -140,6 +140,37 @@ def order_stats(orders: DataFrame) -> DataFrame:
     )
 
 
+STATS_GROUP = ["order_hour", "order_date", "store_id", "order_type", "status"]
+STATS_SUMS = ["order_count", "revenue", "amounts"]
+
+
+def order_sums(orders: DataFrame, sign: int = 1) -> DataFrame:
+    """What orders add to the statistics, or take from them with ``sign`` -1: exact sums by ``STATS_GROUP``, which can be added."""
+    at = F.col("created_at").cast("timestamp")
+    amount = money(F.col("total_amount"))
+    one = orders.filter(F.col("created_at").isNotNull()).select(
+        hour_of(at).alias("order_hour"), F.to_date(at).alias("order_date"), "store_id", "order_type", "status",
+        F.lit(sign).cast("bigint").alias("order_count"),
+        (amount if sign > 0 else -amount).alias("revenue"),
+        F.when(F.col("total_amount").isNotNull(), sign).otherwise(0).cast("bigint").alias("amounts"),
+    )
+    return added_sums(one)
+
+
+def added_sums(sums: DataFrame) -> DataFrame:
+    """Sums of equal groups added up; groups in which nothing is left or changed are gone."""
+    total = sums.groupBy(*STATS_GROUP).agg(*[F.sum(c).alias(c) for c in STATS_SUMS])
+    total = total.withColumn("revenue", F.coalesce("revenue", F.lit(0)).cast("decimal(38,2)"))
+    return total.filter((F.col("order_count") != 0) | (F.col("revenue") != 0) | (F.col("amounts") != 0))
+
+
+def stats_of_sums(sums: DataFrame) -> DataFrame:
+    """``order_stats`` out of sums, which stay beside them."""
+    revenue = F.when(F.col("amounts") > 0, F.col("revenue").cast("double"))
+    average = F.try_divide(revenue, F.col("amounts").cast("double"))
+    return sums.select(*STATS_GROUP, *STATS_SUMS, revenue.alias("total_revenue"), average.alias("avg_order_value"))
+
+
 def current_weather(state: DataFrame, cities: DataFrame) -> DataFrame:
     """Each city's latest weather; a missing condition reads Clouds, a missing or zero temperature 25.0."""
     condition, temperature = F.col("condition"), F.col("temperature")

@@ -7,6 +7,8 @@ touches, versions and lines by appending.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -132,7 +134,8 @@ def _newest_place(places: DataFrame) -> DataFrame:
 
 
 def merge_orders_table(path: str, source: DataFrame, staging: str, batch: Batch, schema=SILVER_ORDERS,
-                       deleted: DataFrame | None = None) -> DataFrame:
+                       deleted: DataFrame | None = None,
+                       before: Callable[[DataFrame, DataFrame], None] | None = None) -> DataFrame:
     """Upsert a batch (one row per key) into the orders table and return its changed days.
 
     Orders lie in the day they were created on, whatever later events say of it. That day is looked up in the
@@ -142,6 +145,9 @@ def merge_orders_table(path: str, source: DataFrame, staging: str, batch: Batch,
     ``deleted`` has keys whose newest event is a delete, with its ``source_timestamp``. Their rows go and a tombstone stays
     among the places, so no event up to that time brings a key back, in whatever batch it comes. Events are
     timed by ``source_timestamp`` if the batch has it, else by ``updated_at``.
+
+    ``before(old, new)`` is called with the images of the batch's own keys before anything of the table is replaced.
+    A batch that is repeated calls it again, then perhaps on a table that it changed already, so what it keeps has to be ``staged``.
     """
     spark = source.sparkSession
     day = partition_names(ORDERS_PARTITIONS)[0]
@@ -168,6 +174,11 @@ def merge_orders_table(path: str, source: DataFrame, staging: str, batch: Batch,
         merged = merge_upsert(target, rows, "order_id", "updated_at", ORDER_UPDATES)
         if gone is not None:
             merged = merge_delete(merged, gone, "order_id")
+        if before:
+            keys = rows.select("order_id")
+            old = target.join(keys.union(gone.select("order_id")) if gone is not None else keys, "order_id", "left_semi")
+            new = merge_upsert(old, rows, "order_id", "updated_at", ORDER_UPDATES)
+            before(old, merge_delete(new, gone, "order_id") if gone is not None else new)
         replace_partitions(merged, path, [day], staging, batch)
         if gone is not None:
             left = touched_values(read_or_empty(spark, f"{staging}/rows", merged.schema), day)
@@ -190,11 +201,6 @@ def _buried(places: KeyedLog, deleted: DataFrame) -> DataFrame:
     return _newest_place(places.lookup(deleted)).filter("deleted").select("order_id", "created_date")
 
 
-def buried_days(path: str, deleted: DataFrame) -> list:
-    """The days that the deleted orders lay in."""
-    return touched_values(_buried(order_places(path), deleted), "created_date")
-
-
 def open_versions(path: str, schema: T.StructType) -> KeyedLog:
     """The versions and tombstones that began, by key, the first column; a key's newest one counts."""
     key = schema.names[0]

@@ -98,13 +98,11 @@ def publish(df: DataFrame, name: str, base: str, checks: Callable[[DataFrame], D
     return version
 
 
-def replace_partitions(rows: DataFrame, path: str, partition_cols: list[str], staging: str, batch: Batch) -> None:
-    """Replace exactly the partitions ``rows`` falls into; all others stay as they are.
+def staged(rows: DataFrame, staging: str, batch: Batch) -> DataFrame:
+    """``rows`` as they were when this batch first came here, whatever has changed since.
 
-    ``rows`` may be computed from the table itself: it is first written to ``staging``
-    and marked complete with the stream's identity and the batch's number. A batch that
-    is repeated after a loss finds its mark and only moves the staged rows again, so it
-    never computes from half-replaced partitions; any other batch, of this stream or of
+    They are written to ``staging`` and marked complete with the stream's identity and the batch's number. A batch
+    that is repeated after a loss finds its mark and what it wrote; any other batch, of this stream or of
     one that starts from a new checkpoint, is computed. One staging folder serves all
     batches of a stream in turn and belongs beside the stream's checkpoint.
     """
@@ -114,9 +112,17 @@ def replace_partitions(rows: DataFrame, path: str, partition_cols: list[str], st
     if marks.filter((F.col("run") == batch.run) & (F.col("number") == batch.number)).isEmpty():
         rows.write.mode("overwrite").parquet(data)
         spark.createDataFrame([batch], MARK).write.mode("overwrite").parquet(mark)
-    staged = read_or_empty(spark, data, rows.schema).select(*rows.columns)
+    return read_or_empty(spark, data, rows.schema).select(*rows.columns)
+
+
+def replace_partitions(rows: DataFrame, path: str, partition_cols: list[str], staging: str, batch: Batch) -> None:
+    """Replace exactly the partitions ``rows`` falls into; all others stay as they are.
+
+    ``rows`` may be computed from the table itself: they are ``staged`` first, so a repeated batch
+    only moves the same rows again and never computes from half-replaced partitions.
+    """
     (
-        staged.hint("rebalance", *partition_cols)
+        staged(rows, staging, batch).hint("rebalance", *partition_cols)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_cols)

@@ -8,23 +8,23 @@ from pyspark.sql import functions as F
 from rainledger.operators.asof import asof_scd2
 from rainledger.operators.latest import latest_state
 from rainledger.operators.quality import observed
-from rainledger.plans.gold import order_stats, weather_consensus
+from rainledger.plans.gold import STATS_GROUP, STATS_SUMS, added_sums, order_sums, stats_of_sums, weather_consensus
 from rainledger.plans.silver import (
     KEYS,
     TRACKED,
     append_order_details,
     append_weather,
     apply_scd2_table,
-    buried_days,
     deletes,
     latest_changes,
     merge_orders_table,
+    read_orders,
     read_weather,
 )
 from rainledger.plans.weather import counted_by_route, silver_weather
 from rainledger.schemas import SILVER_PRODUCTS, SILVER_STORES, SILVER_WEATHER
 from rainledger.sources.paths import exists, read_or_empty
-from rainledger.sources.tables import Batch, drop_partitions, in_values, persisted, replace_partitions, touched_values
+from rainledger.sources.tables import Batch, drop_partitions, in_values, persisted, replace_partitions, staged, touched_values
 from rainledger.streaming.runner import drain_batches, drain_to_parquet
 
 DIMENSIONS = {"products": SILVER_PRODUCTS, "stores": SILVER_STORES}
@@ -38,31 +38,48 @@ def stream_orders(events: DataFrame, table: str, work: str, stats: str | None =
                   apply_deletes: bool = False) -> None:
     """Upsert order events batch by batch; with ``stats``, keep the order statistics fresh too.
 
-    A status change moves an order between groups, so the statistics of the days a
-    batch touches are computed again from the merged orders and replace those days.
     An order stays in the day it was created on, whatever a later event says of that.
     Deletes are skipped; ``apply_deletes`` removes the order, and no older event brings it back.
     """
+    drain_batches(events, lambda rows, batch: merge_orders_batch(rows, batch, table, work, stats, apply_deletes), f"{work}/checkpoint")
 
-    def merge(rows: DataFrame, batch: Batch) -> None:
-        # read several times below: to find the days, to merge, for the statistics
-        with persisted(latest_changes(rows, "orders")) as source:
-            gone = deletes(rows, "orders") if apply_deletes else None
-            changed = merge_orders_table(table, source, f"{work}/staged/orders", batch, deleted=gone)
-            if stats:
-                days = buried_days(table, gone) if apply_deletes else []
-                refresh_stats(changed, stats, f"{work}/staged/stats", batch, days)
 
-    drain_batches(events, merge, f"{work}/checkpoint")
+def merge_orders_batch(rows: DataFrame, batch: Batch, table: str, work: str, stats: str | None = None, apply_deletes: bool = False) -> None:
+    """One batch of ``stream_orders``.
 
-
-def refresh_stats(changed: DataFrame, stats: str, staging: str, batch: Batch, emptied: list = ()) -> None:
-    """Recompute the statistics of the days in ``changed``, which holds those days whole; of ``emptied`` days, those without orders have none."""
-    rows = order_stats(changed)
+    A status change moves an order between groups: the batch's keys are taken from the statistics as they were and added
+    as they are now. Both images are staged before the table changes and the statistics change once per
+    batch, so a batch that is lost anywhere and repeated counts once. No other order is read for them, but for
+    statistics that are not there yet, which begin with the whole table; so every run on a table has to name its statistics.
+    """
+    changes = []
+
+    def keep(old: DataFrame, new: DataFrame) -> None:
+        sums = added_sums(order_sums(old, -1).unionByName(order_sums(new)))
+        changes.append(staged(sums, f"{work}/staged/changes", batch))
+
+    # read several times below: to find the days, to merge, for the statistics
+    with persisted(latest_changes(rows, "orders")) as source:
+        gone = deletes(rows, "orders") if apply_deletes else None
+        merge_orders_table(table, source, f"{work}/staged/orders", batch, deleted=gone, before=keep if stats else None)
+    if stats:
+        add_to_stats(changes[0], stats, table, f"{work}/staged/stats", batch)
+
+
+def add_to_stats(changes: DataFrame, stats: str, table: str, staging: str, batch: Batch) -> None:
+    """Add signed sums to the statistics of their days; days that no order is left for go."""
+    spark = changes.sparkSession
+    if exists(spark, stats):
+        days = touched_values(changes, STATS_DAY)
+        schema = stats_of_sums(changes).schema
+        held = in_values(read_or_empty(spark, stats, schema), STATS_DAY, days)
+        sums = added_sums(held.select(*STATS_GROUP, *STATS_SUMS).unionByName(changes))
+    else:
+        days, sums = [], order_sums(read_orders(spark, table))
+    rows = stats_of_sums(sums)
     replace_partitions(rows, stats, [STATS_DAY], staging, batch)
-    if emptied:
-        left = touched_values(read_or_empty(rows.sparkSession, f"{staging}/rows", rows.schema), STATS_DAY)
-        drop_partitions(rows.sparkSession, stats, STATS_DAY, [d for d in emptied if d not in left])
+    left = touched_values(read_or_empty(spark, f"{staging}/rows", rows.schema), STATS_DAY)
+    drop_partitions(spark, stats, STATS_DAY, [d for d in days if d not in left])
 
 
 def stream_order_details(events: DataFrame, table: str, work: str) -> None:

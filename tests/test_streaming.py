@@ -49,6 +49,59 @@ def test_orders_and_stats(spark, work):
     assert rows(spark.read.parquet(f"{work}/stats").select(*gold.order_stats(target).columns)) == rows(gold.order_stats(target))
 
 
+def stats_match(spark, work):
+    want = gold.order_stats(silver.read_orders(spark, f"{work}/orders"))
+    return rows(spark.read.parquet(f"{work}/stats").select(*want.columns)) == rows(want)
+
+
+@pytest.mark.parametrize("lost", [("silver", "staged/orders"), ("pipelines", "staged/stats"), ("after", None)])
+def test_statistics_count_a_lost_batch_once(spark, work, monkeypatch, lost):
+    """Lost when both images are staged, when the orders have moved, or when all has; each time repeated."""
+    class Lost(Exception):
+        pass
+
+    module = {"silver": silver, "pipelines": pipelines}.get(lost[0])
+    deleted = b.order_cdc(spark, SF_DIR).filter(F.col("payload.store_id") % 4 == 0).withColumn(
+        "source_metadata", F.col("source_metadata").withField("change_type", F.lit("DELETE")))
+    parts = [*slices(b.order_cdc(spark, SF_DIR), "source_timestamp")][:2]
+    parts.append(deleted.withColumn("source_timestamp", F.col("source_timestamp") + F.expr("INTERVAL 90 DAYS")))
+    for number, part in enumerate(parts):
+        args = part, Batch("run", number), f"{work}/orders", work, f"{work}/stats", True
+        if module:
+            real = module.replace_partitions
+            with monkeypatch.context() as m:
+                m.setattr(module, "replace_partitions", lambda *a, **k: (_ for _ in ()).throw(Lost()))
+                with pytest.raises(Lost):
+                    pipelines.merge_orders_batch(*args)
+            assert module.replace_partitions is real
+        else:
+            pipelines.merge_orders_batch(*args)
+        pipelines.merge_orders_batch(*args)
+        assert stats_match(spark, work)
+    assert spark.read.parquet(f"{work}/stats").filter(F.col("store_id") % 4 == 0).isEmpty()
+
+
+def test_statistics_change_by_the_keys_of_the_batch(spark, work):
+    """A day that holds an order unknown to the statistics shows that no other order is read for them."""
+    def batch(number, *orders):
+        df = spark.createDataFrame([(k, 1, 1, "x", s, a, ts("01 10:00"), ts(f"02 0{number}:00")) for k, s, a in orders], SILVER_ORDERS)
+        changes = []
+        silver.merge_orders_table(f"{work}/orders", df, f"{work}/staged/orders", Batch("r", number), before=lambda old, new: changes.append(
+            pipelines.staged(gold.added_sums(gold.order_sums(old, -1).unionByName(gold.order_sums(new))), f"{work}/staged/changes", Batch("r", number))))
+        return changes[0]
+
+    def stats():
+        return sorted((r.status, r.order_count, r.total_revenue, r.avg_order_value) for r in spark.read.parquet(f"{work}/stats").collect())
+
+    for number, orders in enumerate([[("a", "New", 1.5), ("b", "New", None)], [("c", "New", 9.0)]]):
+        changes = batch(number, *orders)
+        if number == 0:
+            pipelines.add_to_stats(changes, f"{work}/stats", f"{work}/orders", f"{work}/staged/stats", Batch("r", 0))
+    assert stats() == [("New", 2, 1.5, 1.5)]  # without c
+    pipelines.add_to_stats(batch(2, ("a", "Done", 2.5)), f"{work}/stats", f"{work}/orders", f"{work}/staged/stats", Batch("r", 2))
+    assert stats() == [("Done", 1, 2.5, 2.5), ("New", 1, None, None)]
+
+
 def test_repeated_order_batch_changes_nothing(spark, work):
     """The first try is lost after the swap, or between staging and swap: same table either way."""
     first, second, *_ = slices(b.order_cdc(spark, SF_DIR), "source_timestamp")
