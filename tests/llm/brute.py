@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from collections import Counter
 from functools import lru_cache
 
 import numpy as np
@@ -118,8 +119,6 @@ def op4_base(text):
     grams = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
     covered = {i + k for i, g in enumerate(grams) if grams.count(g) > 1 for k in range(3)} if len(grams) < 3000 else None
     if covered is None:
-        from collections import Counter
-
         counts = Counter(grams)
         covered = {i + k for i, g in enumerate(grams) if counts[g] > 1 for k in range(3)}
     symbols = sum(c in "#*$%&|<>" for c in text)
@@ -127,24 +126,31 @@ def op4_base(text):
     return n, sum(map(len, words)), symbols, dup, len(covered), n < 50 or 100 * len(covered) > 50 * n
 
 
+def normal_lines(text):
+    """The lines with a word: A-Z in lower case, words joined by single spaces."""
+    return [" ".join(words) for line in (text or "").split("\n") if (words := WORD.findall(lower(line)))]
+
+
+def boilerplate(docs, host_of, share, least):
+    """{(host, line)} above the limit by the rule alone: documents of a host are distinct if their sets of lines are, and
+    a line may stand in ``share`` of those, or in ``least``. No sketches, and near copies are documents of their own."""
+    texts = {}
+    for doc_id, text in docs:
+        texts.setdefault(host_of(doc_id), set()).add(frozenset(normal_lines(text)))
+    out = set()
+    for host, distinct in texts.items():
+        distinct.discard(frozenset())
+        counts = Counter(line for lines in distinct for line in lines)
+        out |= {(host, line) for line, n in counts.items() if n > max(least, share * len(distinct))}
+    return out
+
+
 def op4(docs, host_of, share, least, left_words, left_share):
     """(doc_id, base..., kept)."""
-    lines_of = [[" ".join(lower(line).split(None)) for line in re.split("\n", re.sub("[\x0b\x0c\r\t]", " ", t or ""))] for _, t in docs]
-    lines_of = [[" ".join(WORD.findall(x)) for x in lines if WORD.search(x)] for lines in lines_of]
-    from rainledger.llm.quality import least_shingles
-
-    digest = {x: least_shingles([x.encode().split()])[0] for lines in lines_of for x in lines}
-    beside, n_docs = {}, {}
-    for (doc_id, _), lines in zip(docs, lines_of):
-        host = host_of(doc_id)
-        n_docs[host] = n_docs.get(host, 0) + 1
-        for x in set(lines):
-            others = [digest[y] for y in set(lines) if y != x]
-            beside.setdefault((host, x), set()).add(min(others, default=digest[x]))
-    out = []
-    for (doc_id, text), lines in zip(docs, lines_of):
-        host, base = host_of(doc_id), op4_base(text)
-        gone = sum(len(x.split(" ")) for x in lines if len(beside[host, x]) > max(least, share * n_docs[host]))
+    above, out = boilerplate(docs, host_of, share, least), []
+    for doc_id, text in docs:
+        base = op4_base(text)
+        gone = sum(len(line.split(" ")) for line in normal_lines(text) if (host_of(doc_id), line) in above)
         left = base[0] - gone
         depleted = gone > 0 and (left < left_words or left < left_share * base[0])
         out.append((doc_id, *base, not base[-1] and not depleted))

@@ -56,6 +56,25 @@ def test_footers_of_several_lines(spark, tables):
         assert got == dict.fromkeys(range(300), 6)
 
 
+def test_the_rule_alone_on_menus_footers_and_copies(spark, tables):
+    """The count by sketches removes what the plain count of distinct documents removes."""
+    rng = random.Random(11)
+    words = lambda n: " ".join(f"w{rng.randrange(9999)}" for _ in range(n))
+    menu, footer, copied = words(9), [words(15) for _ in range(4)], "\n".join(words(30) for _ in range(5))
+    rows = []
+    for i in range(400):
+        lines = [words(rng.randrange(8, 30)) for _ in range(rng.randrange(2, 6))]
+        lines = [menu] * (i % 2) + lines + footer[: rng.randrange(5)] + [words(4)] * (i % 5 == 0)
+        rows.append((i, "\n".join(lines), "h" if i % 4 else "g"))
+    rows += [(1000 + i, copied, "h") for i in range(300)]
+    docs = spark.createDataFrame(rows, "row bigint, text string, source string")
+    host_of = {r[0]: r[2] for r in rows}.get
+    above = brute.boilerplate([r[:2] for r in rows], host_of, quality.HOST_SHARE, quality.HOST_DOCS)
+    want = {r[0]: {quality.line_hash(x.encode()) for x in brute.normal_lines(r[1]) if (r[2], x) in above} for r in rows}
+    assert len(above) == 9  # the footer on both hosts, the menu on one
+    assert {r.row: set(r.removed or ()) for r in quality.verdicts(docs, "row").collect()} == want
+
+
 def test_copies_count_on_neither_side(spark, tables):
     rng = random.Random(6)
     words = lambda n: " ".join(f"w{rng.randrange(9999)}" for _ in range(n))
