@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
 import zlib
 from collections import Counter
 from functools import lru_cache
@@ -157,6 +158,50 @@ def op4(docs, host_of, share, least, left_words, left_share):
     return out
 
 
+def sentences(text):
+    """(words, start, end) of each unit: lines, cut at white space after a sentence's end, or before a capital that follows a
+    lower-case letter, a number or one of ``,;:``."""
+    out, start, i = [], 0, 0
+    while i <= len(text):
+        j = i
+        while j < len(text) and text[j] != "\n" and text[j].isspace():
+            j += 1
+        before, behind = text[i - 1 : i], text[j : j + 1]
+        kind = [unicodedata.category(c) if c else "" for c in (before, behind)]
+        stop = before and before in ".!?…。"
+        capital = (kind[0] == "Ll" or kind[0][:1] == "N" or (before and before in ",;:")) and kind[1] == "Lu"
+        if i == len(text) or text[i] == "\n" or (j > i and (stop or capital)):
+            if words := alnum(text[start:i]):
+                out.append((tuple(words), start, i))
+            start = i = max(j, i + 1)
+        else:
+            i = max(j, i + 1)
+    return out
+
+
+def op5(docs, min_words):
+    """(doc_id, spans, text) of each row: runs of units that stood in an earlier place, if they have words enough, are cut out."""
+    first, out = {}, {}
+    for i in sorted(range(len(docs)), key=lambda i: (docs[i][0] is None, docs[i][0] or 0, i)):
+        doc_id, text = docs[i]
+        run, spans = [], []
+        for unit in [*sentences(text or ""), None]:
+            if unit and unit[0] in first:
+                run.append(unit)
+                continue
+            if (n := sum(len(u[0]) for u in run)) >= min_words:
+                spans.append((run[0][1], run[-1][2], len(run), n, first[run[0][0]]))
+            run = []
+            if unit:
+                first[unit[0]] = doc_id
+        left = text
+        for a, b, *_ in reversed(spans):
+            one_space = b < len(text) and text[b].isspace() and (a == 0 or text[a - 1].isspace())
+            left = left[:a] + left[b + one_space :]
+        out[i] = (doc_id, spans, left)
+    return [out[i] for i in range(len(docs))]
+
+
 def op6_base(text, phrases):
     words, places = alnum(text), []
     for phrase, label in phrases.items():
