@@ -206,7 +206,7 @@ def gap_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rough_versions(spark: SparkSession, sf_dir: str, keys: int) -> DataFrame:
     """Versions as they should not be: overlapping, empty, negative and several open ones, for so many keys."""
     hours = F.col("event_id") % 7 - 2
-    end = F.timestamp_seconds(F.unix_seconds("ts") + hours * 3600)
+    end = F.timestamp_micros(F.unix_micros("ts") + hours * F.lit(3_600_000_000))
     return events(spark, sf_dir).filter("event_type <> 'error'").select(
         (F.col("user_id") % keys).cast("int").alias("product_id"),
         F.col("event_type").alias("category"),

@@ -5,6 +5,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
+from rainledger import bindings as b
 from rainledger.operators.asof import asof_scd2, laid_out, unmatched
 from tests.helpers import plan, rows, ts
 
@@ -123,3 +124,11 @@ def test_a_deep_history_meets_few_versions(spark):
     got = asof_scd2(left, versions, "k", "at", nested=True)
     assert got.filter("id = city").count() == got.count() == 10000
     assert "__in" in plan(got) and "CartesianProduct" not in plan(got) and "NestedLoop" not in plan(got)
+
+
+def test_rough_versions_end_to_the_microsecond(spark):
+    """Their ends lie whole hours from their starts, so an instant within the last second is told right."""
+    versions = b.rough_versions(spark, "/root/testdata/sf0.001", 3).filter("valid_to IS NOT NULL")
+    length = F.unix_micros("valid_to") - F.unix_micros("valid_from")
+    assert versions.count() > 0 and versions.filter(length % 3_600_000_000 != 0).count() == 0
+    assert versions.filter(F.unix_micros("valid_from") % 1_000_000 != 0).count() > 0
