@@ -3,9 +3,10 @@
 Rows lie in ``depth=<d>/part=<k>``, where ``k`` is the key's hash modulo ``2 ** d``. A batch reads the parts its keys fall into
 and writes its own rows, sorted by key, so what it writes follows the batch, whatever the table holds. When parts
 become too large, the table is written once more with twice as many of them or more; as it has to double before that
-happens again, all rewriting together is about as much as the table. The new depth counts once it stands in the
-directory, a small table of its own, so a lost rewrite changes nothing; the depth before is kept for
-running readers until the next one.
+happens again, all rewriting together is about as much as the table. Every part is a folder that has to be listed and a file
+that each batch has to write, so their number stops at ``2 ** MAX_DEPTH`` and the parts themselves grow from there on. The new
+depth counts once it stands in the directory, a small table of its own, so a lost rewrite changes nothing; the depth before is
+kept for running readers until the next one.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from rainledger.sources.paths import read_or_empty
 from rainledger.sources.tables import hash_part, in_values, touched_values
 
 PART_ROWS = 2_000_000  # of a part, on average, before the table grows
+MAX_DEPTH = 10  # more folders cost a batch more than they spare it: one of over 1,024 keys reads nearly all of them anyway
 DIRECTORY = struct(depth="int")
 
 
@@ -88,14 +90,14 @@ class KeyedLog(NamedTuple):
 
     def _grow(self, spark: SparkSession, depth: int, parts: list[int]) -> None:
         """More parts, if those the batch touched hold too many rows: the hash makes them speak for all."""
-        if not parts:
+        if not parts or depth >= MAX_DEPTH:
             return
         mean = in_values(self._read(spark, depth), "part", parts).count() / len(parts)  # out of the files' footers
         if mean <= self.part_rows:
             return
         every = self._read(spark, depth).select(*self.schema.names)
         kept = self.compact(every) if self.compact else every
-        deeper = depth + max(1, math.ceil(math.log2(mean / self.part_rows)))
+        deeper = min(MAX_DEPTH, depth + max(1, math.ceil(math.log2(mean / self.part_rows))))
         (
             self._parts(kept, deeper).hint("rebalance", "part").sortWithinPartitions("part", self.key)
             .write.mode("overwrite").partitionBy("part").parquet(self._folder(deeper))

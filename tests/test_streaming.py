@@ -9,6 +9,7 @@ from rainledger.plans import gold, silver
 from rainledger.plans.weather import silver_weather
 from rainledger.schemas import SILVER_ORDER_DETAILS, SILVER_ORDERS, SILVER_PRODUCTS, SILVER_STORES, SILVER_WEATHER
 from rainledger.session import scratch
+from rainledger.sources import keyed
 from rainledger.sources.cdc import read_cdc_stream
 from rainledger.sources.tables import Batch, ChecksFailed
 from rainledger.streaming import pipelines
@@ -312,6 +313,18 @@ def test_parts_grow_and_written_rows_follow_the_batch(spark, work):
     assert log.rows(spark).count() == 720
 
 
+def test_the_number_of_parts_is_bounded(spark, work, monkeypatch):
+    """However large the table, its folders stop doubling; the parts grow then and nothing is lost or repeated."""
+    monkeypatch.setattr(keyed, "MAX_DEPTH", 3, raising=False)
+    log = silver.order_details_log(f"{work}/details")._replace(part_rows=2)
+    for batch in (0, 1, 1, 2):
+        lines = [(f"{batch}-{i}", str(batch), 1, 1, 1.0, 1.0) for i in range(200)]
+        log.append(spark.createDataFrame(lines, SILVER_ORDER_DETAILS), ["detail_id"])
+        assert log.depth(spark) == 3 and log.rows(spark).count() == 200 * (batch + 1)
+    assert log.candidates(log.rows(spark)).select("part").distinct().count() == 8
+    assert rows(log.lookup(spark.createDataFrame([("0-7",), ("2-199",), ("none",)], "detail_id string")), "detail_id") == [("0-7",), ("2-199",)]
+
+
 def test_orders_are_found_whatever_creation_time_an_event_has(spark, work):
     def order(status, created, minute):
         at = None if created is None else ts(created)
