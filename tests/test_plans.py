@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from rainledger import bindings as b
 from rainledger import catalogue
 from rainledger.plans import gold
+from rainledger.session import configure
 from tests.helpers import plan
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -87,3 +88,22 @@ def test_building_a_plan_runs_nothing(spark):
         assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("building")) == []
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_a_task_takes_a_bounded_part_of_a_shuffle(spark):
+    """Partitions are merged up to 16 MB only, out of 400 at least; what a session sets itself stays."""
+    size, first = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    fresh, own, many = spark.newSession(), spark.newSession(), spark.newSession()
+    own.conf.set(size, "200MB")
+    own.conf.set(first, "10000")
+    many.conf.set("spark.sql.shuffle.partitions", "3000")
+    got = [tuple(configure(s).conf.get(c, None) for c in (size, first)) for s in (fresh, own, many)]
+    assert got == [("16MB", "400"), ("200MB", "10000"), ("16MB", "3000")]
+
+
+def test_kept_rows_are_merged_into_few_partitions(spark):
+    kept = spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count().persist()
+    try:
+        assert kept.count() == 10 and kept.rdd.getNumPartitions() == 1
+    finally:
+        kept.unpersist()
