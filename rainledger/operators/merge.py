@@ -60,6 +60,18 @@ def merge_upsert(
     return updated.unionByName(not_in(source, target, keys).select(*target.columns))
 
 
+def merge_images(old: DataFrame, source: DataFrame, key: str | list[str], when_newer: str, update_cols: list[str]) -> DataFrame:
+    """``merge_upsert`` of the source's own rows of the target: both are as small as the source, so they meet once."""
+    keys = as_list(key)
+    renamed = source.select(*[F.col(c).alias(f"__s_{c}") for c in old.columns], F.lit(True).alias("__s"))
+    joined = old.withColumn("__o", F.lit(True)).join(renamed, reduce(Column.__and__, [F.col(k) == F.col(f"__s_{k}") for k in keys]), "full")
+    inserted = F.col("__o").isNull()
+    newer = inserted | (F.col(f"__s_{when_newer}") > F.col(when_newer))
+    return joined.select(
+        *[F.when(newer if c in update_cols else inserted, F.col(f"__s_{c}")).otherwise(F.col(c)).alias(c) for c in old.columns]
+    )
+
+
 def merge_delete(target: DataFrame, deleted: DataFrame, key: str | list[str]) -> DataFrame:
     """Remove the given keys."""
     keys = as_list(key)

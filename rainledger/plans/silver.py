@@ -8,6 +8,7 @@ touches, versions and lines by appending.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import ExitStack
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from pyspark.sql import types as T
 
 from rainledger.functions.columns import datetime_struct_to_ts
 from rainledger.operators.latest import deleted_keys, drop_deletes, incremental, keep_latest
-from rainledger.operators.merge import merge_delete, merge_insert_only, merge_upsert, not_in
+from rainledger.operators.merge import merge_delete, merge_images, merge_insert_only, merge_upsert, not_in
 from rainledger.operators.scd2 import current, scd2_apply, scd2_close, scd2_deltas
 from rainledger.schemas import SILVER_ORDER_DETAILS, SILVER_ORDERS, SILVER_WEATHER, struct
 from rainledger.sources.keyed import KeyedLog
@@ -29,6 +30,7 @@ from rainledger.sources.tables import (
     partition_names,
     persisted,
     replace_partitions,
+    staged,
     touched_values,
     with_partitions,
 )
@@ -139,8 +141,9 @@ def merge_orders_table(path: str, source: DataFrame, staging: str, batch: Batch,
     """Upsert a batch (one row per key) into the orders table and return its changed days.
 
     Orders lie in the day they were created on, whatever later events say of it. That day is looked up in the
-    table's places, so a batch reads and writes the days of its own keys only. New keys are placed before
-    their rows are written: a repeated batch finds them where it put them.
+    table's places, so a batch reads and writes the days of its own keys only. The batch's rows are staged, then new keys are
+    placed, then the rows move to the table: a batch that is repeated in between finds what it staged and keys where it put them.
+    All that is read from the places is used before they are written, as Spark computes it anew after that.
 
     ``deleted`` has keys whose newest event is a delete, with its ``source_timestamp``. Their rows go and a tombstone stays
     among the places, so no event up to that time brings a key back, in whatever batch it comes. Events are
@@ -156,19 +159,17 @@ def merge_orders_table(path: str, source: DataFrame, staging: str, batch: Batch,
         held = read_orders(spark, path, schema).select("order_id", day, F.col("updated_at").alias("at"), F.lit(False).alias("deleted"))
         places.append(held, ["order_id", "at", "deleted"])
     at = "source_timestamp" if "source_timestamp" in source.columns else "updated_at"
-    known = _newest_place(places.lookup(source)).select(
-        F.col("order_id").alias("__key"), F.col(day).alias("__day"), F.col("at").alias("__at"), F.col("deleted").alias("__deleted"))
-    joined = with_partitions(source, ORDERS_PARTITIONS).join(known, F.col("order_id") == F.col("__key"), "left")
-    back = F.col("__deleted") & (F.col(at).isNull() | (F.col(at) <= F.col("__at")))
-    lies = F.col("__deleted").isNotNull() & ~F.col("__deleted")
-    located = joined.filter(~F.coalesce(back, F.lit(False))).withColumns(
-        {day: F.when(lies, F.col("__day")).otherwise(F.col(day)), "__new": ~F.coalesce(lies, F.lit(False))})
-    with persisted(located) as rows:
-        fresh = rows.filter("__new").select("order_id", day, F.col(at).alias("at"), F.lit(False).alias("deleted"))
-        places.append(fresh, ["order_id", "at", "deleted"])
+    with ExitStack() as kept:
+        keep = lambda df: kept.enter_context(persisted(df))
+        located = _located(places, keep(source), at)
+        rows = keep(located)
+        # a key that is NULL is found nowhere, so it gets no place
+        fresh = rows.filter("__new AND order_id IS NOT NULL").select("order_id", day, F.col(at).alias("at"), F.lit(False).alias("deleted"))
         touched = touched_values(rows, day)
-        gone = _bury(places, deleted) if deleted is not None else None
-        if gone is not None:
+        gone = None
+        if deleted is not None:
+            ends = keep(_ends(places, keep(deleted), fresh))
+            gone = ends.filter("__buried OR deleted").select("order_id", day)
             touched = list({*touched, *touched_values(gone, day)})
         target = in_values(read_orders(spark, path, schema), day, touched)
         merged = merge_upsert(target, rows, "order_id", "updated_at", ORDER_UPDATES)
@@ -176,9 +177,15 @@ def merge_orders_table(path: str, source: DataFrame, staging: str, batch: Batch,
             merged = merge_delete(merged, gone, "order_id")
         if before:
             keys = rows.select("order_id")
-            old = target.join(keys.union(gone.select("order_id")) if gone is not None else keys, "order_id", "left_semi")
-            new = merge_upsert(old, rows, "order_id", "updated_at", ORDER_UPDATES)
+            old = keep(target.join(keys.union(gone.select("order_id")) if gone is not None else keys, "order_id", "left_semi"))
+            new = merge_images(old, rows, "order_id", "updated_at", ORDER_UPDATES)
             before(old, merge_delete(new, gone, "order_id") if gone is not None else new)
+        staged(merged, staging, batch)
+        stones = None
+        if gone is not None:
+            is_new = F.col("order_id").isNotNull() & F.col("__buried") & ~(F.coalesce("deleted", F.lit(False)) & F.col("at").eqNullSafe(F.col("__end")))
+            stones = ends.filter(is_new).select("order_id", day, F.col("__end").alias("at"), F.lit(True).alias("deleted"))
+        places.add(fresh if stones is None else fresh.unionByName(stones))
         replace_partitions(merged, path, [day], staging, batch)
         if gone is not None:
             left = touched_values(read_or_empty(spark, f"{staging}/rows", merged.schema), day)
@@ -186,19 +193,26 @@ def merge_orders_table(path: str, source: DataFrame, staging: str, batch: Batch,
     return in_values(read_orders(spark, path, schema), day, touched)
 
 
-def _bury(places: KeyedLog, deleted: DataFrame) -> DataFrame:
-    """Put a tombstone for each key that was deleted after it got its place; the keys buried, now or by this batch before, and their days."""
-    ends = deleted.select("order_id", F.col("source_timestamp").alias("__end"))
-    held = _newest_place(places.lookup(deleted))
-    found = ends.join(held, "order_id", "left").filter(F.col("at").isNull() | (F.col("__end") >= F.col("at")))
-    stones = found.select("order_id", "created_date", F.col("__end").alias("at"), F.lit(True).alias("deleted"))
-    with persisted(stones) as rows:
-        places.append(rows, ["order_id", "at", "deleted"])
-    return _buried(places, deleted)
+def _located(places: KeyedLog, source: DataFrame, at: str) -> DataFrame:
+    """The events that count, with the day their order lies in and whether it has no place yet (``__new``)."""
+    day = partition_names(ORDERS_PARTITIONS)[0]
+    known = _newest_place(places.lookup(source, null_safe=False)).select(
+        F.col("order_id").alias("__key"), F.col(day).alias("__day"), F.col("at").alias("__at"), F.col("deleted").alias("__deleted"))
+    joined = with_partitions(source, ORDERS_PARTITIONS).join(known, F.col("order_id") == F.col("__key"), "left")
+    back = F.col("__deleted") & (F.col(at).isNull() | (F.col(at) <= F.col("__at")))
+    lies = F.col("__deleted").isNotNull() & ~F.col("__deleted")
+    return joined.filter(~F.coalesce(back, F.lit(False))).select(
+        *source.columns, F.when(lies, F.col("__day")).otherwise(F.col(day)).alias(day), (~F.coalesce(lies, F.lit(False))).alias("__new"))
+
 
+def _ends(places: KeyedLog, deleted: DataFrame, fresh: DataFrame) -> DataFrame:
+    """The deleted keys with their newest place, those of this batch included, and whether the delete buries them (``__buried``).
 
-def _buried(places: KeyedLog, deleted: DataFrame) -> DataFrame:
-    return _newest_place(places.lookup(deleted)).filter("deleted").select("order_id", "created_date")
+    A delete buries a key that has no place or got it no later. A key whose place is a tombstone already is deleted too."""
+    ends = deleted.select("order_id", F.col("source_timestamp").alias("__end"))
+    own = fresh.join(ends.select("order_id"), "order_id", "left_semi")
+    held = _newest_place(places.lookup(deleted, null_safe=False).unionByName(own))
+    return ends.join(held, "order_id", "left").withColumn("__buried", F.col("at").isNull() | (F.col("__end") >= F.col("at")))
 
 
 def open_versions(path: str, schema: T.StructType) -> KeyedLog:

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from rainledger.operators.keys import null_safe_semi_join
 from rainledger.operators.merge import not_in
 from rainledger.schemas import struct
-from rainledger.sources.paths import read_or_empty
+from rainledger.sources.paths import exists, read_or_empty
 from rainledger.sources.tables import hash_part, in_values, touched_values
 
 PART_ROWS = 2_000_000  # of a part, on average, before the table grows
@@ -67,9 +67,13 @@ class KeyedLog(NamedTuple):
         depth = self.depth(keys.sparkSession)
         return in_values(self._read(keys.sparkSession, depth), "part", self._touched(keys, depth))
 
-    def lookup(self, keys: DataFrame) -> DataFrame:
-        """The rows whose key ``keys`` has; a NULL key finds NULL keys."""
-        return null_safe_semi_join(self.candidates(keys), keys, [self.key]).select(*self.schema.names)
+    def lookup(self, keys: DataFrame, null_safe: bool = True) -> DataFrame:
+        """The rows whose key ``keys`` has; a NULL key finds NULL keys, unless ``null_safe`` is off, which spares shuffles
+        as the rows then lie by the key itself."""
+        candidates = self.candidates(keys)
+        if not null_safe:
+            return candidates.join(keys.select(self.key), self.key, "left_semi").select(*self.schema.names)
+        return null_safe_semi_join(candidates, keys, [self.key]).select(*self.schema.names)
 
     def append(self, rows: DataFrame, unique: list[str]) -> None:
         """Add the rows whose ``unique`` columns, compared NULL-safely, no row has yet.
@@ -79,30 +83,57 @@ class KeyedLog(NamedTuple):
         """
         spark = rows.sparkSession
         depth = self.depth(spark)
+        if not exists(spark, self._folder(depth)):
+            return self.add(rows)
         parts = self._touched(rows, depth)
         held = in_values(self._read(spark, depth), "part", parts)
-        fresh = not_in(rows.select(*self.schema.names), held, unique, null_safe=True)
+        self._add(not_in(rows.select(*self.schema.names), held, unique, null_safe=True), depth, parts)
+
+    def add(self, rows: DataFrame) -> None:
+        """Add rows that the table is known not to hold.
+
+        A table that holds nothing gets as many parts as the rows need at once, so they are written a single time.
+        """
+        spark = rows.sparkSession
+        depth = self.depth(spark)
+        if depth or exists(spark, self._folder(depth)):
+            return self._add(rows.select(*self.schema.names), depth, self._touched(rows, depth))
+        first = self._deeper(0, rows.count())
+        if first:
+            self._write(rows, first, "overwrite")
+            self._begin(spark, first)
+        else:
+            self._write(rows, 0, "append")
+
+    def _add(self, rows: DataFrame, depth: int, parts: list[int]) -> None:
+        self._write(rows, depth, "append")
+        self._grow(rows.sparkSession, depth, parts)
+
+    def _write(self, rows: DataFrame, depth: int, mode: str) -> None:
         (
-            self._parts(fresh, depth).hint("rebalance", "part").sortWithinPartitions("part", self.key)
-            .write.mode("append").partitionBy("part").parquet(self._folder(depth))
+            self._parts(rows.select(*self.schema.names), depth).hint("rebalance", "part").sortWithinPartitions("part", self.key)
+            .write.mode(mode).partitionBy("part").parquet(self._folder(depth))
         )
-        self._grow(spark, depth, parts)
+
+    def _begin(self, spark: SparkSession, depth: int) -> None:
+        """From here on the table is the folder of this depth."""
+        spark.range(1).select(F.lit(depth).alias("depth")).coalesce(1).write.mode("append").parquet(f"{self.path}/_directory")
+
+    def _deeper(self, depth: int, mean: float) -> int:
+        """The depth at which parts that hold ``mean`` rows now hold ``part_rows`` at most, on average."""
+        return depth if mean <= self.part_rows else min(MAX_DEPTH, depth + max(1, math.ceil(math.log2(mean / self.part_rows))))
 
     def _grow(self, spark: SparkSession, depth: int, parts: list[int]) -> None:
         """More parts, if those the batch touched hold too many rows: the hash makes them speak for all."""
         if not parts or depth >= MAX_DEPTH:
             return
         mean = in_values(self._read(spark, depth), "part", parts).count() / len(parts)  # out of the files' footers
-        if mean <= self.part_rows:
+        deeper = self._deeper(depth, mean)
+        if deeper == depth:
             return
         every = self._read(spark, depth).select(*self.schema.names)
-        kept = self.compact(every) if self.compact else every
-        deeper = min(MAX_DEPTH, depth + max(1, math.ceil(math.log2(mean / self.part_rows))))
-        (
-            self._parts(kept, deeper).hint("rebalance", "part").sortWithinPartitions("part", self.key)
-            .write.mode("overwrite").partitionBy("part").parquet(self._folder(deeper))
-        )
-        spark.createDataFrame([(deeper,)], DIRECTORY).coalesce(1).write.mode("append").parquet(f"{self.path}/_directory")
+        self._write(self.compact(every) if self.compact else every, deeper, "overwrite")
+        self._begin(spark, deeper)
         hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
         for old in range(depth):
             folder = hadoop.Path(self._folder(old))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -18,7 +19,12 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str
     except AnalysisException as error:
         if not _missing(error):
             raise
-        return spark.createDataFrame([], schema)
+        return no_rows(spark, schema)
+
+
+def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows, known to be none at planning: joins with them are left out."""
+    return spark.range(1).filter(F.lit(False)).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
 
 
 def exists(spark: SparkSession, path: str) -> bool:

@@ -10,6 +10,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.storagelevel import StorageLevel
 
 from rainledger.schemas import struct
 from rainledger.sources.paths import read_or_empty
@@ -111,7 +112,7 @@ def staged(rows: DataFrame, staging: str, batch: Batch) -> DataFrame:
     marks = read_or_empty(spark, mark, MARK)
     if marks.filter((F.col("run") == batch.run) & (F.col("number") == batch.number)).isEmpty():
         rows.write.mode("overwrite").parquet(data)
-        spark.createDataFrame([batch], MARK).write.mode("overwrite").parquet(mark)
+        spark.range(1).select(*[F.lit(v).alias(n) for n, v in batch._asdict().items()]).coalesce(1).write.mode("overwrite").parquet(mark)
     return read_or_empty(spark, data, rows.schema).select(*rows.columns)
 
 
@@ -152,7 +153,13 @@ def drop_partitions(spark: SparkSession, path: str, column: str, values: list) -
 
 @contextmanager
 def persisted(df: DataFrame) -> Iterator[DataFrame]:
-    """``df`` kept for the jobs inside, and let go whatever happens to them."""
+    """``df`` kept for the jobs inside, and let go whatever happens to them; what the caller keeps already stays kept.
+
+    Spark forgets what is kept once a job writes to a folder it was read from, so whatever needs it comes before that.
+    """
+    if df.storageLevel != StorageLevel.NONE:
+        yield df
+        return
     kept = df.persist()
     try:
         yield kept

@@ -5,12 +5,14 @@ from pyspark.sql import functions as F
 
 from rainledger import bindings as b
 from rainledger import jobs
+from rainledger.operators.merge import merge_images, merge_upsert
 from rainledger.plans import gold, silver
 from rainledger.plans.weather import silver_weather
 from rainledger.schemas import SILVER_ORDER_DETAILS, SILVER_ORDERS, SILVER_PRODUCTS, SILVER_STORES, SILVER_WEATHER
 from rainledger.session import scratch
 from rainledger.sources import keyed
 from rainledger.sources.cdc import read_cdc_stream
+from rainledger.sources.paths import exists
 from rainledger.sources.tables import Batch, ChecksFailed
 from rainledger.streaming import pipelines
 from rainledger.streaming.runner import drain_batches
@@ -470,3 +472,42 @@ def test_backlog_in_small_batches(spark, work):
     for part in slices(events, "source_timestamp"):
         target = silver.silver_orders(target, part)
     assert rows(jobs.silver_tables(spark, f"{work}/lake")["orders"], *SILVER_ORDERS.names) == rows(target)
+
+
+def test_a_batch_of_orders_is_located_once(spark, work):
+    """What is read from the places is computed before they are written: Spark forgets it then and would compute it again."""
+    first, second, *_ = slices(b.order_cdc(spark, SF_DIR), "source_timestamp")
+    silver.merge_orders_table(f"{work}/orders", silver.latest_changes(first, "orders"), f"{work}/staged", Batch("a", 0))
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(parts):
+        for part in parts:
+            seen.add(part.num_rows)
+            yield part
+
+    source = silver.latest_changes(second, "orders")
+    places = silver.order_places(f"{work}/orders")
+    real = silver._newest_place
+    counted = lambda rows_in: real(rows_in).mapInArrow(count, silver.PLACES)
+    held = places.lookup(source).select("order_id").distinct().count()
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(silver, "_newest_place", counted)
+        silver.merge_orders_table(f"{work}/orders", source, f"{work}/staged", Batch("a", 1))
+    assert held and seen.value == held
+
+
+def test_the_first_rows_of_a_log_are_written_once(spark, work):
+    """A log that holds nothing gets its parts before its first rows are written, not after."""
+    log = silver.order_details_log(f"{work}/details")._replace(part_rows=50)
+    lines = silver.latest_changes(b.order_detail_cdc(spark, SF_DIR), "order_details").drop("source_timestamp")
+    log.append(lines, ["detail_id"])
+    assert log.depth(spark) > 5 and not exists(spark, f"{work}/details/depth=0")
+    assert log.rows(spark).count() == lines.count()
+    log.append(lines, ["detail_id"])
+    assert log.rows(spark).count() == lines.count()
+
+
+def test_a_changed_image_counts_once_in_each_group(spark, work):
+    old = spark.createDataFrame([("a", 1.0, "x", 1), (None, 2.0, "x", 1), ("c", None, "x", 1), ("d", 4.0, "x", 9)], "k string, v double, fixed string, at int")
+    new = spark.createDataFrame([("a", 5.0, "y", 2), (None, 6.0, "y", 2), ("c", 7.0, "y", None), ("d", 8.0, "y", 3), ("e", None, "y", None)], old.schema)
+    assert rows(merge_images(old, new, "k", "at", ["v", "at"])) == rows(merge_upsert(old, new, "k", "at", ["v", "at"]))
