@@ -146,15 +146,19 @@ STATS_SUMS = ["order_count", "revenue", "amounts"]
 
 def order_sums(orders: DataFrame, sign: int = 1) -> DataFrame:
     """What orders add to the statistics, or take from them with ``sign`` -1: exact sums by ``STATS_GROUP``, which can be added."""
+    return added_sums(signed_orders(orders, sign))
+
+
+def signed_orders(orders: DataFrame, sign: int = 1) -> DataFrame:
+    """Each order as the sums of itself alone, to be grouped once with others."""
     at = F.col("created_at").cast("timestamp")
     amount = money(F.col("total_amount"))
-    one = orders.filter(F.col("created_at").isNotNull()).select(
+    return orders.filter(F.col("created_at").isNotNull()).select(
         hour_of(at).alias("order_hour"), F.to_date(at).alias("order_date"), "store_id", "order_type", "status",
         F.lit(sign).cast("bigint").alias("order_count"),
         (amount if sign > 0 else -amount).alias("revenue"),
         F.when(F.col("total_amount").isNotNull(), sign).otherwise(0).cast("bigint").alias("amounts"),
     )
-    return added_sums(one)
 
 
 def added_sums(sums: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rainledger.operators.asof import asof_scd2
 from rainledger.operators.latest import latest_state
 from rainledger.operators.quality import observed
-from rainledger.plans.gold import STATS_GROUP, STATS_SUMS, added_sums, order_sums, stats_of_sums, weather_consensus
+from rainledger.plans.gold import STATS_GROUP, STATS_SUMS, added_sums, order_sums, signed_orders, stats_of_sums, weather_consensus
 from rainledger.plans.silver import (
     KEYS,
     TRACKED,
@@ -55,7 +55,7 @@ def merge_orders_batch(rows: DataFrame, batch: Batch, table: str, work: str, sta
     changes = []
 
     def keep(old: DataFrame, new: DataFrame) -> None:
-        sums = added_sums(order_sums(old, -1).unionByName(order_sums(new)))
+        sums = added_sums(signed_orders(old, -1).unionByName(signed_orders(new)))
         changes.append(staged(sums, f"{work}/staged/changes", batch))
 
     # read several times below: to find the days, to merge, for the statistics
