@@ -2,7 +2,7 @@
 
 Rows lie in ``depth=<d>/part=<k>``, where ``k`` is the key's hash modulo ``2 ** d``. A batch reads the parts its keys fall into
 and writes its own rows, sorted by key, so what it writes follows the batch, whatever the table holds. When parts
-become too large, the table is written once more with twice as many of them or more; as it has to double before that
+would become too large, the table and the batch are written together with twice as many of them or more; as it has to double before that
 happens again, all rewriting together is about as much as the table. Every part is a folder that has to be listed and a file
 that each batch has to write, so their number stops at ``2 ** MAX_DEPTH`` and the parts themselves grow from there on. The new
 depth counts once it stands in the directory, a small table of its own, so a lost rewrite changes nothing; the depth before is
@@ -23,7 +23,7 @@ from rainledger.operators.keys import null_safe_semi_join
 from rainledger.operators.merge import not_in
 from rainledger.schemas import struct
 from rainledger.sources.paths import exists, read_or_empty
-from rainledger.sources.tables import hash_part, in_values, touched_values
+from rainledger.sources.tables import hash_part, in_values, persisted, touched_values
 
 PART_ROWS = 2_000_000  # of a part, on average, before the table grows
 MAX_DEPTH = 10  # more folders cost a batch more than they spare it: one of over 1,024 keys reads nearly all of them anyway
@@ -87,7 +87,11 @@ class KeyedLog(NamedTuple):
             return self.add(rows)
         parts = self._touched(rows, depth)
         held = in_values(self._read(spark, depth), "part", parts)
-        self._add(not_in(rows.select(*self.schema.names), held, unique, null_safe=True), depth, parts)
+        fresh = not_in(rows.select(*self.schema.names), held, unique, null_safe=True)
+        if self._depth_with(rows.count(), spark, depth, parts) == depth:
+            return self._write(fresh, depth, "append")
+        with persisted(fresh) as kept:  # of a repeated batch fewer are fresh
+            self._add(kept, depth, parts)
 
     def add(self, rows: DataFrame) -> None:
         """Add rows that the table is known not to hold.
@@ -106,8 +110,18 @@ class KeyedLog(NamedTuple):
             self._write(rows, 0, "append")
 
     def _add(self, rows: DataFrame, depth: int, parts: list[int]) -> None:
-        self._write(rows, depth, "append")
-        self._grow(rows.sparkSession, depth, parts)
+        """Write ``rows`` beside the others, or all of them into more parts if those the batch touches would hold too many."""
+        spark = rows.sparkSession
+        deeper = self._depth_with(rows.count(), spark, depth, parts)
+        if deeper == depth:
+            return self._write(rows, depth, "append")
+        every = self._read(spark, depth).select(*self.schema.names).unionByName(rows.select(*self.schema.names))
+        self._write(self.compact(every) if self.compact else every, deeper, "overwrite")
+        self._begin(spark, deeper)
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        for old in range(depth):
+            folder = hadoop.Path(self._folder(old))
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
     def _write(self, rows: DataFrame, depth: int, mode: str) -> None:
         (
@@ -123,18 +137,9 @@ class KeyedLog(NamedTuple):
         """The depth at which parts that hold ``mean`` rows now hold ``part_rows`` at most, on average."""
         return depth if mean <= self.part_rows else min(MAX_DEPTH, depth + max(1, math.ceil(math.log2(mean / self.part_rows))))
 
-    def _grow(self, spark: SparkSession, depth: int, parts: list[int]) -> None:
-        """More parts, if those the batch touched hold too many rows: the hash makes them speak for all."""
+    def _depth_with(self, more: int, spark: SparkSession, depth: int, parts: list[int]) -> int:
+        """The depth for the table with so many more rows in ``parts``: the hash makes these speak for all."""
         if not parts or depth >= MAX_DEPTH:
-            return
-        mean = in_values(self._read(spark, depth), "part", parts).count() / len(parts)  # out of the files' footers
-        deeper = self._deeper(depth, mean)
-        if deeper == depth:
-            return
-        every = self._read(spark, depth).select(*self.schema.names)
-        self._write(self.compact(every) if self.compact else every, deeper, "overwrite")
-        self._begin(spark, deeper)
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-        for old in range(depth):
-            folder = hadoop.Path(self._folder(old))
-            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+            return depth
+        held = in_values(self._read(spark, depth), "part", parts).count()  # out of the files' footers
+        return self._deeper(depth, (held + more) / len(parts))

@@ -511,3 +511,16 @@ def test_a_changed_image_counts_once_in_each_group(spark, work):
     old = spark.createDataFrame([("a", 1.0, "x", 1), (None, 2.0, "x", 1), ("c", None, "x", 1), ("d", 4.0, "x", 9)], "k string, v double, fixed string, at int")
     new = spark.createDataFrame([("a", 5.0, "y", 2), (None, 6.0, "y", 2), ("c", 7.0, "y", None), ("d", 8.0, "y", 3), ("e", None, "y", None)], old.schema)
     assert rows(merge_images(old, new, "k", "at", ["v", "at"])) == rows(merge_upsert(old, new, "k", "at", ["v", "at"]))
+
+
+def test_a_growing_log_writes_the_batch_once(spark, work, monkeypatch):
+    """The batch that makes the parts too many goes straight into the new ones; a repeated one makes none."""
+    log = silver.order_details_log(f"{work}/details")._replace(part_rows=100)
+    lines = lambda batch, n: spark.createDataFrame([(f"{batch}-{i}", str(batch), 1, 1, 1.0, 1.0) for i in range(n)], SILVER_ORDER_DETAILS)
+    written = []
+    real = keyed.KeyedLog._write
+    monkeypatch.setattr(keyed.KeyedLog, "_write", lambda self, rows_in, depth, mode: (written.append((rows_in.count(), depth, mode)), real(self, rows_in, depth, mode))[1])
+    for batch in (lines(0, 80), lines(0, 80), lines(1, 300)):
+        log.append(batch, ["detail_id"])
+    assert written == [(80, 0, "append"), (0, 0, "append"), (380, 2, "overwrite")]
+    assert log.rows(spark).count() == log.rows(spark).distinct().count() == 380
