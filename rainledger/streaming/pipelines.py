@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import nullcontext
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -119,7 +121,8 @@ def stream_weather(bronze: DataFrame, table: str, work: str, run_ts: str | None
     def add(rows: DataFrame, batch: Batch) -> None:
         routed, sources = counted_by_route(rows, "sources")
         parsed, times = observed(silver_weather(routed, run_ts), "times", no_time=F.count_if(F.col("fetched_at").isNull()))
-        with persisted(parsed) as readings:
+        # read once, to append, unless the state is kept too
+        with persisted(parsed) if state else nullcontext(parsed) as readings:
             _add_readings(readings, batch, table, work, consensus, state)
         # counted by the job that first went over the batch
         lost["unknown_source"] += sources.get["unknown"]

@@ -524,3 +524,15 @@ def test_a_growing_log_writes_the_batch_once(spark, work, monkeypatch):
         log.append(batch, ["detail_id"])
     assert written == [(80, 0, "append"), (0, 0, "append"), (380, 2, "overwrite")]
     assert log.rows(spark).count() == log.rows(spark).distinct().count() == 380
+
+
+def test_payloads_are_kept_twice_only_for_the_state(spark, work, monkeypatch):
+    kept = []
+    real = pipelines.persisted
+    monkeypatch.setattr(pipelines, "persisted", lambda df: (kept.append(df), real(df))[1])
+    b.bronze(spark, SF_DIR).filter("city_id = 1").write.parquet(f"{work}/landing")
+    stream = lambda: spark.readStream.schema(b.bronze(spark, SF_DIR).schema).parquet(f"{work}/landing")
+    lost = pipelines.stream_weather(stream(), f"{work}/weather", f"{work}/a")
+    assert not kept and lost == {"unknown_source": 0, "no_time": 0}
+    assert pipelines.stream_weather(stream(), f"{work}/weather", f"{work}/b", state=f"{work}/state") == lost and len(kept) == 1
+    assert silver.read_weather(spark, f"{work}/weather").count() == b.bronze(spark, SF_DIR).filter("city_id = 1").count()
