@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rainledger import bindings as b
-from rainledger.operators.asof import asof_scd2, laid_out, unmatched
+from rainledger.operators.asof import BLOCK, asof_scd2, laid_out, open_shares, unmatched
 from tests.helpers import plan, rows, ts
 
 DIM = "k int, city int, valid_from timestamp, valid_to timestamp, is_current boolean"
@@ -132,3 +132,36 @@ def test_rough_versions_end_to_the_microsecond(spark):
     length = F.unix_micros("valid_to") - F.unix_micros("valid_from")
     assert versions.count() > 0 and versions.filter(length % 3_600_000_000 != 0).count() == 0
     assert versions.filter(F.unix_micros("valid_from") % 1_000_000 != 0).count() > 0
+
+
+@pytest.mark.parametrize("how", ["left", "left_semi", "left_anti"])
+def test_very_many_overlapping_versions(spark, how):
+    """More than a block of closed and of open ones in a unit, some open since before the epoch; repeated rows and NULLs."""
+    hours, day = F.col("id") % 5 - 1, F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") * 61)
+    start = F.when(F.col("id") % 1009 == 0, F.timestamp_seconds(-F.col("id") - 5)).otherwise(day)
+    dims = spark.range(12 * BLOCK).select(
+        (F.col("id") % 2).cast("int").alias("k"), F.col("id").cast("int").alias("city"), start.alias("valid_from"),
+        F.when(F.col("id") % 3 != 0, F.timestamp_micros(F.unix_micros(start) + hours * 3_600_000_000)).alias("valid_to"),
+        F.lit(False).alias("is_current"))
+    at = F.when(F.col("id") % 11 != 0, F.timestamp_seconds((F.col("id") - 20) * 3_600 * 24 * 90 + F.col("id")))
+    near = spark.range(40).select("id", F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") * 4_000).alias("at"))
+    left = spark.range(200).select("id", at.alias("at")).union(near).union(near).withColumn(
+        "k", F.when(F.col("id") % 7 != 0, F.col("id") % 3).cast("int"))
+    plain, nested = (asof_scd2(left, dims, "k", "at", how, nested).cache() for nested in (False, True))
+    assert nested.count() == plain.count() > 0
+    assert nested.exceptAll(plain).isEmpty()
+
+
+def test_matches_are_not_shuffled(spark, dim, facts):
+    """Rows may match very many versions: no join or exchange is left to do once rows have met them."""
+    above, found, _ = plan(asof_scd2(facts, dim, "k", "at", "left", nested=True)).partition("Generate inline")
+    assert found and "Exchange" not in above and "Join" not in above
+
+
+def test_open_versions_of_a_key_are_dealt_out_only_where_there_are_many(spark):
+    start = datetime(2024, 1, 1)
+    for count, shares in ((1, 1), (BLOCK, 1), (2 * BLOCK + 1, 3), (100 * BLOCK, 16)):
+        opened = spark.range(count).select(
+            F.lit(1).alias("k"), F.lit(start).alias("__from"), F.lit(None).cast("timestamp").alias("__to"))
+        assert opened.limit(1).select(open_shares(opened, ["k"])).first()[0] == shares
+    assert spark.range(1).select(open_shares(opened.limit(0), ["k"])).first()[0] == 1
