@@ -7,7 +7,7 @@ import corpus_pipeline
 from rainledger.llm import linededup, quality
 from tests.llm import brute
 from tests.llm.data import ITEMS, write_tables
-from tests.llm.test_linededup import expected
+from tests.llm.brute import op5 as expected
 from tests.llm.test_packing import DIGEST, filled
 
 
